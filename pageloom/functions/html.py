@@ -77,3 +77,8 @@ def texts(fragment) -> Column:
 def first_group(fragment, pattern: str) -> Column:
     """First capture of a pattern, ``''`` when absent."""
     return F.regexp_extract(col_of(fragment), pattern, 1)
+
+
+# first text node of the first heading / of each paragraph
+H1_TEXT_RE = r"(?i)<h1\b[^>]*>([^<]*)"
+P_TEXT_RE = r"(?i)<p\b[^>]*>([^<]*)"

@@ -71,7 +71,8 @@ def between_markers(c, former: str, latter: str, pos: int = 0,
     else:
         start = F.lit(0)
     if latter:
-        stop = F.when(start >= 0, F.locate(latter, s, start + lf + 1) - 1)  # 0-based
+        idx = F.instr(F.substring(s, start + lf + 1, 1 << 30), latter)     # 1-based in the rest
+        stop = F.when((start >= 0) & (idx > 0), idx - 1 + start + lf).otherwise(-1)  # 0-based
         end_pos = stop + ll
     else:
         stop = F.length(s)

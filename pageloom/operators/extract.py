@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.html import anchors, block
-from pageloom.functions.text import ws_strip
+from pageloom.functions.text import strip_tags, ws_strip
 from pageloom.functions.urls import absolutize, absolutize_rooted
 
 
@@ -63,3 +63,36 @@ def list_items(pages: DataFrame) -> DataFrame:
     return (items.select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), first.alias("a"))
             .where(F.col("a").isNotNull())
             .select("page_id", "pos", ws_strip(F.col("a.text")).alias("item")))
+
+
+def html_blocks(pages: DataFrame) -> DataFrame:
+    """EXT-3: raw HTML of three blocks, markup kept: the filter block (by
+    tag), a block whose class starts with a prefix, and a block by tag.
+    Stored as the fragment columns ``area``, ``subway``, ``district``."""
+    return pages.select("page_id", "url",
+                        block("html", "nav").alias("area"),
+                        block("html", "div", "class", "a", prefix=True).alias("subway"),
+                        block("html", "footer").alias("district"))
+
+
+def site_links(pages: DataFrame, site: str, tag: str = "nav") -> DataFrame:
+    """S-11: anchors (text and href stripped) prefixed with a fixed site;
+    absolute links are dropped, as the list builder this mirrors does."""
+    a = block_anchors(pages, tag)
+    href = ws_strip(F.col("href"))
+    return (a.where(~href.startswith("http"))
+            .select("page_id", "pos", ws_strip(F.col("text")).alias("anchor_text"),
+                    F.concat(F.lit(site), href).alias("href")))
+
+
+def page_outcome(pages: DataFrame, records: DataFrame) -> DataFrame:
+    """S-21: per page, ``done`` when records were found else ``passed``
+    (left join, so pages without records count 0), and ``succ``/``failed``
+    by the length (> 10) of the stripped footer text."""
+    counts = records.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
+    desc = strip_tags(block("html", "footer"))
+    return (pages.join(counts, "page_id", "left")
+            .select("page_id", n.alias("n_links"),
+                    F.when(n > 0, "done").otherwise("passed").alias("flag"),
+                    F.when(F.length(desc) > 10, "succ").otherwise("failed").alias("desc_flag")))

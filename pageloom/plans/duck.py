@@ -76,3 +76,7 @@ def url_quote(x: str) -> str:
 def path_token(x: str, index: int, sep: str = "/") -> str:
     idx = index + 1 if index >= 0 else index
     return f"string_split({x}, {lit(sep)})[{idx}]"
+
+
+def first_group(x: str, pattern: str) -> str:
+    return f"regexp_extract({x}, {lit(pattern)}, 1)"

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pageloom.functions import html as H
+from pageloom.functions import text as TX
+from pageloom.functions import urls as U
+from pageloom.functions.html import block
+from pageloom.operators import derive as DV
+from pageloom.operators import extract as EX
+from pageloom.operators import filters as FL
 from pageloom.operators import frontier as FR
+from pageloom.operators import sets as ST
 from pageloom.plans import duck as D
 from pageloom.plans.registry import register
 from pageloom.sources.tables import read_table
@@ -42,3 +50,330 @@ WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = f.url)
 def crawl_frontier(spark, sf):
     pages = _pages(spark, sf)
     return FR.crawl_frontier(pages, pages.select("url"))
+
+
+@register("anchors", f"SELECT page_id, pos, rec.href AS href, rec.text AS text FROM ({NAV_ANCHORS_SQL})")
+def q_anchors(spark, sf):
+    return EX.block_anchors(_pages(spark, sf)).select("page_id", "pos", "href", "text")
+
+
+@register("page_links", f"SELECT * FROM ({PAGE_LINKS_SQL})")
+def q_page_links(spark, sf):
+    return EX.page_links(_pages(spark, sf))
+
+
+@register("first_link_occurrence", f"SELECT * FROM ({FIRST_LINKS_SQL})")
+def q_first_link_occurrence(spark, sf):
+    return FR.first_link_occurrence(EX.page_links(_pages(spark, sf)))
+
+
+# Two crawl batches: pages fetched over http form the known catalogue, the
+# https pages are the new batch.  Both halves of the table are read.
+def _batches(spark, sf):
+    pages = _pages(spark, sf)
+    known = EX.page_links(pages.where(F.col("url").startswith("http:")))
+    batch = EX.page_links(pages.where(~F.col("url").startswith("http:")))
+    return known, batch
+
+
+BATCH_SQL = f"""
+  known AS (SELECT url FROM ({PAGE_LINKS_SQL.replace('FROM pages', "FROM pages WHERE url LIKE 'http:%'")})),
+  batch AS (SELECT * FROM ({PAGE_LINKS_SQL.replace('FROM pages', "FROM pages WHERE url NOT LIKE 'http:%'")}))
+"""
+
+
+@register("unseen_links", f"""
+WITH {BATCH_SQL}
+SELECT url, page_id, pos, anchor_text FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id, pos) AS rn FROM batch) b
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM known k WHERE k.url = b.url)
+""")
+def q_unseen_links(spark, sf):
+    known, batch = _batches(spark, sf)
+    return FR.unseen(FR.first_link_occurrence(batch), known)
+
+
+@register("already_seen_links", f"""
+WITH {BATCH_SQL}
+SELECT url, page_id, pos, anchor_text FROM batch b
+WHERE EXISTS (SELECT 1 FROM known k WHERE k.url = b.url)
+""")
+def q_already_seen_links(spark, sf):
+    known, batch = _batches(spark, sf)
+    return FR.already_seen(batch, known)
+
+
+BLOCKS_SQL = f"""
+  SELECT page_id, url, {D.block('html', 'nav')} AS area,
+         {D.block('html', 'div', 'class', 'a', prefix=True)} AS subway,
+         {D.block('html', 'footer')} AS district
+  FROM pages
+"""
+
+
+@register("html_blocks", f"SELECT page_id, area, subway, district FROM ({BLOCKS_SQL})")
+def q_html_blocks(spark, sf):
+    return EX.html_blocks(_pages(spark, sf)).drop("url")
+
+
+@register("fragment_links", f"""
+WITH s AS (
+  SELECT page_id AS id, url AS src_url, unnest(['area', 'subway', 'district']) AS source,
+         unnest([area, subway, district]) AS frag FROM ({BLOCKS_SQL})),
+a AS (
+  SELECT id, src_url, source, unnest(lst) AS rec, generate_subscripts(lst, 1) AS pos
+  FROM (SELECT *, {D.anchors('frag')} AS lst FROM s WHERE length(frag) > 0))
+SELECT id, source, pos, rec.text AS anchor_text,
+       {D.absolutize("CASE WHEN regexp_matches(rec.href, '\\Ahttps?:') OR starts_with(rec.href, '/') THEN rec.href ELSE '/' || rec.href END", 'src_url')} AS url
+FROM a WHERE length(rec.text) > 0 AND length(rec.href) > 0
+""")
+def q_fragment_links(spark, sf):
+    blocks = EX.html_blocks(_pages(spark, sf)).withColumnRenamed("page_id", "id")
+    return EX.fragment_links(blocks, ("area", "subway", "district"))
+
+
+@register("list_items", f"""
+WITH li AS (
+  SELECT page_id, unnest(lst) AS li, generate_subscripts(lst, 1) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, {D.lit(r"(?is)<li\b[^>]*>(.*?)</li>")}, 1) AS lst FROM pages)),
+f AS (SELECT page_id, pos, {D.anchors('li')}[1] AS a FROM li)
+SELECT page_id, pos, {D.ws_strip('a.text')} AS item FROM f WHERE a IS NOT NULL
+""")
+def q_list_items(spark, sf):
+    return EX.list_items(_pages(spark, sf))
+
+
+@register("strip_tags", f"SELECT page_id, {D.strip_tags('html')} AS body_text, "
+                        f"{D.strip_tags(D.block('html', 'article'))} AS article_text FROM pages")
+def q_strip_tags(spark, sf):
+    p = _pages(spark, sf)
+    return p.select("page_id", TX.strip_tags("html").alias("body_text"),
+                    TX.strip_tags(block("html", "article")).alias("article_text"))
+
+
+@register("first_text", f"SELECT page_id, {D.first_text(D.first_group('html', H.H1_TEXT_RE))} AS title "
+                        f"FROM pages")
+def q_first_text(spark, sf):
+    p = _pages(spark, sf)
+    return p.select("page_id", TX.first_text(H.first_group("html", H.H1_TEXT_RE)).alias("title"))
+
+
+def _between_sql(x, former, latter, strip):
+    lf, ll = len(former), len(latter)
+    start = f"(strpos({x}, {D.lit(former)}) - 1)"
+    stop = f"(CASE WHEN {start} >= 0 THEN instr(substr({x}, {start} + {lf} + 1), {D.lit(latter)}) - 1 + {start} + {lf} END)"
+    stop = f"(CASE WHEN {stop} >= {start} + {lf} THEN {stop} ELSE -1 END)"
+    ok = f"({start} >= 0 AND {stop} >= 0)"
+    end_pos = f"({stop} + {ll})"
+    if strip:
+        text = f"substr({x}, {start} + {lf} + 1, {end_pos} - {ll} - ({start} + {lf}))"
+    else:
+        text = f"substr({x}, {start} + 1, {end_pos} - {start})"
+    return (f"CASE WHEN {ok} THEN {text} ELSE '' END",
+            f"CAST(CASE WHEN {ok} THEN {end_pos} ELSE -1 END AS INTEGER)")
+
+
+_BT = _between_sql("html", "<title>", "</title>", True)
+_BH = _between_sql("html", "<h1>", "</h2>", False)
+
+
+@register("between_markers", f"""
+SELECT page_id, {_BT[0]} AS title, {_BT[1]} AS title_end, {_BH[0]} AS h1_h2, {_BH[1]} AS h1_h2_end FROM pages
+""")
+def q_between_markers(spark, sf):
+    p = _pages(spark, sf)
+    t = TX.between_markers("html", "<title>", "</title>", strip_flag=True)
+    h = TX.between_markers("html", "<h1>", "</h2>")
+    return p.select("page_id", t["text"].alias("title"), t["end_pos"].alias("title_end"),
+                    h["text"].alias("h1_h2"), h["end_pos"].alias("h1_h2_end"))
+
+
+@register("joined_text", f"""
+SELECT page_id, array_to_string(list_transform(regexp_extract_all({D.block('html', 'article')}, {D.lit(H.P_TEXT_RE)}, 1),
+       lambda t: {D.ws_strip('t')}), chr(10)) AS description FROM pages
+""")
+def q_joined_text(spark, sf):
+    p = _pages(spark, sf)
+    paras = F.regexp_extract_all(block("html", "article"), F.lit(H.P_TEXT_RE), 1)
+    return p.select("page_id", TX.join_lines(F.transform(paras, TX.ws_strip)).alias("description"))
+
+
+SITE = "http://www.example.com"
+
+
+@register("site_relative_links", f"""
+SELECT page_id, pos, {D.ws_strip('rec.text')} AS anchor_text, {D.lit(SITE)} || {D.ws_strip('rec.href')} AS href
+FROM ({NAV_ANCHORS_SQL}) WHERE NOT starts_with({D.ws_strip('rec.href')}, 'http')
+""")
+def q_site_relative_links(spark, sf):
+    return EX.site_links(_pages(spark, sf), SITE)
+
+
+_NO_HTTP = "CASE WHEN starts_with(url, 'http://') THEN substr(url, 8) ELSE url END"
+
+
+@register("default_scheme", f"""
+SELECT page_id, raw, CASE WHEN regexp_matches(raw, '\\Ahttps?://') THEN raw ELSE 'http://' || raw END AS url
+FROM (SELECT page_id, {_NO_HTTP} AS raw FROM pages)
+""")
+def q_default_scheme(spark, sf):
+    p = _pages(spark, sf)
+    raw = F.when(F.col("url").startswith("http://"), F.substring("url", 8, 1 << 30)).otherwise(F.col("url"))
+    return p.select("page_id", raw.alias("raw")).select("page_id", "raw", U.default_scheme("raw").alias("url"))
+
+
+@register("page_hosts", f"SELECT page_id, {D.host('url')} AS host FROM pages")
+def q_page_hosts(spark, sf):
+    return _pages(spark, sf).select("page_id", U.host("url").alias("host"))
+
+
+@register("distinct_url", f"SELECT DISTINCT {D.host('url')} AS host FROM pages WHERE url LIKE 'http://%'")
+def q_distinct_url(spark, sf):
+    p = _pages(spark, sf)
+    return p.where(F.col("url").like("http://%")).select(U.host("url").alias("host")).distinct()
+
+
+_PATH = "regexp_replace(url, '\\A[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*', '')"
+
+
+@register("url_key_extract", f"""
+SELECT page_id, nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS num_key,
+       coalesce(nullif(regexp_extract(url, 'e([0-9]+)', 1), ''), '0') AS e_key FROM pages
+""")
+def q_url_key_extract(spark, sf):
+    p = _pages(spark, sf)
+    return p.select("page_id", U.first_capture("url", "/([0-9]+)").alias("num_key"),
+                    U.first_capture("url", "e([0-9]+)", "0").alias("e_key"))
+
+
+@register("url_path_tokens", f"""
+SELECT page_id, {D.path_token('url', -2)} AS tok_m2, {D.path_token('url', 1)} AS tok_1,
+       {D.path_token('url', -1)} AS tok_last, {D.path_token('url', 0)} AS tok_0,
+       {D.path_token('url', 5)} AS tok_5 FROM pages
+""")
+def q_url_path_tokens(spark, sf):
+    p = _pages(spark, sf)
+    return p.select("page_id", U.path_token("url", -2).alias("tok_m2"), U.path_token("url", 1).alias("tok_1"),
+                    U.path_token("url", -1).alias("tok_last"), U.path_token("url", 0).alias("tok_0"),
+                    U.path_token("url", 5).alias("tok_5"))
+
+
+@register("slug_clean", "SELECT page_id, replace(replace(url, 'www.', ''), '.example', '') AS slug FROM pages")
+def q_slug_clean(spark, sf):
+    return _pages(spark, sf).select("page_id", U.remove_all(U.remove_all("url", "www."), ".example").alias("slug"))
+
+
+@register("content_md5", "SELECT page_id, md5(html) AS md5 FROM pages")
+def q_content_md5(spark, sf):
+    return _pages(spark, sf).select("page_id", F.md5(F.encode("html", "UTF-8")).alias("md5"))
+
+
+@register("links_to_site", f"SELECT * FROM ({PAGE_LINKS_SQL}) WHERE contains(url, '.example.com')")
+def q_links_to_site(spark, sf):
+    return EX.page_links(_pages(spark, sf)).where(F.col("url").contains(".example.com"))
+
+
+@register("page_outcome", f"""
+SELECT p.page_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+       CASE WHEN coalesce(n, 0) > 0 THEN 'done' ELSE 'passed' END AS flag,
+       CASE WHEN length({D.strip_tags(D.block('html', 'footer'))}) > 10 THEN 'succ' ELSE 'failed' END AS desc_flag
+FROM pages p LEFT JOIN (SELECT page_id, count(*) AS n FROM ({PAGE_LINKS_SQL}) GROUP BY page_id) c
+  ON p.page_id = c.page_id
+""")
+def q_page_outcome(spark, sf):
+    p = _pages(spark, sf)
+    return EX.page_outcome(p, EX.page_links(p))
+
+
+@register("bad_url_shape", f"""
+SELECT page_id, tok FROM (SELECT page_id, string_split(substr({_PATH}, 2), '/')[1] AS tok FROM pages)
+WHERE NOT ends_with(tok, 'en')
+""")
+def q_bad_url_shape(spark, sf):
+    return DV.bad_url_shape(_pages(spark, sf), "en")
+
+
+ALLOWED = ("example.com", "example.org")
+
+
+@register("allowed_domain_links", f"""
+SELECT l.* FROM ({PAGE_LINKS_SQL}) l
+WHERE EXISTS (SELECT 1 FROM (VALUES {', '.join(f"('{d}')" for d in ALLOWED)}) a(d)
+              WHERE lower({D.host('l.url')}) = a.d OR ends_with(lower({D.host('l.url')}), '.' || a.d))
+""")
+def q_allowed_domain_links(spark, sf):
+    return FL.allowed_domain(EX.page_links(_pages(spark, sf)), ALLOWED, spark)
+
+
+@register("union_links", f"""
+SELECT 'nav' AS source, page_id, pos, rec.href AS href, rec.text AS text FROM ({NAV_ANCHORS_SQL})
+UNION ALL
+SELECT 'footer' AS source, page_id, pos, rec.href, rec.text FROM (
+  SELECT page_id, unnest(lst) AS rec, generate_subscripts(lst, 1) AS pos
+  FROM (SELECT page_id, {D.anchors(D.block('html', 'footer'))} AS lst FROM pages))
+""")
+def q_union_links(spark, sf):
+    p = _pages(spark, sf)
+    return ST.union_tagged([("nav", EX.block_anchors(p, "nav")), ("footer", EX.block_anchors(p, "footer"))],
+                           ["page_id", "pos", "href", "text"])
+
+
+# Derived link-exchange rows (fixture rule, all rows of pages): the source
+# page loses its http scheme, the expected target is the page's host for
+# '#top' pages and host+path otherwise; https pages are reciprocal.
+LINK_PAIRS_SQL = f"""
+  SELECT page_id AS id, {_NO_HTTP} AS inboundfrom,
+         CASE WHEN ends_with(url, '#top') THEN {D.host('url')} ELSE {D.host('url')} || {_PATH} END AS inboundto,
+         CASE WHEN starts_with(url, 'https:') THEN
+           (CASE WHEN ends_with(url, '#top') THEN {D.host('url')} ELSE {D.host('url')} || {_PATH} END)
+           ELSE '' END AS outboundfrom,
+         {_NO_HTTP} AS outboundto
+  FROM pages
+"""
+STATUS_SQL = ("SELECT page_id, url, html, CASE WHEN contains(url, 'utm_source') THEN 301 "
+              "WHEN contains(url, '?page=') THEN 404 ELSE 200 END AS status FROM pages")
+
+
+@register("reciprocal_links", f"""
+SELECT id, inboundfrom, inboundto FROM ({LINK_PAIRS_SQL})
+WHERE inboundfrom = outboundto AND inboundto = outboundfrom AND contains(inboundto, '.example.')
+""")
+def q_reciprocal_links(spark, sf):
+    return FL.reciprocal(DV.link_pairs(_pages(spark, sf)), ".example.")
+
+
+@register("backlink_check", f"""
+SELECT r.id AS linkexchangesid,
+       CASE WHEN p.status >= 300 OR p.status < 200 THEN 'status:' || CAST(p.status AS VARCHAR)
+            WHEN contains(p.html, r.inboundto) THEN 'matched' ELSE 'missed' END AS flag
+FROM (SELECT * FROM ({LINK_PAIRS_SQL}) WHERE inboundfrom = outboundto AND inboundto = outboundfrom
+      AND contains(inboundto, '.example.')) r
+JOIN ({STATUS_SQL}) p
+  ON p.url = CASE WHEN regexp_matches(r.inboundfrom, '\\Ahttps?://') THEN r.inboundfrom ELSE 'http://' || r.inboundfrom END
+""")
+def q_backlink_check(spark, sf):
+    pages = _pages(spark, sf)
+    pairs = FL.reciprocal(DV.link_pairs(pages), ".example.")
+    return DV.backlink_check(pairs, DV.with_status(pages))
+
+
+@register("seed_page_join", f"""
+SELECT r.id, p.page_id, CAST(length(p.html) AS INTEGER) AS html_chars
+FROM ({LINK_PAIRS_SQL}) r
+JOIN pages p ON p.url = CASE WHEN regexp_matches(r.inboundfrom, '\\Ahttps?://') THEN r.inboundfrom ELSE 'http://' || r.inboundfrom END
+""")
+def q_seed_page_join(spark, sf):
+    pages = _pages(spark, sf)
+    seeds = DV.link_pairs(pages).select("id", U.default_scheme("inboundfrom").alias("url"))
+    return FR.seed_pages(seeds, pages).select("id", "page_id", F.length("html").alias("html_chars"))
+
+
+@register("url_derived_keys", f"""
+SELECT page_id, {D.path_token('path', -2)} AS dgroup,
+       'g' || nullif(regexp_extract(path, '/([0-9]+)', 1), '') AS dgroupid,
+       replace({D.path_token('path', 1)}, '-attractions', '') AS destination,
+       coalesce(nullif(regexp_extract({D.path_token('path', -1)}, 'd([0-9]+)', 1), ''), '0') AS destinationid
+FROM (SELECT page_id, {_PATH} AS path FROM pages)
+""")
+def q_url_derived_keys(spark, sf):
+    return DV.url_derived_keys(_pages(spark, sf))
