@@ -47,3 +47,26 @@ def crawl_frontier(pages: DataFrame, known: DataFrame, tag: str = "nav",
     fresh = unseen(first, known)
     return fresh.select("url", "anchor_text", F.col("page_id").alias("parent_id"),
                         F.lit(flag).alias("flag"))
+
+
+def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """FRN-2: repeat the frontier round until no new node appears.
+    ``edges(src, dst)``, ``seeds(node)``; returns ``node, depth`` with the
+    round in which each node was first reached (link depth).  Every round
+    is one join of the frontier to the edges, a partial-aggregate distinct
+    and an anti join against the nodes seen so far; the frontier and the
+    seen set are checkpointed into ``spark.checkpoint.dir`` each round, so
+    neither lineage nor recovery grows with the number of rounds."""
+    from pageloom.session import checkpoint_dir
+    checkpoint_dir(edges.sparkSession)
+    e = edges.select("src", "dst")
+    seen = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)).checkpoint()
+    frontier = seen.select("node")
+    for depth in range(1, max_rounds + 1):
+        reached = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct())
+        new = reached.join(seen.select("node"), "node", "left_anti").checkpoint()
+        if new.isEmpty():
+            return seen
+        seen = seen.unionByName(new.withColumn("depth", F.lit(depth))).checkpoint()
+        frontier = new
+    raise RuntimeError("frontier did not reach a fixpoint; raise max_rounds")

@@ -1,3 +1,34 @@
-"""Registered queries."""
+"""Incremental and iterative crawl jobs."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pageloom.operators import frontier as FR
+from pageloom.plans.q_pages import PAGE_LINKS_SQL
+from pageloom.plans.q_trees import GEO_SQL, geo_tree
+from pageloom.plans.registry import register
+from pageloom.streaming.stream_links import run_link_intake
+
+
+@register("stream_links", f"SELECT DISTINCT url FROM ({PAGE_LINKS_SQL})")
+def q_stream_links(spark, sf):
+    """STR-1: the page table consumed as a stream of files; the stored link
+    table holds each URL once (equal to the batch first-occurrence keys)."""
+    table = run_link_intake(spark, sf, glob="pages.parquet")
+    return spark.read.parquet(table).select("url")
+
+
+@register("link_depth", f"""
+WITH RECURSIVE n AS ({GEO_SQL}),
+walk AS (SELECT id, 0 AS depth FROM n WHERE pid = 0
+         UNION ALL SELECT c.id, w.depth + 1 FROM walk w JOIN n c ON c.pid = w.id)
+SELECT id AS node, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY id
+""")
+def q_link_depth(spark, sf):
+    """FRN-2 over the geo hierarchy's parent->child edges, crawled from the
+    roots to a fixpoint; orphans are never reached."""
+    g = geo_tree(spark, sf)
+    edges = g.where(F.col("pid").isNotNull()).select(F.col("pid").alias("src"), F.col("id").alias("dst"))
+    seeds = g.where(F.col("pid") == 0).select(F.col("id").alias("node"))
+    return FR.crawl_to_fixpoint(edges, seeds)
