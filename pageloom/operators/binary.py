@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from pageloom.functions.util import col_of
@@ -52,14 +53,14 @@ def content_store(tours: DataFrame, bodies: DataFrame, store: DataFrame, categor
                      F.octet_length("body").cast("int").alias("n_bytes"))
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def decode_gb(body: pd.Series) -> pd.Series:
     """SRC-5: GB2312 page bytes to text (GB18030 is a superset); a truncated
     trailing character becomes U+FFFD instead of failing the row."""
     return body.map(lambda b: None if b is None else bytes(b).decode("gb18030", errors="replace"))
 
 
-@pandas_udf("binary")
+@pandas_udf(T.BinaryType())
 def encode_gb(text: pd.Series) -> pd.Series:
     """Text to GB2312 bytes (fixture helper for SRC-5)."""
     return text.map(lambda t: None if t is None else t.encode("gb2312", errors="replace"))
