@@ -26,11 +26,19 @@ WS_RUN_RE = rf"{WS_CLASS}+"
 SCRIPT_RE = r"(?i)<script[^>]*?>[^\n]*?</script>"
 TAG_RE = r"<[^>]*?>"
 LEAD_TO_GT_RE = r"\A[^>]*>"
+# cut at the first '<' only when it is not the first character
+CUT_AT_LT_RE = r"(?s)\A([^<]+)<.*\z"
+
+
+# the same set as characters, for btrim (which walks in from both ends
+# instead of scanning the whole text)
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def ws_strip(c) -> Column:
     """S-2: strip Unicode whitespace at both ends."""
-    return F.regexp_replace(col_of(c), WS_STRIP_RE, "")
+    return F.btrim(col_of(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c) -> Column:
@@ -55,7 +63,7 @@ def strip_tags(c) -> Column:
     s = F.regexp_replace(col_of(c), SCRIPT_RE, "")
     s = F.regexp_replace(s, TAG_RE, "")
     s = F.regexp_replace(s, LEAD_TO_GT_RE, "")
-    return F.when(F.instr(s, "<") > 1, F.substring_index(s, "<", 1)).otherwise(s)
+    return F.regexp_replace(s, CUT_AT_LT_RE, "$1")
 
 
 def between_markers(c, former: str, latter: str, pos: int = 0,

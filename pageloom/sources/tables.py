@@ -15,10 +15,28 @@ TABLES = (
 )
 
 
+# Tables whose rows carry whole pages or texts: per-row work on them is
+# heavy (regular expressions over the full text), so their scans are spread
+# over the cluster's cores when the files give fewer splits than that.
+TEXT_TABLES = frozenset({"pages", "documents", "conversations"})
+
+
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """Scan one table.  Projection and filters applied by the caller reach
     the parquet scan (column pruning, PushedFilters)."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism when the input
+    has fewer partitions (e.g. one large row group per file).  At scale the
+    scan already yields far more splits than cores and this is a no-op;
+    column pruning and filters still reach the scan below it."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def scan(spark: SparkSession, base_dir: str, name: str, columns=None,
