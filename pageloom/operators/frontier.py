@@ -55,18 +55,17 @@ def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 64)
     round in which each node was first reached (link depth).  Every round
     is one join of the frontier to the edges, a partial-aggregate distinct
     and an anti join against the nodes seen so far; the frontier and the
-    seen set are checkpointed into ``spark.checkpoint.dir`` each round, so
+    seen set are written as tables into ``spark.checkpoint.dir`` each round, so
     neither lineage nor recovery grows with the number of rounds."""
-    from pageloom.session import checkpoint_dir
-    checkpoint_dir(edges.sparkSession)
+    from pageloom.session import materialize
     e = edges.select("src", "dst")
-    seen = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)).checkpoint()
+    seen = materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "seen")
     frontier = seen.select("node")
     for depth in range(1, max_rounds + 1):
         reached = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct())
-        new = reached.join(seen.select("node"), "node", "left_anti").checkpoint()
+        new = materialize(reached.join(seen.select("node"), "node", "left_anti"), "frontier")
         if new.isEmpty():
             return seen
-        seen = seen.unionByName(new.withColumn("depth", F.lit(depth))).checkpoint()
+        seen = materialize(seen.unionByName(new.withColumn("depth", F.lit(depth))), "seen")
         frontier = new
     raise RuntimeError("frontier did not reach a fixpoint; raise max_rounds")

@@ -7,9 +7,9 @@ settles in about ``log2(d)`` rounds, whatever its size.  Dirty data comes
 out as rows: ``orphan`` when an ancestor's parent row is absent, ``cycle``
 when the chain repeats an id (self-loops, cycles, and tails into a cycle).
 
-Each round is cut from its lineage with ``checkpoint()`` into the shared
-folder named by ``spark.checkpoint.dir`` so a lost executor recomputes one
-round only.  The join key is the ancestor id; a hot ancestor (a root with a
+Each round is cut from its lineage by writing it as a table into the
+shared folder named by ``spark.checkpoint.dir`` (``materialize``), so a
+lost executor recomputes one round at most.  The join key is the ancestor id; a hot ancestor (a root with a
 third of all nodes below it) is one row on the state side and many on the
 active side -- the skew AQE's skew-join split handles -- and nodes whose
 ancestor is settled leave the loop in that round.
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.session import checkpoint_dir
+from pageloom.session import materialize
 
 OK, ORPHAN, CYCLE = "ok", "orphan", "cycle"
 
@@ -69,14 +69,12 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: i
     ``|``; a root (pid 0 or NULL) has path ``id`` and level 1.  Orphans keep
     the partial path from their topmost existing ancestor; cycle rows have
     NULL path and level."""
-    spark = nodes.sparkSession
-    checkpoint_dir(spark)
     cols = ["id", "pid"] + ([name_col] if name_col else [])
-    state = _init_state(nodes.select(*cols), name_col).checkpoint()
+    state = materialize(_init_state(nodes.select(*cols), name_col), "hier")
     for _ in range(max_rounds):
         if state.where(F.col("status").isNull()).limit(1).count() == 0:
             break
-        state = _round(state).checkpoint()
+        state = materialize(_round(state), "hier")
     else:
         raise RuntimeError("hierarchy did not settle; raise max_rounds")
     cyc = F.col("status") == CYCLE

@@ -32,6 +32,14 @@ def substrings(c: Column) -> Column:
     return F.array_distinct(F.array_union(subs, F.array(F.lit(""))))
 
 
+def substrings_of_length(c: Column, ln: Column) -> Column:
+    """Distinct substrings of one length (the empty string for length 0;
+    none when the string is shorter)."""
+    n = F.length(c)
+    return F.when(ln == 0, F.array(F.lit(""))).when(ln > n, F.array().cast("array<string>")).otherwise(
+        F.array_distinct(F.transform(F.sequence(F.lit(1), n - ln + 1), lambda i: F.substring(c, i, ln))))
+
+
 def _deepest_non_empty(names: Column) -> Column:
     idx = F.transform(names, lambda x, i: F.when(F.length(x) > 0, i + 1))
     return F.array_max(idx)
@@ -41,26 +49,35 @@ def fuzzy_path_match(left: DataFrame, right: DataFrame, left_key: str = "sid",
                      right_key: str = "city_id") -> DataFrame:
     """``left(left_key, names array<string>)`` against ``right(right_key,
     names)``: one row per left row with the winning ``right_key`` (NULL when
-    unmatched) and ``matched``."""
+    unmatched) and ``matched``.
+
+    Substrings are only generated for lengths that occur on the other side
+    at the same (size, level): equal strings have equal lengths.  The length
+    tables are distinct (size, level, length) triples, bounded by the name
+    lengths, not by the row counts."""
     L = left.select(F.col(left_key).alias("lk"), F.col("names").alias("lnames")) \
         .withColumn("lsize", F.size("lnames")).withColumn("k", _deepest_non_empty(F.col("lnames")))
     R = right.select(F.col(right_key).alias("rk"), F.col("names").alias("rnames")) \
         .withColumn("rsize", F.size("rnames"))
 
-    blocked = L.where(F.col("k").isNotNull())
-    lname_k = F.element_at("lnames", F.col("k"))
-    # right rows exploded per level into their substrings
-    r_subs = R.select("rk", "rnames", "rsize",
-                      F.posexplode("rnames").alias("lvl0", "rname")) \
-        .select("rk", "rnames", "rsize", (F.col("lvl0") + 1).alias("lvl"), "rname")
-    r_contains = r_subs.select("rk", "rnames", "rsize", "lvl", F.explode(substrings(F.col("rname"))).alias("txt"))
-    left_txt = blocked.select("lk", "lnames", "lsize", "k", lname_k.alias("txt"))
-    a = left_txt.join(r_contains.withColumnRenamed("rsize", "lsize").withColumnRenamed("lvl", "k"),
-                      ["lsize", "k", "txt"]).select("lk", "lnames", "rk", "rnames")
-    left_subs = blocked.select("lk", "lnames", "lsize", "k", F.explode(substrings(lname_k)).alias("txt"))
-    b = left_subs.join(r_subs.select("rk", "rnames", F.col("rsize").alias("lsize"), F.col("lvl").alias("k"),
-                                     F.col("rname").alias("txt")),
-                       ["lsize", "k", "txt"]).select("lk", "lnames", "rk", "rnames")
+    blocked = L.where(F.col("k").isNotNull()).withColumn("txt", F.element_at("lnames", F.col("k")))
+    r_lvl = R.select("rk", "rnames", F.col("rsize").alias("lsize"),
+                     F.posexplode("rnames").alias("lvl0", "rname")) \
+        .select("rk", "rnames", "lsize", (F.col("lvl0") + 1).alias("k"), "rname")
+    left_lens = blocked.select("lsize", "k", F.length("txt").alias("ln")).distinct()
+    right_lens = r_lvl.select("lsize", "k", F.length("rname").alias("ln")).distinct()
+
+    # a) the right name contains the left one: right substrings of the left lengths
+    r_subs = r_lvl.join(left_lens, ["lsize", "k"]) \
+        .select("rk", "rnames", "lsize", "k", F.explode(substrings_of_length(F.col("rname"), F.col("ln"))).alias("txt"))
+    a = blocked.select("lk", "lnames", "lsize", "k", "txt").join(r_subs, ["lsize", "k", "txt"]) \
+        .select("lk", "lnames", "rk", "rnames")
+    # b) the left name contains the right one: left substrings of the right lengths
+    l_subs = blocked.join(right_lens, ["lsize", "k"]) \
+        .select("lk", "lnames", "lsize", "k", F.explode(substrings_of_length(F.col("txt"), F.col("ln"))).alias("txt"))
+    b = l_subs.join(r_lvl.select("rk", "rnames", "lsize", "k", F.col("rname").alias("txt")), ["lsize", "k", "txt"]) \
+        .select("lk", "lnames", "rk", "rnames")
+
     cand = a.unionByName(b).where(arrays_match(F.col("lnames"), F.col("rnames")))
     win_blocked = cand.groupBy("lk").agg(F.min("rk").alias("winner"))
 

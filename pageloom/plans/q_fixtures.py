@@ -12,7 +12,7 @@ from pageloom.operators import tree_extract as TE
 from pageloom.plans import duck as D
 from pageloom.plans import fixtures as FX
 from pageloom.plans.registry import register
-from pageloom.sources.tables import read_table
+from pageloom.sources.tables import read_table, spread
 
 SITE = "http://www.example.com"
 
@@ -27,7 +27,7 @@ FROM region r LEFT JOIN (SELECT n_regionkey, count(*) AS cnt FROM nation GROUP B
   ON r.r_regionkey = c.n_regionkey
 """)
 def q_table_rows(spark, sf):
-    return CA.table_rows(FX.nation_table_pages(spark, sf))
+    return CA.table_rows(spread(FX.nation_table_pages(spark, sf)))
 
 
 _NULLS = ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in
@@ -49,12 +49,12 @@ FROM customer
 
 @register("label_value_fields", PROVINCE_SQL)
 def q_label_value_fields(spark, sf):
-    return CA.province_info(spark, FX.province_pages(spark, sf))
+    return CA.province_info(spark, spread(FX.province_pages(spark, sf)))
 
 
 @register("label_value_fallback", SUB_SQL)
 def q_label_value_fallback(spark, sf):
-    return CA.sub_info(spark, FX.sub_pages(spark, sf))
+    return CA.sub_info(spark, spread(FX.sub_pages(spark, sf)))
 
 
 @register("page_kind_branch", f"""
@@ -64,7 +64,7 @@ UNION ALL BY NAME
 SELECT s.* FROM ({SUB_SQL}) s JOIN customer c ON c.c_custkey = s.page_id WHERE c.c_mktsegment <> 'BUILDING'
 """)
 def q_page_kind_branch(spark, sf):
-    return CA.page_kind_branch(spark, FX.mixed_place_pages(spark, sf))
+    return CA.page_kind_branch(spark, spread(FX.mixed_place_pages(spark, sf)))
 
 
 @register("title_price_rows", """
@@ -75,7 +75,7 @@ SELECT CAST(p_partkey // 10 AS BIGINT) AS page_id,
 FROM part
 """)
 def q_title_price_rows(spark, sf):
-    return CA.title_price_rows(FX.price_table_pages(spark, sf))
+    return CA.title_price_rows(spread(FX.price_table_pages(spark, sf)))
 
 
 KIND_SQL = """
@@ -93,7 +93,7 @@ SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INTEGER) AS pos,
 FROM g WHERE kind <> 'N'
 """)
 def q_layout_fallback(spark, sf):
-    return CA.attraction_cards(FX.attraction_pages(spark, sf))
+    return CA.attraction_cards(spread(FX.attraction_pages(spark, sf)))
 
 
 @register("pager_links", f"""
@@ -103,7 +103,7 @@ UNION ALL
 SELECT CAST(page_id AS BIGINT), 2, '{SITE}/list/' || CAST(page_id AS VARCHAR) || '-3' FROM g
 """)
 def q_pager_links(spark, sf):
-    return CA.pager_links(FX.attraction_pages(spark, sf), SITE)
+    return CA.pager_links(spread(FX.attraction_pages(spark, sf)), SITE)
 
 
 @register("product_cards", """
@@ -114,7 +114,7 @@ SELECT CAST(p_partkey // 10 AS BIGINT) AS page_id,
 FROM part WHERE p_type <> 'PROMO'
 """)
 def q_product_cards(spark, sf):
-    return CA.product_cards(FX.product_pages(spark, sf))
+    return CA.product_cards(spread(FX.product_pages(spark, sf)))
 
 
 def _best_sql() -> str:
@@ -133,7 +133,7 @@ FROM documents
 
 @register("best_description", _best_sql())
 def q_best_description(spark, sf):
-    return CA.best_description(FX.article_pages(spark, sf))
+    return CA.best_description(spread(FX.article_pages(spark, sf)))
 
 
 @register("enrich_from_pages", f"""
@@ -155,7 +155,7 @@ def q_enrich_from_pages(spark, sf):
                    F.when(F.col("p_size") > 10, "init").otherwise("done").alias("flag"))
     pick = poi.where(F.col("flag").startswith("init") & (F.col("type") == "ECONOMY"))
     req = pick.select("id", F.concat(F.lit(FX.WIKI), url_quote("name")).alias("url"))
-    pages = FX.article_pages(spark, sf)
+    pages = spread(FX.article_pages(spark, sf))
     desc = CA.best_description(pages).join(pages.select("page_id", "url"), "page_id")
     d = F.coalesce(F.col("description"), F.lit(""))
     return (req.join(desc.select("url", "description"), "url", "left")
@@ -174,7 +174,7 @@ SELECT '{SITE}/' || n_name || '-tours/night/d' || CAST(n_nationkey AS VARCHAR) |
        CAST(NULL AS BIGINT), CAST(n_nationkey AS BIGINT) FROM nation
 """)
 def q_nested_list_links(spark, sf):
-    return TE.group_ids(TE.nested_list_links(FX.region_list_pages(spark, sf), SITE))
+    return TE.group_ids(TE.nested_list_links(spread(FX.region_list_pages(spark, sf)), SITE))
 
 
 _LANG = "regexp_extract(url, '\\A[a-z]+://[^/]*/([a-z]{2})/', 1)"
@@ -196,7 +196,7 @@ SELECT page_id, kind, n_bytes FROM (
 WHERE n_bytes > 20 AND kind IS NOT NULL
 """)
 def q_image_signature(spark, sf):
-    return BI.image_signature(FX.page_bodies(spark, sf))
+    return BI.image_signature(spread(FX.page_bodies(spark, sf)))
 
 
 @register("content_store", f"""
@@ -216,7 +216,7 @@ def q_content_store(spark, sf):
     tours = pages.select(F.col("url").alias("head_image"),
                          F.when(F.col("url").endswith("#top"), 1).otherwise(0).alias("image_id"))
     store = pages.where(F.col("url").contains("/fr/")).select(F.col("url").alias("source_url"))
-    return BI.content_store(tours, FX.page_bodies(spark, sf), store, "page")
+    return BI.content_store(tours, spread(FX.page_bodies(spark, sf)), store, "page")
 
 
 @register("decode_body")

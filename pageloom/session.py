@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local_dir = tempfile.mkdtemp(prefix="pageloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local_dir)
     return local_dir
+
+
+def materialize(df, tag: str = "step"):
+    """Cut the lineage of ``df``: write it as a parquet table under the
+    shared checkpoint folder and read it back.  One job computes and writes
+    (``DataFrame.checkpoint()`` would compute twice unless cached), and a
+    lost executor only re-reads files."""
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/pageloom-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
