@@ -55,9 +55,15 @@ def fuzzy_path_match(left: DataFrame, right: DataFrame, left_key: str = "sid",
     at the same (size, level): equal strings have equal lengths.  The length
     tables are distinct (size, level, length) triples, bounded by the name
     lengths, not by the row counts."""
-    L = left.select(F.col(left_key).alias("lk"), F.col("names").alias("lnames")) \
+    # Copies collapse first: equal name paths share one result, and among
+    # equal right paths only the smallest id can win.  A path held by a
+    # third of all rows is then one row on each side, not a third of pairs.
+    path_key = lambda c: F.array_join(c, "\u0001", "\u0002")
+    left_rows = left.select(F.col(left_key).alias("sid_"), path_key(F.col("names")).alias("pk"))
+    L = left.select(path_key(F.col("names")).alias("lk"), F.col("names").alias("lnames")) \
+        .dropDuplicates(["lk"]) \
         .withColumn("lsize", F.size("lnames")).withColumn("k", _deepest_non_empty(F.col("lnames")))
-    R = right.select(F.col(right_key).alias("rk"), F.col("names").alias("rnames")) \
+    R = right.groupBy(F.col("names").alias("rnames")).agg(F.min(F.col(right_key)).alias("rk")) \
         .withColumn("rsize", F.size("rnames"))
 
     blocked = L.where(F.col("k").isNotNull()).withColumn("txt", F.element_at("lnames", F.col("k")))
@@ -84,7 +90,7 @@ def fuzzy_path_match(left: DataFrame, right: DataFrame, left_key: str = "sid",
     per_size = R.groupBy("rsize").agg(F.min("rk").alias("winner"))
     win_empty = L.where(F.col("k").isNull()).join(per_size, F.col("lsize") == F.col("rsize")) \
         .select("lk", "winner")
-    winners = win_blocked.unionByName(win_empty)
-    return (L.select("lk").join(winners, "lk", "left")
-            .select(F.col("lk").alias(left_key), F.col("winner").alias(right_key),
+    winners = win_blocked.unionByName(win_empty).withColumnRenamed("lk", "pk")
+    return (left_rows.join(winners, "pk", "left")
+            .select(F.col("sid_").alias(left_key), F.col("winner").alias(right_key),
                     F.col("winner").isNotNull().alias("matched")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import text as TX
 from pageloom.functions import urls as U
+from pageloom.operators import aggregates as AG
 from pageloom.operators import frontier as FR
 from pageloom.operators import tables as TB
 from pageloom.operators.windows import first_by
@@ -76,18 +77,19 @@ def q_length_gate(spark, sf):
 
 @register("count_by_key", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def q_count_by_key(spark, sf):
-    return _t(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return AG.count_by_key(_t(spark, sf, "events"), ["user_id"])
 
 
 @register("distinct_groups", "SELECT DISTINCT p_type, p_brand FROM part")
 def q_distinct_groups(spark, sf):
-    return _t(spark, sf, "part").select("p_type", "p_brand").dropDuplicates(["p_type", "p_brand"])
+    return AG.distinct_rows(_t(spark, sf, "part"), ["p_type", "p_brand"])
 
 
 @register("batch_counts", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def q_batch_counts(spark, sf):
-    o = _t(spark, sf, "orders")
-    return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    """AGG-6: per-status counts; the batch total is observed on the way."""
+    o, _obs = AG.observed(_t(spark, sf, "orders"), "orders_batch")
+    return AG.count_by_key(o, ["o_orderstatus"])
 
 
 @register("limited_seeds", "SELECT o_orderkey AS id, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1000")

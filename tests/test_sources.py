@@ -61,3 +61,12 @@ def test_gb2312_round_trip_and_truncation(spark):
     got = {r["page_id"]: r["html"] for r in BI.decode_bodies(cut).collect()}
     assert got[1] == "简称人口"
     assert got[2].startswith("面") and got[2].endswith("�")
+
+
+def test_observed_batch_counts(spark):
+    from pageloom.operators.aggregates import count_by_key, observed
+    df = spark.createDataFrame([("O",), ("F",), ("O",)], "s string")
+    out, obs = observed(df, "batch")
+    got = sorted(tuple(r) for r in count_by_key(out, ["s"]).collect())
+    assert got == [("F", 1), ("O", 2)]
+    assert obs.get["rows"] == 3
