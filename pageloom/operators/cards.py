@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pageloom.functions.html import anchors, attr_re
 from pageloom.functions.text import (between_markers, collapse_ws, first_text, html_unescape_basic,
@@ -46,11 +45,10 @@ _CHILD_RES = (r"(?is)<strong\b[^>]*>.*?</strong>", r"(?is)<a\b[^>]*>.*?</a>", r"
               r"(?is)<span\b[^>]*>.*?</span>")
 
 
-def label_map(spark: SparkSession) -> DataFrame:
-    """The fixed label map as a (tiny, broadcast) dimension table."""
-    schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("field", T.StringType()),
-                           T.StructField("lpos", T.IntegerType())])
-    return spark.createDataFrame([(lab, f, i) for i, (lab, f) in enumerate(LABEL_FIELDS)], schema)
+def label_field(label) -> Column:
+    """Field name of a label: the fixed map as a literal map (no join)."""
+    m = F.create_map(*[F.lit(x) for pair in LABEL_FIELDS for x in pair])
+    return F.try_element_at(m, col_of(label))
 
 
 def direct_texts(fragment) -> Column:
@@ -88,20 +86,33 @@ def table_rows(pages: DataFrame) -> DataFrame:
 
 # --- EXT-6 / EXT-7 / EXT-8 -----------------------------------------------------
 
-def _label_cells(pages: DataFrame, region: Column, value_of) -> DataFrame:
-    cells = pages.select("page_id", F.posexplode(F.regexp_extract_all(region, F.lit(_TD_RE), 1)).alias("pos", "td"))
-    key = ws_strip(first_in("td", r"(?is)<strong\b[^>]*>([^<]*)"))
-    return cells.select("page_id", "pos", key.alias("label"), value_of(F.col("td")).alias("value"))
-
-
-def _to_fields(spark: SparkSession, cells: DataFrame, with_address: bool) -> DataFrame:
-    lm = F.broadcast(label_map(spark))
-    kv = cells.where((F.length("label") > 0) & (F.length("value") > 0)).join(lm, "label", "left")
-    field = F.col("field")
-    if with_address:
-        field = F.coalesce(field, F.when(F.instr("label", ADDRESS_MARKER) > 1, F.lit("address")))
-    kv = kv.select("page_id", "pos", field.alias("field"), "value").where(F.col("field").isNotNull())
-    return kv.groupBy("page_id").pivot("field", FIELDS).agg(F.max_by("value", "pos"))
+def _cells(region: Column, value_of) -> Column:
+    """Cells of an info box as ``array<struct<label, value>>``."""
+    return F.transform(F.regexp_extract_all(region, F.lit(_TD_RE), 1), lambda td: F.struct(
+        ws_strip(first_in(td, r"(?is)<strong\b[^>]*>([^<]*)")).alias("label"), value_of(td).alias("value")))
+
+
+def _fields(cells: Column, with_address: bool) -> list[Column]:
+    """One column per field: the value of the last cell mapped to it (a
+    later cell of the same field wins); cells with an empty label or value
+    and unknown labels are ignored.  Per-page array work in one projection:
+    no explode, no shuffle, no join."""
+    def field_of(c):
+        f = label_field(c["label"])
+        if with_address:
+            f = F.coalesce(f, F.when(F.instr(c["label"], ADDRESS_MARKER) > 1, F.lit("address")))
+        return f
+    valid = F.filter(cells, lambda c: (F.length(c["label"]) > 0) & (F.length(c["value"]) > 0))
+    keyed = F.filter(F.transform(valid, lambda c: F.struct(field_of(c).alias("field"), c["value"].alias("value"))),
+                     lambda c: c["field"].isNotNull())
+    def is_field(name):
+        return lambda c: c["field"] == F.lit(name)
+
+    out = []
+    for f in FIELDS:
+        hits = F.filter(keyed, is_field(f))
+        out.append(F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"]).alias(f))
+    return out
 
 
 def province_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -111,7 +122,9 @@ def province_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
     address is a label containing the marker after its first character.
     Title from ``h1``; description = direct texts of the next outer cell
     joined by newlines.  One row per page with every field column."""
-    left = F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="page_left"[^>]*>(.*)', 1)
+    pages = pages.select("page_id", "html",
+                         F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="page_left"[^>]*>(.*)', 1).alias("left"))
+    left = F.col("left")
     box = F.regexp_extract(left, r"(?is)<table\b[^>]*>.*?</table>\s*<table\b[^>]*>\s*<tr\b[^>]*>\s*<td\b[^>]*>\s*<table\b[^>]*>(.*?)</table>", 1)
 
     def value_of(td):
@@ -119,11 +132,11 @@ def province_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
         link = ws_strip(first_in(td, r"(?is)<a\b[^>]*>([^<]*)"))
         return F.when(F.length(v) > 0, v).otherwise(link)
 
-    fields = _to_fields(spark, _label_cells(pages, box, value_of), True)
     desc_cell = F.regexp_extract(left, r"(?is)<table\b[^>]*>.*?</table>\s*<table\b.*?</table>\s*</td>\s*<td\b[^>]*>(.*?)</td>", 1)
-    base = pages.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"),
-                        F.array_join(direct_texts(desc_cell), "\n").alias("description"))
-    return base.join(fields, "page_id", "left")
+    staged = pages.select("page_id", "html", _cells(box, value_of).alias("cells"), desc_cell.alias("desc_cell"))
+    return staged.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"),
+                         F.array_join(direct_texts("desc_cell"), "\n").alias("description"),
+                         *_fields(F.col("cells"), True))
 
 
 def sub_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -131,22 +144,26 @@ def sub_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
     one (SET-3, per page); value = all direct texts joined by newline,
     stripped, then ``:``-stripped; no link fallback, no address rule.
     ``description`` from the ``f14`` block, ``f12`` from the ``f12`` block."""
-    t432 = F.regexp_extract("html", r'(?is)<table\b[^>]*\bwidth="432px"[^>]*\bbgcolor="cccccc"[^>]*>(.*?)</table>', 1)
-    t396 = F.regexp_extract("html", r'(?is)<table\b[^>]*\bwidth="396px"[^>]*\bbgcolor="cccccc"[^>]*>(.*?)</table>', 1)
-    has432 = F.size(F.regexp_extract_all(t432, F.lit(_TD_RE), 1)) > 0
-    box = F.when(has432, t432).otherwise(t396)
+    pages = pages.select(
+        "page_id", "html",
+        F.regexp_extract("html", r'(?is)<table\b[^>]*\bwidth="432px"[^>]*\bbgcolor="cccccc"[^>]*>(.*?)</table>', 1)
+        .alias("t432"),
+        F.regexp_extract("html", r'(?is)<table\b[^>]*\bwidth="396px"[^>]*\bbgcolor="cccccc"[^>]*>(.*?)</table>', 1)
+        .alias("t396"))
+    has432 = F.col("t432").rlike(r"(?is)<td\b")
+    box = F.when(has432, F.col("t432")).otherwise(F.col("t396"))
 
     def value_of(td):
         v = ws_strip(F.array_join(direct_texts(td), "\n"))
         return F.when(F.length(v) > 0, strip_chars(v, ":")).otherwise(v)
 
-    fields = _to_fields(spark, _label_cells(pages, box, value_of), False)
     f14 = F.regexp_extract("html", r'(?is)<div\b[^>]*\bclass="f14"[^>]*>(.*?)</div>', 1)
     f12 = F.regexp_extract("html", r'(?is)id="page_left".*?<div\b[^>]*\bclass="f12"[^>]*>(.*?)</div>', 1)
-    base = pages.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"),
-                        F.array_join(direct_texts(f14), "\n").alias("description"),
-                        F.array_join(direct_texts(f12), "\n").alias("f12"))
-    return base.join(fields, "page_id", "left")
+    staged = pages.select("page_id", "html", _cells(box, value_of).alias("cells"))
+    return staged.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"),
+                         F.array_join(direct_texts(f14), "\n").alias("description"),
+                         F.array_join(direct_texts(f12), "\n").alias("f12"),
+                         *_fields(F.col("cells"), False))
 
 
 def page_kind_branch(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -207,8 +224,8 @@ def attraction_cards(pages: DataFrame) -> DataFrame:
     cards_b = F.transform(split_cards(F.col("html"), "media product-summary mtn mhn"), lambda c: F.struct(
         _field(c, _class_link_href("img mrl prs")).alias("href"), _field(c, _H2_TEXT).alias("title"),
         _field(c, _DESC).alias("description")))
-    chosen = fallback(cards_a, cards_b)
-    return (pages.select("page_id", F.posexplode(chosen).alias("pos", "c"))
+    both = pages.select("page_id", cards_a.alias("ca"), cards_b.alias("cb"))
+    return (both.select("page_id", F.posexplode(fallback("ca", "cb")).alias("pos", "c"))
             .select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), "c.href", "c.title", "c.description"))
 
 
@@ -251,15 +268,21 @@ def best_description(pages: DataFrame) -> DataFrame:
     4. ``''`` when there is no content block.
     The content block is taken from its start tag to the end of the page,
     which equals the block whenever both markers lie inside it."""
-    abstract = F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*(<p\b.*?</p>)', 1)
-    has_abs = F.col("html").rlike(r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*<p\b')
-    content = F.regexp_extract("html", r'(?is)(<div\b[^>]*\bid="content"[^>]*>.*)', 1)
-    has_content = F.col("html").rlike(r'(?is)<div\b[^>]*\bid="content"')
-    first_p = F.regexp_extract(content, r'(?is)\A<div\b[^>]*>\s*(<p\b.*?</p>)', 1)
-    p_text = strip_tags(first_p)
-    section = between_markers(content, 'class="content_h2 bac_no">', '<div class="content_h2">', 0, True)["text"]
-    desc = (F.when(has_abs & ~F.contains(abstract, F.lit(ABSTRACT_PLACEHOLDER)), strip_tags(abstract))
-            .when(has_content & (F.length(first_p) > 0) & (F.length(p_text) > 100), p_text)
-            .when(has_content, strip_tags(section))
+    cut = pages.select(
+        "page_id",
+        F.col("html").rlike(r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*<p\b').alias("has_abs"),
+        F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*(<p\b.*?</p>)', 1)
+        .alias("abstract"),
+        F.col("html").rlike(r'(?is)<div\b[^>]*\bid="content"').alias("has_content"),
+        F.regexp_extract("html", r'(?is)(<div\b[^>]*\bid="content"[^>]*>.*)', 1).alias("content"))
+    staged = cut.select(
+        "page_id", "has_abs", "abstract", "has_content", "content",
+        F.regexp_extract("content", r'(?is)\A<div\b[^>]*>\s*(<p\b.*?</p>)', 1).alias("first_p"))
+    staged = staged.withColumn("p_text", strip_tags("first_p"))
+    section = between_markers("content", 'class="content_h2 bac_no">', '<div class="content_h2">', 0, True)["text"]
+    desc = (F.when(F.col("has_abs") & ~F.contains(F.col("abstract"), F.lit(ABSTRACT_PLACEHOLDER)),
+                   strip_tags("abstract"))
+            .when(F.col("has_content") & (F.length("first_p") > 0) & (F.length("p_text") > 100), F.col("p_text"))
+            .when(F.col("has_content"), strip_tags(section))
             .otherwise(F.lit("")))
-    return pages.select("page_id", desc.alias("description"))
+    return staged.select("page_id", desc.alias("description"))
