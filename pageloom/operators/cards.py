@@ -257,7 +257,7 @@ def product_cards(pages: DataFrame) -> DataFrame:
 
 # --- EXT-9 -------------------------------------------------------------------
 
-def best_description(pages: DataFrame) -> DataFrame:
+def best_description(pages: DataFrame, keep=()) -> DataFrame:
     """EXT-9 cascade, first hit wins:
     1. the abstract paragraph, unless it holds the placeholder -- returned
        even when its stripped text is empty;
@@ -267,16 +267,18 @@ def best_description(pages: DataFrame) -> DataFrame:
        block (returned even when empty; ``''`` when a marker is missing);
     4. ``''`` when there is no content block.
     The content block is taken from its start tag to the end of the page,
-    which equals the block whenever both markers lie inside it."""
+    which equals the block whenever both markers lie inside it.  ``keep``
+    names page columns to carry along (so callers need no self-join)."""
+    keep = list(keep)
     cut = pages.select(
-        "page_id",
+        "page_id", *keep,
         F.col("html").rlike(r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*<p\b').alias("has_abs"),
         F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*(<p\b.*?</p>)', 1)
         .alias("abstract"),
         F.col("html").rlike(r'(?is)<div\b[^>]*\bid="content"').alias("has_content"),
         F.regexp_extract("html", r'(?is)(<div\b[^>]*\bid="content"[^>]*>.*)', 1).alias("content"))
     staged = cut.select(
-        "page_id", "has_abs", "abstract", "has_content", "content",
+        "page_id", *keep, "has_abs", "abstract", "has_content", "content",
         F.regexp_extract("content", r'(?is)\A<div\b[^>]*>\s*(<p\b.*?</p>)', 1).alias("first_p"))
     staged = staged.withColumn("p_text", strip_tags("first_p"))
     section = between_markers("content", 'class="content_h2 bac_no">', '<div class="content_h2">', 0, True)["text"]
@@ -285,4 +287,4 @@ def best_description(pages: DataFrame) -> DataFrame:
             .when(F.col("has_content") & (F.length("first_p") > 0) & (F.length("p_text") > 100), F.col("p_text"))
             .when(F.col("has_content"), strip_tags(section))
             .otherwise(F.lit("")))
-    return staged.select("page_id", desc.alias("description"))
+    return staged.select("page_id", *keep, desc.alias("description"))

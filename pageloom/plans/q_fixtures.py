@@ -155,8 +155,7 @@ def q_enrich_from_pages(spark, sf):
                    F.when(F.col("p_size") > 10, "init").otherwise("done").alias("flag"))
     pick = poi.where(F.col("flag").startswith("init") & (F.col("type") == "ECONOMY"))
     req = pick.select("id", F.concat(F.lit(FX.WIKI), url_quote("name")).alias("url"))
-    pages = spread(FX.article_pages(spark, sf))
-    desc = CA.best_description(pages).join(pages.select("page_id", "url"), "page_id")
+    desc = CA.best_description(spread(FX.article_pages(spark, sf)), keep=("url",))
     d = F.coalesce(F.col("description"), F.lit(""))
     return (req.join(desc.select("url", "description"), "url", "left")
             .select("id", F.when(F.length(d) > 10, d).alias("description"),

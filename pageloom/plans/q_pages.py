@@ -365,7 +365,8 @@ JOIN pages p ON p.url = CASE WHEN regexp_matches(r.inboundfrom, '\\Ahttps?://')
 def q_seed_page_join(spark, sf):
     pages = _pages(spark, sf)
     seeds = DV.link_pairs(pages).select("id", U.default_scheme("inboundfrom").alias("url"))
-    return FR.seed_pages(seeds, pages).select("id", "page_id", F.length("html").alias("html_chars"))
+    sized = pages.select("page_id", "url", F.length("html").alias("html_chars"))
+    return FR.seed_pages(seeds, sized).select("id", "page_id", "html_chars")
 
 
 @register("url_derived_keys", f"""
