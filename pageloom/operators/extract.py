@@ -17,24 +17,26 @@ from pageloom.functions.urls import absolutize, absolutize_rooted
 
 
 def block_anchors(pages: DataFrame, tag: str = "nav", attr: str | None = None,
-                  value: str | None = None, prefix: bool = False) -> DataFrame:
+                  value: str | None = None, prefix: bool = False, extra=()) -> DataFrame:
     """EXT-1: every anchor inside the first matching block of each page:
-    ``page_id, page_url, pos (1-based), href, text``."""
-    return (pages.select("page_id", F.col("url").alias("page_url"),
+    ``page_id, page_url, pos (1-based), href, text`` (+ ``extra`` page
+    columns carried along)."""
+    extra = list(extra)
+    return (pages.select("page_id", F.col("url").alias("page_url"), *extra,
                          F.posexplode(anchors(block("html", tag, attr, value, prefix))).alias("pos", "a"))
-            .select("page_id", "page_url", (F.col("pos") + 1).cast("int").alias("pos"),
+            .select("page_id", "page_url", *extra, (F.col("pos") + 1).cast("int").alias("pos"),
                     F.col("a.href").alias("href"), F.col("a.text").alias("text")))
 
 
 def page_links(pages: DataFrame, tag: str = "nav", attr: str | None = None,
-               value: str | None = None) -> DataFrame:
+               value: str | None = None, extra=()) -> DataFrame:
     """EXT-2 (with FLT-6, S-8, S-9): links of a filter block, lower-cased,
     absolutised on the page's netloc; links whose text or URL is empty are
-    dropped.  Columns ``page_id, pos, anchor_text, url``."""
-    a = block_anchors(pages, tag, attr, value)
+    dropped.  Columns ``page_id, pos, anchor_text, url`` (+ ``extra``)."""
+    a = block_anchors(pages, tag, attr, value, extra=extra)
     href = F.lower(F.col("href"))
     return (a.where((F.length("text") > 0) & (F.length("href") > 0))
-            .select("page_id", "pos", F.col("text").alias("anchor_text"),
+            .select("page_id", "pos", *list(extra), F.col("text").alias("anchor_text"),
                     absolutize(href, F.col("page_url")).alias("url")))
 
 

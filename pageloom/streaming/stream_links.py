@@ -24,13 +24,22 @@ PAGES_SCHEMA = "page_id bigint, url string, html string"
 
 
 def link_stream(spark: SparkSession, source: str, glob: str = "*.parquet",
-                max_files_per_trigger: int = 1) -> DataFrame:
+                max_files_per_trigger: int = 1, schema: str = PAGES_SCHEMA,
+                event_time: str | None = None, delay: str = "1 day") -> DataFrame:
     """Links of page files arriving in the folder ``source`` (files matching
-    ``glob``), first occurrence of every URL across all batches."""
-    pages = (spark.readStream.schema(PAGES_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+    ``glob``), first occurrence of every URL across all batches.
+
+    Without ``event_time`` the seen-URL state grows with the number of
+    distinct URLs (exact across all time).  With an arrival-time column the
+    state is bounded by the watermark: a URL is dropped as a copy only
+    within ``delay`` of its first arrival (``dropDuplicatesWithinWatermark``);
+    the insert-ignore sink still keeps stored URLs unique."""
+    pages = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
              .option("pathGlobFilter", glob).parquet(source))
-    links = page_links(pages)
-    return links.dropDuplicates(["url"])
+    if event_time is None:
+        return page_links(pages).dropDuplicates(["url"])
+    links = page_links(pages.withColumnRenamed(event_time, "_t"), extra=("_t",))
+    return links.withWatermark("_t", delay).dropDuplicatesWithinWatermark(["url"]).drop("_t")
 
 
 def _store_batch(table_dir: str):

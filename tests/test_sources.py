@@ -70,3 +70,18 @@ def test_observed_batch_counts(spark):
     got = sorted(tuple(r) for r in count_by_key(out, ["s"]).collect())
     assert got == [("F", 1), ("O", 2)]
     assert obs.get["rows"] == 3
+
+
+def test_stream_with_watermark(spark, tmp_path):
+    from pageloom.streaming.stream_links import link_stream
+    src = tmp_path / "in"
+    pages = read_table(spark, SMOKE, "pages").select("page_id", "url", "html") \
+        .withColumn("fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    pages.coalesce(1).write.parquet(str(src))
+    s = link_stream(spark, str(src), schema="page_id bigint, url string, html string, fetched_at timestamp",
+                    event_time="fetched_at", delay="1 hour")
+    q = s.writeStream.format("memory").queryName("wm_links").trigger(availableNow=True) \
+        .option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.awaitTermination()
+    got = spark.sql("SELECT url FROM wm_links")
+    assert got.count() == got.distinct().count() > 0
