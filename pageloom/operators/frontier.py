@@ -10,7 +10,7 @@ partitioning on the new side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageloom.operators.extract import page_links
@@ -63,8 +63,10 @@ def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 64)
     frontier = seen.select("node")
     for depth in range(1, max_rounds + 1):
         reached = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct())
-        new = materialize(reached.join(seen.select("node"), "node", "left_anti"), "frontier")
-        if new.isEmpty():
+        obs = Observation()
+        new = materialize(reached.join(seen.select("node"), "node", "left_anti")
+                          .observe(obs, F.count(F.lit(1)).alias("n")), "frontier")
+        if obs.get["n"] == 0:
             return seen
         seen = materialize(seen.unionByName(new.withColumn("depth", F.lit(depth))), "seen")
         frontier = new

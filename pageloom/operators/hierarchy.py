@@ -17,7 +17,7 @@ ancestor is settled leave the loop in that round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageloom.session import materialize
@@ -70,11 +70,14 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: i
     the partial path from their topmost existing ancestor; cycle rows have
     NULL path and level."""
     cols = ["id", "pid"] + ([name_col] if name_col else [])
-    state = materialize(_init_state(nodes.select(*cols), name_col), "hier")
-    for _ in range(max_rounds):
-        if state.where(F.col("status").isNull()).limit(1).count() == 0:
+    step = _init_state(nodes.select(*cols), name_col)
+    for _ in range(max_rounds + 1):
+        # the unsettled count is observed while the round is written: no extra job
+        obs = Observation()
+        state = materialize(step.observe(obs, F.count(F.when(F.col("status").isNull(), 1)).alias("active")), "hier")
+        if obs.get["active"] == 0:
             break
-        state = materialize(_round(state), "hier")
+        step = _round(state)
     else:
         raise RuntimeError("hierarchy did not settle; raise max_rounds")
     cyc = F.col("status") == CYCLE
