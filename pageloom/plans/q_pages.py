@@ -25,7 +25,7 @@ def _pages(spark, sf):
 # --- shared SQL pieces -------------------------------------------------------
 
 NAV_ANCHORS_SQL = f"""
-  SELECT page_id, page_url, unnest(lst) AS rec, generate_subscripts(lst, 1) AS pos
+  SELECT page_id, page_url, unnest(lst) AS rec, CAST(generate_subscripts(lst, 1) AS INTEGER) AS pos
   FROM (SELECT page_id, url AS page_url, {D.anchors(D.block('html', 'nav'))} AS lst FROM pages)
 """
 
@@ -121,7 +121,7 @@ WITH s AS (
   SELECT page_id AS id, url AS src_url, unnest(['area', 'subway', 'district']) AS source,
          unnest([area, subway, district]) AS frag FROM ({BLOCKS_SQL})),
 a AS (
-  SELECT id, src_url, source, unnest(lst) AS rec, generate_subscripts(lst, 1) AS pos
+  SELECT id, src_url, source, unnest(lst) AS rec, CAST(generate_subscripts(lst, 1) AS INTEGER) AS pos
   FROM (SELECT *, {D.anchors('frag')} AS lst FROM s WHERE length(frag) > 0))
 SELECT id, source, pos, rec.text AS anchor_text,
        {D.absolutize("CASE WHEN regexp_matches(rec.href, '\\Ahttps?:') OR starts_with(rec.href, '/') THEN rec.href ELSE '/' || rec.href END", 'src_url')} AS url
@@ -134,7 +134,7 @@ def q_fragment_links(spark, sf):
 
 @register("list_items", f"""
 WITH li AS (
-  SELECT page_id, unnest(lst) AS li, generate_subscripts(lst, 1) AS pos
+  SELECT page_id, unnest(lst) AS li, CAST(generate_subscripts(lst, 1) AS INTEGER) AS pos
   FROM (SELECT page_id, regexp_extract_all(html, {D.lit(r"(?is)<li\b[^>]*>(.*?)</li>")}, 1) AS lst FROM pages)),
 f AS (SELECT page_id, pos, {D.anchors('li')}[1] AS a FROM li)
 SELECT page_id, pos, {D.ws_strip('a.text')} AS item FROM f WHERE a IS NOT NULL
@@ -309,7 +309,7 @@ def q_allowed_domain_links(spark, sf):
 SELECT 'nav' AS source, page_id, pos, rec.href AS href, rec.text AS text FROM ({NAV_ANCHORS_SQL})
 UNION ALL
 SELECT 'footer' AS source, page_id, pos, rec.href, rec.text FROM (
-  SELECT page_id, unnest(lst) AS rec, generate_subscripts(lst, 1) AS pos
+  SELECT page_id, unnest(lst) AS rec, CAST(generate_subscripts(lst, 1) AS INTEGER) AS pos
   FROM (SELECT page_id, {D.anchors(D.block('html', 'footer'))} AS lst FROM pages))
 """)
 def q_union_links(spark, sf):

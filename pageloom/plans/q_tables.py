@@ -209,7 +209,7 @@ def q_keyed_update(spark, sf):
 @register("line_list", f"""
 SELECT doc_id, pos, {D.ws_strip('line')} AS line FROM (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
+         CAST(generate_subscripts(string_split(text, chr(10)), 1) AS INTEGER) AS pos FROM documents)
 """)
 def q_line_list(spark, sf):
     """SRC-4 over stored text: every line of every document, stripped."""

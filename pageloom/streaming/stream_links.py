@@ -42,17 +42,16 @@ def link_stream(spark: SparkSession, source: str, glob: str = "*.parquet",
     return links.withWatermark("_t", delay).dropDuplicatesWithinWatermark(["url"]).drop("_t")
 
 
+LINKS_SCHEMA = "url string, anchor_text string, parent_id bigint, epoch bigint"
+
+
 def _store_batch(table_dir: str):
     def store(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.select("url", "anchor_text", F.col("page_id").alias("parent_id"),
                              F.lit(epoch_id).cast("bigint").alias("epoch"))
-        try:
-            stored = spark.read.parquet(table_dir).select("url")
-            fresh = fresh.join(stored, "url", "left_anti")
-        except Exception:  # first batch: the table folder does not exist yet
-            pass
-        fresh.write.mode("append").parquet(table_dir)
+        stored = spark.read.schema(LINKS_SCHEMA).parquet(table_dir).select("url")
+        fresh.join(stored, "url", "left_anti").write.mode("append").parquet(table_dir)
     return store
 
 
@@ -61,6 +60,7 @@ def run_link_intake(spark: SparkSession, source: str, glob: str = "*.parquet", n
     the folder of the link table."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream_links/{name or uuid.uuid4().hex}"
     table_dir, ckpt = f"{base}/table", f"{base}/checkpoint"
+    spark.createDataFrame([], LINKS_SCHEMA).write.mode("ignore").parquet(table_dir)
     q = (link_stream(spark, source, glob).writeStream.foreachBatch(_store_batch(table_dir))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
