@@ -130,13 +130,18 @@ def save_lines(lines: DataFrame, path: str) -> None:
 
 
 def path_names(rows: DataFrame, names: DataFrame, key_col: str = "city_id",
-               path_col: str = "path", id_col: str = "city_id", name_col: str = "city_name") -> DataFrame:
+               path_col: str = "path", id_col: str = "city_id", name_col: str = "city_name",
+               numeric_ids: bool = False) -> DataFrame:
     """JOIN-6: names of every id of a ``|``-joined path, order kept.  Rows
     with an id that has no name get ``missing`` > 0 (the unmatched report)
-    and a NULL name path.  Each regrouped row holds one path, so a group is
-    as long as the path, never larger."""
+    and a NULL name path.  With ``numeric_ids`` the tokens are read as
+    integers (S-23, ``try_cast``: a malformed token counts as missing
+    instead of failing the job).  Each regrouped row holds one path, so a
+    group is as long as the path, never larger."""
     ex = rows.select(key_col, F.posexplode(F.split(F.col(path_col), r"\|", -1)).alias("pos", "tok"))
-    nm = names.select(F.col(id_col).cast("string").alias("tok"), F.col(name_col).alias("nm"))
+    key_type = "bigint" if numeric_ids else "string"
+    ex = ex.withColumn("tok", F.col("tok").try_cast(key_type))
+    nm = names.select(F.col(id_col).cast(key_type).alias("tok"), F.col(name_col).alias("nm"))
     j = ex.join(nm, "tok", "left")
     g = j.groupBy(key_col).agg(
         F.sort_array(F.collect_list(F.struct("pos", "nm"))).alias("parts"),

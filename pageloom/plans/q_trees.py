@@ -161,7 +161,7 @@ def q_path_names(spark, sf):
     geo = geo_tree(spark, sf)
     cities = HI.hierarchy_paths(geo).where(F.col("path").isNotNull()).select(F.col("id").alias("city_id"), "path")
     names = geo.where(F.col("id") < 4 * GEO).select(F.col("id").alias("nid"), F.col("name"))
-    out = HI.path_names(cities, names, key_col="city_id", id_col="nid", name_col="name")
+    out = HI.path_names(cities, names, key_col="city_id", id_col="nid", name_col="name", numeric_ids=True)
     return out.select("city_id", F.array_join("name_path", "|").alias("name_path"), "missing")
 
 

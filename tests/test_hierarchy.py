@@ -89,3 +89,11 @@ def test_children_long_form(spark):
     got = sorted(tuple(r) for r in HI.children(df).select("pid", "id", "n_children").collect())
     assert got == [(0, 1, 1), (1, 2, 2), (1, 3, 2)]
     assert F is not None
+
+
+def test_path_names_numeric_tokens(spark):
+    rows = spark.createDataFrame([(1, "01|2"), (2, "1|x")], "city_id bigint, path string")
+    names = spark.createDataFrame([(1, "A"), (2, "B")], "id bigint, name string")
+    got = {r["city_id"]: (r["name_path"], r["missing"]) for r in
+           HI.path_names(rows, names, id_col="id", name_col="name", numeric_ids=True).collect()}
+    assert got == {1: (["A", "B"], 0), 2: (None, 1)}
