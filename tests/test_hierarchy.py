@@ -97,3 +97,21 @@ def test_path_names_numeric_tokens(spark):
     got = {r["city_id"]: (r["name_path"], r["missing"]) for r in
            HI.path_names(rows, names, id_col="id", name_col="name", numeric_ids=True).collect()}
     assert got == {1: (["A", "B"], 0), 2: (None, 1)}
+
+
+def test_pointer_doubling_equals_recursive_cte(spark):
+    from conftest import SMOKE
+    from pageloom.sources.tables import read_table
+    part = read_table(spark, SMOKE, "part")
+    nodes = part.select((F.col("p_partkey") + 1).alias("id"), ((F.col("p_partkey") + 1) / 2).cast("bigint").alias("pid"))
+    nodes.createOrReplaceTempView("heap_nodes")
+    cte = spark.sql("""
+        WITH RECURSIVE walk(id, path, level) AS (
+          SELECT id, CAST(id AS STRING), 1 FROM heap_nodes WHERE pid = 0 OR pid IS NULL
+          UNION ALL
+          SELECT n.id, concat(w.path, '|', CAST(n.id AS STRING)), w.level + 1
+          FROM walk w JOIN heap_nodes n ON n.pid = w.id)
+        SELECT id, path, level FROM walk""")
+    want = {r["id"]: (r["path"], r["level"]) for r in cte.collect()}
+    got = {r["id"]: (r["path"], r["level"]) for r in HI.hierarchy_paths(nodes).collect()}
+    assert got == want and len(got) == nodes.count()
