@@ -110,10 +110,10 @@ def tree_stats(nodes: DataFrame, paths: DataFrame | None = None) -> DataFrame:
             .select((F.col("level") + 1).cast("int").alias("level"),
                     F.concat(F.lit("|"), F.col("path")).alias("path"),
                     F.coalesce(F.col("sub_count"), F.lit(0)).cast("bigint").alias("sub_count")))
-    root = (nodes.sparkSession.range(1).select(F.lit(0).cast(nodes.schema["pid"].dataType).alias("cpid"))
-            .join(counts, "cpid", "left")
-            .select(F.lit(1).cast("int").alias("level"), F.lit("").alias("path"),
-                    F.coalesce(F.col("sub_count"), F.lit(0)).cast("bigint").alias("sub_count")))
+    # the root row always exists: a global aggregate over the children of 0
+    root = (counts.where(F.col("cpid") == 0)
+            .agg(F.coalesce(F.sum("sub_count"), F.lit(0)).cast("bigint").alias("sub_count"))
+            .select(F.lit(1).cast("int").alias("level"), F.lit("").alias("path"), "sub_count"))
     return rows.unionByName(root)
 
 
