@@ -218,12 +218,19 @@ def q_content_store(spark, sf):
     return BI.content_store(tours, spread(FX.page_bodies(spark, sf)), store, "page")
 
 
-@register("decode_body")
+@register("decode_body", """
+SELECT CAST(n_nationkey AS BIGINT) AS page_id,
+       CASE WHEN n_regionkey = 0 THEN '<html><body><h1>简称' || n_name || '</h1><p>人' || chr(65533)
+            ELSE '<html><body><h1>简称' || n_name || '</h1><p>人口</p></body></html>' END AS html
+FROM nation
+""")
 def q_decode_body(spark, sf):
     """SRC-5: GB2312 bodies rendered from nation rows (the region-0 ones cut
-    in the middle of their last character) decoded before parsing."""
+    in the middle of their last two-byte character, which decodes to
+    U+FFFD) decoded before parsing."""
     n = read_table(spark, sf, "nation")
     text = F.concat(F.lit("<html><body><h1>简称"), F.col("n_name"), F.lit("</h1><p>人口</p></body></html>"))
-    raw = n.select(F.col("n_nationkey").alias("page_id"), "n_regionkey", BI.encode_gb(text).alias("body"))
-    cut = F.when(F.col("n_regionkey") == 0, F.substring("body", 1, F.octet_length("body") - 17)).otherwise(F.col("body"))
+    raw = n.select(F.col("n_nationkey").cast("bigint").alias("page_id"), "n_regionkey",
+                   BI.encode_gb(text).alias("body"))
+    cut = F.when(F.col("n_regionkey") == 0, F.substring("body", 1, F.octet_length("body") - 19)).otherwise(F.col("body"))
     return BI.decode_bodies(raw.select("page_id", cut.alias("body"))).select("page_id", "html")

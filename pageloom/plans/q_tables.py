@@ -98,12 +98,16 @@ def q_limited_seeds(spark, sf):
     return o.select(F.col("o_orderkey").alias("id"), "o_custkey").orderBy("id").limit(1000)
 
 
-@register("sample_n")
+@register("sample_n", """
+SELECT c_custkey, c_name FROM customer ORDER BY md5('17:' || CAST(c_custkey AS VARCHAR)), c_custkey LIMIT 1000
+""")
 def q_sample_n(spark, sf):
     """SRT-3: a repeatable sample of 1000 customers: order by a seeded hash
-    (``TakeOrderedAndProject``: each task keeps its own top 1000)."""
+    of the key (``TakeOrderedAndProject``: each task keeps only its own top
+    1000 before the final merge)."""
     c = _t(spark, sf, "customer")
-    return c.select("c_custkey", "c_name").orderBy(F.xxhash64("c_custkey", F.lit(17)), "c_custkey").limit(1000)
+    key = F.md5(F.concat(F.lit("17:"), F.col("c_custkey").cast("string")))
+    return c.select("c_custkey", "c_name").orderBy(key, "c_custkey").limit(1000)
 
 
 @register("new_only_anti", """
