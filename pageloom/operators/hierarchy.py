@@ -72,7 +72,9 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: i
     cols = ["id", "pid"] + ([name_col] if name_col else [])
     step = _init_state(nodes.select(*cols), name_col)
     for _ in range(max_rounds + 1):
-        # the unsettled count is observed while the round is written: no extra job
+        # The unsettled count is observed while the round is written (no extra
+        # job).  A stage re-run after a lost executor may count twice; only
+        # "zero or not" is used, which that cannot change.
         obs = Observation()
         state = materialize(step.observe(obs, F.count(F.when(F.col("status").isNull(), 1)).alias("active")), "hier")
         if obs.get["active"] == 0:
