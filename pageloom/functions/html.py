@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 from pageloom.functions.text import html_unescape_basic
 from pageloom.functions.util import col_of
 
-# one anchor: its start tag and the text that follows up to the next tag
-ANCHOR_RE = r"(?i)<a\b[^>]*>[^<]*"
+# one anchor: its start tag and its content up to the next anchor start or
+# end tag (anchors do not nest, so an unclosed one ends at the next anchor)
+ANCHOR_RE = r"(?i)<a\b[^>]*>(?:[^<]|<[^a/]|</[^a]|<a[^\t\n\f\r >]|</a[^\t\n\f\r >])*"
+# inline child elements removed with their content before direct text nodes are read
+INLINE_CHILD_RES = (r"(?is)<b\b[^>]*>.*?</b>", r"(?is)<strong\b[^>]*>.*?</strong>",
+                    r"(?is)<span\b[^>]*>.*?</span>", r"(?is)<i\b[^>]*>.*?</i>",
+                    r"(?is)<em\b[^>]*>.*?</em>", r"(?is)<font\b[^>]*>.*?</font>")
+TAG_ANY_RE = r"<[^>]*>"
 HREF_RE = r"(?i)\bhref\s*=\s*[\"']([^\"']*)[\"']"
 LI_RE = r"(?is)<li\b[^>]*>.*?</li>"
 
@@ -52,14 +58,25 @@ def blocks(html, tag: str, attr: str | None = None, value: str | None = None,
                                 1 if inner else 0)
 
 
+def first_direct_text(content) -> Column:
+    """First direct text node of an element's content (``text()[1]``):
+    inline child elements are removed with their text, the rest is split at
+    the remaining tags; ``''`` when there is none."""
+    s = col_of(content)
+    for rx in INLINE_CHILD_RES:
+        s = F.regexp_replace(s, rx, "\u0001")
+    parts = F.split(F.regexp_replace(s, TAG_ANY_RE, "\u0001"), "\u0001", -1)
+    return F.coalesce(F.try_element_at(F.filter(parts, lambda t: F.length(t) > 0), F.lit(1)), F.lit(""))
+
+
 def anchors(fragment) -> Column:
     """EXT-1: every ``<a>`` of a fragment as ``array<struct<href,text>>``:
-    the ``href`` attribute and the first text node (``''`` when absent),
-    entities decoded."""
+    the ``href`` attribute and the first direct text node (``''`` when
+    absent), entities decoded."""
     found = F.regexp_extract_all(col_of(fragment), F.lit(ANCHOR_RE), 0)
     return F.transform(found, lambda m: F.struct(
         html_unescape_basic(F.regexp_extract(F.substring_index(m, ">", 1), HREF_RE, 1)).alias("href"),
-        html_unescape_basic(F.substring(m, F.instr(m, ">") + 1, 1 << 30)).alias("text")))
+        html_unescape_basic(first_direct_text(F.substring(m, F.instr(m, ">") + 1, 1 << 30))).alias("text")))
 
 
 def attribute_values(fragment, attr: str) -> Column:

@@ -61,10 +61,18 @@ def blocks(html: str, tag: str, attr=None, value=None, prefix=False, inner=True)
     return f"regexp_extract_all({html}, {lit(H.block_re(tag, attr, value, prefix))}, {1 if inner else 0})"
 
 
+def first_direct_text(x: str) -> str:
+    s = x
+    for rx in H.INLINE_CHILD_RES:
+        s = f"regexp_replace({s}, {lit(rx)}, chr(1), 'g')"
+    parts = f"string_split(regexp_replace({s}, {lit(H.TAG_ANY_RE)}, chr(1), 'g'), chr(1))"
+    return f"coalesce(list_filter({parts}, lambda t: length(t) > 0)[1], '')"
+
+
 def anchors(frag: str) -> str:
     """list of struct(href, text), same rule as ``functions.html.anchors``."""
     href = unescape(f"regexp_extract(split_part(m, '>', 1), {lit(H.HREF_RE)}, 1)")
-    text = unescape("substr(m, strpos(m, '>') + 1)")
+    text = unescape(first_direct_text("substr(m, strpos(m, '>') + 1)"))
     return (f"list_transform(regexp_extract_all({frag}, {lit(H.ANCHOR_RE)}, 0), "
             f"lambda m: {{'href': {href}, 'text': {text}}})")
 
