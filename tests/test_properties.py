@@ -54,3 +54,35 @@ def test_stream_equals_batch(spark):
     n1 = spark.read.parquet(t1).count()
     t2 = run_link_intake(spark, SMOKE, glob="pages.parquet", name=name)
     assert t1 == t2 and spark.read.parquet(t2).count() == n1 == len(batch)
+
+
+def test_stream_across_micro_batches(spark, tmp_path):
+    """Page files arrive one per micro-batch; URLs repeated across files are
+    stored once and the table equals the batch first-occurrence key set."""
+    from pageloom.streaming.stream_links import run_link_intake
+    pages = read_table(spark, SMOKE, "pages").select("page_id", "url", "html")
+    src = tmp_path / "arrivals"
+    # three arrival files; every page appears in two of them
+    for i, (lo, hi) in enumerate([(0, 20), (10, 40), (30, 10**9)]):
+        pages.where((F.col("page_id") >= lo) & (F.col("page_id") < hi)).coalesce(1) \
+            .write.parquet(str(src / f"part{i}"))
+        for f in (src / f"part{i}").glob("*.parquet"):
+            f.rename(src / f"arrival{i}.parquet")
+    table = run_link_intake(spark, str(src), glob="arrival*.parquet")
+    stored = spark.read.parquet(table)
+    batch = {r["url"] for r in FR.first_link_occurrence(EX.page_links(pages)).select("url").collect()}
+    assert stored.count() == len(batch)
+    assert {r["url"] for r in stored.select("url").collect()} == batch
+    assert stored.select("epoch").distinct().count() == 3
+
+
+def test_hierarchy_star_tree_hot_root(spark):
+    """A root holding most of the nodes (the hot ancestor every round joins
+    to) still yields exact paths."""
+    from pageloom.operators import hierarchy as HI
+    n = 5000
+    rows = [(1, 0)] + [(i, 1) for i in range(2, n)] + [(n + i, i) for i in range(2, 50)]
+    df = spark.createDataFrame(rows, "id bigint, pid bigint")
+    got = {r["id"]: (r["path"], r["level"]) for r in HI.hierarchy_paths(df).collect()}
+    assert got[1] == ("1", 1) and got[4999] == ("1|4999", 2) and got[n + 7] == (f"1|7|{n + 7}", 3)
+    assert len(got) == len(rows)
