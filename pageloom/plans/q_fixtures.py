@@ -52,6 +52,12 @@ def q_label_value_fields(spark, sf):
     return CA.province_info(spark, spread(FX.province_pages(spark, sf)))
 
 
+@register("label_value_fields_tree", PROVINCE_SQL)
+def q_label_value_fields_tree(spark, sf):
+    """EXT-6 through the element-tree route; must equal the regex route."""
+    return TE.province_info_tree(spread(FX.province_pages(spark, sf)))
+
+
 @register("label_value_fallback", SUB_SQL)
 def q_label_value_fallback(spark, sf):
     return CA.sub_info(spark, spread(FX.sub_pages(spark, sf)))
