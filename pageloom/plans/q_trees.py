@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pageloom.operators import hierarchy as HI
 from pageloom.operators import match as MA
+from pageloom.operators import tables as TB
 from pageloom.plans.registry import register
 from pageloom.sources.tables import read_table
 
@@ -216,3 +217,34 @@ def q_first_match(spark, sf):
     left = np_.select(F.col("n_nationkey").alias("sid"), F.array("r_name", "n_name").alias("names"))
     right = np_.select(F.col("n_nationkey").cast("string").alias("city_id"), F.array("r_name", "n_name").alias("names"))
     return MA.fuzzy_path_match(left, right)
+
+
+_CITY_RIGHT_SQL = (f"SELECT printf('C%09d', c_custkey) AS city_id, [r_name, n_name, right(c_name, 3)] AS names "
+                   f"FROM ({CUST_PATHS_SQL})")
+
+
+@register("place_city_update", f"""
+WITH m AS ({_fuzzy_sql(f"SELECT c_custkey AS sid, [r_name, n_name, c_name] AS names FROM ({CUST_PATHS_SQL})",
+                       _CITY_RIGHT_SQL)})
+SELECT c.c_custkey AS sid,
+       CAST({GEO} + r_regionkey AS VARCHAR) || '|' || CAST({2 * GEO} + n_nationkey AS VARCHAR) || '|'
+         || CAST({3 * GEO} + c_custkey AS VARCHAR) AS ext_path,
+       3 AS ext_level, m.city_id AS ext_city_id
+FROM ({CUST_PATHS_SQL}) c JOIN m ON m.sid = c.c_custkey
+""")
+def q_place_city_update(spark, sf):
+    """The batch-match flow end to end: place paths and levels (HIER-1,
+    stored with SNK-4), name paths, fuzzy match against the city list
+    (JOIN-7, WIN-1), and the keyed update of ``ext_city_id`` (SNK-4); places
+    without a match keep NULL."""
+    geo = geo_tree(spark, sf, levels=3)
+    h = HI.hierarchy_paths(geo, name_col="name")
+    places = h.where((F.col("status") == "ok") & (F.col("level") == 3)).select(
+        (F.col("id") - 3 * GEO).alias("sid"), F.col("path").alias("ext_path"), F.col("level").alias("ext_level"),
+        F.lit(None).cast("string").alias("ext_city_id"), F.col("name_path").alias("names"))
+    cp = _cust_paths(spark, sf)
+    cities = cp.select(F.format_string("C%09d", "c_custkey").alias("city_id"),
+                       F.array("r_name", "n_name", F.right("c_name", F.lit(3))).alias("names"))
+    matches = MA.fuzzy_path_match(places.select("sid", "names"), cities) \
+        .where("matched").select("sid", F.col("city_id").alias("ext_city_id"))
+    return TB.keyed_update(places.drop("names"), matches, ["sid"])
