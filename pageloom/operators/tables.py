@@ -53,14 +53,15 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     return j.select(*cols)
 
 
-def keyed_update(old: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
+def keyed_update(old: DataFrame, changes: DataFrame, key: Sequence[str], unique: bool = False) -> DataFrame:
     """SNK-4: ``UPDATE t SET ... WHERE key = ...``: stored rows whose key is
     in ``changes`` take its non-NULL columns; keys not stored are ignored.
-    ``changes`` is de-duplicated on the key first (last writer would be
-    arbitrary otherwise; the smallest values win deterministically)."""
+    Unless the caller knows the change keys are unique (``unique``),
+    ``changes`` is de-duplicated on the key first (a last writer would be
+    arbitrary; the smallest values win deterministically)."""
     key = list(key)
     upd = [c for c in changes.columns if c not in key]
-    ch = changes.groupBy(*key).agg(*[F.min(c).alias(c) for c in upd]).alias("n")
+    ch = (changes if unique else changes.groupBy(*key).agg(*[F.min(c).alias(c) for c in upd])).alias("n")
     j = old.alias("o").join(ch, key, "left")
     return j.select(*[F.col(c) if c in key else
                       (F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) if c in upd else F.col(f"o.{c}").alias(c))

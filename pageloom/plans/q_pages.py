@@ -13,6 +13,7 @@ from pageloom.operators import extract as EX
 from pageloom.operators import filters as FL
 from pageloom.operators import frontier as FR
 from pageloom.operators import sets as ST
+from pageloom.operators import tables as TB
 from pageloom.plans import duck as D
 from pageloom.plans.registry import register
 from pageloom.sources.tables import read_table
@@ -378,3 +379,27 @@ FROM (SELECT page_id, {_PATH} AS path FROM pages)
 """)
 def q_url_derived_keys(spark, sf):
     return DV.url_derived_keys(_pages(spark, sf))
+
+
+@register("crawl_round_update", f"""
+WITH cat AS (SELECT page_id AS id, url, '' AS flag, 2 AS ext_level FROM pages),
+pick AS (SELECT id, url FROM cat WHERE ext_level IN (2) AND flag = '' AND NOT url LIKE '%#top'),
+blk AS ({BLOCKS_SQL})
+SELECT c.id, c.url, CASE WHEN p.id IS NOT NULL THEN 'succ' ELSE c.flag END AS flag,
+       b.area, b.subway, b.district
+FROM cat c LEFT JOIN pick p ON p.id = c.id LEFT JOIN blk b ON b.page_id = p.id
+""")
+def q_crawl_round_update(spark, sf):
+    """One spider round on the seed catalogue: pending seeds (FLT-1) are
+    joined to their pages (JOIN-9), the three raw blocks are cut (EXT-3) and
+    the seed rows are updated with them and ``flag='succ'`` (SNK-4); other
+    rows keep their values.  The catalogue is derived from every page."""
+    pages = _pages(spark, sf)
+    cat = pages.select(F.col("page_id").alias("id"), "url", F.lit("").alias("flag"), F.lit(2).alias("ext_level"),
+                       *[F.lit(None).cast("string").alias(c) for c in ("area", "subway", "district")])
+    pick = cat.where(F.col("ext_level").isin(2) & (F.col("flag") == "") & ~F.col("url").endswith("#top"))
+    fetched = FR.seed_pages(pick.select("id", "url"), pages.select("url", "page_id", "html"))
+    blocks = EX.html_blocks(fetched.select("page_id", "url", "html")).select(
+        F.col("page_id").alias("id"), "area", "subway", "district", F.lit("succ").alias("flag"))
+    # page ids are unique, so the change rows need no de-duplication
+    return TB.keyed_update(cat, blocks, ["id"], unique=True).select("id", "url", "flag", "area", "subway", "district")
