@@ -247,4 +247,4 @@ def q_place_city_update(spark, sf):
                        F.array("r_name", "n_name", F.right("c_name", F.lit(3))).alias("names"))
     matches = MA.fuzzy_path_match(places.select("sid", "names"), cities) \
         .where("matched").select("sid", F.col("city_id").alias("ext_city_id"))
-    return TB.keyed_update(places.drop("names"), matches, ["sid"])
+    return TB.keyed_update(places.drop("names"), matches, ["sid"], unique=True)  # one winner per place
