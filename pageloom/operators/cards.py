@@ -124,15 +124,20 @@ def province_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
     joined by newlines.  One row per page with every field column."""
     pages = pages.select("page_id", "html",
                          F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="page_left"[^>]*>(.*)', 1).alias("left"))
-    left = F.col("left")
-    box = F.regexp_extract(left, r"(?is)<table\b[^>]*>.*?</table>\s*<table\b[^>]*>\s*<tr\b[^>]*>\s*<td\b[^>]*>\s*<table\b[^>]*>(.*?)</table>", 1)
+    # Pieces of the region between table end tags: [menu table | second
+    # table up to the end of its inner table | rest].  Anchored patterns on
+    # the pieces keep every step linear (no nested lazy scans).
+    parts = F.split(F.col("left"), r"(?i)</table>", -1)
+    box = F.regexp_extract(F.try_element_at(parts, F.lit(2)),
+                           r"(?is)\A\s*<table\b[^>]*>\s*<tr\b[^>]*>\s*<td\b[^>]*>\s*<table\b[^>]*>(.*)\z", 1)
 
     def value_of(td):
         v = strip_chars(ws_strip(F.coalesce(F.try_element_at(direct_texts(td), F.lit(1)), F.lit(""))), ":")
         link = ws_strip(first_in(td, r"(?is)<a\b[^>]*>([^<]*)"))
         return F.when(F.length(v) > 0, v).otherwise(link)
 
-    desc_cell = F.regexp_extract(left, r"(?is)<table\b[^>]*>.*?</table>\s*<table\b.*?</table>\s*</td>\s*<td\b[^>]*>(.*?)</td>", 1)
+    desc_cell = F.coalesce(F.regexp_extract(F.try_element_at(parts, F.lit(3)),
+                                            r"(?is)\A\s*</td>\s*<td\b[^>]*>(.*?)</td>", 1), F.lit(""))
     staged = pages.select("page_id", "html", _cells(box, value_of).alias("cells"), desc_cell.alias("desc_cell"))
     return staged.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"),
                          F.array_join(direct_texts("desc_cell"), "\n").alias("description"),
