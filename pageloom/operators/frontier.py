@@ -57,17 +57,20 @@ def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 64)
     and an anti join against the nodes seen so far; the frontier and the
     seen set are written as tables into ``spark.checkpoint.dir`` each round, so
     neither lineage nor recovery grows with the number of rounds."""
-    from pageloom.session import materialize
+    from pageloom.session import materialize, new_run_id
+    run = new_run_id()
     e = edges.select("src", "dst")
-    seen = materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "seen")
+    seen = materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "seen",
+                       slot=f"{run}-0")
     frontier = seen.select("node")
     for depth in range(1, max_rounds + 1):
         reached = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct())
         obs = Observation()
         new = materialize(reached.join(seen.select("node"), "node", "left_anti")
-                          .observe(obs, F.count(F.lit(1)).alias("n")), "frontier")
+                          .observe(obs, F.count(F.lit(1)).alias("n")), "frontier", slot=f"{run}-{depth % 2}")
         if obs.get["n"] == 0:
             return seen
-        seen = materialize(seen.unionByName(new.withColumn("depth", F.lit(depth))), "seen")
+        seen = materialize(seen.unionByName(new.withColumn("depth", F.lit(depth))), "seen",
+                           slot=f"{run}-{depth % 2}")
         frontier = new
     raise RuntimeError("frontier did not reach a fixpoint; raise max_rounds")

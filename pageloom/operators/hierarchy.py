@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pageloom.session import materialize
+from pageloom.session import materialize, new_run_id
 
 OK, ORPHAN, CYCLE = "ok", "orphan", "cycle"
 
@@ -71,12 +71,14 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: i
     NULL path and level."""
     cols = ["id", "pid"] + ([name_col] if name_col else [])
     step = _init_state(nodes.select(*cols), name_col)
-    for _ in range(max_rounds + 1):
+    run = new_run_id()
+    for i in range(max_rounds + 1):
         # The unsettled count is observed while the round is written (no extra
         # job).  A stage re-run after a lost executor may count twice; only
         # "zero or not" is used, which that cannot change.
         obs = Observation()
-        state = materialize(step.observe(obs, F.count(F.when(F.col("status").isNull(), 1)).alias("active")), "hier")
+        state = materialize(step.observe(obs, F.count(F.when(F.col("status").isNull(), 1)).alias("active")),
+                            "hier", slot=f"{run}-{i % 2}")
         if obs.get["active"] == 0:
             break
         step = _round(state)

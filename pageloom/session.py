@@ -57,12 +57,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local_dir
 
 
-def materialize(df, tag: str = "step"):
+def materialize(df, tag: str = "step", slot: str | None = None):
     """Cut the lineage of ``df``: write it as a parquet table under the
     shared checkpoint folder and read it back.  One job computes and writes
     (``DataFrame.checkpoint()`` would compute twice unless cached), and a
-    lost executor only re-reads files."""
+    lost executor only re-reads files.
+
+    Iterative jobs pass ``slot`` (``"<run id>-<round % 2>"``): the two slots
+    of a run alternate, so a round overwrites only the table of two rounds
+    back -- which nothing reads any more -- and storage stays at two rounds
+    instead of growing with their number."""
     base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/pageloom-{tag}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    if slot is None:
+        path = f"{base}/pageloom-{tag}-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(path)
+    else:
+        path = f"{base}/pageloom-{tag}-{slot}"
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def new_run_id() -> str:
+    return uuid.uuid4().hex
