@@ -10,6 +10,7 @@ from pyspark.sql.functions import pandas_udf
 
 from pageloom.functions.util import col_of
 from pageloom.operators.frontier import unseen
+from pageloom.session import ship_package
 
 # Leading bytes (hex) of the accepted image formats.
 SIGNATURES = [
@@ -68,4 +69,11 @@ def encode_gb(text: pd.Series) -> pd.Series:
 
 def decode_bodies(df: DataFrame, body_col: str = "body") -> DataFrame:
     """SRC-5 as a job: decode, then everything downstream is native."""
+    ship_package(df.sparkSession)
     return df.withColumn("html", decode_gb(F.col(body_col)))
+
+
+def encode_bodies(df: DataFrame, text_col: str, body_col: str = "body") -> DataFrame:
+    """Fixture helper: text to GB2312 bytes."""
+    ship_package(df.sparkSession)
+    return df.withColumn(body_col, encode_gb(F.col(text_col)))

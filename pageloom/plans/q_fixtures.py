@@ -236,7 +236,7 @@ def q_decode_body(spark, sf):
     U+FFFD) decoded before parsing."""
     n = read_table(spark, sf, "nation")
     text = F.concat(F.lit("<html><body><h1>简称"), F.col("n_name"), F.lit("</h1><p>人口</p></body></html>"))
-    raw = n.select(F.col("n_nationkey").cast("bigint").alias("page_id"), "n_regionkey",
-                   BI.encode_gb(text).alias("body"))
+    raw = BI.encode_bodies(n.select(F.col("n_nationkey").cast("bigint").alias("page_id"), "n_regionkey",
+                                    text.alias("text")), "text")
     cut = F.when(F.col("n_regionkey") == 0, F.substring("body", 1, F.octet_length("body") - 19)).otherwise(F.col("body"))
     return BI.decode_bodies(raw.select("page_id", cut.alias("body"))).select("page_id", "html")

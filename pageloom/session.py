@@ -79,3 +79,30 @@ def materialize(df, tag: str = "step", slot: str | None = None):
 
 def new_run_id() -> str:
     return uuid.uuid4().hex
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers, as
+    ``--py-files`` would: zip it once per application on the driver and hand
+    it to ``addPyFile``, which distributes it to every executor.  Needed by
+    the Arrow-batched Python steps (``mapInPandas``, ``pandas_udf``)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    import pageloom
+    root = os.path.dirname(os.path.dirname(os.path.abspath(pageloom.__file__)))
+    out = os.path.join(tempfile.mkdtemp(prefix="pageloom-pyfiles-"), "pageloom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "pageloom")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
