@@ -57,3 +57,16 @@ def test_keyed_update_ignores_unknown_keys(spark):
     ch = spark.createDataFrame([(2, "succ"), (5, "succ")], "id int, flag string")
     got = sorted(tuple(r) for r in TB.keyed_update(old, ch, ["id"]).collect())
     assert got == [(1, "init"), (2, "succ")]
+
+
+def test_fuzzy_match_copies_and_empty_paths(spark):
+    """Exact copies of a path (a third of the rows) and all-empty paths."""
+    left = [(i, ["R", "N1", "X"]) for i in range(30)] + [(100, ["", ""]), (101, ["R", "N10", "X"]),
+                                                         (102, ["R", "N2", "Y"])]
+    right = [(f"c{i:03d}", ["R", "N1", "X"]) for i in range(20, 40)] + [("c000", ["R", "N10", "XX"]),
+                                                                        ("c500", ["Q", "Z"])]
+    L = spark.createDataFrame(left, "sid int, names array<string>")
+    R = spark.createDataFrame(right, "city_id string, names array<string>")
+    got = {r["sid"]: r["city_id"] for r in MA.fuzzy_path_match(L, R).collect()}
+    assert got == brute_match(left, right)
+    assert got[0] == "c000" and got[100] == "c500" and got[102] is None
