@@ -70,7 +70,9 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: i
     the partial path from their topmost existing ancestor; cycle rows have
     NULL path and level."""
     cols = ["id", "pid"] + ([name_col] if name_col else [])
-    step = _init_state(nodes.select(*cols), name_col)
+    # the initial state is a projection of the input, so the first doubling
+    # step runs on it directly instead of writing it out first
+    step = _round(_init_state(nodes.select(*cols), name_col))
     run = new_run_id()
     for i in range(max_rounds + 1):
         # The unsettled count is observed while the round is written (no extra
