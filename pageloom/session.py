@@ -36,25 +36,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``).  Only when the session names none (local
-    tests) is a scratch folder chosen and registered."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    """Return the shared folder named by the cluster (``spark.checkpoint.dir``,
+    or the context's checkpoint folder).  Only when none is named and the
+    master is local (tests) is a scratch folder chosen; on a cluster a
+    missing setting is an error, never a machine-local folder."""
+    current = None
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 -- no classic context (e.g. Spark Connect)
+        pass
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        sc.setCheckpointDir(conf_dir)
         return conf_dir
-    master = sc.master or ""
+    try:
+        master = spark.sparkContext.master or ""
+    except Exception:  # noqa: BLE001
+        master = spark.conf.get("spark.master", "") or ""
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative jobs need a shared "
             "checkpoint folder on a cluster")
-    local_dir = tempfile.mkdtemp(prefix="pageloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local_dir)
-    return local_dir
+    global _LOCAL_SCRATCH
+    if _LOCAL_SCRATCH is None:
+        _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="pageloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _LOCAL_SCRATCH
+
+
+_LOCAL_SCRATCH: str | None = None
 
 
 def materialize(df, tag: str = "step", slot: str | None = None):
@@ -89,8 +99,11 @@ def ship_package(spark: SparkSession) -> None:
     ``--py-files`` would: zip it once per application on the driver and hand
     it to ``addPyFile``, which distributes it to every executor.  Needed by
     the Arrow-batched Python steps (``mapInPandas``, ``pandas_udf``)."""
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 -- Spark Connect: artifacts instead of addPyFile
+        sc, app = None, spark.conf.get("spark.app.id", "connect")
     if app in _SHIPPED:
         return
     import zipfile
@@ -104,5 +117,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(app)

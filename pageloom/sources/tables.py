@@ -33,10 +33,12 @@ def spread(df: DataFrame) -> DataFrame:
     has fewer partitions (e.g. one large row group per file).  At scale the
     scan already yields far more splits than cores and this is a no-op;
     column pruning and filters still reach the scan below it."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. Spark Connect): leave it to the scan
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def scan(spark: SparkSession, base_dir: str, name: str, columns=None,
