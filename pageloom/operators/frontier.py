@@ -49,28 +49,37 @@ def crawl_frontier(pages: DataFrame, known: DataFrame, tag: str = "nav",
                         F.lit(flag).alias("flag"))
 
 
-def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 64) -> DataFrame:
+def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 10_000,
+                      compact_every: int = 16) -> DataFrame:
     """FRN-2: repeat the frontier round until no new node appears.
     ``edges(src, dst)``, ``seeds(node)``; returns ``node, depth`` with the
-    round in which each node was first reached (link depth).  Every round
-    is one join of the frontier to the edges, a partial-aggregate distinct
-    and an anti join against the nodes seen so far; the frontier and the
-    seen set are written as tables into ``spark.checkpoint.dir`` each round, so
-    neither lineage nor recovery grows with the number of rounds."""
+    round in which each node was first reached (link depth).
+
+    Every round is one join of the frontier to the edges, a
+    partial-aggregate distinct and an anti join against the nodes seen so
+    far.  Only the round's new nodes are written (a table per round in
+    ``spark.checkpoint.dir``), so every node is written once in total; the
+    seen set is the union of those tables, compacted into one table every
+    ``compact_every`` rounds to keep the plan small.  The emptiness test is
+    an observation on the round's own write."""
+    from functools import reduce
+
     from pageloom.session import materialize, new_run_id
     run = new_run_id()
     e = edges.select("src", "dst")
-    seen = materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "seen",
-                       slot=f"{run}-0")
-    frontier = seen.select("node")
+    parts = [materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "fixpoint",
+                         slot=f"{run}-r0")]
+    frontier = parts[0].select("node")
     for depth in range(1, max_rounds + 1):
-        reached = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct())
+        seen = reduce(DataFrame.unionByName, parts).select("node")
+        reached = frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
         obs = Observation()
-        new = materialize(reached.join(seen.select("node"), "node", "left_anti")
-                          .observe(obs, F.count(F.lit(1)).alias("n")), "frontier", slot=f"{run}-{depth % 2}")
+        new = materialize(reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
+                          .observe(obs, F.count(F.lit(1)).alias("n")), "fixpoint", slot=f"{run}-r{depth}")
         if obs.get["n"] == 0:
-            return seen
-        seen = materialize(seen.unionByName(new.withColumn("depth", F.lit(depth))), "seen",
-                           slot=f"{run}-{depth % 2}")
-        frontier = new
+            return reduce(DataFrame.unionByName, parts)
+        parts.append(new)
+        frontier = new.select("node")
+        if len(parts) > compact_every:
+            parts = [materialize(reduce(DataFrame.unionByName, parts), "fixpoint", slot=f"{run}-c{depth}")]
     raise RuntimeError("frontier did not reach a fixpoint; raise max_rounds")

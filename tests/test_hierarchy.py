@@ -115,3 +115,10 @@ def test_pointer_doubling_equals_recursive_cte(spark):
     want = {r["id"]: (r["path"], r["level"]) for r in cte.collect()}
     got = {r["id"]: (r["path"], r["level"]) for r in HI.hierarchy_paths(nodes).collect()}
     assert got == want and len(got) == nodes.count()
+
+
+def test_fixpoint_long_chain_with_compaction(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(5, 0)], "src bigint, dst bigint")
+    seeds = spark.createDataFrame([(0,)], "node bigint")
+    got = {r["node"]: r["depth"] for r in crawl_to_fixpoint(edges, seeds, compact_every=4).collect()}
+    assert got == {i: i for i in range(41)}
