@@ -9,14 +9,18 @@ when the chain repeats an id (self-loops, cycles, and tails into a cycle).
 
 Each round is cut from its lineage by writing it as a table into the
 shared folder named by ``spark.checkpoint.dir`` (``materialize``), so a
-lost executor recomputes one round at most.  The join key is the ancestor id; a hot ancestor (a root with a
-third of all nodes below it) is one row on the state side and many on the
-active side -- the skew AQE's skew-join split handles -- and nodes whose
-ancestor is settled leave the loop in that round.
+lost executor recomputes one round at most.  A round writes only the rows
+it advanced; settled rows stay where they settled and are never rewritten.
+The join key is the ancestor id; a hot ancestor (a root with a third of all
+nodes below it) is one row on the target side and many on the active side
+-- the skew AQE's skew-join split handles -- and nodes whose ancestor is
+settled leave the loop in that round.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -38,13 +42,15 @@ def _init_state(nodes: DataFrame, name_col: str | None) -> DataFrame:
         F.when(is_root, F.lit(OK)).when(self_loop, F.lit(CYCLE)).alias("status"))
 
 
-def _round(state: DataFrame) -> DataFrame:
-    done = state.where(F.col("status").isNotNull())
-    active = state.where(F.col("status").isNull()).alias("a")
-    s = state.select(F.col("id").alias("s_id"), F.col("path").alias("s_path"), F.col("names").alias("s_names"),
-                     F.col("nxt").alias("s_nxt"), F.col("root_pid").alias("s_root_pid"),
-                     F.col("status").alias("s_status"))
-    j = active.join(s, F.col("a.nxt") == F.col("s_id"), "left")
+def _step(active: DataFrame, targets: DataFrame) -> DataFrame:
+    """Advance every unsettled row by one doubling step: join it to the
+    current state of its next ancestor (``targets`` holds the latest state
+    of every node)."""
+    a = active.alias("a")
+    s = targets.select(F.col("id").alias("s_id"), F.col("path").alias("s_path"), F.col("names").alias("s_names"),
+                       F.col("nxt").alias("s_nxt"), F.col("root_pid").alias("s_root_pid"),
+                       F.col("status").alias("s_status"))
+    j = a.join(s, F.col("a.nxt") == F.col("s_id"), "left")
     found = F.col("s_id").isNotNull()
     new_path = F.when(found, F.concat("s_path", "a.path")).otherwise(F.col("a.path"))
     new_names = F.when(found, F.concat("s_names", "a.names")).otherwise(F.col("a.names"))
@@ -54,13 +60,16 @@ def _round(state: DataFrame) -> DataFrame:
               .when(F.col("s_status") == CYCLE, F.lit(CYCLE))
               .when(repeats, F.lit(CYCLE))
               .otherwise(F.col("s_status")))
-    stepped = j.select(
+    return j.select(
         F.col("a.id").alias("id"), F.col("a.pid").alias("pid"),
         new_path.alias("path"), new_names.alias("names"),
         F.when(found, F.col("s_nxt")).otherwise(F.col("a.nxt")).alias("nxt"),
         F.when(found, F.col("s_root_pid")).alias("root_pid"),
         status.alias("status"))
-    return done.unionByName(stepped)
+
+
+def _settled(tables):
+    return reduce(DataFrame.unionByName, [t.where(F.col("status").isNotNull()) for t in tables])
 
 
 def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: int = 64) -> DataFrame:
@@ -68,24 +77,42 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: i
     when ``name_col`` is given).  ``path`` lists ids root-first joined by
     ``|``; a root (pid 0 or NULL) has path ``id`` and level 1.  Orphans keep
     the partial path from their topmost existing ancestor; cycle rows have
-    NULL path and level."""
+    NULL path and level.
+
+    Runs its rounds when called (an iterative job) and returns a lazy
+    DataFrame over the round tables.  The first round writes every row once;
+    each later round writes only the rows that were still unsettled, and a
+    row's settled version stays in the table of the round that settled it,
+    so settled rows are never rewritten.  The targets of a round are the
+    settled rows of all tables plus the latest unsettled ones."""
     cols = ["id", "pid"] + ([name_col] if name_col else [])
-    # the initial state is a projection of the input, so the first doubling
-    # step runs on it directly instead of writing it out first
-    step = _round(_init_state(nodes.select(*cols), name_col))
     run = new_run_id()
-    for i in range(max_rounds + 1):
-        # The unsettled count is observed while the round is written (no extra
-        # job).  A stage re-run after a lost executor may count twice; only
-        # "zero or not" is used, which that cannot change.
-        obs = Observation()
-        state = materialize(step.observe(obs, F.count(F.when(F.col("status").isNull(), 1)).alias("active")),
-                            "hier", slot=f"{run}-{i % 2}")
+    obs = Observation()
+    # round 1 runs on the initial projection directly and writes every row
+    # once (already-settled roots and the advanced rest); later rounds write
+    # only the rows that were still unsettled
+    init = _init_state(nodes.select(*cols), name_col)
+    first = init.where(F.col("status").isNotNull()).unionByName(
+        _step(init.where(F.col("status").isNull()), init))
+    tables = [materialize(first.observe(obs, F.count(F.when(F.col("status").isNull(), 1)).alias("active")),
+                          "hier", slot=f"{run}-r1")]
+    # The unsettled count is observed while each table is written (no extra
+    # job).  A stage re-run after a lost executor may count twice; only
+    # "zero or not" is used, which that cannot change.
+    for i in range(2, max_rounds + 2):
         if obs.get["active"] == 0:
             break
-        step = _round(state)
-    else:
-        raise RuntimeError("hierarchy did not settle; raise max_rounds")
+        if i > max_rounds:
+            raise RuntimeError("hierarchy did not settle; raise max_rounds")
+        active = tables[-1].where(F.col("status").isNull())
+        # latest state of every node: settled rows of the older tables plus
+        # the whole latest table (its settled and its still-active rows)
+        targets = _settled(tables[:-1]).unionByName(tables[-1]) if len(tables) > 1 else tables[-1]
+        obs = Observation()
+        stepped = _step(active, targets)
+        tables.append(materialize(stepped.observe(obs, F.count(F.when(F.col("status").isNull(), 1)).alias("active")),
+                                  "hier", slot=f"{run}-r{i}"))
+    state = _settled(tables)
     cyc = F.col("status") == CYCLE
     out = state.select(
         "id", "pid",
