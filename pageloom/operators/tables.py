@@ -24,15 +24,18 @@ def append(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """SNK-2: rows of ``new`` whose key is not stored yet are added; within
-    the batch the first row by ``order`` wins; stored rows are kept as they
-    are.  The in-batch pick is a partial aggregate and the stored keys are
+    """SNK-2: rows of ``new`` whose key is not stored yet are added (columns
+    ``new`` lacks are NULL); within the batch the first row by ``order``
+    wins; stored rows are kept as they are.  The in-batch pick is a partial aggregate and the stored keys are
     de-duplicated before the anti join, so hot keys collapse map-side."""
     key, order = list(key), list(order)
     payload = [c for c in new.columns if c not in key and c not in order]
     firsts = first_by(new, key, order, payload).select(*new.columns)
     fresh = firsts.join(old.select(*key).distinct(), key, "left_anti")
-    return old.unionByName(fresh.select(*old.columns))
+    # inserted rows supply some columns; the others are absent (NULL)
+    cols = [F.col(c) if c in fresh.columns else F.lit(None).cast(old.schema[c].dataType).alias(c)
+            for c in old.columns]
+    return old.unionByName(fresh.select(*cols))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:

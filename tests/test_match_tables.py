@@ -70,3 +70,10 @@ def test_fuzzy_match_copies_and_empty_paths(spark):
     got = {r["sid"]: r["city_id"] for r in MA.fuzzy_path_match(L, R).collect()}
     assert got == brute_match(left, right)
     assert got[0] == "c000" and got[100] == "c500" and got[102] is None
+
+
+def test_insert_ignore_partial_columns(spark):
+    old = spark.createDataFrame([("u1", 1, "init", "blk")], "url string, pid int, flag string, area string")
+    new = spark.createDataFrame([("u1", 9), ("u2", 7)], "url string, pid int")
+    got = sorted(tuple(r) for r in TB.insert_ignore(old, new, ["url"], ["pid"]).collect())
+    assert got == [("u1", 1, "init", "blk"), ("u2", 7, None, None)]
