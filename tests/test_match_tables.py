@@ -77,3 +77,18 @@ def test_insert_ignore_partial_columns(spark):
     new = spark.createDataFrame([("u1", 9), ("u2", 7)], "url string, pid int")
     got = sorted(tuple(r) for r in TB.insert_ignore(old, new, ["url"], ["pid"]).collect())
     assert got == [("u1", 1, "init", "blk"), ("u2", 7, None, None)]
+
+
+def test_first_by_hot_key_third_of_rows(spark):
+    """One key holds a third of all rows; the partial-aggregate pick equals
+    the window pick and the plan combines map-side before the shuffle."""
+    from pyspark.sql import functions as F
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string")))
+        .alias("url"), (F.col("id") * 7 % 30011).alias("page_id"), (F.col("id") % 13).alias("pos"),
+        F.col("id").cast("string").alias("anchor_text"))
+    a = first_by(df, ["url"], ["page_id", "pos"], ["anchor_text"])
+    b = first_by_window(df, ["url"], ["page_id", "pos"]).select(*a.columns)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
