@@ -43,3 +43,25 @@ def test_image_length_boundary(spark):
     got = {r["page_id"]: (r["kind"], r["n_bytes"]) for r in BI.image_signature(bodies).collect()}
     assert got == {2: ("jpeg", 21), 4: ("png", 28), 5: ("gif", 26), 6: ("webp", 22)}
     assert F is not None
+
+
+def test_url_derived_keys_on_catalogue_shapes(spark):
+    from pageloom.operators import derive as DV
+    rows = spark.createDataFrame([
+        (1, "http://www.example.com/Barcelona-tours/Day-Trips-and-Excursions/d562-g5"),
+        (2, "/Paris-attractions/d479-ttd"),
+        (3, "/Tokyo/d334-ttd"),
+        (4, "/Rome-attractions/no-number")], "page_id bigint, url string")
+    got = {r["page_id"]: (r["dgroup"], r["dgroupid"], r["destination"], r["destinationid"]) for r in
+           DV.url_derived_keys(rows, group_re=r"-g(\d+)", dest_re=r"d(\d+)").collect()}
+    assert got[1] == ("Day-Trips-and-Excursions", "g5", "Barcelona-tours", "562")
+    assert got[2] == ("Paris-attractions", None, "Paris", "479")
+    assert got[3] == ("Tokyo", None, "Tokyo", "334")
+    assert got[4] == ("Rome-attractions", None, "Rome", "0")
+
+
+def test_bad_url_shape_suffix(spark):
+    from pageloom.operators import derive as DV
+    rows = spark.createDataFrame([(1, "http://www.example.com/Barcelona-tours/x/d1-g2"),
+                                  (2, "http://www.example.com/Paris/d3-g4")], "page_id bigint, url string")
+    assert [(r["page_id"], r["tok"]) for r in DV.bad_url_shape(rows, "-tours").collect()] == [(2, "Paris")]
