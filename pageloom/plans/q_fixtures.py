@@ -142,6 +142,12 @@ def q_best_description(spark, sf):
     return CA.best_description(spread(FX.article_pages(spark, sf)))
 
 
+@register("best_description_tree", _best_sql())
+def q_best_description_tree(spark, sf):
+    """EXT-9 through the element-tree route; must equal the regex route."""
+    return TE.best_description_tree(spread(FX.article_pages(spark, sf)))
+
+
 @register("enrich_from_pages", f"""
 WITH poi AS (SELECT p_partkey AS id FROM part
              WHERE (CASE WHEN p_size > 10 THEN 'init' ELSE 'done' END) LIKE 'init%' AND p_type = 'ECONOMY'),

@@ -65,3 +65,21 @@ def test_bad_url_shape_suffix(spark):
     rows = spark.createDataFrame([(1, "http://www.example.com/Barcelona-tours/x/d1-g2"),
                                   (2, "http://www.example.com/Paris/d3-g4")], "page_id bigint, url string")
     assert [(r["page_id"], r["tok"]) for r in DV.bad_url_shape(rows, "-tours").collect()] == [(2, "Paris")]
+
+
+def test_tree_outer_html_and_description():
+    from pageloom.operators.tree_extract import description_record, outer_html, parse_tree
+    html = '<body><div id="content"><p>a<div class="x">b</div></div>tail</body>'
+    root = parse_tree(html)
+    content = next(d for d in root.descendants() if d.attrs.get("id") == "content")
+    assert outer_html(html, content) == '<div id="content"><p>a<div class="x">b</div></div>'
+    p = content.elements("p")[0]
+    assert outer_html(html, p) == '<p>a<div class="x">b</div>'
+    long_p = "w" * 101
+    page = (f'<div id="unifyprompt"><div><p>添加摘要</p></div></div><div id="content"><p>{long_p}</p>'
+            '<div class="content_h2 bac_no">H</div>sec<div class="content_h2">E</div></div>')
+    assert description_record(page, "添加摘要") == long_p
+    short = page.replace(long_p, "short")
+    assert description_record(short, "添加摘要") == "Hsec"
+    assert description_record('<div id="unifyprompt"><div><p></p></div></div>', "添加摘要") == ""
+    assert description_record("<div>none</div>", "添加摘要") == ""
