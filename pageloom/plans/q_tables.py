@@ -9,6 +9,7 @@ from pageloom.functions import text as TX
 from pageloom.functions import urls as U
 from pageloom.operators import aggregates as AG
 from pageloom.operators import frontier as FR
+from pageloom.operators import sorts as SO
 from pageloom.operators import tables as TB
 from pageloom.operators.windows import first_by
 from pageloom.plans import duck as D
@@ -50,9 +51,12 @@ SELECT o_orderkey AS id, o_custkey FROM orders WHERE o_orderpriority LIKE '1%' A
 ORDER BY o_orderkey LIMIT 300000
 """)
 def q_filter_prefix_type(spark, sf):
+    """FLT-3 with the batch cap (SRT-2): ``top_k`` keeps the ordered limit
+    distributed instead of merging cap x partitions rows in one task."""
     o = _t(spark, sf, "orders")
-    return (o.where(F.col("o_orderpriority").startswith("1") & (F.col("o_orderstatus") == "F"))
-            .select(F.col("o_orderkey").alias("id"), "o_custkey").orderBy("id").limit(300000))
+    picked = (o.where(F.col("o_orderpriority").startswith("1") & (F.col("o_orderstatus") == "F"))
+              .select(F.col("o_orderkey").alias("id"), "o_custkey"))
+    return SO.top_k(picked, ["id"], 300000)
 
 
 @register("queue_pending", """
@@ -95,7 +99,7 @@ def q_batch_counts(spark, sf):
 @register("limited_seeds", "SELECT o_orderkey AS id, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1000")
 def q_limited_seeds(spark, sf):
     o = _t(spark, sf, "orders")
-    return o.select(F.col("o_orderkey").alias("id"), "o_custkey").orderBy("id").limit(1000)
+    return SO.top_k(o.select(F.col("o_orderkey").alias("id"), "o_custkey"), ["id"], 1000)
 
 
 @register("sample_n", """

@@ -92,3 +92,15 @@ def test_first_by_hot_key_third_of_rows(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def test_top_k_equals_ordered_limit(spark):
+    from conftest import SMOKE
+    from pageloom.operators.sorts import top_k
+    from pageloom.sources.tables import read_table
+    li = read_table(spark, SMOKE, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    for k in (1, 777, 4000, 10_000):
+        order = ["l_orderkey", "l_linenumber", "l_quantity"]   # total order (key pairs repeat here)
+        want = [tuple(r) for r in li.orderBy(*order).limit(k).collect()]
+        got = [tuple(r) for r in top_k(li, order, k, accuracy=1000, small=10).orderBy(*order).collect()]
+        assert got == want, k
