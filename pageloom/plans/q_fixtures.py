@@ -27,6 +27,7 @@ FROM region r LEFT JOIN (SELECT n_regionkey, count(*) AS cnt FROM nation GROUP B
   ON r.r_regionkey = c.n_regionkey
 """)
 def q_table_rows(spark, sf):
+    """EXT-5: listing rows below the header, from rendered nation pages."""
     return CA.table_rows(spread(FX.nation_table_pages(spark, sf)))
 
 
@@ -49,6 +50,7 @@ FROM customer
 
 @register("label_value_fields", PROVINCE_SQL)
 def q_label_value_fields(spark, sf):
+    """EXT-6 / S-19: province info boxes, from rendered customer pages."""
     return CA.province_info(spark, spread(FX.province_pages(spark, sf)))
 
 
@@ -60,6 +62,7 @@ def q_label_value_fields_tree(spark, sf):
 
 @register("label_value_fallback", SUB_SQL)
 def q_label_value_fallback(spark, sf):
+    """EXT-7 / SET-3: sub-page info boxes with the table fallback."""
     return CA.sub_info(spark, spread(FX.sub_pages(spark, sf)))
 
 
@@ -70,6 +73,7 @@ UNION ALL BY NAME
 SELECT s.* FROM ({SUB_SQL}) s JOIN customer c ON c.c_custkey = s.page_id WHERE c.c_mktsegment <> 'BUILDING'
 """)
 def q_page_kind_branch(spark, sf):
+    """EXT-8: layout chosen by page kind, branches unioned."""
     return CA.page_kind_branch(spark, spread(FX.mixed_place_pages(spark, sf)))
 
 
@@ -81,6 +85,7 @@ SELECT CAST(p_partkey // 10 AS BIGINT) AS page_id,
 FROM part
 """)
 def q_title_price_rows(spark, sf):
+    """EXT-10: title and price per row, either may be missing."""
     return CA.title_price_rows(spread(FX.price_table_pages(spark, sf)))
 
 
@@ -99,6 +104,7 @@ SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INTEGER) AS pos,
 FROM g WHERE kind <> 'N'
 """)
 def q_layout_fallback(spark, sf):
+    """EXT-11 / SET-3: attraction cards, layout A else B per page."""
     return CA.attraction_cards(spread(FX.attraction_pages(spark, sf)))
 
 
@@ -109,6 +115,7 @@ UNION ALL
 SELECT CAST(page_id AS BIGINT), 2, '{SITE}/list/' || CAST(page_id AS VARCHAR) || '-3' FROM g
 """)
 def q_pager_links(spark, sf):
+    """EXT-12: links of the first pager only."""
     return CA.pager_links(spread(FX.attraction_pages(spark, sf)), SITE)
 
 
@@ -120,6 +127,7 @@ SELECT CAST(p_partkey // 10 AS BIGINT) AS page_id,
 FROM part WHERE p_type <> 'PROMO'
 """)
 def q_product_cards(spark, sf):
+    """EXT-13: product cards with joined, cleaned prices."""
     return CA.product_cards(spread(FX.product_pages(spark, sf)))
 
 
@@ -139,6 +147,7 @@ FROM documents
 
 @register("best_description", _best_sql())
 def q_best_description(spark, sf):
+    """EXT-9: best-description cascade (regular-expression route)."""
     return CA.best_description(spread(FX.article_pages(spark, sf)))
 
 
@@ -185,6 +194,7 @@ SELECT '{SITE}/' || n_name || '-tours/night/d' || CAST(n_nationkey AS VARCHAR) |
        CAST(NULL AS BIGINT), CAST(n_nationkey AS BIGINT) FROM nation
 """)
 def q_nested_list_links(spark, sf):
+    """EXT-14 / JOIN-4: nested group links with parent ids."""
     return TE.group_ids(TE.nested_list_links(spread(FX.region_list_pages(spark, sf)), SITE))
 
 
@@ -207,6 +217,7 @@ SELECT page_id, kind, n_bytes FROM (
 WHERE n_bytes > 20 AND kind IS NOT NULL
 """)
 def q_image_signature(spark, sf):
+    """EXT-16: bodies kept when longer than 20 bytes with an image signature."""
     return BI.image_signature(spread(FX.page_bodies(spark, sf)))
 
 

@@ -49,22 +49,26 @@ FROM ({FIRST_LINKS_SQL}) f
 WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = f.url)
 """)
 def crawl_frontier(spark, sf):
+    """FRN-1 (flagship): one frontier round over all pages; known URLs are the page URLs."""
     pages = _pages(spark, sf)
     return FR.crawl_frontier(pages, pages.select("url"))
 
 
 @register("anchors", f"SELECT page_id, pos, rec.href AS href, rec.text AS text FROM ({NAV_ANCHORS_SQL})")
 def q_anchors(spark, sf):
+    """EXT-1: anchors of the nav block."""
     return EX.block_anchors(_pages(spark, sf)).select("page_id", "pos", "href", "text")
 
 
 @register("page_links", f"SELECT * FROM ({PAGE_LINKS_SQL})")
 def q_page_links(spark, sf):
+    """EXT-2 with FLT-6, S-8, S-9: normalised links of the filter block."""
     return EX.page_links(_pages(spark, sf))
 
 
 @register("first_link_occurrence", f"SELECT * FROM ({FIRST_LINKS_SQL})")
 def q_first_link_occurrence(spark, sf):
+    """WIN-2: first occurrence of every URL in page order."""
     return FR.first_link_occurrence(EX.page_links(_pages(spark, sf)))
 
 
@@ -90,6 +94,7 @@ SELECT url, page_id, pos, anchor_text FROM (
 WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM known k WHERE k.url = b.url)
 """)
 def q_unseen_links(spark, sf):
+    """JOIN-2: links of the https batch not known from the http batch."""
     known, batch = _batches(spark, sf)
     return FR.unseen(FR.first_link_occurrence(batch), known)
 
@@ -100,6 +105,7 @@ SELECT url, page_id, pos, anchor_text FROM batch b
 WHERE EXISTS (SELECT 1 FROM known k WHERE k.url = b.url)
 """)
 def q_already_seen_links(spark, sf):
+    """JOIN-3: links of the https batch already known from the http batch."""
     known, batch = _batches(spark, sf)
     return FR.already_seen(batch, known)
 
@@ -114,6 +120,7 @@ BLOCKS_SQL = f"""
 
 @register("html_blocks", f"SELECT page_id, area, subway, district FROM ({BLOCKS_SQL})")
 def q_html_blocks(spark, sf):
+    """EXT-3: raw HTML of three blocks per page."""
     return EX.html_blocks(_pages(spark, sf)).drop("url")
 
 
@@ -129,6 +136,7 @@ SELECT id, source, pos, rec.text AS anchor_text,
 FROM a WHERE length(rec.text) > 0 AND length(rec.href) > 0
 """)
 def q_fragment_links(spark, sf):
+    """EXT-4 with S-10: anchors of the stored blocks, relative to the page URL."""
     blocks = EX.html_blocks(_pages(spark, sf)).withColumnRenamed("page_id", "id")
     return EX.fragment_links(blocks, ("area", "subway", "district"))
 
@@ -141,12 +149,14 @@ f AS (SELECT page_id, pos, {D.anchors('li')}[1] AS a FROM li)
 SELECT page_id, pos, {D.ws_strip('a.text')} AS item FROM f WHERE a IS NOT NULL
 """)
 def q_list_items(spark, sf):
+    """EXT-15 / SET-2: first link text of every list item over all pages."""
     return EX.list_items(_pages(spark, sf))
 
 
 @register("strip_tags", f"SELECT page_id, {D.strip_tags('html')} AS body_text, "
                         f"{D.strip_tags(D.block('html', 'article'))} AS article_text FROM pages")
 def q_strip_tags(spark, sf):
+    """S-1: page and article text."""
     p = _pages(spark, sf)
     return p.select("page_id", TX.strip_tags("html").alias("body_text"),
                     TX.strip_tags(block("html", "article")).alias("article_text"))
@@ -155,6 +165,7 @@ def q_strip_tags(spark, sf):
 @register("first_text", f"SELECT page_id, {D.first_text(D.first_group('html', H.H1_TEXT_RE))} AS title "
                         f"FROM pages")
 def q_first_text(spark, sf):
+    """S-3: first heading text, cleaned."""
     p = _pages(spark, sf)
     return p.select("page_id", TX.first_text(H.first_group("html", H.H1_TEXT_RE)).alias("title"))
 
@@ -182,6 +193,7 @@ _BH = _between_sql("html", "<h1>", "</h2>", False)
 SELECT page_id, {_BT[0]} AS title, {_BT[1]} AS title_end, {_BH[0]} AS h1_h2, {_BH[1]} AS h1_h2_end FROM pages
 """)
 def q_between_markers(spark, sf):
+    """S-5: text between markers, with and without the markers."""
     p = _pages(spark, sf)
     t = TX.between_markers("html", "<title>", "</title>", strip_flag=True)
     h = TX.between_markers("html", "<h1>", "</h2>")
@@ -194,6 +206,7 @@ SELECT page_id, array_to_string(list_transform(regexp_extract_all({D.block('html
        lambda t: {D.ws_strip('t')}), chr(10)) AS description FROM pages
 """)
 def q_joined_text(spark, sf):
+    """S-6: paragraph texts joined by newlines."""
     p = _pages(spark, sf)
     paras = F.regexp_extract_all(block("html", "article"), F.lit(H.P_TEXT_RE), 1)
     return p.select("page_id", TX.join_lines(F.transform(paras, TX.ws_strip)).alias("description"))
@@ -207,6 +220,7 @@ SELECT page_id, pos, {D.ws_strip('rec.text')} AS anchor_text, {D.lit(SITE)} || {
 FROM ({NAV_ANCHORS_SQL}) WHERE NOT starts_with({D.ws_strip('rec.href')}, 'http')
 """)
 def q_site_relative_links(spark, sf):
+    """S-11: relative links prefixed with a fixed site, absolute ones dropped."""
     return EX.site_links(_pages(spark, sf), SITE)
 
 
@@ -218,6 +232,7 @@ SELECT page_id, raw, CASE WHEN regexp_matches(raw, '\\Ahttps?://') THEN raw ELSE
 FROM (SELECT page_id, {_NO_HTTP} AS raw FROM pages)
 """)
 def q_default_scheme(spark, sf):
+    """S-12: default scheme on scheme-less URLs."""
     p = _pages(spark, sf)
     raw = F.when(F.col("url").startswith("http://"), F.substring("url", 8, 1 << 30)).otherwise(F.col("url"))
     return p.select("page_id", raw.alias("raw")).select("page_id", "raw", U.default_scheme("raw").alias("url"))
@@ -225,11 +240,13 @@ def q_default_scheme(spark, sf):
 
 @register("page_hosts", f"SELECT page_id, {D.host('url')} AS host FROM pages")
 def q_page_hosts(spark, sf):
+    """S-13: netloc of every page URL."""
     return _pages(spark, sf).select("page_id", U.host("url").alias("host"))
 
 
 @register("distinct_url", f"SELECT DISTINCT {D.host('url')} AS host FROM pages WHERE url LIKE 'http://%'")
 def q_distinct_url(spark, sf):
+    """AGG-2: distinct hosts of http pages."""
     p = _pages(spark, sf)
     return p.where(F.col("url").like("http://%")).select(U.host("url").alias("host")).distinct()
 
@@ -242,6 +259,7 @@ SELECT page_id, nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS num_key,
        coalesce(nullif(regexp_extract(url, 'e([0-9]+)', 1), ''), '0') AS e_key FROM pages
 """)
 def q_url_key_extract(spark, sf):
+    """S-15: first captures, NULL or '0' when absent."""
     p = _pages(spark, sf)
     return p.select("page_id", U.first_capture("url", "/([0-9]+)").alias("num_key"),
                     U.first_capture("url", "e([0-9]+)", "0").alias("e_key"))
@@ -253,6 +271,7 @@ SELECT page_id, {D.path_token('url', -2)} AS tok_m2, {D.path_token('url', 1)} AS
        {D.path_token('url', 5)} AS tok_5 FROM pages
 """)
 def q_url_path_tokens(spark, sf):
+    """S-16: path tokens by Python-style index."""
     p = _pages(spark, sf)
     return p.select("page_id", U.path_token("url", -2).alias("tok_m2"), U.path_token("url", 1).alias("tok_1"),
                     U.path_token("url", -1).alias("tok_last"), U.path_token("url", 0).alias("tok_0"),
@@ -261,16 +280,19 @@ def q_url_path_tokens(spark, sf):
 
 @register("slug_clean", "SELECT page_id, replace(replace(url, 'www.', ''), '.example', '') AS slug FROM pages")
 def q_slug_clean(spark, sf):
+    """S-17: substrings removed everywhere."""
     return _pages(spark, sf).select("page_id", U.remove_all(U.remove_all("url", "www."), ".example").alias("slug"))
 
 
 @register("content_md5", "SELECT page_id, md5(html) AS md5 FROM pages")
 def q_content_md5(spark, sf):
+    """S-20: MD5 of every page body."""
     return _pages(spark, sf).select("page_id", F.md5(F.encode("html", "UTF-8")).alias("md5"))
 
 
 @register("links_to_site", f"SELECT * FROM ({PAGE_LINKS_SQL}) WHERE contains(url, '.example.com')")
 def q_links_to_site(spark, sf):
+    """FLT-7: links containing a site marker."""
     return EX.page_links(_pages(spark, sf)).where(F.col("url").contains(".example.com"))
 
 
@@ -282,6 +304,7 @@ FROM pages p LEFT JOIN (SELECT page_id, count(*) AS n FROM ({PAGE_LINKS_SQL}) GR
   ON p.page_id = c.page_id
 """)
 def q_page_outcome(spark, sf):
+    """S-21: per-page done/passed and succ/failed flags."""
     p = _pages(spark, sf)
     return EX.page_outcome(p, EX.page_links(p))
 
@@ -291,6 +314,7 @@ SELECT page_id, tok FROM (SELECT page_id, string_split(substr({_PATH}, 2), '/')[
 WHERE NOT ends_with(tok, 'en')
 """)
 def q_bad_url_shape(spark, sf):
+    """GEN-2 / FLT-8: URL-shape audit."""
     return DV.bad_url_shape(_pages(spark, sf), "en")
 
 
@@ -303,6 +327,7 @@ WHERE EXISTS (SELECT 1 FROM (VALUES {', '.join(f"('{d}')" for d in ALLOWED)}) a(
               WHERE lower({D.host('l.url')}) = a.d OR ends_with(lower({D.host('l.url')}), '.' || a.d))
 """)
 def q_allowed_domain_links(spark, sf):
+    """FLT-11: links on allowed domains or their subdomains."""
     return FL.allowed_domain(EX.page_links(_pages(spark, sf)), ALLOWED, spark)
 
 
@@ -314,6 +339,7 @@ SELECT 'footer' AS source, page_id, pos, rec.href, rec.text FROM (
   FROM (SELECT page_id, {D.anchors(D.block('html', 'footer'))} AS lst FROM pages))
 """)
 def q_union_links(spark, sf):
+    """SET-1: two link lists, tagged, unioned."""
     p = _pages(spark, sf)
     return ST.union_tagged([("nav", EX.block_anchors(p, "nav")), ("footer", EX.block_anchors(p, "footer"))],
                            ["page_id", "pos", "href", "text"])
@@ -340,6 +366,7 @@ SELECT id, inboundfrom, inboundto FROM ({LINK_PAIRS_SQL})
 WHERE inboundfrom = outboundto AND inboundto = outboundfrom AND contains(inboundto, '.example.')
 """)
 def q_reciprocal_links(spark, sf):
+    """FLT-4: reciprocal link-exchange pairs."""
     return FL.reciprocal(DV.link_pairs(_pages(spark, sf)), ".example.")
 
 
@@ -353,6 +380,7 @@ JOIN ({STATUS_SQL}) p
   ON p.url = CASE WHEN regexp_matches(r.inboundfrom, '\\Ahttps?://') THEN r.inboundfrom ELSE 'http://' || r.inboundfrom END
 """)
 def q_backlink_check(spark, sf):
+    """LNK-1 / JOIN-8: backlink verdicts matched/missed/status:N."""
     pages = _pages(spark, sf)
     pairs = FL.reciprocal(DV.link_pairs(pages), ".example.")
     return DV.backlink_check(pairs, DV.with_status(pages))
@@ -364,6 +392,7 @@ FROM ({LINK_PAIRS_SQL}) r
 JOIN pages p ON p.url = CASE WHEN regexp_matches(r.inboundfrom, '\\Ahttps?://') THEN r.inboundfrom ELSE 'http://' || r.inboundfrom END
 """)
 def q_seed_page_join(spark, sf):
+    """JOIN-9: seed rows carried to their pages."""
     pages = _pages(spark, sf)
     seeds = DV.link_pairs(pages).select("id", U.default_scheme("inboundfrom").alias("url"))
     sized = pages.select("page_id", "url", F.length("html").alias("html_chars"))
@@ -378,6 +407,7 @@ SELECT page_id, {D.path_token('path', -2)} AS dgroup,
 FROM (SELECT page_id, {_PATH} AS path FROM pages)
 """)
 def q_url_derived_keys(spark, sf):
+    """GEN-1: group and destination keys from URL paths."""
     return DV.url_derived_keys(_pages(spark, sf))
 
 

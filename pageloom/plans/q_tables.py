@@ -23,6 +23,7 @@ def _t(spark, sf, name):
 
 @register("seed_scan", "SELECT o_orderkey AS id, o_custkey AS pid FROM orders WHERE o_orderstatus = 'P'")
 def q_seed_scan(spark, sf):
+    """SRC-1: projection and predicate reach the scan."""
     return scan(spark, sf, "orders", [F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("pid")],
                 F.col("o_orderstatus") == "P")
 
@@ -32,6 +33,7 @@ SELECT p_partkey, p_name FROM part
 WHERE p_size IN (2, 3) AND p_brand <> '' AND NOT p_name LIKE '%ring'
 """)
 def q_filter_level_suffix(spark, sf):
+    """FLT-1: IN, non-empty and NOT LIKE suffix combined."""
     p = _t(spark, sf, "part")
     return p.where(F.col("p_size").isin(2, 3) & (F.col("p_brand") != "") & ~F.col("p_name").endswith("ring")) \
         .select("p_partkey", "p_name")
@@ -41,6 +43,7 @@ def q_filter_level_suffix(spark, sf):
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 3 AND l_discount <= 0.05
 """)
 def q_filter_numeric(spark, sf):
+    """FLT-2: numeric comparisons."""
     li = _t(spark, sf, "lineitem")
     return li.where((F.col("l_quantity") > 3) & (F.col("l_discount") <= 0.05)) \
         .select("l_orderkey", "l_linenumber", "l_quantity")
@@ -63,6 +66,7 @@ def q_filter_prefix_type(spark, sf):
 SELECT o_orderkey AS id, o_orderdate FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'
 """)
 def q_queue_pending(spark, sf):
+    """FLT-5: queue pick by status and priority."""
     o = _t(spark, sf, "orders")
     return o.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW")) \
         .select(F.col("o_orderkey").alias("id"), "o_orderdate")
@@ -73,6 +77,7 @@ SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, CAST(octet_length(encod
 FROM documents WHERE length(text) > 100 AND octet_length(encode(text)) > 20
 """)
 def q_length_gate(spark, sf):
+    """FLT-9: character and byte length thresholds."""
     d = _t(spark, sf, "documents")
     nb = F.octet_length(F.encode("text", "UTF-8"))
     return d.where((F.length("text") > 100) & (nb > 20)) \
@@ -81,11 +86,13 @@ def q_length_gate(spark, sf):
 
 @register("count_by_key", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def q_count_by_key(spark, sf):
+    """AGG-1: one count per key."""
     return AG.count_by_key(_t(spark, sf, "events"), ["user_id"])
 
 
 @register("distinct_groups", "SELECT DISTINCT p_type, p_brand FROM part")
 def q_distinct_groups(spark, sf):
+    """AGG-3: DISTINCT over two columns."""
     return AG.distinct_rows(_t(spark, sf, "part"), ["p_type", "p_brand"])
 
 
@@ -98,6 +105,7 @@ def q_batch_counts(spark, sf):
 
 @register("limited_seeds", "SELECT o_orderkey AS id, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1000")
 def q_limited_seeds(spark, sf):
+    """SRT-2: ordered limit."""
     o = _t(spark, sf, "orders")
     return SO.top_k(o.select(F.col("o_orderkey").alias("id"), "o_custkey"), ["id"], 1000)
 
@@ -143,6 +151,7 @@ SELECT event_id, event_type FROM events WHERE event_type = 'click'
 UNION ALL SELECT event_id, event_type FROM events WHERE event_type <> 'click' OR event_type IS NULL
 """)
 def q_append_rows(spark, sf):
+    """SNK-1: append by column name."""
     e = _t(spark, sf, "events").select("event_id", "event_type")
     clicks = e.where(F.col("event_type") == "click")
     rest = e.where((F.col("event_type") != "click") | F.col("event_type").isNull())
@@ -228,11 +237,13 @@ def q_line_list(spark, sf):
 
 @register("ws_strip", f"SELECT doc_id, {D.ws_strip('text')} AS stripped FROM documents")
 def q_ws_strip(spark, sf):
+    """S-2: Unicode whitespace strip over whole documents."""
     return _t(spark, sf, "documents").select("doc_id", TX.ws_strip("text").alias("stripped"))
 
 
 @register("collapse_ws", f"SELECT doc_id, {D.collapse_ws('text')} AS collapsed FROM documents")
 def q_collapse_ws(spark, sf):
+    """S-4: whitespace runs collapsed over whole documents."""
     return _t(spark, sf, "documents").select("doc_id", TX.collapse_ws("text").alias("collapsed"))
 
 
@@ -242,6 +253,7 @@ SELECT p_partkey, contains(p_name, p_type) OR contains(p_type, p_name) AS name_t
 FROM part
 """)
 def q_mutual_contains(spark, sf):
+    """S-24: mutual containment."""
     p = _t(spark, sf, "part")
     word = F.split_part("p_name", F.lit(" "), F.lit(2))
     return p.select("p_partkey", TX.mutual_contains("p_name", "p_type").alias("name_type"),
@@ -254,6 +266,7 @@ SELECT p_partkey, len(a) = len(b) AND list_bool_and(list_transform(range(1, len(
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS a, [lower(p_type), split_part(p_name, ' ', 2)] AS b FROM part)
 """)
 def q_arrays_match(spark, sf):
+    """S-25: equal length and containment at every position."""
     p = _t(spark, sf, "part")
     a = F.split("p_name", " ", -1)
     b = F.array(F.lower("p_type"), F.split_part("p_name", F.lit(" "), F.lit(2)))
@@ -262,5 +275,6 @@ def q_arrays_match(spark, sf):
 
 @register("encode_url", f"SELECT p_partkey, 'http://wiki.example.org/wiki/' || {D.url_quote('p_name')} AS url FROM part")
 def q_encode_url(spark, sf):
+    """S-14: names percent-encoded into page URLs."""
     p = _t(spark, sf, "part")
     return p.select("p_partkey", F.concat(F.lit("http://wiki.example.org/wiki/"), U.url_quote("p_name")).alias("url"))

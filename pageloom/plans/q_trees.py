@@ -89,16 +89,19 @@ def _paths(nodes):
 
 @register("hierarchy_paths", hier_sql(HEAP_SQL))
 def q_hierarchy_paths(spark, sf):
+    """HIER-1 on the part heap tree."""
     return _paths(heap_tree(spark, sf))
 
 
 @register("hierarchy_geo", hier_sql(GEO_SQL))
 def q_hierarchy_geo(spark, sf):
+    """HIER-1 on region -> nation -> customer -> orders (orphan orders included)."""
     return _paths(geo_tree(spark, sf))
 
 
 @register("hierarchy_dirty", hier_sql(DIRTY_SQL))
 def q_hierarchy_dirty(spark, sf):
+    """HIER-1 on a scrambled tree: NULL/0 roots, orphans, self-loops, cycles, tails."""
     return _paths(dirty_tree(spark, sf))
 
 
@@ -115,11 +118,13 @@ SELECT 1, '', CAST(coalesce((SELECT sub_count FROM c WHERE pid = 0), 0) AS BIGIN
 
 @register("tree_stats", stats_sql(HEAP_SQL))
 def q_tree_stats(spark, sf):
+    """AGG-5 / HIER-2 on the heap tree."""
     return HI.tree_stats(heap_tree(spark, sf))
 
 
 @register("tree_stats_dirty", stats_sql(DIRTY_SQL))
 def q_tree_stats_dirty(spark, sf):
+    """AGG-5 on the scrambled tree (only nodes reachable from 0)."""
     return HI.tree_stats(dirty_tree(spark, sf))
 
 
@@ -127,6 +132,7 @@ def q_tree_stats_dirty(spark, sf):
 SELECT level, path, sub_count FROM ({stats_sql(HEAP_SQL)}) ORDER BY level, path
 """)
 def q_tree_stats_sorted(spark, sf):
+    """SRT-1: stat rows ordered by numeric level, then path."""
     return HI.tree_stats(heap_tree(spark, sf)).orderBy("level", "path")
 
 
@@ -134,6 +140,7 @@ def q_tree_stats_sorted(spark, sf):
 SELECT printf('%d\t%s\t%d', level, path, sub_count) AS line FROM ({stats_sql(HEAP_SQL)})
 """)
 def q_tree_stat_lines(spark, sf):
+    """SNK-5: stat rows as tab-separated lines."""
     return HI.stat_lines(HI.tree_stats(heap_tree(spark, sf)))
 
 
@@ -143,6 +150,7 @@ SELECT n.pid, n.id, c.n_children FROM n JOIN (SELECT pid, count(*) AS n_children
   ON n.pid = c.pid
 """)
 def q_children_lists(spark, sf):
+    """AGG-4: children per parent in long form with counts."""
     return HI.children(heap_tree(spark, sf))
 
 
@@ -159,6 +167,7 @@ SELECT city_id,
 FROM j GROUP BY city_id
 """)
 def q_path_names(spark, sf):
+    """JOIN-6 / S-23: names of every id of a path, missing ids reported."""
     geo = geo_tree(spark, sf)
     cities = HI.hierarchy_paths(geo).where(F.col("path").isNotNull()).select(F.col("id").alias("city_id"), "path")
     names = geo.where(F.col("id") < 4 * GEO).select(F.col("id").alias("nid"), F.col("name"))
@@ -211,6 +220,7 @@ NATION_PATHS_SQL = ("SELECT n_nationkey, n_name, r_name FROM nation JOIN region
     f"SELECT n_nationkey AS sid, [r_name, n_name] AS names FROM ({NATION_PATHS_SQL})",
     f"SELECT CAST(n_nationkey AS VARCHAR) AS city_id, [r_name, n_name] AS names FROM ({NATION_PATHS_SQL})"))
 def q_first_match(spark, sf):
+    """WIN-1 / JOIN-7: nation paths matched against themselves; smallest id wins."""
     n = read_table(spark, sf, "nation")
     r = read_table(spark, sf, "region")
     np_ = n.join(r, n["n_regionkey"] == r["r_regionkey"])
