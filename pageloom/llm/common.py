@@ -3,7 +3,7 @@ order, and connected components."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pageloom.session import materialize, ship_package
@@ -29,6 +29,11 @@ def python_ready(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def row_key(*columns: str) -> Column:
+    """128 bits that stand for the values of the columns."""
+    return F.struct(F.xxhash64(*columns).alias("x"), F.xxhash64(F.lit(1), *columns).alias("y"))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, chat, exact, mixing, rabitq, simhash, simple8b
+from pageloom.llm import bpe, chat, exact, languages, lines, mixing, ppm, rabitq, simhash, simple8b
 from pageloom.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -59,10 +59,41 @@ def op6(spark, sf_dir):
 @query("op8_simhash")
 def op8(spark, sf_dir):
     """Fingerprint and near-duplicate group of every document: 3-word shingles, 3 bits."""
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3).drop("key")
 
 
 @query("op7_vector_dedup")
 def op7(spark, sf_dir):
     """Links and components of all vectors at cosine 0.98 within their label."""
     return rabitq.vector_links(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("op4_ppm_score")
+def op4(spark, sf_dir):
+    """Log probability of every document under a byte-context model of nine tenths of them."""
+    return ppm.score(table(spark, sf_dir, "documents"), class_col="lang")
+
+
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    """Language of every document from its text, declared language and source."""
+    docs = table(spark, sf_dir, "documents")
+    return languages.identify(docs, languages.fit(docs), declared_col="lang", host_col="source").drop("key")
+
+
+@query("page_language_id")
+def page_language(spark, sf_dir):
+    """Language of every page from its text, markup, address suffix and host
+    (operator 5 on web pages; the text model is fitted on the documents)."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.regexp_extract("html", r"(?i)<html[^>]*\slang=\"([^\"]*)\"", 1).alias("declared"),
+        F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</\1>", " "), "<[^>]*>", " ").alias("text"))
+    model = languages.fit(table(spark, sf_dir, "documents"))
+    return languages.identify(pages, model, "page_id", "text", declared_col="declared", url_col="url").drop("key")
+
+
+@query("op9_line_dedup")
+def op9(spark, sf_dir):
+    """Every document with the lines that occur nowhere earlier."""
+    rows = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "lines", "kept_lines")

@@ -16,8 +16,9 @@ the smallest it reaches there), so a large group never emits all its pairs.
 
 Cases: a null text is the empty text, whose fingerprint is zero and is linked
 like any other; fewer words than a shingle are one shingle; repeated rows are
-copies; a null identifier is the largest; an empty table gives an empty
-table.  Only the id and text columns are read.
+copies; a null identifier is the largest, and rows without one are told apart
+by their text; an empty table gives an empty table.  Only the id and text
+columns are read.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.common import components, python_ready, written
+from pageloom.llm.common import components, python_ready, row_key, written
 
 #: Fingerprints of a block; a block pair compares this many squared.
 BLOCK = 1024
@@ -58,16 +59,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, fp`` (the fingerprint as a signed 64-bit integer)."""
+    """``id``, ``key`` (128 bits that stand for id and text) and ``fp`` (the
+    fingerprint as a signed 64-bit integer) per row."""
     python_ready(docs)
-    rows = docs.select(id_col, text_col)
+    key = row_key(id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("id"), key["x"].alias("x"), key["y"].alias("y"), F.col(text_col).alias("text"))
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], [id_col, "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in batch.column(3).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps)], ["id", "x", "y", "fp"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema[0], T.StructField("fp", T.LongType())]))
+    fields = [*rows.schema.fields[:3], T.StructField("fp", T.LongType())]
+    return rows.mapInArrow(run, T.StructType(fields)).select("id", F.struct("x", "y").alias("key"), "fp")
 
 
 def masks(radius: int, seed: int = SEED) -> list[int]:
@@ -134,13 +138,28 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``id_col, fingerprint`` (16 hex digits)
-    and ``component_id``, the smallest identifier that links reach."""
+    """One row per row of ``docs``: ``id_col, fingerprint`` (16 hex digits),
+    ``component_id``, the smallest identifier that links reach, ``key`` and
+    ``kept``: whether id and text are those of the row that stays."""
     prints = written(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
-    classes = written(prints.groupBy("fp").agg(F.min(id_col).alias("low")), "simhash-classes")
+    at = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("key"))
+    classes = written(prints.groupBy("fp").agg(F.min(at).alias("low")), "simhash-classes")
     parts = components(links(classes.select("fp"), radius), "simhash-links")
     rooted = classes.join(parts, classes["fp"] == parts["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = written(rooted.join(lowest, "root").select("fp", "component_id"), "simhash-named")
-    return prints.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("first"))
+    named = written(rooted.join(lowest, "root").select("fp", "first"), "simhash-named")
+    return prints.join(named, "fp").select(
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("first.id").alias("component_id"), "key", (F.col("key") == F.col("first.key")).alias("kept"))
+
+
+def keep(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, the smallest by
+    identifier (unnamed last) and then by a hash of the text; of rows equal
+    in both, any one."""
+    groups = near_duplicates(docs, shingle, radius, id_col, text_col)
+    stay = written(groups.where("kept").select(F.col("key").alias("__stay")).distinct(), "simhash-stay")
+    keyed = docs.withColumn("__key", row_key(id_col, text_col))
+    kept = keyed.join(stay, F.col("__key") == F.col("__stay"), "left_semi").dropDuplicates(["__key"])
+    return kept.drop("__key")
