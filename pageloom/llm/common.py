@@ -3,6 +3,8 @@ order, and connected components."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,10 +19,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings of the session that hold inside the block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder, read back: the
-    lineage ends there, so a lost executor re-reads files."""
-    return materialize(df, tag)
+    lineage ends there, so a lost executor re-reads files.  The shuffle files
+    of the job that wrote it have served and go, so that a chain of such jobs
+    needs the disk of its largest."""
+    with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return materialize(df, tag)
 
 
 def python_ready(df: DataFrame) -> SparkSession:

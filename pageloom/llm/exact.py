@@ -18,12 +18,10 @@ table gives an empty table.  Only the id and text columns are read.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import written
+from pageloom.llm.common import settings, written
 from pageloom.session import checkpoint_dir, new_run_id
 
 #: Keys over which the rows of one digest are dealt for the comparison of bytes.
@@ -53,21 +51,6 @@ def _rows(table: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(text_col).alias("text"))
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def first_by_digest(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text",
                     checkpoint: str | None = None, bytes_per_batch: int = 1 << 36) -> DataFrame:
     """Run the stream over all files that the parquet table at ``path`` has
@@ -85,7 +68,7 @@ def first_by_digest(spark: SparkSession, path: str, id_col: str = "doc_id", text
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{home}/digests/batch={number}")
 
-    with _settings(spark, STATE):
+    with settings(spark, STATE):
         (seen.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{home}/stream")
          .trigger(availableNow=True).start().awaitTermination())
     return spark.read.parquet(f"{home}/digests").groupBy("digest").agg(F.min("at").alias("at"), F.max("n").alias("n"))
