@@ -28,10 +28,10 @@ the input are handed through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import SPACE, written
+from pageloom.llm.common import SPACE, running_sums, written
 
 #: Words that a line must have to be compared with unequal ones.
 LEAST = 8
@@ -39,40 +39,33 @@ LEAST = 8
 
 def _normal(line: Column) -> Column:
     """The line's words with single spaces between them."""
-    return F.trim(F.regexp_replace(line, rf"{SPACE}{{2,}}|[\x09-\x0D]", " "))
+    odd = F.contains(line, F.lit("  "))
+    for c in "\t\v\f\r":
+        odd = odd | F.contains(line, F.lit(c))
+    # most lines have nothing to replace, which is cheap to see
+    return F.trim(F.when(odd, F.regexp_replace(line, rf"{SPACE}{{2,}}|[\x09-\x0D]", " ")).otherwise(line))
 
 
 def _hashes(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
-def _words(normal: Column) -> Column:
-    return F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit(""))) + 1
-
-
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """``at`` (unnamed, id, hash of the text, line number) and the normalised line."""
+    """Every line's place ``at`` (unnamed, id, hash of the text, line number),
+    number of ``words``, hashes ``k0, k1``, and the hashes of its halves as
+    the shorter (``h0, h1``) and the longer (``h2, h3``) line of a pair."""
     lines = docs.where(F.col("text").isNotNull()).select("id", "hash", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return lines.select(F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "pos").alias("at"),
-                        _normal(F.col("line")).alias("normal")).where("normal <> ''")
-
-
-def _distinct(rows: DataFrame) -> DataFrame:
-    """Different lines: hashes, earliest place, occurrences, and the hashes of
-    their halves as the shorter and as the longer line of a pair."""
-    n = _words(F.col("normal"))
-    counted = rows.withColumn("words", n)
+    rows = lines.select(F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "pos").alias("at"),
+                        _normal(F.col("line")).alias("normal"))
+    rows = rows.withColumn("words", F.length("normal") - F.length(F.replace("normal", F.lit(" "), F.lit(""))) + 1)
 
-    def half(parity: int, sign: int, side: int) -> Column:
-        shorter = F.col("words") - parity
-        part = F.expr(f"substring_index(normal, ' ', {sign} * ((words - {parity}) div 2))")
-        return F.when(F.col("words") >= LEAST, F.xxhash64(shorter, F.lit(side), part))
+    def half(parity: int, side: int) -> Column:
+        part = F.expr(f"substring_index(normal, ' ', {1 - 2 * side} * ((words - {parity}) div 2))")
+        return F.when(F.col("words") >= LEAST, F.xxhash64(F.col("words") - parity, F.lit(side), part))
 
-    keyed = counted.select("at", "words", *[h.alias(f"k{i}") for i, h in enumerate(_hashes(F.col("normal")))],
-                           F.array(half(0, 1, 0), half(0, -1, 1), half(1, 1, 0), half(1, -1, 1)).alias("halves"))
-    flat = keyed.select("at", "words", "k0", "k1", *[F.col("halves")[i].alias(f"h{i}") for i in range(4)])
-    return flat.groupBy("k0", "k1", "words", "h0", "h1", "h2", "h3").agg(
-        F.min("at").alias("at"), F.count(F.lit(1)).alias("times"))
+    return rows.select("at", F.when(F.col("normal") == "", 0).otherwise(F.col("words")).alias("words"),
+                       *[h.alias(f"k{i}") for i, h in enumerate(_hashes(F.col("normal")))],
+                       *[half(i // 2, i % 2).alias(f"h{i}") for i in range(4)])
 
 
 def _candidates(distinct: DataFrame) -> DataFrame:
@@ -84,14 +77,34 @@ def _candidates(distinct: DataFrame) -> DataFrame:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """``v0, v1`` (hashes), ``gone`` (place of the missing word, 0: none) and the line's ``at``."""
-    n = _words(F.col("normal"))
-    each = lines.select("at", "normal", n.alias("n"), F.explode(F.sequence(F.lit(0), n.cast("int"))).alias("gone"))
-    before = F.expr("substring_index(normal, ' ', gone - 1)")
-    after = F.expr("substring_index(normal, ' ', gone - n)")
-    text = (F.when(F.col("gone") == 0, F.col("normal")).when(F.col("gone") == 1, after)
-            .when(F.col("gone") == F.col("n"), before).otherwise(F.concat(before, F.lit(" "), after)))
-    return each.select("at", "gone", *[h.alias(f"v{i}") for i, h in enumerate(_hashes(text))])
+    """``v0, v1`` (hashes), ``gone`` (place of the missing word, 0: none) and
+    the line's ``rank``.  The hash of a word sequence is the exclusive or of
+    hashes of each word with its place, so a variant's is that of the words
+    before the missing one and, one place further down, of those after it:
+    running values, not one pass per variant."""
+    words = lines.repartition("rank").select("rank", F.posexplode(F.split("normal", " ")).alias("place", "word"))
+    placed = words.select("rank", "place", *[F.xxhash64(F.lit(seed), F.col("word"), at).alias(f"{name}{seed}")
+                                             for seed in (0, 1)
+                                             for name, at in (("g", F.col("place")), ("s", F.col("place") - 1))])
+    line = Window.partitionBy("rank")
+    upto = line.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+
+    def xor(column: str, window) -> Column:
+        return F.bit_xor(column).over(window)
+
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = placed.select("rank", "place", *[xor(f"{x}{seed}", w).alias(f"{x}{seed}_{name}") for seed in (0, 1) for x in "gs"
+                                               for name, w in (("upto", upto), ("all", whole))], "g0", "g1")
+
+    def without(seed: int) -> Column:
+        before = F.col(f"g{seed}_upto").bitwiseXOR(F.col(f"g{seed}"))
+        after = F.col(f"s{seed}_all").bitwiseXOR(F.col(f"s{seed}_upto"))
+        return before.bitwiseXOR(after)
+
+    # each word's row gives the variant without it, the first word's also the line itself
+    both = F.array(F.struct((F.col("place") + 1).alias("gone"), without(0).alias("v0"), without(1).alias("v1")),
+                   F.struct(F.lit(0).alias("gone"), F.col("g0_all").alias("v0"), F.col("g1_all").alias("v1")))
+    return running.select("rank", F.inline(F.slice(both, 1, F.when(F.col("place") == 0, 2).otherwise(1))))
 
 
 def within_one_word(left: Column, right: Column) -> Column:
@@ -108,20 +121,23 @@ def within_one_word(left: Column, right: Column) -> Column:
 
 def _near(lines: DataFrame) -> DataFrame:
     """``at`` of the lines (``at, normal``) that have an earlier near copy among them."""
-    variants = written(_variants(lines), "line-variants")
-    by_place = variants.groupBy("v0", "v1", "gone").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("n"))
+    ranked = written(running_sums(lines.withColumn("one", F.lit(1)), [], ["at"], {"rank": "one"}, "line-found"), "line-ranked")
+    variants = _variants(ranked)
+    met = written(variants.groupBy("v0", "v1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("v0", "v1"), "line-met")
+    shared = written(variants.join(met, ["v0", "v1"], "left_semi"), "line-shared")
+    by_place = shared.groupBy("v0", "v1", "gone").agg(F.min("rank").alias("low"), F.count(F.lit(1)).alias("n"))
     by_place = written(by_place, "line-places")
     by_text = by_place.groupBy("v0", "v1").agg(F.min(F.when(F.col("gone") == 0, F.col("low"))).alias("whole"),
                                                F.min(F.when(F.col("gone") > 0, F.col("low"))).alias("part"))
     both = written(by_text.where("whole is not null and part is not null"), "line-texts")
     # changed: the same word gone from both; longer or shorter: one's variant is the other
-    changed = variants.where("gone > 0").join(by_place.where("gone > 0 and n > 1"), ["v0", "v1", "gone"]).select("at", "low")
-    grown = variants.join(both, ["v0", "v1"]).select(
-        "at", F.when(F.col("gone") == 0, F.col("part")).otherwise(F.col("whole")).alias("low"))
-    pairs = changed.unionByName(grown).where(F.col("low") < F.col("at")).groupBy("at", "low").agg(F.lit(1).alias("one"))
-    mine = lines.select("at", F.col("normal").alias("mine"))
-    other = lines.select(F.col("at").alias("low"), F.col("normal").alias("other"))
-    return (pairs.join(mine, "at").join(other, "low")
+    changed = shared.where("gone > 0").join(by_place.where("gone > 0 and n > 1"), ["v0", "v1", "gone"]).select("rank", "low")
+    grown = shared.join(both, ["v0", "v1"]).select(
+        "rank", F.when(F.col("gone") == 0, F.col("part")).otherwise(F.col("whole")).alias("low"))
+    pairs = changed.unionByName(grown).where(F.col("low") < F.col("rank")).groupBy("rank").agg(F.min("low").alias("low"))
+    mine = ranked.select("rank", "at", F.col("normal").alias("mine"))
+    other = ranked.select(F.col("rank").alias("low"), F.col("normal").alias("other"))
+    return (pairs.join(mine, "rank").join(other, "low")
             .where(within_one_word(F.col("mine"), F.col("other"))).select("at").distinct())
 
 
@@ -131,28 +147,32 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.xxhash64(id_col, text_col).alias("hash"))
     texts = whole.select("id", "hash", "text")
-    occurrences = _occurrences(texts)
-    distinct = written(_distinct(occurrences), "line-distinct")
-    chosen = written(_candidates(distinct), "line-chosen")
-    # the candidates' texts, from the documents where they occur first
-    by_doc = chosen.groupBy("at.id", "at.hash").agg(F.collect_set("at.pos").alias("places"))
-    found = texts.join(by_doc.withColumnRenamed("id", "i"), (F.col("id").eqNullSafe(F.col("i"))) & (texts["hash"] == by_doc["hash"]))
-    found = found.select("id", texts["hash"], F.split("text", "\n", -1).alias("parts"), F.explode("places").alias("pos")).select(
+    # lines without a word are left out of the table when it is read, lest the
+    # filter have their words counted twice
+    occurrences = written(_occurrences(texts), "line-occurrences").where("words > 0")
+    distinct = written(occurrences.groupBy("k0", "k1", "words", "h0", "h1", "h2", "h3").agg(
+        F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "line-distinct")
+    # the candidates' texts, from the documents where they occur first.  Joins of
+    # documents are merge joins at every size: what they meet grows with them
+    by_doc = _candidates(distinct).groupBy(F.col("at.id").alias("i"), F.col("at.hash").alias("h")).agg(
+        F.collect_set("at.pos").alias("places"))
+    of_doc = F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h"))
+    found = texts.hint("merge").join(by_doc, of_doc).select(
+        "id", "hash", F.split("text", "\n", -1).alias("parts"), F.explode("places").alias("pos")).select(
         F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "pos").alias("at"),
         _normal(F.element_at("parts", F.col("pos") + 1)).alias("normal")).dropDuplicates(["at"])
-    near = written(_near(written(found, "line-found")), "line-near")
+    near = written(_near(found), "line-near")
     drops = distinct.join(near.withColumn("near", F.lit(True)), "at", "left").select(
         "k0", "k1", F.col("at").alias("first"), "times", F.coalesce("near", F.lit(False)).alias("near"))
     drops = written(drops.where("near or times > 1").select("k0", "k1", "first", "near"), "line-drops")
-    keyed = occurrences.select("at", *[h.alias(f"k{i}") for i, h in enumerate(_hashes(F.col("normal")))])
-    gone = keyed.join(drops, ["k0", "k1"]).where(F.col("near") | (F.col("at") != F.col("first")))
+    gone = occurrences.select("at", "k0", "k1").join(drops, ["k0", "k1"]).where(F.col("near") | (F.col("at") != F.col("first")))
     by_doc = gone.groupBy(F.col("at.id").alias("i"), F.col("at.hash").alias("h")).agg(F.collect_set("at.pos").alias("places"))
-    joined = whole.join(written(by_doc, "line-gone"), F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left")
+    joined = whole.hint("merge").join(by_doc, of_doc, "left")
     parts = F.split("text", "\n", -1)
     holes = F.map_from_entries(F.transform("places", lambda p: F.struct(p.alias("key"), F.lit(True).alias("value"))))
     kept = F.when(F.col("places").isNull(), F.col("text")).otherwise(
         F.array_join(F.filter(parts, lambda _, i: F.try_element_at(F.col("holes"), i).isNull()), "\n"))
-    joined = joined.withColumn("holes", holes)
-    return joined.select(F.col("row").withField(f"`{text_col}`", kept).alias("row"),
-                         F.when(F.col("text").isNotNull(), F.size(parts)).cast("long").alias("lines"),
-                         (F.size(parts) - F.coalesce(F.size("places"), F.lit(0))).cast("long").alias("kept_lines"))
+    lines = F.when(F.col("text").isNotNull(), F.size(parts)).cast("long")
+    return joined.withColumn("holes", holes).select(
+        F.col("row").withField(f"`{text_col}`", kept).alias("row"), lines.alias("lines"),
+        (lines - F.coalesce(F.size("places"), F.lit(0))).alias("kept_lines"))
