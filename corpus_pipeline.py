@@ -41,8 +41,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them (operator 3)."""
     keyed = docs.withColumn("__key", row_key("doc_id", "text"))
-    rated = mixing.quality_of(keyed.select("doc_id", "text", "source", "__key"), table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(rated, "quality_weight", row_col="__key").where("times > 0")
+    mixed = mixing.mix(keyed, table(spark, sf_dir, "labels"), row_col="__key").where("times > 0")
     # rows that repeat share a key; together they are taken as often as all of them
     times = written(mixed.groupBy(F.col("__key").alias("__row")).agg(F.sum("times").cast("int").alias("__times")), "pipeline-times")
     taken = keyed.dropDuplicates(["__key"]).join(times, F.col("__key") == F.col("__row"))

@@ -16,7 +16,7 @@ No source is sorted in one task (``common.running_sums``).
 
 Cases: a null text has size 0; a null source is a source of its own, ordered
 last; a source whose documents are all empty has target 0 and takes nothing;
-null or non-positive quality counts as ``LEAST_QUALITY``; rows that repeat
+a null quality counts as no label; rows that repeat
 are separate documents (equal in key, hence adjacent); an empty table gives an
 empty table.  Only the named columns are read.
 """
@@ -65,16 +65,18 @@ def targets(sizes: DataFrame, share: float = 1.0) -> DataFrame:
         F.least(F.col("cap"), F.coalesce(F.col("weight") * F.col("fill"), F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, quality: str | None = None, share: float = 1.0, seed: int = 0, id_col: str = "doc_id",
+def mix(docs: DataFrame, labels: DataFrame | None = None, share: float = 1.0, seed: int = 0, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``id_col, size, source_size, target,
     times`` (how often the mix takes the document) and ``taken`` (the words
-    that makes).  ``quality`` names a weight column; ``row_col`` a column to
-    hand through, as the link back to the rows."""
-    q = F.coalesce(F.col(quality).cast("double"), F.lit(1.0)) if quality else F.lit(1.0)
+    that makes).  ``labels`` gives the quality weights (:func:`quality_of`),
+    without it all weigh 1; ``row_col`` names a column to hand through, as
+    the link back to the rows.  Texts are only measured, never shuffled."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                       size_in_words(F.col(text_col)).alias("size"), F.greatest(q, F.lit(LEAST_QUALITY)).alias("q"),
+                       size_in_words(F.col(text_col)).alias("size"),
                        F.col(row_col).alias("row") if row_col else F.lit(None).cast("string").alias("row"))
+    rows = quality_of(rows, labels) if labels is not None else rows.withColumn("q", F.lit(1.0))
+    rows = rows.withColumn("q", F.greatest("q", F.lit(LEAST_QUALITY)))
     # a number in (0, 1] from 52 bits of a digest
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("")), "size"))
     unit = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 1) / F.lit(float(1 << 52))
@@ -115,13 +117,10 @@ def _beside(rows: DataFrame, by_source: DataFrame) -> DataFrame:
 SPREAD = 32
 
 
-def quality_of(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with a column ``quality_weight`` from ``labels`` (``doc_id,
+def quality_of(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` (``id``) with a weight ``q`` from ``labels`` (``doc_id,
     quality``): 2 for good, 1/2 for bad, 1 without a label; of several labels
     the mean."""
     by_id = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("labelled")).agg(
         F.avg(F.when(F.col("quality") > 0, 2.0).when(F.col("quality") <= 0, 0.5)).alias("w"))
-    return docs.join(by_id, docs[id_col] == by_id["labelled"], "left").select(
-        *docs.columns, F.coalesce("w", F.lit(1.0)).alias("quality_weight"))
-
-
+    return rows.join(by_id, rows["id"] == by_id["labelled"], "left").select(*rows.columns, F.coalesce("w", F.lit(1.0)).alias("q"))

@@ -45,9 +45,8 @@ def op1(spark, sf_dir):
 @query("op3_mix_sources")
 def op3(spark, sf_dir):
     """All documents mixed to the weights 5, 2, 1 of their sources."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    rated = mixing.quality_of(docs, table(spark, sf_dir, "labels"))
-    return mixing.mix(rated, "quality_weight").select("doc_id", "size", "source_size", "target", "taken", "times")
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "times")
 
 
 @query("op6_exact_dedup")
