@@ -34,6 +34,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # no disk set aside by stores that hold little
 }
 
 
