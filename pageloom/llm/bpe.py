@@ -16,6 +16,7 @@ further columns of any name are ignored.
 from __future__ import annotations
 
 import base64
+from array import array
 from heapq import heappop, heappush
 
 import numpy as np
@@ -48,7 +49,7 @@ class Merger:
 
     def code(self, match: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return np.array(self.merge(match.encode()), dtype="<u4").tobytes()
+        return array("I", self.merge(match.encode())).tobytes()
 
     def merge(self, piece: bytes) -> list[int]:
         ranks = self.ranks

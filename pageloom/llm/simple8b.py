@@ -26,6 +26,7 @@ no rows.  Only the id and text columns are read.
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +45,18 @@ WIDTHS = tuple(60 // c for c in COUNTS)
 ESCAPE = 15
 BLOCK = 4096
 #: A file is closed when it holds this many ids (at its document's end).
-FILE_IDS = 8_000_000
+FILE_IDS = 2_000_000
+
+
+#: Bits of every 16-bit value.
+_SHORT = np.maximum(np.frexp(np.arange(1 << 16, dtype=np.float64))[1], 1).astype(np.uint8)
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    """Bits of each unsigned 64-bit value (1 for 0)."""
-    bits = np.ones(len(values), np.uint8)
-    limit = values.max(initial=0)
-    for k in range(1, 64):
-        if int(limit) >> k == 0:
-            break
-        bits += values >= np.uint64(1 << k)
-    return bits
+    """Bits of each unsigned 64-bit value (1 for 0; above 2^53 it may be one too many)."""
+    if values.max(initial=0) < len(_SHORT):
+        return _SHORT[values]
+    return np.maximum(np.frexp(values.astype(np.float64))[1], 1).astype(np.uint8)
 
 
 def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -66,8 +67,10 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     bits = _bit_lengths(values)
     # widest[p] = most bits among the c values from p; grows with c
-    room = block - np.arange(n, dtype=np.int64) % block
-    room = np.minimum(room, n - np.arange(n, dtype=np.int64))
+    # values from p to its block's end, as far as a word can hold
+    room = np.tile(np.minimum(np.arange(block, 0, -1), COUNTS[0]).astype(np.uint8), -(-n // block))[:n]
+    tail = min(n, COUNTS[0])
+    room[n - tail:] = np.minimum(room[n - tail:], np.arange(tail, 0, -1))
     selector = np.full(n, ESCAPE, np.uint8)
     step = np.ones(n, np.uint8)
     widest, have = bits.copy(), 1
@@ -85,8 +88,8 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
         fits = (widest <= width) & (room[:len(widest)] >= c)
         if not fits.any():
             break  # where more values fit, fewer do
-        selector[:len(widest)][fits] = sel
-        step[:len(widest)][fits] = c
+        np.putmask(selector[:len(widest)], fits, sel)
+        np.putmask(step[:len(widest)], fits, c)
     steps, starts, p = step.tolist(), [], 0
     while p < n:
         starts.append(p)
@@ -182,9 +185,21 @@ def _coder(key: tuple, tokenizer_json: str) -> TextCoder:
         from tokenizers import Tokenizer
         tok = Tokenizer.from_str(tokenizer_json)
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        if "ByteLevel(add_prefix_space=False" in repr(tok.pre_tokenizer) and tok.normalizer is None:
+            # a match is one piece to the model, spelled in the byte-level alphabet:
+            # printable bytes stand for themselves, the others for 256 and up
+            model, plain = tok.model, {*range(33, 127), *range(161, 173), *range(174, 256)}
+            others = [b for b in range(256) if b not in plain]
+            letters = {b: 256 + i for i, b in enumerate(others)}
+
+            def code(match):
+                pieces = model.tokenize(match.encode().decode("latin-1").translate(letters))
+                return array("I", [p.id for p in pieces]).tobytes()
+        else:
+            def code(match):
+                return array("I", tok.encode(match, add_special_tokens=False).ids).tobytes()
         _CODERS.clear()
-        _CODERS[key] = TextCoder(key[1], lambda m: np.array(
-            tok.encode(m, add_special_tokens=False).ids, dtype="<u4").tobytes())
+        _CODERS[key] = TextCoder(key[1], code)
     return _CODERS[key]
 
 

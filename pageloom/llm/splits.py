@@ -33,19 +33,25 @@ class _Memory(dict):
 
 
 class TextCoder:
-    """Codes of whole texts, from a code of one match of ``pattern``.  At
-    most ``remember`` matches and as many parts are remembered; that bounds
-    memory and has no effect on results."""
+    """Codes of whole texts, from a code of one match of ``pattern``, which
+    must take a space with the letters after it (``" ?\\p{L}+"``) and other
+    marks apart from letters, as the byte-level vocabularies' does.  At most
+    ``remember`` parts and as many matches of other parts are remembered;
+    that bounds memory and has no effect on results."""
 
-    def __init__(self, pattern: str, code_match: Callable[[str], bytes], remember: int = 400_000):
-        self.split = regex.compile(pattern).findall
-        self.matches = _Memory(code_match, remember)
+    def __init__(self, pattern: str, code_match: Callable[[str], bytes], remember: int = 1_300_000):
+        self.split, self.code = regex.compile(pattern).findall, code_match
+        self.matches = _Memory(code_match, remember // 4)
         self.parts = _Memory(self._part, remember)
 
     def _whole(self, text: str) -> bytes:
         return b"".join(map(self.matches.__getitem__, self.split(text)))
 
     def _part(self, part: str) -> bytes:
+        if part.isalpha():
+            return self.code(" " + part)  # one match
+        if part[:-1].isalpha() and part[-1] in ",.;:!?":
+            return self.parts[part[:-1]] + self.matches[part[-1]]  # two
         if not part or part[0].isspace() or part[-1].isspace():
             raise _Beside
         return self._whole(" " + part)
