@@ -42,6 +42,8 @@ TABLES = 16
 EPSILON = 4.0
 #: Vectors of a block; a block pair compares this many squared.
 BLOCK = 1024
+#: Rows of a call that compares many cells, and pairs compared at a time.
+CALL_ROWS, PAIRS = 4096, 16384
 
 _ROTATIONS: dict[tuple[int, int], np.ndarray] = {}
 
@@ -70,14 +72,6 @@ def table_keys(signs: np.ndarray) -> np.ndarray:
     return (bits @ (1 << np.arange(KEY_BITS))).astype(np.int32)
 
 
-def estimates(left: tuple, right: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated cosines of all left with all right vectors, and their bounds."""
-    (turned, _, _), (_, signs, factors) = left, right
-    bits = turned.shape[1]
-    bound = EPSILON * np.sqrt((1 - factors ** 2) / factors ** 2 / (bits - 1))
-    return turned @ signs.T / np.sqrt(bits) / factors, np.broadcast_to(bound, (len(turned), len(factors)))
-
-
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
@@ -119,30 +113,47 @@ def vector_links(vectors: DataFrame, threshold: float = 0.98, seed: int = 42, id
                     .join(classes.select("node", "label"), "node"), "vector-keys")
     group = ["label", "dim", "tab", "key"]
     sizes = written(keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                    .select(*group, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "vector-buckets")
+                    .select(*group, "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "vector-buckets")
     shared = keyed.join(sizes, group).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     cells = shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         *group, "node", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
     cells = cells.join(classes.select("node", "v", "copies"), "node")
 
     def compare(cell: pa.Table) -> pa.Table:
-        tab = cell.column("tab")[0].as_py()
-        i, j, mine, node, copies = (cell.column(c).to_numpy() for c in ("i", "j", "mine", "node", "copies"))
         unit = _units(_matrix(cell.column("v")))
-        order = np.lexsort((node, mine))
-        node, copies, mine, unit = node[order], copies[order], mine[order], unit[order]
+        spot, i, j, mine, node, copies, tab = (
+            cell.column(c).to_numpy() for c in ("spot", "i", "j", "mine", "node", "copies", "tab"))
+        order = np.lexsort((node, mine, j, i, spot))
+        spot, i, j, mine, node, copies, tab, unit = (
+            x[order] for x in (spot, i, j, mine, node, copies, tab, unit))
         turned, signs, factors = codes(unit, seed)
-        keys = table_keys(signs)[:, :tab]
-        one, two = np.flatnonzero(mine == i[0]), np.flatnonzero(mine == j[0])
-        count, a, b = np.zeros(len(node), np.int64), [], []
-        for start in range(0, len(one), 256):
-            l = one[start:start + 256]
-            guess, bound = estimates((turned[l], None, None), (None, signs[two], factors[two]))
-            at, to = np.nonzero(guess + bound >= threshold)
-            x, y = l[at], two[to]
-            keep = x < y if i[0] == j[0] else np.ones(len(x), bool)  # within a block each pair once
-            keep &= ~(keys[x] == keys[y]).any(axis=1)  # a pair that met in an earlier table was counted there
-            x, y = x[keep], y[keep]
+        keys = table_keys(signs)
+        turned, signs = turned.astype(np.float32), signs.astype(np.float32)
+        bound = EPSILON * np.sqrt((1 - factors ** 2) / factors ** 2 / (turned.shape[1] - 1))
+        # the rows of a block pair stand together, the first block's before the
+        # second's: a row meets those after it, or if blocks differ the second's
+        n = len(node)
+        new = np.r_[True, (spot[1:] != spot[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+        group = np.cumsum(new) - 1
+        end = np.append(np.flatnonzero(new)[1:], n)[group]
+        second = end - np.bincount(group, weights=mine == j, minlength=group[-1] + 1).astype(np.int64)[group]
+        begin = np.where(i == j, np.arange(n) + 1, second)
+        meets = np.where((i == j) | (mine == i), end - begin, 0)
+        count, a, b = np.zeros(n, np.int64), [], []
+        after = np.cumsum(meets)
+        row = 0
+        while row < n:
+            to = max(row + 1, int(np.searchsorted(after, after[row] - meets[row] + PAIRS, side="right")))
+            x = np.repeat(np.arange(row, to), meets[row:to])
+            y = np.arange(len(x)) - np.repeat(after[row:to] - meets[row:to] - (after[row] - meets[row]), meets[row:to])
+            y += np.repeat(begin[row:to], meets[row:to])
+            row = to
+            guess = np.einsum("ij,ij->i", turned[x], signs[y]) / np.sqrt(turned.shape[1]) / factors[y]
+            near = guess + bound[y] >= threshold
+            x, y = x[near], y[near]
+            # a pair that met in an earlier table was counted there
+            earlier = ((keys[x] == keys[y]) & (np.arange(TABLES) < tab[x][:, None])).any(axis=1)
+            x, y = x[~earlier], y[~earlier]
             exact = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
             x, y = x[exact], y[exact]
             np.add.at(count, x, copies[y])
@@ -155,8 +166,12 @@ def vector_links(vectors: DataFrame, threshold: float = 0.98, seed: int = 42, id
                          "n": np.concatenate([count[linked], np.zeros(len(a), np.int64)]),
                          "low": pa.array(np.concatenate([np.full(len(linked), -1, np.int64), b]))})
 
-    found = written(cells.groupBy(*group, "i", "j").applyInArrow(compare, "node bigint, n bigint, low bigint"),
-                    "vector-links")
+    # many small cells are compared in one call
+    met = sizes.agg(F.coalesce(F.sum(F.col("n") * F.col("blocks")), F.lit(0))).first()[0]
+    spot = F.xxhash64(*group)
+    calls = F.pmod(F.xxhash64(spot, "i", "j"), F.lit(met // CALL_ROWS + 1))
+    found = written(cells.withColumn("spot", spot).withColumn("call", calls).groupBy("dim", "call").applyInArrow(
+        compare, "node bigint, n bigint, low bigint"), "vector-links")
     counts = found.where("low < 0").groupBy("node").agg(F.sum("n").alias("n"))
     parts = components(found.where("low >= 0").select(F.col("node").alias("a"), F.col("low").alias("b")),
                        "vector-components")
