@@ -31,7 +31,34 @@ def op10(spark, sf_dir):
     return simple8b.digests(simple8b.token_files(table(spark, sf_dir, "documents"), *simple8b.default_tokenizer()))
 
 
-@query("op1_chat_format")
+#: A turn's marks are 12 + 1 and 11 characters long; "<", backslashes, "|" gets one backslash more.
+CHAT_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok'
+  FROM (SELECT unnest([0, 1]) AS n)),
+c AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(length(role) + 24 + length(text) + len(regexp_extract_all(text, '<\\*\|'))) AS chars,
+         string_agg(role, ',' ORDER BY turn) AS roles
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(chars AS BIGINT) AS formatted_chars,
+       regexp_full_match(roles, '(system(,user)?|(system,)?user)(,assistant,user)*(,assistant)?')
+         AND NOT regexp_matches(roles, '^system,assistant') AS valid
+FROM c
+"""
+
+EXACT_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept,
+       sha256(body) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY body)
+"""
+
+
+@query("op1_chat_format", CHAT_SQL)
 def op1(spark, sf_dir):
     """All conversations, and one that speaks in control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -49,7 +76,7 @@ def op3(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "times")
 
 
-@query("op6_exact_dedup")
+@query("op6_exact_dedup", EXACT_SQL)
 def op6(spark, sf_dir):
     """Which row of equal texts stays, for every document."""
     return exact.exact_dedup(spark, f"{sf_dir}/documents.parquet")
