@@ -54,11 +54,6 @@ def q_label_value_fields(spark, sf):
     return CA.province_info(spark, spread(FX.province_pages(spark, sf)))
 
 
-@register("label_value_fields_tree", PROVINCE_SQL)
-def q_label_value_fields_tree(spark, sf):
-    """EXT-6 through the element-tree route; must equal the regex route."""
-    return TE.province_info_tree(spread(FX.province_pages(spark, sf)))
-
 
 @register("label_value_fallback", SUB_SQL)
 def q_label_value_fallback(spark, sf):
@@ -151,11 +146,6 @@ def q_best_description(spark, sf):
     return CA.best_description(spread(FX.article_pages(spark, sf)))
 
 
-@register("best_description_tree", _best_sql())
-def q_best_description_tree(spark, sf):
-    """EXT-9 through the element-tree route; must equal the regex route."""
-    return TE.best_description_tree(spread(FX.article_pages(spark, sf)))
-
 
 @register("enrich_from_pages", f"""
 WITH poi AS (SELECT p_partkey AS id FROM part
