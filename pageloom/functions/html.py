@@ -16,15 +16,16 @@ from pageloom.functions.text import html_unescape_basic
 from pageloom.functions.util import col_of
 
 # one anchor: its start tag and its content up to the next anchor start or
-# end tag (anchors do not nest, so an unclosed one ends at the next anchor)
-ANCHOR_RE = r"(?i)<a\b[^>]*>(?:[^<]|<[^a/]|</[^a]|<a[^\t\n\f\r >]|</a[^\t\n\f\r >])*"
+# end tag (anchors do not nest, so an unclosed one ends at the next anchor).
+# No repeated group: the regex engine would recurse once per character
+ANCHOR_RE = r"(?is)<a\b[^>]*>.*?(?=</?a[\t\n\f\r >]|\z)"
 # inline child elements removed with their content before direct text nodes are read
 INLINE_CHILD_RES = (r"(?is)<b\b[^>]*>.*?</b>", r"(?is)<strong\b[^>]*>.*?</strong>",
                     r"(?is)<span\b[^>]*>.*?</span>", r"(?is)<i\b[^>]*>.*?</i>",
                     r"(?is)<em\b[^>]*>.*?</em>", r"(?is)<font\b[^>]*>.*?</font>")
 TAG_ANY_RE = r"<[^>]*>"
-HREF_RE = r"(?i)\bhref\s*=\s*[\"']([^\"']*)[\"']"
-LI_RE = r"(?is)<li\b[^>]*>.*?</li>"
+# a value in double quotes, in single quotes or bare, one group each
+HREF_RE = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
 
 def attr_re(attr: str) -> str:
@@ -75,15 +76,10 @@ def anchors(fragment) -> Column:
     absent), entities decoded."""
     found = F.regexp_extract_all(col_of(fragment), F.lit(ANCHOR_RE), 0)
     return F.transform(found, lambda m: F.struct(
-        html_unescape_basic(F.regexp_extract(F.substring_index(m, ">", 1), HREF_RE, 1)).alias("href"),
+        html_unescape_basic(F.concat(*[F.regexp_extract(F.substring_index(m, ">", 1), HREF_RE, i) for i in (1, 2, 3)])).alias("href"),
         html_unescape_basic(first_direct_text(F.substring(m, F.instr(m, ">") + 1, 1 << 30))).alias("text")))
 
 
-def attribute_values(fragment, attr: str) -> Column:
-    """Every value of one attribute in a fragment (``array<string>``)."""
-    return F.regexp_extract_all(col_of(fragment), F.lit(attr_re(attr)), 1)
-
-
 def texts(fragment) -> Column:
     """Direct text nodes of a fragment's top level are not tracked by
     regular expressions; this gives every non-empty text run between tags."""

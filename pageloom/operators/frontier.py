@@ -49,8 +49,7 @@ def crawl_frontier(pages: DataFrame, known: DataFrame, tag: str = "nav",
                         F.lit(flag).alias("flag"))
 
 
-def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 10_000,
-                      compact_every: int = 16) -> DataFrame:
+def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, compact_every: int = 16) -> DataFrame:
     """FRN-2: repeat the frontier round until no new node appears.
     ``edges(src, dst)``, ``seeds(node)``; returns ``node, depth`` with the
     round in which each node was first reached (link depth).
@@ -63,6 +62,7 @@ def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 10_0
     ``compact_every`` rounds to keep the plan small.  The emptiness test is
     an observation on the round's own write."""
     from functools import reduce
+    from itertools import count
 
     from pageloom.session import materialize, new_run_id
     run = new_run_id()
@@ -70,7 +70,7 @@ def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 10_0
     parts = [materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "fixpoint",
                          slot=f"{run}-r0")]
     frontier = parts[0].select("node")
-    for depth in range(1, max_rounds + 1):
+    for depth in count(1):  # as deep as the links go
         seen = reduce(DataFrame.unionByName, parts).select("node")
         reached = frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
         obs = Observation()
@@ -82,4 +82,3 @@ def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, max_rounds: int = 10_0
         frontier = new.select("node")
         if len(parts) > compact_every:
             parts = [materialize(reduce(DataFrame.unionByName, parts), "fixpoint", slot=f"{run}-c{depth}")]
-    raise RuntimeError("frontier did not reach a fixpoint; raise max_rounds")

@@ -20,6 +20,7 @@ settled leave the loop in that round.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def _settled(tables):
     return reduce(DataFrame.unionByName, [t.where(F.col("status").isNotNull()) for t in tables])
 
 
-def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: int = 64) -> DataFrame:
+def hierarchy_paths(nodes: DataFrame, name_col: str | None = None) -> DataFrame:
     """HIER-1: ``id, pid, path, level, status, root_pid`` (+ ``name_path``
     when ``name_col`` is given).  ``path`` lists ids root-first joined by
     ``|``; a root (pid 0 or NULL) has path ``id`` and level 1.  Orphans keep
@@ -99,11 +100,9 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None, max_rounds: i
     # The unsettled count is observed while each table is written (no extra
     # job).  A stage re-run after a lost executor may count twice; only
     # "zero or not" is used, which that cannot change.
-    for i in range(2, max_rounds + 2):
+    for i in count(2):  # each round doubles the chains covered, so this ends
         if obs.get["active"] == 0:
             break
-        if i > max_rounds:
-            raise RuntimeError("hierarchy did not settle; raise max_rounds")
         active = tables[-1].where(F.col("status").isNull())
         # latest state of every node: settled rows of the older tables plus
         # the whole latest table (its settled and its still-active rows)

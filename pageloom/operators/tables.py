@@ -38,11 +38,28 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str], order: Seq
     return old.unionByName(fresh.select(*cols))
 
 
-def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+def one_change(changes: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One change row per key.  With ``order`` (columns that say which change
+    came later; not part of the result) the changes are applied in sequence:
+    per column the last non-NULL value.  Without it the row with the smallest
+    values stays, whole.  Either is a partial aggregate."""
+    cols = [c for c in changes.columns if c not in key and c not in order]
+    if not cols:
+        return changes.select(*key).distinct()
+    if order:
+        later = F.struct(*[F.col(c) for c in order])
+        return changes.groupBy(*key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), later)).alias(c) for c in cols])
+    picked = changes.groupBy(*key).agg(F.min(F.struct(*cols)).alias("_c"))
+    return picked.select(*key, *[F.col(f"_c.{c}").alias(c) for c in cols])
+
+
+def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """SNK-3: insert new keys; for existing keys overwrite only the columns
-    the change row supplies (non-NULL).  ``new`` may lack columns, which
-    then count as absent.  One full outer join on the key."""
+    the change row supplies (non-NULL).  ``new`` may lack columns, which then
+    count as absent, and may repeat keys (:func:`one_change`).  One full
+    outer join on the key."""
     key = list(key)
+    new = one_change(new, key, list(order))
     o, n = old.alias("o"), new.alias("n")
     j = o.join(n, key, "full_outer")
     cols = []
@@ -56,16 +73,16 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     return j.select(*cols)
 
 
-def keyed_update(old: DataFrame, changes: DataFrame, key: Sequence[str], unique: bool = False) -> DataFrame:
+def keyed_update(old: DataFrame, changes: DataFrame, key: Sequence[str], unique: bool = False,
+                 order: Sequence[str] = ()) -> DataFrame:
     """SNK-4: ``UPDATE t SET ... WHERE key = ...``: stored rows whose key is
     in ``changes`` take its non-NULL columns; keys not stored are ignored.
     Unless the caller knows the change keys are unique (``unique``),
-    ``changes`` is de-duplicated on the key first (a last writer would be
-    arbitrary; the smallest values win deterministically)."""
+    ``changes`` is reduced to one row per key first (:func:`one_change`)."""
     key = list(key)
-    upd = [c for c in changes.columns if c not in key]
-    ch = (changes if unique else changes.groupBy(*key).agg(*[F.min(c).alias(c) for c in upd])).alias("n")
-    j = old.alias("o").join(ch, key, "left")
+    ch = changes.drop(*order) if unique else one_change(changes, key, list(order))
+    upd = [c for c in ch.columns if c not in key]
+    j = old.alias("o").join(ch.alias("n"), key, "left")
     return j.select(*[F.col(c) if c in key else
                       (F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) if c in upd else F.col(f"o.{c}").alias(c))
                       for c in old.columns])

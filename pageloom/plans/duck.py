@@ -12,6 +12,10 @@ from pageloom.functions import html as H
 from pageloom.functions import text as T
 from pageloom.functions import urls as U
 
+# the oracle's own statement of an anchor and its link (quoted values)
+ANCHOR_RULE = r"(?i)<a\b[^>]*>(?:[^<]|<[^a/]|</[^a]|<a[^\t\n\f\r >]|</a[^\t\n\f\r >])*"
+HREF_RULE = r"(?i)\shref\s*=\s*[\"']([^\"']*)[\"']"
+
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -71,9 +75,9 @@ def first_direct_text(x: str) -> str:
 
 def anchors(frag: str) -> str:
     """list of struct(href, text), same rule as ``functions.html.anchors``."""
-    href = unescape(f"regexp_extract(split_part(m, '>', 1), {lit(H.HREF_RE)}, 1)")
+    href = unescape(f"regexp_extract(split_part(m, '>', 1), {lit(HREF_RULE)}, 1)")
     text = unescape(first_direct_text("substr(m, strpos(m, '>') + 1)"))
-    return (f"list_transform(regexp_extract_all({frag}, {lit(H.ANCHOR_RE)}, 0), "
+    return (f"list_transform(regexp_extract_all({frag}, {lit(ANCHOR_RULE)}, 0), "
             f"lambda m: {{'href': {href}, 'text': {text}}})")
 
 
