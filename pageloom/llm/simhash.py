@@ -4,7 +4,7 @@ A document's fingerprint has 64 bits, one by the majority of the hashes of
 its word shingles.  Two fingerprints that differ in at most r bits are found
 by masks: every bit position gets a vector of r + 1 bits, and for each of the
 2^(r+1) - 1 non-zero vectors there is a mask of the positions whose vector
-has an even product with it.  The vectors of r positions always leave some
+has an odd product with it.  The vectors of r positions always leave some
 non-zero vector that is orthogonal to all of them, so for any r differing
 bits some mask covers none of them: every pair within the radius agrees
 under a mask, and none is lost.
@@ -82,7 +82,7 @@ def masks(radius: int, seed: int = SEED) -> list[int]:
     random.Random(seed).shuffle(vectors)
     out = []
     for v in range(1, 1 << dim):
-        mask = sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2 == 0)
+        mask = sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2)
         out.append(mask - (1 << 64) if mask >> 63 else mask)
     return out
 
