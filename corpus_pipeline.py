@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pageloom.llm import bpe, languages, lines, mixing, simhash
 from pageloom.llm.common import row_key, table, written
 
-#: SQL can't express the text model, the hashes of the shingles or the merges; tests/llm/test_pipeline.py compares with brute force.
+#: SQL can't express the text model, the hashes of the shingles or the merges;
+#: tests/llm/test_pipeline.py checks every stage on a small table.
 ORACLE_SQL = None
 
 
