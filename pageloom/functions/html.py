@@ -77,7 +77,7 @@ def anchors(fragment) -> Column:
     found = F.regexp_extract_all(col_of(fragment), F.lit(ANCHOR_RE), 0)
     return F.transform(found, lambda m: F.struct(
         html_unescape_basic(F.concat(*[F.regexp_extract(F.substring_index(m, ">", 1), HREF_RE, i) for i in (1, 2, 3)])).alias("href"),
-        html_unescape_basic(first_direct_text(F.substring(m, F.instr(m, ">") + 1, 1 << 30))).alias("text")))
+        html_unescape_basic(first_direct_text(F.substr(m, F.instr(m, ">") + 1))).alias("text")))
 
 
 def texts(fragment) -> Column:

@@ -79,7 +79,7 @@ def between_markers(c, former: str, latter: str, pos: int = 0,
     else:
         start = F.lit(0)
     if latter:
-        idx = F.instr(F.substring(s, start + lf + 1, 1 << 30), latter)     # 1-based in the rest
+        idx = F.instr(F.substr(s, start + lf + 1), latter)     # 1-based in the rest
         stop = F.when((start >= 0) & (idx > 0), idx - 1 + start + lf).otherwise(-1)  # 0-based
         end_pos = stop + ll
     else:

@@ -35,7 +35,7 @@ def url_derived_keys(rows: DataFrame, url_col: str = "url", id_col: str = "page_
 def bad_url_shape(rows: DataFrame, suffix: str, url_col: str = "url", id_col: str = "page_id") -> DataFrame:
     """GEN-2 / FLT-8: rows whose first path token does not end with
     ``suffix`` (URL-shape audit)."""
-    tok = path_token(F.substring(url_path(url_col), 2, 1 << 30), 0)
+    tok = path_token(F.substr(url_path(url_col), F.lit(2)), 0)
     return rows.select(id_col, tok.alias("tok")).where(~F.col("tok").endswith(suffix))
 
 
@@ -43,7 +43,7 @@ def link_pairs(pages: DataFrame) -> DataFrame:
     """Link-exchange rows derived from every page (fixture rule): the source
     URL without an ``http://`` scheme, the expected target is the host for
     '#top' pages and host+path otherwise, https pages are reciprocal."""
-    no_http = F.when(F.col("url").startswith("http://"), F.substring("url", 8, 1 << 30)).otherwise(F.col("url"))
+    no_http = F.when(F.col("url").startswith("http://"), F.substr("url", F.lit(8))).otherwise(F.col("url"))
     target = F.when(F.col("url").endswith("#top"), host("url")).otherwise(F.concat(host("url"), url_path("url")))
     return pages.select(F.col("page_id").alias("id"), no_http.alias("inboundfrom"), target.alias("inboundto"),
                         F.when(F.col("url").startswith("https:"), target).otherwise(F.lit("")).alias("outboundfrom"),

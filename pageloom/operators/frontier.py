@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pageloom.operators.extract import page_links
 from pageloom.operators.windows import first_by
+from pageloom.session import materialize, new_run_id
 
 
 def first_link_occurrence(links: DataFrame) -> DataFrame:
@@ -30,8 +31,17 @@ def unseen(links: DataFrame, known: DataFrame, key: str = "url") -> DataFrame:
 
 
 def already_seen(links: DataFrame, known: DataFrame, key: str = "url") -> DataFrame:
-    """JOIN-3: the complement of :func:`unseen` (semi join)."""
-    return links.join(known.select(key).distinct(), key, "left_semi")
+    """JOIN-3: the complement of :func:`unseen` (semi join).  ``links`` may
+    hold a key many times: the distinct known keys are written first, so that
+    the join has two plain inputs and a hot key of ``links`` is split."""
+    return links.join(materialize(known.select(key).distinct(), "known"), key, "left_semi")
+
+
+def unmatched(rows: DataFrame, catalogue: DataFrame, key: str) -> DataFrame:
+    """JOIN-4's report: every key of ``rows`` that the catalogue lacks, with
+    the number of rows that the lookup drops for it."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(catalogue.select(key), key, "left_anti")
 
 
 def seed_pages(seeds: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
@@ -64,7 +74,6 @@ def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, compact_every: int = 1
     from functools import reduce
     from itertools import count
 
-    from pageloom.session import materialize, new_run_id
     run = new_run_id()
     e = edges.select("src", "dst")
     parts = [materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "fixpoint",

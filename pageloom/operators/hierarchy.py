@@ -124,10 +124,13 @@ def hierarchy_paths(nodes: DataFrame, name_col: str | None = None) -> DataFrame:
 
 def children(nodes: DataFrame) -> DataFrame:
     """AGG-4: the children of every parent in long form (``pid, id``) with
-    the child count.  The count is a partial aggregate, so a parent with a
-    third of all rows below it is never gathered into one task or one list."""
-    counts = nodes.groupBy("pid").agg(F.count(F.lit(1)).alias("n_children"))
-    return nodes.select("pid", "id").join(counts, "pid")
+    the child count; rows without a parent are the children of NULL.  The
+    count is a partial aggregate and is written first, so that the join back
+    has two plain inputs and a parent with a third of all rows below it is
+    split (skew joins are not split above an aggregate)."""
+    counts = materialize(nodes.groupBy(F.col("pid").alias("cpid")).agg(F.count(F.lit(1)).alias("n_children")), "children")
+    rows = nodes.select("pid", "id")
+    return rows.join(counts, F.col("pid").eqNullSafe(F.col("cpid"))).drop("cpid")
 
 
 def tree_stats(nodes: DataFrame, paths: DataFrame | None = None) -> DataFrame:

@@ -4,15 +4,16 @@ Two name paths match when they have equal length and at every level one
 name contains the other.  Each left row takes the matching right row with
 the smallest id; unmatched left rows are reported.
 
-No pairs are enumerated per size class.  Containment is turned into
-equality on a blocking level ``k`` -- the deepest level where the left
-name is non-empty: a right row can only match if its level-``k`` name
-contains the left one (left name equals one of the right name's
-substrings) or is contained in it (right name equals one of the left
-name's substrings).  Both directions are equi joins on ``(size, k,
-text)``; candidates are then verified at every level.  Left rows whose
-names are all empty match every right row of their size; their winner is
-the per-size minimum, an aggregate, so no pairs are built for them either.
+No pairs are enumerated per size class.  A path's form says at which levels
+its names are non-empty; the forms that occur are few.  For a pair of forms
+the deepest level that is non-empty in both is the blocking level, where
+containment is turned into equality: the right name contains the left one
+(left name equals one of the right name's substrings) or is contained in it
+(right name equals one of the left name's substrings).  Both directions are
+equi joins on ``(forms, text)`` and no text is empty; candidates are then
+verified at every level.  Two forms without a common non-empty level match
+in all their rows; their winner is the smallest id of the right form, an
+aggregate, so no pairs are built for them either.
 """
 
 from __future__ import annotations
@@ -21,28 +22,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import arrays_match
-
-
-def substrings(c: Column) -> Column:
-    """All distinct substrings of a string, the empty one included."""
-    n = F.length(c)
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.transform(F.sequence(F.lit(0), n - i + 1), lambda ln: F.substring(c, i, ln))))
-    return F.array_distinct(F.array_union(subs, F.array(F.lit(""))))
+from pageloom.session import materialize
 
 
 def substrings_of_length(c: Column, ln: Column) -> Column:
-    """Distinct substrings of one length (the empty string for length 0;
-    none when the string is shorter)."""
+    """Distinct substrings of one length (none when the string is shorter)."""
     n = F.length(c)
-    return F.when(ln == 0, F.array(F.lit(""))).when(ln > n, F.array().cast("array<string>")).otherwise(
+    return F.when(ln > n, F.array().cast("array<string>")).otherwise(
         F.array_distinct(F.transform(F.sequence(F.lit(1), n - ln + 1), lambda i: F.substring(c, i, ln))))
 
 
-def _deepest_non_empty(names: Column) -> Column:
-    idx = F.transform(names, lambda x, i: F.when(F.length(x) > 0, i + 1))
-    return F.array_max(idx)
+def _filled(names: Column) -> Column:
+    """Per level, whether the name is non-empty."""
+    return F.transform(names, lambda x: F.length(x) > 0)
+
+
+def _paths(df: DataFrame, names: str) -> DataFrame:
+    """Rows whose names can match at all: a NULL name matches nothing."""
+    return df.where(F.col(names).isNotNull() & ~F.exists(names, lambda x: x.isNull()))
 
 
 def fuzzy_path_match(left: DataFrame, right: DataFrame, left_key: str = "sid",
@@ -52,45 +49,44 @@ def fuzzy_path_match(left: DataFrame, right: DataFrame, left_key: str = "sid",
     unmatched) and ``matched``.
 
     Substrings are only generated for lengths that occur on the other side
-    at the same (size, level): equal strings have equal lengths.  The length
-    tables are distinct (size, level, length) triples, bounded by the name
-    lengths, not by the row counts."""
+    under the same forms: equal strings have equal lengths.  The tables of
+    forms and of lengths are bounded by the depth of the paths and the
+    lengths of the names, not by the row counts."""
     # Copies collapse first: equal name paths share one result, and among
     # equal right paths only the smallest id can win.  A path held by a
     # third of all rows is then one row on each side, not a third of pairs.
-    path_key = lambda c: F.array_join(c, "\u0001", "\u0002")
-    left_rows = left.select(F.col(left_key).alias("sid_"), path_key(F.col("names")).alias("pk"))
-    L = left.select(path_key(F.col("names")).alias("lk"), F.col("names").alias("lnames")) \
-        .dropDuplicates(["lk"]) \
-        .withColumn("lsize", F.size("lnames")).withColumn("k", _deepest_non_empty(F.col("lnames")))
-    R = right.groupBy(F.col("names").alias("rnames")).agg(F.min(F.col(right_key)).alias("rk")) \
-        .withColumn("rsize", F.size("rnames"))
-
-    blocked = L.where(F.col("k").isNotNull()).withColumn("txt", F.element_at("lnames", F.col("k")))
-    r_lvl = R.select("rk", "rnames", F.col("rsize").alias("lsize"),
-                     F.posexplode("rnames").alias("lvl0", "rname")) \
-        .select("rk", "rnames", "lsize", (F.col("lvl0") + 1).alias("k"), "rname")
-    left_lens = blocked.select("lsize", "k", F.length("txt").alias("ln")).distinct()
-    right_lens = r_lvl.select("lsize", "k", F.length("rname").alias("ln")).distinct()
+    left_rows = left.select(F.col(left_key).alias("sid_"), "names")
+    # Both are written: each is read several times below.
+    L = materialize(_paths(left.select(F.col("names").alias("lnames")).distinct(), "lnames")
+                    .withColumn("lform", _filled(F.col("lnames"))), "match-left")
+    R = materialize(_paths(right.groupBy(F.col("names").alias("rnames")).agg(F.min(F.col(right_key)).alias("rk")), "rnames")
+                    .withColumn("rform", _filled(F.col("rnames"))), "match-right")
+
+    lforms = L.select("lform", F.size("lform").alias("n")).distinct()
+    rforms = R.groupBy("rform").agg(F.min("rk").alias("lowest")).withColumn("n", F.size("rform"))
+    both = F.zip_with("lform", "rform", lambda a, b: a & b)
+    forms = materialize(lforms.join(rforms, "n").select(
+        "lform", "rform", "lowest", F.array_max(F.transform(both, lambda x, i: F.when(x, i + 1))).alias("k")), "match-forms")
+
+    # forms without a common non-empty level: all their rows match, the smallest id wins
+    free = L.join(forms.where(F.col("k").isNull()), "lform").select("lnames", F.col("lowest").alias("rk"))
+
+    shared = forms.where(F.col("k").isNotNull()).select("lform", "rform", "k")
+    by = ["lform", "rform"]
+    lt = L.join(shared, "lform").select("lnames", *by, F.element_at("lnames", F.col("k")).alias("txt"))
+    rt = R.join(shared, "rform").select("rk", "rnames", *by, F.element_at("rnames", F.col("k")).alias("txt"))
+    left_lens = lt.select(*by, F.length("txt").alias("ln")).distinct()
+    right_lens = rt.select(*by, F.length("txt").alias("ln")).distinct()
 
     # a) the right name contains the left one: right substrings of the left lengths
-    r_subs = r_lvl.join(left_lens, ["lsize", "k"]) \
-        .select("rk", "rnames", "lsize", "k", F.explode(substrings_of_length(F.col("rname"), F.col("ln"))).alias("txt"))
-    a = blocked.select("lk", "lnames", "lsize", "k", "txt").join(r_subs, ["lsize", "k", "txt"]) \
-        .select("lk", "lnames", "rk", "rnames")
+    r_subs = rt.join(left_lens, by).withColumn("txt", F.explode(substrings_of_length(F.col("txt"), F.col("ln"))))
+    a = lt.join(r_subs, [*by, "txt"]).select("lnames", "rk", "rnames")
     # b) the left name contains the right one: left substrings of the right lengths
-    l_subs = blocked.join(right_lens, ["lsize", "k"]) \
-        .select("lk", "lnames", "lsize", "k", F.explode(substrings_of_length(F.col("txt"), F.col("ln"))).alias("txt"))
-    b = l_subs.join(r_lvl.select("rk", "rnames", "lsize", "k", F.col("rname").alias("txt")), ["lsize", "k", "txt"]) \
-        .select("lk", "lnames", "rk", "rnames")
-
-    cand = a.unionByName(b).where(arrays_match(F.col("lnames"), F.col("rnames")))
-    win_blocked = cand.groupBy("lk").agg(F.min("rk").alias("winner"))
-
-    per_size = R.groupBy("rsize").agg(F.min("rk").alias("winner"))
-    win_empty = L.where(F.col("k").isNull()).join(per_size, F.col("lsize") == F.col("rsize")) \
-        .select("lk", "winner")
-    winners = win_blocked.unionByName(win_empty).withColumnRenamed("lk", "pk")
-    return (left_rows.join(winners, "pk", "left")
+    l_subs = lt.join(right_lens, by).withColumn("txt", F.explode(substrings_of_length(F.col("txt"), F.col("ln"))))
+    b = l_subs.join(rt, [*by, "txt"]).select("lnames", "rk", "rnames")
+
+    cand = a.unionByName(b).where(arrays_match(F.col("lnames"), F.col("rnames"))).select("lnames", "rk")
+    winners = cand.unionByName(free).groupBy("lnames").agg(F.min("rk").alias("winner"))
+    return (left_rows.join(winners, F.col("names").eqNullSafe(F.col("lnames")), "left")
             .select(F.col("sid_").alias(left_key), F.col("winner").alias(right_key),
                     F.col("winner").isNotNull().alias("matched")))

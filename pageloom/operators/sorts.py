@@ -1,42 +1,45 @@
 """Ordered limits (SRT-2) that stay distributed for large k.
 
-``orderBy(...).limit(k)`` plans as ``TakeOrderedAndProject``: every partition
-keeps its own top k and one task merges k x (number of partitions) rows.
-For a batch cap of 300,000 over a 100 TB table that single task would see
-billions of rows.  ``top_k`` first cuts the input with a cutoff on the
-leading (numeric) key taken from ``percentile_approx``, whose rank error is
-bounded by ``n / accuracy``; the cutoff rank is raised by that bound so at
-least k rows always pass, and the exact ordered limit then runs over those
-few candidates only.  The result equals ``orderBy(order).limit(k)``.
+``orderBy(...).limit(k)`` keeps the first k rows of every partition and one
+task merges k x (number of partitions) of them.  ``top_k`` first counts the
+rows in equal steps of the leading key (a partial aggregate with a bounded
+number of groups); the step in which the k-th row lies bounds the rows that
+can be among the first k, and only those are ordered.  One plan for every
+size; the result equals ``orderBy(order).limit(k)``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def top_k(df: DataFrame, order: Sequence[str], k: int, accuracy: int = 1_000_000,
-          small: int = 10_000) -> DataFrame:
-    """Exact first ``k`` rows by ``order`` (ascending; ``order[0]``
-    numeric, date or timestamp, non-null rows first as ``orderBy`` puts
-    nulls first).  Small ``k`` uses the plain ordered limit."""
+
+def _as_double(df: DataFrame, name: str) -> Column:
+    c = F.col(name)
+    return (c.cast("timestamp") if isinstance(df.schema[name].dataType, _TIMES) else c).cast("double")
+
+
+def top_k(df: DataFrame, order: Sequence[str], k: int, steps: int = 4096) -> DataFrame:
+    """Exact first ``k`` rows by ``order`` (ascending, nulls first;
+    ``order[0]`` numeric, date or timestamp).  At most ``steps + 2`` counts
+    reach the driver."""
     order = list(order)
-    if k <= small:
-        return df.orderBy(*order).limit(k)
-    key = order[0]
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("nn")).first()
-    n, non_null = stats["n"], stats["nn"]
-    nulls = n - non_null
-    if n <= k or nulls >= k:
-        return df.orderBy(*order).limit(k)
-    # rows needed from the non-null part, plus the sketch's rank error
-    need = k - nulls
-    q = min(1.0, (need + 2.0 * non_null / accuracy + 1) / non_null)
-    if q >= 1.0:
-        return df.orderBy(*order).limit(k)
-    cutoff = df.agg(F.percentile_approx(key, q, accuracy).alias("c")).first()["c"]
-    cand = df.where(F.col(key).isNull() | (F.col(key) <= F.lit(cutoff)))
-    return cand.orderBy(*order).limit(k)
+    v = _as_double(df, order[0])
+    finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+    ends = df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi")).first()
+    lo, hi = ends["lo"] or 0.0, ends["hi"] or 0.0
+    inside = F.floor((v - lo) / ((hi - lo) or 1.0) * steps)
+    step = (F.when(v.isNull(), -1).when(F.isnan(v) | (v >= hi), steps).when(v <= lo, 0)
+            .otherwise(inside).cast("int"))  # never falls as the key grows
+    seen, last = 0, steps
+    for at, n in sorted(df.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        seen += n
+        if seen >= k:
+            last = at
+            break
+    return df.where(step <= last).orderBy(*order).limit(k)

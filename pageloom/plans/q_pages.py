@@ -234,7 +234,7 @@ FROM (SELECT page_id, {_NO_HTTP} AS raw FROM pages)
 def q_default_scheme(spark, sf):
     """S-12: default scheme on scheme-less URLs."""
     p = _pages(spark, sf)
-    raw = F.when(F.col("url").startswith("http://"), F.substring("url", 8, 1 << 30)).otherwise(F.col("url"))
+    raw = F.when(F.col("url").startswith("http://"), F.substr("url", F.lit(8))).otherwise(F.col("url"))
     return p.select("page_id", raw.alias("raw")).select("page_id", "raw", U.default_scheme("raw").alias("url"))
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pageloom.operators import frontier as FR
+from pageloom.operators.extract import page_links
 from pageloom.plans.q_pages import PAGE_LINKS_SQL
 from pageloom.plans.q_trees import GEO_SQL, geo_tree
 from pageloom.plans.registry import register
-from pageloom.streaming.stream_links import run_link_intake
+from pageloom.sources.tables import literal_seeds, read_table
+from pageloom.streaming.stream_links import LINKS_SCHEMA, run_link_intake
 
 
 @register("stream_links", f"SELECT DISTINCT url FROM ({PAGE_LINKS_SQL})")
@@ -16,7 +18,34 @@ def q_stream_links(spark, sf):
     """STR-1: the page table consumed as a stream of files; the stored link
     table holds each URL once (equal to the batch first-occurrence keys)."""
     table = run_link_intake(spark, sf, glob="pages.parquet")
-    return spark.read.parquet(table).select("url")
+    return spark.read.schema(LINKS_SCHEMA).parquet(table).select("url")
+
+
+@register("unmatched_links", f"""
+SELECT url, count(*) AS n_rows FROM ({PAGE_LINKS_SQL}) l
+WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = l.url) GROUP BY url
+""")
+def q_unmatched_links(spark, sf):
+    """JOIN-4's report: link targets that no crawled page has, and how many
+    links the lookup of the page's id drops."""
+    pages = read_table(spark, sf, "pages")
+    return FR.unmatched(page_links(pages.select("page_id", "url", "html")), pages, "url")
+
+
+#: The seed sites of the literal list.
+SEEDS = ["example.com", "example.org"]
+_SITE_RE = r"^[a-z]+://(?:[^/?#]*\.)?([^./?#]+\.[^./?#]+)(?:[/?#]|$)"
+
+
+@register("literal_seed_pages", f"""
+SELECT s.seed_pos, p.page_id, s.url AS url FROM (VALUES (0, 'example.com'), (1, 'example.org')) s(seed_pos, url)
+JOIN (SELECT page_id, regexp_extract(url, '{_SITE_RE}', 1) AS site FROM pages) p ON p.site = s.url
+""")
+def q_literal_seed_pages(spark, sf):
+    """SRC-2: the pages of a literal list of seed sites (the list is a local
+    relation of known size, so the pages are not shuffled)."""
+    pages = read_table(spark, sf, "pages").select("page_id", F.regexp_extract("url", _SITE_RE, 1).alias("url"))
+    return FR.seed_pages(literal_seeds(spark, SEEDS), pages).select("seed_pos", "page_id", "url")
 
 
 @register("link_depth", f"""

@@ -102,5 +102,5 @@ def test_top_k_equals_ordered_limit(spark):
     for k in (1, 777, 4000, 10_000):
         order = ["l_orderkey", "l_linenumber", "l_quantity"]   # total order (key pairs repeat here)
         want = [tuple(r) for r in li.orderBy(*order).limit(k).collect()]
-        got = [tuple(r) for r in top_k(li, order, k, accuracy=1000, small=10).orderBy(*order).collect()]
+        got = [tuple(r) for r in top_k(li, order, k, steps=16).orderBy(*order).collect()]
         assert got == want, k

@@ -68,7 +68,7 @@ def test_stream_across_micro_batches(spark, tmp_path):
             .write.parquet(str(src / f"part{i}"))
         for f in (src / f"part{i}").glob("*.parquet"):
             f.rename(src / f"arrival{i}.parquet")
-    table = run_link_intake(spark, str(src), glob="arrival*.parquet")
+    table = run_link_intake(spark, str(src), glob="arrival*.parquet", files_per_batch=1)
     stored = spark.read.parquet(table)
     batch = {r["url"] for r in FR.first_link_occurrence(EX.page_links(pages)).select("url").collect()}
     assert stored.count() == len(batch)

@@ -31,3 +31,31 @@ def test_repeated_change_keys(spark):
     assert [tuple(r) for r in TB.keyed_update(old, new, ["id"], order=["at"]).collect()] == [("k", "c", "z")]
     two = spark.createDataFrame([("k", "b", "z"), ("k", "c", "y")], "id string, x string, y string")
     assert [tuple(r) for r in TB.keyed_update(old, two, ["id"]).collect()] == [("k", "b", "z")]
+
+
+def test_paths_that_differ_only_in_control_characters(spark):
+    from pageloom.operators.match import fuzzy_path_match
+    left = spark.createDataFrame([(1, []), (2, [""]), (3, ["a\u0001b"]), (4, ["a", "b"]), (5, [None]), (6, ["", "x"])],
+                                 "sid int, names array<string>")
+    right = spark.createDataFrame([("c1", ["zzz"]), ("c2", ["a", "b"]), ("c3", ["q", ""]), ("c4", ["", ""])],
+                                  "city_id string, names array<string>")
+    got = {r["sid"]: r["city_id"] for r in fuzzy_path_match(left, right).collect()}
+    assert got == {1: None, 2: "c1", 3: None, 4: "c2", 5: None, 6: "c3"}
+
+
+def test_children_of_no_parent(spark):
+    from pageloom.operators.hierarchy import children
+    got = children(spark.createDataFrame([(1, None), (2, 1), (3, None)], "id int, pid int"))
+    assert sorted((r["pid"] or 0, r["id"], r["n_children"]) for r in got.collect()) == [(0, 1, 2), (0, 3, 2), (1, 2, 1)]
+
+
+def test_stream_reads_table_folders_and_keeps_the_first(spark, tmp_path):
+    from pageloom.streaming.stream_links import LINKS_SCHEMA, run_link_intake
+    page = '<nav><a href="/x">{}</a><a href="/{}">y</a></nav>'
+    rows = [(i, "http://h.example.com/", page.format(f"text {i}", i)) for i in (3, 1, 2)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3).write.parquet(
+        str(tmp_path / "pages.parquet"))
+    folder = run_link_intake(spark, str(tmp_path), glob="pages.parquet")
+    got = {r["url"]: (r["parent_id"], r["anchor_text"]) for r in spark.read.schema(LINKS_SCHEMA).parquet(folder).collect()}
+    assert got == {"http://h.example.com/x": (1, "text 1"), "http://h.example.com/1": (1, "y"),
+                   "http://h.example.com/2": (2, "y"), "http://h.example.com/3": (3, "y")}
