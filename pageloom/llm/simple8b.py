@@ -191,10 +191,14 @@ def _coder(key: tuple, tokenizer_json: str) -> TextCoder:
             model, plain = tok.model, {*range(33, 127), *range(161, 173), *range(174, 256)}
             others = [b for b in range(256) if b not in plain]
             letters = {b: 256 + i for i, b in enumerate(others)}
+            space, merged = chr(letters[32]), model.tokenize
 
             def code(match):
-                pieces = model.tokenize(match.encode().decode("latin-1").translate(letters))
-                return array("I", [p.id for p in pieces]).tobytes()
+                if match.isascii() and match.isprintable():  # of these only the space is spelled otherwise
+                    spelled = match.replace(" ", space)
+                else:
+                    spelled = match.encode().decode("latin-1").translate(letters)
+                return array("I", [p.id for p in merged(spelled)]).tobytes()
         else:
             def code(match):
                 return array("I", tok.encode(match, add_special_tokens=False).ids).tobytes()
