@@ -160,8 +160,8 @@ def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "te
         return known.groupBy(*by).agg(*[v.alias(k) for k, v in named.items()]).select(
             *by, F.array(*[F.col(k) for k in named]).alias("sums"))
 
-    total = sums().select(F.col("sums").alias("all_sums"))
-    judged = known.crossJoin(F.broadcast(total))  # one row
+    total = sums().first()["sums"]  # one number per language
+    judged = known.withColumn("all_sums", F.array(*[F.lit(float(x or 0.0)) for x in total]))
     for by in ("declared", "suffix", "domain", "host"):
         part = written(sums(by).withColumnRenamed("sums", f"{by}_sums"), f"lang-{by}")
         judged = judged.join(part, by)
