@@ -29,7 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that occur earlier (operator 9)."""
-    rows = lines.dedup_lines(docs)
+    rows = lines.dedup_lines(docs, chars=True)
     return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

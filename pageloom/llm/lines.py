@@ -1,8 +1,10 @@
 """Operator 9: line dedup by a deletion-neighbourhood join.
 
 Two lines are near copies if one turns into the other by at most one edit of
-a word: a word changed, added or left out (lines of fewer than ``LEAST``
-words only if equal, as one word of a short line says too much).  A line goes
+a word: a word changed, added or left out.  One word of a short line says too
+much: with ``chars``, a line of fewer than ``LEAST`` words and another are
+near copies if one turns into the other by at most one edit of a character
+(white space counts as one space); without, only if they are equal.  A line goes
 if the same line, or a near copy of it, occurs earlier, by document
 identifier and then line number.  All of it is DataFrame functions.
 
@@ -12,9 +14,11 @@ place; a line with one more word has the other line among its variants.  The
 variants' hashes (128 bits) are grouped; per key only the earliest line is
 kept, by a partial minimum, so a key shared by any number of lines emits one
 candidate per line, not all pairs.  The candidates' words are then compared.
+For short lines characters take the place of words; as an edit of a character
+makes at most one word more, lines of ``LEAST`` words take part in both.
 
 Before that, lines that can have no near copy are set aside: an edit leaves
-either the first or the last half of the words as they are, so a line whose
+either the first or the last half of the words (characters) as they are, so a line whose
 halves no other line has is its own only near copy.  Equal lines fold into one before
 anything else.
 
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 
 from pageloom.llm.common import SPACE, running_sums, written
 
-#: Words that a line must have to be compared with unequal ones.
+#: Words that a line must have to be compared with others by words.
 LEAST = 8
 
 
@@ -50,10 +54,11 @@ def _hashes(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
+def _occurrences(docs: DataFrame, chars: bool) -> DataFrame:
     """Every line's place ``at`` (unnamed, id, hash of the text, line number),
     number of ``words``, hashes ``k0, k1``, and the hashes of its halves as
-    the shorter (``h0, h1``) and the longer (``h2, h3``) line of a pair."""
+    the shorter (``h0, h1``) and the longer (``h2, h3``) line of a pair; with
+    ``chars`` the same of its characters (``h4`` to ``h7``)."""
     lines = docs.where(F.col("text").isNotNull()).select("id", "hash", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     rows = lines.select(F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "pos").alias("at"),
                         _normal(F.col("line")).alias("normal"))
@@ -63,26 +68,33 @@ def _occurrences(docs: DataFrame) -> DataFrame:
         part = F.expr(f"substring_index(normal, ' ', {1 - 2 * side} * ((words - {parity}) div 2))")
         return F.when(F.col("words") >= LEAST, F.xxhash64(F.col("words") - parity, F.lit(side), part))
 
+    def char_half(parity: int, side: int) -> Column:
+        size = F.length("normal") - parity
+        part = F.expr(f"{('left', 'right')[side]}(normal, cast((length(normal) - {parity}) div 2 as int))")
+        return F.when((F.col("words") <= LEAST) & (F.col("normal") != ""), F.xxhash64(size, F.lit(side + 2), part))
+
     return rows.select("at", F.when(F.col("normal") == "", 0).otherwise(F.col("words")).alias("words"),
                        *[h.alias(f"k{i}") for i, h in enumerate(_hashes(F.col("normal")))],
-                       *[half(i // 2, i % 2).alias(f"h{i}") for i in range(4)])
+                       *[half(i // 2, i % 2).alias(f"h{i}") for i in range(4)],
+                       *[char_half(i // 2, i % 2).alias(f"h{i + 4}") for i in range(4 if chars else 0)])
 
 
-def _candidates(distinct: DataFrame) -> DataFrame:
+def _candidates(distinct: DataFrame, halves_of: list[str]) -> DataFrame:
     """The lines that share a half with another line: ``k0, k1, at``."""
-    halves = distinct.where(F.col("words") >= LEAST).select(
-        "k0", "k1", "at", F.explode(F.array_distinct(F.array("h0", "h1", "h2", "h3"))).alias("half"))
+    halves = distinct.select(
+        "k0", "k1", "at", F.explode(F.array_distinct(F.array_compact(F.array(*halves_of)))).alias("half"))
     shared = written(halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"), "line-halves")
     return halves.join(shared, "half", "left_semi").select("k0", "k1", "at").distinct()
 
 
-def _variants(lines: DataFrame) -> DataFrame:
+def _variants(lines: DataFrame, between: str) -> DataFrame:
     """``v0, v1`` (hashes), ``gone`` (place of the missing word, 0: none) and
     the line's ``rank``.  The hash of a word sequence is the exclusive or of
     hashes of each word with its place, so a variant's is that of the words
     before the missing one and, one place further down, of those after it:
-    running values, not one pass per variant."""
-    words = lines.repartition("rank").select("rank", F.posexplode(F.split("normal", " ")).alias("place", "word"))
+    running values, not one pass per variant.  Words are what lies
+    ``between`` (nothing: characters)."""
+    words = lines.repartition("rank").select("rank", F.posexplode(F.split("normal", between)).alias("place", "word"))
     placed = words.select("rank", "place", *[F.xxhash64(F.lit(seed), F.col("word"), at).alias(f"{name}{seed}")
                                              for seed in (0, 1)
                                              for name, at in (("g", F.col("place")), ("s", F.col("place") - 1))])
@@ -107,9 +119,10 @@ def _variants(lines: DataFrame) -> DataFrame:
     return running.select("rank", F.inline(F.slice(both, 1, F.when(F.col("place") == 0, 2).otherwise(1))))
 
 
-def within_one_word(left: Column, right: Column) -> Column:
-    """Whether two lines (of single-spaced words) are at most one edit of a word apart."""
-    a, b = F.split(left, " "), F.split(right, " ")
+def within_one_word(left: Column, right: Column, between: str = " ") -> Column:
+    """Whether two lines (of single-spaced words) are at most one edit of a
+    word apart (of a character with nothing ``between``)."""
+    a, b = F.split(left, between), F.split(right, between)
     shorter, longer = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
 
     def same(x: Column, y: Column) -> Column:
@@ -119,10 +132,10 @@ def within_one_word(left: Column, right: Column) -> Column:
     return (longer - shorter <= 1) & (same(a, b) + same(F.reverse(a), F.reverse(b)) >= longer - 1)
 
 
-def _near(lines: DataFrame) -> DataFrame:
+def _near(lines: DataFrame, between: str) -> DataFrame:
     """``at`` of the lines (``at, normal``) that have an earlier near copy among them."""
     ranked = written(running_sums(lines.withColumn("one", F.lit(1)), [], ["at"], {"rank": "one"}, "line-found"), "line-ranked")
-    variants = _variants(ranked)
+    variants = _variants(ranked, between)
     met = written(variants.groupBy("v0", "v1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("v0", "v1"), "line-met")
     shared = written(variants.join(met, ["v0", "v1"], "left_semi"), "line-shared")
     by_place = shared.groupBy("v0", "v1", "gone").agg(F.min("rank").alias("low"), F.count(F.lit(1)).alias("n"))
@@ -138,30 +151,38 @@ def _near(lines: DataFrame) -> DataFrame:
     mine = ranked.select("rank", "at", F.col("normal").alias("mine"))
     other = ranked.select(F.col("rank").alias("low"), F.col("normal").alias("other"))
     return (pairs.join(mine, "rank").join(other, "low")
-            .where(within_one_word(F.col("mine"), F.col("other"))).select("at").distinct())
+            .where(within_one_word(F.col("mine"), F.col("other"), between)).select("at").distinct())
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars: bool = False) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct, the text with only the
-    lines that stay), ``lines`` and ``kept_lines`` (numbers of lines)."""
+    lines that stay), ``lines`` and ``kept_lines`` (numbers of lines).  With
+    ``chars``, short lines are compared by characters."""
+    halves = [f"h{i}" for i in range(8 if chars else 4)]
     whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.xxhash64(id_col, text_col).alias("hash"))
     texts = whole.select("id", "hash", "text")
     # lines without a word are left out of the table when it is read, lest the
     # filter have their words counted twice
-    occurrences = written(_occurrences(texts), "line-occurrences").where("words > 0")
-    distinct = written(occurrences.groupBy("k0", "k1", "words", "h0", "h1", "h2", "h3").agg(
+    occurrences = written(_occurrences(texts, chars), "line-occurrences").where("words > 0")
+    distinct = written(occurrences.groupBy("k0", "k1", "words", *halves).agg(
         F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "line-distinct")
     # the candidates' texts, from the documents where they occur first.  Joins of
     # documents are merge joins at every size: what they meet grows with them
-    by_doc = _candidates(distinct).groupBy(F.col("at.id").alias("i"), F.col("at.hash").alias("h")).agg(
+    by_doc = _candidates(distinct, halves).groupBy(F.col("at.id").alias("i"), F.col("at.hash").alias("h")).agg(
         F.collect_set("at.pos").alias("places"))
     of_doc = F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h"))
     found = texts.hint("merge").join(by_doc, of_doc).select(
         "id", "hash", F.split("text", "\n", -1).alias("parts"), F.explode("places").alias("pos")).select(
         F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "pos").alias("at"),
         _normal(F.element_at("parts", F.col("pos") + 1)).alias("normal")).dropDuplicates(["at"])
-    near = written(_near(found), "line-near")
+    if chars:
+        found = written(found, "line-candidates")
+        words = F.size(F.split("normal", " "))
+        near = _near(found.where(words >= LEAST), " ").unionByName(_near(found.where(words <= LEAST), "")).distinct()
+    else:
+        near = _near(found, " ")
+    near = written(near, "line-near")
     drops = distinct.join(near.withColumn("near", F.lit(True)), "at", "left").select(
         "k0", "k1", F.col("at").alias("first"), "times", F.coalesce("near", F.lit(False)).alias("near"))
     drops = written(drops.where("near or times > 1").select("k0", "k1", "first", "near"), "line-drops")

@@ -121,5 +121,5 @@ def page_language(spark, sf_dir):
 @query("op9_line_dedup")
 def op9(spark, sf_dir):
     """Every document with the lines that occur nowhere earlier."""
-    rows = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    rows = lines.dedup_lines(table(spark, sf_dir, "documents"), chars=True)
     return rows.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "lines", "kept_lines")

@@ -72,3 +72,35 @@ def test_odd_tables(spark):
     rows = [(None, line, "x", 1, "r", 1, 1, 1), (2, line, "y", 2, "r", 1, 1, 1), (2, line, "y", 2, "r", 1, 1, 1)]
     got = lines.dedup_lines(spark.createDataFrame(rows, schema)).select("row.*").collect()
     assert sorted((r.doc_id or 99, r.text, r.at, r.words) for r in got) == [(2, line, "y", 2), (2, line, "y", 2), (99, "", "x", 1)]
+
+
+def test_short_lines_by_characters_equal_all_pairs(spark):
+    rng = random.Random(5)
+
+    def near(a, b):
+        x, y = a.split(" "), b.split(" ")
+        return close(list(a), list(b)) if min(len(x), len(y)) < lines.LEAST else close(x, y)
+
+    base = [" ".join(rng.choice(["ab", "é中", "c", "dog", "\U0001f600x"]) for _ in range(n)) for n in [1, 1, 2, 3, 5, 6, 7, 7, 8, 8, 9, 12] * 2]
+
+    def edited():
+        line = rng.choice(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            at = rng.randint(0, len(line) - 1)
+            line = (line[:at] + rng.choice(["", " ", "é", "a", line[at] + " ", line[at] + "z"]) + line[at + 1:]) or "q"
+        return " ".join(line.split()) or "q"
+
+    docs = [(i, "\n".join(edited() for _ in range(4))) for i in range(60)]
+    docs += [(100, "Les réier quech revieux treelleç des"), (101, "Les réier quech revieux treelle des"), (102, "one two three fourfive six seven eight"),
+             (103, "one two three four five six seven eight")]
+    seen, want = [], {}
+    for i, text in docs:
+        kept = []
+        for line in text.split("\n"):
+            if not any(near(line, s) for s in seen):
+                kept.append(line)
+            seen.append(line)
+        want[i] = "\n".join(kept)
+    assert want[101] == want[103] == ""
+    got = lines.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string"), chars=True).collect()
+    assert {r.row.doc_id: r.row.text for r in got} == want
