@@ -28,7 +28,7 @@ def op2(spark, sf_dir):
 @query("op10_token_files")
 def op10(spark, sf_dir):
     """Ids of every text written to Simple-8b files and read back."""
-    return simple8b.digests(simple8b.token_files(table(spark, sf_dir, "documents"), *simple8b.default_tokenizer()))
+    return simple8b.digests(simple8b.token_files(table(spark, sf_dir, "documents"), *simple8b.default_tokenizer(), added=True))
 
 
 #: A turn's marks are 12 + 1 and 11 characters long; "<", backslashes, "|" gets one backslash more.

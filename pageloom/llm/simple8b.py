@@ -176,15 +176,29 @@ def read_block(content: bytes, block: int) -> np.ndarray:
 
 
 #: One coder per worker process and tokenizer.
-_CODERS: dict[tuple, TextCoder] = {}
+_CODERS: dict[tuple, TextCoder | _WithAdded] = {}
 
 
-def _coder(key: tuple, tokenizer_json: str) -> TextCoder:
+class _WithAdded:
+    """Codes of whole texts where the tokenizer's added tokens count: a text
+    that holds one's string is left to the tokenizer, others to ``coder``."""
+
+    def __init__(self, coder: TextCoder, tok):
+        self.coder, self.tok = coder, tok
+        self.added = [t.content for t in tok.get_added_tokens_decoder().values()]
+
+    def encode(self, text: str | None) -> bytes:
+        if text and any(a in text for a in self.added):
+            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.coder.encode(text)
+
+
+def _coder(key: tuple, tokenizer_json: str) -> TextCoder | _WithAdded:
     if key not in _CODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tok = Tokenizer.from_str(tokenizer_json)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        tok.encode_special_tokens = not key[2]  # if so, their strings in a text are ordinary text
         if "ByteLevel(add_prefix_space=False" in repr(tok.pre_tokenizer) and tok.normalizer is None:
             # a match is one piece to the model, spelled in the byte-level alphabet:
             # printable bytes stand for themselves, the others for 256 and up
@@ -203,16 +217,19 @@ def _coder(key: tuple, tokenizer_json: str) -> TextCoder:
             def code(match):
                 return array("I", tok.encode(match, add_special_tokens=False).ids).tobytes()
         _CODERS.clear()
-        _CODERS[key] = TextCoder(key[1], code)
+        coder = TextCoder(key[1], code)
+        _CODERS[key] = _WithAdded(coder, tok) if key[2] else coder
     return _CODERS[key]
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id: int = 2,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """Encode every whole text, append ``end_id`` and write the ids in
     ascending order of ``id_col`` to files under ``folder`` (a URI that the
     executors share).  Returns a written table with one row per file:
-    ``file`` (its final name), ``base`` (the ids before it), ``ids``.
+    ``file`` (its final name), ``base`` (the ids before it), ``ids``.  With
+    ``added``, the strings of the tokenizer's added tokens get their ids, as
+    the tokenizer by itself does; else they are ordinary text.
 
     The rows are range-partitioned by id; a task writes its range as files of
     about ``FILE_IDS`` ids.  A file is written under a name of the attempt
@@ -222,7 +239,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, pattern: str,
     spark = python_ready(docs)
     with open(tokenizer_path, encoding="utf-8") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())  # one vocabulary: its size does not depend on the data
-    key, rows = (tokenizer_path, pattern), docs.select(id_col, text_col)
+    key, rows = (tokenizer_path, pattern, added), docs.select(id_col, text_col)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
@@ -299,12 +316,12 @@ def read_files(spark: SparkSession, folder: str, id_type: T.DataType, id_col: st
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int = 2,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """Write ``docs`` to a new folder beside the session's checkpoints and
     read the files back (:func:`write_files`, :func:`read_files`)."""
     base = checkpoint_dir(docs.sparkSession).rstrip("/")
     folder = f"{base if '://' in base or base.startswith('file:') else 'file://' + os.path.abspath(base)}/tokens-{new_run_id()}"
-    files = write_files(docs, folder, tokenizer_path, pattern, end_id, id_col, text_col)
+    files = write_files(docs, folder, tokenizer_path, pattern, end_id, id_col, text_col, added)
     spark, id_type = docs.sparkSession, docs.select(id_col).schema[0].dataType
     if not files.take(1):
         return spark.createDataFrame([], T.StructType([

@@ -99,3 +99,17 @@ def test_token_files(spark, monkeypatch):
 def test_vocabularies_are_read_in_place():
     here = os.path.dirname(os.path.abspath(bpe.__file__))
     assert all(not p.startswith(here) for p in (bpe.default_tokenizer()[0], simple8b.default_tokenizer()[0]))
+
+
+def test_added_tokens_in_a_text_get_their_ids(spark, tmp_path):
+    from pageloom.llm import queries
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|><|endoftext|>", " x <|endoftext|>  y\n", "a<|endoftext|", "plain words", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op10_token_files"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    want, start = [], 0
+    for i, t in enumerate(texts):
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert [tuple(r) for r in got] == want
