@@ -107,12 +107,20 @@ def op5(spark, sf_dir):
     return languages.identify(docs, languages.fit(docs), declared_col="lang", host_col="source").drop("key")
 
 
+#: The page's language in double quotes, in single quotes or bare, one group each.
+LANG_RE = r"(?i)<html[^>]*\slang\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+
+
+def declared_language(html: str):
+    return F.concat(*[F.regexp_extract(html, LANG_RE, i) for i in (1, 2, 3)])
+
+
 @query("page_language_id")
 def page_language(spark, sf_dir):
     """Language of every page from its text, markup, address suffix and host
     (operator 5 on web pages; the text model is fitted on the documents)."""
     pages = table(spark, sf_dir, "pages").select(
-        "page_id", "url", F.regexp_extract("html", r"(?i)<html[^>]*\slang=\"([^\"]*)\"", 1).alias("declared"),
+        "page_id", "url", declared_language("html").alias("declared"),
         F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</\1>", " "), "<[^>]*>", " ").alias("text"))
     model = languages.fit(table(spark, sf_dir, "documents"))
     return languages.identify(pages, model, "page_id", "text", declared_col="declared", url_col="url").drop("key")

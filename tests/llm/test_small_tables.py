@@ -77,3 +77,11 @@ def test_language_and_rejects(spark):
     kept = languages.keep(df, model, declared_col="lang", host_col="source")
     assert kept.columns == df.columns and kept.count() == 41
     assert languages.identify(df.limit(0), languages.fit(df.limit(0))).count() == 0
+
+
+def test_declared_language_in_any_quoting(spark):
+    from pageloom.llm import queries
+    pages = {'<html lang="fr">': "fr", "<html class='x' lang='fr-CA'>": "fr-CA", "<HTML LANG=de dir=ltr>": "de", "<html lang=en>": "en",
+             '<html lang = "es">': "es", '<html xml:lang="it">': "", "<html><p lang='fr'>": "", '<html lang="">': ""}
+    df = spark.createDataFrame([(h,) for h in pages], "html string")
+    assert {r.html: r.lang for r in df.select("html", queries.declared_language("html").alias("lang")).collect()} == pages
