@@ -94,7 +94,7 @@ def format_chats(turns: DataFrame, template: Template = Template(), conv_col: st
 def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:
     """``formatted`` plus ``turns`` (array of ``role`` and ``text``, read from
     the formatted string) and ``loss_text`` (all text under the loss mask,
-    unescaped)."""
+    each segment unescaped by itself: an escape never runs over its end)."""
     pieces = F.filter(F.split("formatted", _literal(template.open), -1), lambda _, i: i > 0)
 
     def turn(piece: Column) -> Column:
@@ -102,8 +102,9 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
         return F.struct(_unescape_role(F.substring_index(body, "\n", 1)).alias("role"),
                         unescape(F.substring(body, F.position(F.lit("\n"), body) + 1, F.length(body))).alias("text"))
 
+    learned = F.filter("segments", lambda s: s["loss"])["text"]
     return formatted.select("*", F.transform(pieces, turn).alias("turns"),
-                            unescape(F.array_join(F.filter("segments", lambda s: s["loss"])["text"], "")).alias("loss_text"))
+                            F.array_join(F.transform(learned, unescape), "").alias("loss_text"))
 
 
 def _literal(text: str) -> str:

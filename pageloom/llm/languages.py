@@ -3,7 +3,8 @@
 The evidence on a document is its text, the language its markup declares, the
 suffix of its address, and its host.  Text likelihoods come from hashed byte
 trigrams, fitted on a bounded sample of labelled rows (``SAMPLE`` per
-language, those of the lowest hashes).  The rest is learned from all rows
+language, those of the lowest hashes); every label that is a language tag is
+a candidate, reduced to its primary subtag (``en-US`` counts for ``en``).  The rest is learned from all rows
 without labels, by grouped sums of the text's posteriors: how often a
 language declares what, under which suffix it stands, and which languages a
 host has, smoothed towards its domain and that towards all rows.  A row's own
@@ -11,7 +12,7 @@ part is taken out of the sums before they judge it.  The product of all
 gives the posterior; ``und`` (undetermined) is a language of its own whose
 trigrams are all equally likely.
 
-A row is rejected if its text has no letter, or if ``und`` or no language at
+A row is rejected if its text has no letter (of any script), or if ``und`` or no language at
 all has a posterior of ``LEAST``.
 
 Cases: a null or empty text has no letter and is rejected; a null declared
@@ -29,10 +30,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.common import python_ready, row_key, written
+from pageloom.llm.common import python_ready, row_key, shuffle_partitions, written
 
-#: Bounds of what is fitted: rows per language, languages, trigram buckets.
-SAMPLE, LANGUAGES, BUCKETS = 400, 64, 1 << 14
+#: Bounds of what is fitted: rows per language, trigram buckets.  The model has
+#: 64 KB per language, so it is bounded by the number of language tags in use.
+SAMPLE, BUCKETS = 400, 1 << 14
 #: Weight of the equal distribution in a language's trigrams, and of a trigram
 #: in the posterior (trigrams overlap, so three of them say about one thing).
 FLAT, TRIGRAM = 0.1, 1 / 3
@@ -43,11 +45,11 @@ UNDETERMINED, LEAST = 1e-3, 0.5
 UND = "und"
 
 
-def _trigrams(text: str | None) -> tuple[np.ndarray, int]:
-    """Buckets of the lower-case text's byte trigrams, and its number of letters."""
+def _trigrams(text: str | None) -> tuple[np.ndarray, bool]:
+    """Buckets of the lower-case text's byte trigrams, and whether it has a letter."""
     low = (text or "").lower()
     data = np.frombuffer(low.encode("utf-8", "replace"), np.uint8).astype(np.uint32)
-    letters = int((((data >= 97) & (data <= 122)) | (data >= 0x80)).sum())
+    letters = any(map(str.isalpha, low))
     if len(data) < 3:
         return np.empty(0, np.int64), letters
     mixed = (data[:-2] << np.uint32(16) | data[1:-1] << np.uint32(8) | data[2:]) * np.uint32(2654435761)
@@ -56,21 +58,17 @@ def _trigrams(text: str | None) -> tuple[np.ndarray, int]:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang"):
     """``(languages, table)``: names, and log probabilities per bucket and
-    language, the last column of ``und``.  At most LANGUAGES x SAMPLE rows
-    are read for it, and LANGUAGES x BUCKETS sums return to the driver."""
+    language, the last column of ``und``.  At most SAMPLE rows per language
+    are read for it, and BUCKETS sums per language return to the driver.  A
+    label whose primary subtag has not 2 to 8 letters is no label."""
     python_ready(labelled)
-    names = [r[0] for r in labelled.where(F.col(label_col).isNotNull() & (F.col(label_col) != UND)).groupBy(
-        F.col(label_col).alias("l")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).collect()]
-    names.sort()
-    if not names:
-        return [], np.full((BUCKETS, 1), -np.log(BUCKETS), np.float32)
-    rows = labelled.where(F.col(label_col).isin(names))
-    draw = F.xxhash64(id_col, F.lit(5))
-    place = F.row_number().over(Window.partitionBy(label_col).orderBy("draw", "id"))
-    chosen = rows.select(F.col(id_col).alias("id"), F.col(label_col), draw.alias("draw")).withColumn("place", place).where(
-        F.col("place") <= SAMPLE).select(F.col("id").alias("__id")).distinct()
-    sample = rows.join(F.broadcast(chosen), F.col(id_col).eqNullSafe(F.col("__id"))).select(
-        F.col(label_col).alias("l"), F.col(text_col).alias("t"))  # at most LANGUAGES x SAMPLE ids
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), _primary(F.col(label_col)).alias("l")).where(
+        F.col("l").rlike("^[a-z]{2,8}$") & (F.col("l") != UND))
+    place = F.row_number().over(Window.partitionBy("l").orderBy("draw", "id"))
+    chosen = rows.select("id", "l", F.xxhash64("id", F.lit(5)).alias("draw")).withColumn("place", place).where(
+        F.col("place") <= SAMPLE).select(F.col("id").alias("__id"), F.col("l").alias("__l")).distinct()
+    of_row = F.col("id").eqNullSafe(F.col("__id")) & (F.col("l") == F.col("__l"))
+    sample = rows.join(F.broadcast(chosen), of_row).select("l", "t")  # at most SAMPLE ids per language
 
     def count(batches):
         for batch in batches:
@@ -84,6 +82,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
                                                   pa.array(found[at].astype(np.int64))], ["l", "b", "n"])
 
     sums = sample.mapInArrow(count, "l string, b bigint, n bigint").groupBy("l", "b").agg(F.sum("n").alias("n")).toPandas()
+    names = sorted(set(sums["l"]))
+    if not names:
+        return [], np.full((BUCKETS, 1), -np.log(BUCKETS), np.float32)
     counts = np.zeros((BUCKETS, len(names)))
     counts[sums["b"].to_numpy(), sums["l"].map({n: i for i, n in enumerate(names)}).to_numpy()] = sums["n"].to_numpy()
     shares = counts / np.maximum(counts.sum(axis=0), 1)
@@ -102,9 +103,9 @@ def host_of(url: Column) -> Column:
 
 def text_scores(rows: DataFrame, model) -> DataFrame:
     """``rows`` (``text`` and others) with, instead of the text, ``ll`` (log
-    likelihood per language) and ``letters``."""
+    likelihood per language) and ``letters`` (whether it has any)."""
     python_ready(rows)
-    shared = rows.sparkSession.sparkContext.broadcast(model[1])  # BUCKETS x (LANGUAGES + 1) numbers at most
+    shared = rows.sparkSession.sparkContext.broadcast(model[1])  # BUCKETS numbers per language
     rows = rows.select("text", *[c for c in rows.columns if c != "text"])
 
     def run(batches):
@@ -119,11 +120,11 @@ def text_scores(rows: DataFrame, model) -> DataFrame:
                 scores.append(score * TRIGRAM)
                 letters.append(n)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(scores, pa.list_(pa.float64())), pa.array(letters, pa.int64())],
+                [*batch.columns[1:], pa.array(scores, pa.list_(pa.float64())), pa.array(letters, pa.bool_())],
                 [*batch.schema.names[1:], "ll", "letters"])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], T.StructField("ll", T.ArrayType(T.DoubleType())),
-                                              T.StructField("letters", T.LongType())]))
+                                              T.StructField("letters", T.BooleanType())]))
 
 
 def _normalised(logs: Column) -> Column:
@@ -154,6 +155,8 @@ def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "te
     scored = text_scores(rows, model)
     flat = F.array(*[F.lit(0.0)] * (size - 1), F.lit(float(np.log(UNDETERMINED))))
     known = written(scored.withColumn("own", _normalised(_zip(F.col("ll"), flat, lambda a, b: a + b))), "lang-own")
+    # a row's scores are few bytes and much work, so the scan's own splits would be too large
+    known = known.repartition(shuffle_partitions(known.sparkSession))
 
     def sums(*by: str) -> DataFrame:
         named = {f"s{i}": F.sum(F.col("own")[i]) for i in range(size)}
@@ -193,7 +196,7 @@ def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "te
                        lambda i: F.col("ll")[i] + F.ln(F.col("prior")[i]) + F.ln(F.col("said")[i]) + F.ln(F.col("stood")[i]))
     judged = judged.withColumn("post", _normalised(logs)).withColumn("best", F.array_max("post"))
     best = F.element_at(F.array(*[F.lit(n) for n in names]), F.array_position("post", F.col("best")).cast("int"))
-    kept = (F.col("letters") > 0) & (best != UND) & (F.col("best") >= LEAST)
+    kept = F.col("letters") & (best != UND) & (F.col("best") >= LEAST)
     return judged.select(F.col("id").alias(id_col), F.when(kept, best).otherwise(F.lit(UND)).alias("language"),
                          F.col("best").alias("probability"), kept.alias("kept"), "key")
 
@@ -202,7 +205,9 @@ def keep(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text",
          url_col: str | None = None, host_col: str | None = None) -> DataFrame:
     """``docs`` without the rows that :func:`identify` rejects."""
     verdict = identify(docs, model, id_col, text_col, declared_col, url_col, host_col)
-    rejected = written(verdict.where(~F.col("kept")).select(F.col("key").alias("__rejected"))
-                       .distinct(), "lang-rejected")
+    # the verdict is written before it is filtered: a filter would be pushed
+    # below the posterior and copy its expression into every use
+    judged = written(verdict.select("key", "kept"), "lang-verdict")
+    rejected = judged.where(~F.col("kept")).select(F.col("key").alias("__rejected")).distinct()
     used = [c for c in (id_col, text_col, declared_col, url_col, host_col) if c]
     return docs.join(rejected, row_key(*used) == F.col("__rejected"), "left_anti")
