@@ -1,10 +1,10 @@
-"""The registered queries of the ten operators."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, chat, exact, languages, lines, mixing, ppm, rabitq, simhash, simple8b
+from pageloom.llm import bpe, chat, exact, languages, lines, mixing, periods, ppm, rabitq, simhash, simple8b
 from pageloom.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -131,3 +131,9 @@ def op9(spark, sf_dir):
     """Every document with the lines that occur nowhere earlier."""
     rows = lines.dedup_lines(table(spark, sf_dir, "documents"), chars=True)
     return rows.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "lines", "kept_lines")
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    """Runs of at least 4 periods and 6 words in every document, where the contract's tenth repeats itself."""
+    return periods.digests(periods.periodic_runs(periods.plant(table(spark, sf_dir, "documents")), exponent=4, length=6))
