@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, chat, exact, languages, lines, mixing, periods, ppm, rabitq, simhash, simple8b
+from pageloom.llm import alignment, bpe, chat, exact, languages, lines, mixing, periods, ppm, rabitq, simhash, simple8b
 from pageloom.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -137,3 +137,9 @@ def op9(spark, sf_dir):
 def op11(spark, sf_dir):
     """Runs of at least 4 periods and 6 words in every document, where the contract's tenth repeats itself."""
     return periods.digests(periods.periodic_runs(periods.plant(table(spark, sf_dir, "documents")), exponent=4, length=6))
+
+
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    """Every document scored by how often the corpus links its pairs of two tokenizers' tokens."""
+    return alignment.digests(table(spark, sf_dir, "documents"), *alignment.default_tokenizers())
