@@ -42,6 +42,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -229,7 +230,7 @@ def set_bits(planes: pa.ListArray, span: int) -> tuple[np.ndarray, np.ndarray, n
     """``row, document, weight`` of every set bit of a block's bitmaps; a bit
     of plane ``k`` weighs ``2**k``."""
     values = planes.flatten()
-    sizes = np.diff(np.frombuffer(values.buffers()[1], np.int32)[values.offset:values.offset + len(values) + 1])
+    sizes = pc.binary_length(values).to_numpy()
     per_row = np.diff(planes.offsets.to_numpy())
     row = np.repeat(np.arange(len(per_row)), per_row)
     weight = 1 << (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row))
@@ -349,27 +350,31 @@ def document_scores(indexed: DataFrame, scores: DataFrame, id_col: str = "doc_id
     """Per document ``id_col``, its counts and groups, ``n_best`` (its links
     whose pair is ``best``) and ``count_sum`` (the sum of its links' counts),
     from the scores that its block's postings return."""
-    docs = indexed.where("no is not null").select(F.col("block").alias("of"), "no", "id", *COUNTS, "groups")
-    hits = indexed.where("pair is not null").select("pair", "block", "span", "planes").join(
-        scores.select(F.col("pair").alias("p"), F.col("links").alias("count"), "best"), F.col("pair") == F.col("p")).select(
-        "block", "span", "planes", "count", "best")
+    # only keys meet the scores by pair; the bitmaps move once, to their block
+    keys = indexed.where("pair is not null").select("pair", "block")
+    returned = keys.join(scores.select(F.col("pair").alias("p"), F.col("links").alias("count"), "best"), F.col("pair") == F.col("p")).select(
+        F.col("block").alias("of"), F.col("pair").alias("of_pair"), "count", "best")
+    rows = indexed.select("block", "no", "id", *COUNTS, "groups", "pair", "span", "planes")
 
-    def score(rows: pa.Table, found: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
+    def score(block: pa.Table, scored: pa.Table) -> pa.Table:
         totals, best = np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
-        for batch in found.to_batches():
+        order = np.argsort(scored.column("of_pair").to_numpy())
+        pairs, count, top = (scored.column(c).to_numpy()[order] for c in ("of_pair", "count", "best"))
+        docs = block.filter(block.column("no").is_valid()).combine_chunks()
+        for batch in block.filter(block.column("pair").is_valid()).to_batches():
             if batch.num_rows:
                 row, doc, weight = set_bits(batch.column("planes"), batch.column("span")[0].as_py())
-                np.add.at(totals, doc, weight * batch.column("count").to_numpy()[row])
-                np.add.at(best, doc, weight * batch.column("best").to_numpy(zero_copy_only=False)[row])
-        at = rows.column("no").to_numpy()
-        return pa.table([rows.column("id"), *(rows.column(c) for c in COUNTS), rows.column("groups"),
-                         pa.array(best[at]), pa.array(totals[at])], names=[id_col, *COUNTS, "groups", "n_best", "count_sum"])
-
-    schema = T.StructType([T.StructField(id_col, docs.schema["id"].dataType), *(T.StructField(c, T.LongType()) for c in COUNTS),
-                           T.StructField("groups", docs.schema["groups"].dataType), T.StructField("n_best", T.LongType()),
+                at = np.searchsorted(pairs, batch.column("pair").to_numpy())[row]
+                np.add.at(totals, doc, weight * count[at])
+                np.add.at(best, doc, weight * top[at])
+        no = docs.column("no").to_numpy()
+        return pa.table([docs.column("id"), *(docs.column(c) for c in COUNTS), docs.column("groups"), pa.array(best[no]), pa.array(totals[no])],
+                        names=[id_col, *COUNTS, "groups", "n_best", "count_sum"])
+
+    schema = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *(T.StructField(c, T.LongType()) for c in COUNTS),
+                           T.StructField("groups", rows.schema["groups"].dataType), T.StructField("n_best", T.LongType()),
                            T.StructField("count_sum", T.LongType())])
-    return docs.groupBy("of").cogroup(hits.groupBy("block")).applyInArrow(score, schema)
+    return rows.groupBy("block").cogroup(returned.groupBy("of")).applyInArrow(score, schema)
 
 
 def default_tokenizers() -> tuple[str, str]:
