@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pageloom.llm import alignment, bpe, chat, exact, languages, lines, mixing, periods, ppm, rabitq, simhash, simple8b
+from pageloom.llm import alignment, bpe, chat, exact, languages, lines, mixing, periods, ppm, rabitq, simhash, simple8b, toxicity
 from pageloom.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -143,3 +143,10 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     """Every document scored by how often the corpus links its pairs of two tokenizers' tokens."""
     return alignment.digests(table(spark, sf_dir, "documents"), *alignment.default_tokenizers())
+
+
+@query("op13_toxicity")
+def op13(spark, sf_dir):
+    """Toxicity of every document, learned from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.verdicts(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))))
