@@ -1,97 +1,329 @@
 """HTML record extraction as native column expressions.
 
-A page is a string column; a record set is an ``array<struct<..>>`` built
-with ``regexp_extract_all`` + ``transform`` and exploded afterwards.  This
-stays in the JVM and in whole-stage codegen.  It reads flat structures
-(lists, cards, rows, a block up to its first closing tag); nested containers
-of the same tag are the job of :mod:`pageloom.operators.tree_extract`.
+A page is a string column.  One pattern reads it as a sequence of comments,
+script and style elements, tags (quote-aware, so a ``>`` or ``href=`` inside a
+value is part of the value) and text.  An element is cut balanced: the text is
+taken apart at the tags that can end the element, and a fold over these few
+pieces follows the nesting depth (``regexp_extract_all`` + ``aggregate``).
+Records become arrays and are exploded afterwards.  All of it stays in the
+JVM; every repeated group is possessive, which the regular-expression engine
+runs in a loop, so long inputs neither recurse nor backtrack.
+
+Attribute and element names are read in any case; attributes count in any
+order and quoting, the first of a name wins.  An element that no end tag
+closes ends with its parent, a list item, cell, row or paragraph also before
+the next one; what is left open ends with the text.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pageloom.functions.text import html_unescape_basic
-from pageloom.functions.util import col_of
+from pageloom.functions.text import html_unescape
+from pageloom.functions.util import col_of, let
 
-# one anchor: its start tag and its content up to the next anchor start or
-# end tag (anchors do not nest, so an unclosed one ends at the next anchor).
-# No repeated group: the regex engine would recurse once per character
-ANCHOR_RE = r"(?is)<a\b[^>]*>.*?(?=</?a[\t\n\f\r >]|\z)"
-# inline child elements removed with their content before direct text nodes are read
-INLINE_CHILD_RES = (r"(?is)<b\b[^>]*>.*?</b>", r"(?is)<strong\b[^>]*>.*?</strong>",
-                    r"(?is)<span\b[^>]*>.*?</span>", r"(?is)<i\b[^>]*>.*?</i>",
-                    r"(?is)<em\b[^>]*>.*?</em>", r"(?is)<font\b[^>]*>.*?</font>")
-TAG_ANY_RE = r"<[^>]*>"
-# a value in double quotes, in single quotes or bare, one group each
-HREF_RE = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+# --- patterns ----------------------------------------------------------------
 
+# a "<" outside quotes ends a tag that has no ">": what begins there is read anew,
+# so that every character is looked at a bounded number of times
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s<>]++)?+"""
+_ATTR = rf"(?:=?+[^\s/<>=]++|=)(?:\s*+=\s*+{_VALUE})?+"
+_REST = rf"(?:[\s/]++|{_ATTR})*+>"
+_NAME = r"[A-Za-z][^\s/<>]*+"
+_TAG = rf"</?{_NAME}{_REST}"
+_COMMENT = r"<!--(?:[\s\S]*?-->|[\s\S]*+)"
+_RAW = rf"<(script|style|textarea|title)(?=[\s/>]){_REST}(?:[\s\S]*?(?=</\1[\s/>])|[\s\S]*+)"
+_OTHER = r"<[!?][^>]*+>?+|</(?![A-Za-z])[^>]*+>?+"
+_TEXT = r"(?:[^<]++|<(?![A-Za-z!?/]))++"
+TOKEN_RE = rf"(?i){_COMMENT}|{_RAW}|{_TAG}|{_OTHER}|{_TEXT}|<"
+START_TAG_RE = rf"(?i)\A<{_NAME}{_REST}"
 
-def attr_re(attr: str) -> str:
-    return rf"(?i)\b{attr}\s*=\s*[\"']([^\"']*)[\"']"
+#: Elements without content (fixed values of the language).
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+_BLOCKS = ("address", "article", "aside", "blockquote", "dd", "div", "dl", "dt", "fieldset", "footer", "form", "h1", "h2", "h3",
+           "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "pre", "section", "table", "tbody", "td", "th", "tr", "ul")
+#: Elements whose end tag may be left out: tag -> (what holds them, what else ends them).
+_IMPLIED = {"li": (("ul", "ol"), ()), "td": (("table",), ("th", "tr")), "th": (("table",), ("td", "tr")),
+            "tr": (("table",), ("tbody", "thead", "tfoot")), "dt": (("dl",), ("dd",)), "dd": (("dl",), ("dt",)), "p": ((), _BLOCKS)}
 
+# first text node of the first heading / of each paragraph
+H1_TEXT_RE = r"(?i)<h1\b[^>]*>([^<]*)"
+P_TEXT_RE = r"(?i)<p\b[^>]*>([^<]*)"
 
-def block_re(tag: str, attr: str | None = None, value: str | None = None,
-             prefix: bool = False) -> str:
-    """Pattern for the first ``<tag ...>...</tag>`` (optionally with an
-    attribute equal to, or starting with, ``value``)."""
-    if attr is None:
-        open_ = rf"<{tag}\b[^>]*>"
-    elif prefix:
-        open_ = rf"<{tag}\b[^>]*\b{attr}\s*=\s*\"{value}[^\"]*\"[^>]*>"
-    else:
-        open_ = rf"<{tag}\b[^>]*\b{attr}\s*=\s*\"{value}\"[^>]*>"
-    return rf"(?is){open_}(.*?)</{tag}>"
 
+# --- attributes --------------------------------------------------------------
 
-def block(html, tag: str, attr: str | None = None, value: str | None = None,
-          prefix: bool = False, inner: bool = False) -> Column:
-    """EXT-3: raw HTML of the first matching block (markup kept); ``''`` when
-    there is none.  ``inner`` returns the content without the tag itself."""
-    return F.regexp_extract(col_of(html), block_re(tag, attr, value, prefix), 1 if inner else 0)
+def _up_to(attr: str) -> str:
+    """Pattern of the attributes before the first one named ``attr``."""
+    return rf"(?:[\s/]++|(?!{attr}[\s/>=]){_ATTR})*+{attr}"
 
 
-def blocks(html, tag: str, attr: str | None = None, value: str | None = None,
-           prefix: bool = False, inner: bool = True) -> Column:
-    """All matching blocks, as ``array<string>``."""
-    return F.regexp_extract_all(col_of(html), F.lit(block_re(tag, attr, value, prefix)),
-                                1 if inner else 0)
+def attribute(tag, name: str) -> Column:
+    """Value of an attribute of the start tag that ``tag`` begins with, as
+    written; ``''`` when it has none."""
+    value = r"""["']?+((?<=")[^"]*+|(?<=')[^']*+|[^\s<>]*+)"""
+    return F.regexp_extract(col_of(tag), rf"(?i)\A<{_NAME}{_up_to(name)}\s*+=\s*+{value}", 1)
 
 
-def first_direct_text(content) -> Column:
-    """First direct text node of an element's content (``text()[1]``):
-    inline child elements are removed with their text, the rest is split at
-    the remaining tags; ``''`` when there is none."""
-    s = col_of(content)
-    for rx in INLINE_CHILD_RES:
-        s = F.regexp_replace(s, rx, "\u0001")
-    parts = F.split(F.regexp_replace(s, TAG_ANY_RE, "\u0001"), "\u0001", -1)
-    return F.coalesce(F.try_element_at(F.filter(parts, lambda t: F.length(t) > 0), F.lit(1)), F.lit(""))
+@dataclass(frozen=True)
+class Element:
+    """Which elements are meant: a tag (``*``: any) and what its attributes
+    must be: ``("class", "x")`` equal, ``("class^", "x")`` beginning so."""
+    tag: str
+    where: tuple[tuple[str, str], ...] = ()
 
+    def pattern(self) -> str:
+        """Matches, without reading it, a start tag that is meant."""
+        name = _NAME if self.tag == "*" else rf"{self.tag}(?=[\s/>])"
+        tests = "".join(
+            rf"(?=<{name}{_up_to(a.rstrip('^'))}\s*+=\s*+" + (
+                rf"(?:[\"']?(?-i:\Q{v}\E)))" if a.endswith("^") else
+                rf"(?:\"(?-i:\Q{v}\E)\"|'(?-i:\Q{v}\E)'|(?-i:\Q{v}\E)(?=[\s>])))") for a, v in self.where)
+        return rf"{tests}(?=<{name}{_REST})"
+
+
+# --- elements ----------------------------------------------------------------
+
+def _pieces(html: Column, names: Column) -> Column:
+    """The text cut before every tag whose name is one of ``names`` (joined
+    by ``|``); all pieces together are the text."""
+    tag = [F.lit(r"</?(?:"), names, F.lit(rf")(?=[\s/>]){_REST}")]
+    return F.regexp_extract_all(html, F.concat(
+        F.lit("(?i)(?:"), *tag, F.lit(rf")?+(?:{_COMMENT}|(?!"), *tag, F.lit(rf")(?:{_RAW}|{_TAG})|{_OTHER}|{_TEXT}|(?!"),
+        *tag, F.lit(")<)*+")), F.lit(0))
+
+
+def _head(piece: Column) -> Column:
+    """``/li`` of a piece that begins with ``</LI ...>``; ``''`` without a tag."""
+    return F.lower(F.regexp_extract(piece, r"\A<(/?[A-Za-z][^\s/>]*)", 1))
+
+
+_OPEN = "array<struct<level:int,at:int>>"
+
+
+def _note(at: Column, stop: Column, tail: Column, level: Column) -> Column:
+    """A found span as text: a fold appends to a text cheaply, to an array not."""
+    return F.concat(F.lpad(at.cast("string"), 10, "0"), *[F.concat(F.lit(","), c.cast("int").cast("string")) for c in (stop, tail, level)], F.lit(";"))
+
+
+def _noted(notes: Column) -> Column:
+    """The spans of :func:`_note`, by their begin."""
+    def span(n: Column) -> Column:
+        return F.struct(*[F.get(n, F.lit(i)).cast("int").alias(c) for i, c in enumerate(("at", "stop", "tail", "level"))])
+    rows = F.array_sort(F.filter(F.split(notes, ";"), lambda n: n != ""))
+    return F.transform(F.transform(rows, lambda n: F.split(n, ",")), span)
+
+
+def _spans(pieces: Column, element: Element, tag: Column, known: str | None) -> Column:
+    """Where the elements that are meant begin and stop, in pieces; ``tail``:
+    their end tag begins the piece where they stop."""
+    holders, others = _IMPLIED.get(known, ((), ()))
+    implied = known in _IMPLIED
+    opens = [F.lit(h) for h in holders] if implied else [tag]
+
+    def one_of(head: Column, names) -> Column:
+        found = F.lit(False)
+        for n in names:
+            found = found | (head == n)
+        return found
+
+    def kind(p: Column) -> Column:
+        """What a piece's tag does, worked out once."""
+        return let(_head(p), lambda head: F.struct(
+            ((head == tag) & p.rlike(rf"(?i)\A{element.pattern()}")).alias("meant"), (head == F.concat(F.lit("/"), tag)).alias("ends"),
+            one_of(head, opens).alias("holds"), one_of(head, [F.concat(F.lit("/"), h) for h in opens]).alias("leaves"),
+            (F.lit(implied) & ((head == tag) | one_of(head, [F.lit(x + o) for o in others for x in ("", "/")]))).alias("parts")))
+
+    def step(acc: Column, k: Column) -> Column:
+        level = acc["level"]
+        inside = F.when(k["holds"], level + 1).when(k["leaves"], F.greatest(level - 1, F.lit(0))).otherwise(level).cast("int")
+        # what is open at this depth ends here, unless this only opens something inside it
+        stops = k["leaves"] | k["ends"] | k["parts"]
+        closed = F.filter(acc["open"], lambda e: e["level"] >= level)
+        done = F.array_join(F.transform(closed, lambda e: _note(e["at"], acc["i"], k["ends"], e["level"])), "")
+        still = F.when(stops, F.filter(acc["open"], lambda e: e["level"] < level)).otherwise(acc["open"])
+        new = F.array(F.struct(inside.alias("level"), acc["i"].alias("at")))
+        return F.struct((acc["i"] + 1).alias("i"), inside.alias("level"),
+                        F.when(k["meant"], F.concat(still, new)).otherwise(still).alias("open"),
+                        F.when(stops, F.concat(acc["done"], done)).otherwise(acc["done"]).alias("done"))
+
+    begin = F.struct(F.lit(0).alias("i"), F.lit(0).alias("level"), F.array().cast(_OPEN).alias("open"), F.lit("").alias("done"))
+    return F.aggregate(F.transform(pieces, kind), begin, step, lambda acc: _noted(F.concat(acc["done"], F.array_join(F.transform(
+        acc["open"], lambda e: _note(e["at"], acc["i"], F.lit(0), e["level"])), ""))))
+
+
+def _cut(html: Column, element: Element, tag: Column, known: str | None) -> Column:
+    """``array<struct<html, level>>`` of all elements that are meant, in
+    order; ``known`` is the tag's name where it doesn't depend on the row."""
+    holders, others = _IMPLIED.get(known, ((), ()))
+    names = F.lit("|".join((known, *holders, *others))) if known else tag
+
+    def cut(pieces: Column) -> Column:
+        return F.transform(_spans(pieces, element, tag, known), lambda s: F.struct(
+            F.concat(F.array_join(F.slice(pieces, s["at"] + 1, s["stop"] - s["at"]), ""),
+                     F.when(s["tail"] == 1, F.regexp_extract(F.get(pieces, s["stop"]), r"\A</[^>]*+>", 0)).otherwise(F.lit(""))).alias("html"),
+            (s["level"] - F.lit(0 if known in _IMPLIED else 1)).alias("level")))
+
+    return let(_pieces(html, names), cut)
+
+
+def elements(html, element: Element, level: int | None = None) -> Column:
+    """``array<string>``: every element that is meant, from its start tag to
+    its end tag, in the order of the start tags; with ``level`` only those
+    inside so many elements of the kind that holds them (tables around rows
+    and cells, lists around items, others of its tag around any other)."""
+    found = _cut(col_of(html), element, F.lit(element.tag), element.tag)
+    if level is not None:
+        found = F.filter(found, lambda e: e["level"] == level)
+    return F.transform(found, lambda e: e["html"])
+
+
+def whole(found: Column) -> Column:
+    """Elements one after the other, as one fragment: so those inside all of
+    them are read at once, at a level one deeper."""
+    return F.array_join(found, "")
+
+
+def block(html, tag: str, attr: str | None = None, value: str | None = None, prefix: bool = False, inner: bool = False) -> Column:
+    """EXT-3: raw HTML of the first matching element (markup kept), nested
+    ones of its tag included; ``''`` when there is none.  ``tag`` may be
+    ``*``.  ``inner`` returns the content without the tag itself."""
+    where = () if attr is None else ((attr + ("^" if prefix else ""), value),)
+    return first_element(html, Element(tag, where), inner)
 
-def anchors(fragment) -> Column:
-    """EXT-1: every ``<a>`` of a fragment as ``array<struct<href,text>>``:
-    the ``href`` attribute and the first direct text node (``''`` when
-    absent), entities decoded."""
-    found = F.regexp_extract_all(col_of(fragment), F.lit(ANCHOR_RE), 0)
-    return F.transform(found, lambda m: F.struct(
-        html_unescape_basic(F.concat(*[F.regexp_extract(F.substring_index(m, ">", 1), HREF_RE, i) for i in (1, 2, 3)])).alias("href"),
-        html_unescape_basic(first_direct_text(F.substr(m, F.instr(m, ">") + 1))).alias("text")))
 
+def first_element(html, element: Element, inner: bool = False) -> Column:
+    """The first element that is meant (``''``: none)."""
+    def first(found: Column) -> Column:
+        return F.coalesce(F.try_element_at(found, F.lit(1))["html"], F.lit(""))
 
-def texts(fragment) -> Column:
-    """Direct text nodes of a fragment's top level are not tracked by
-    regular expressions; this gives every non-empty text run between tags."""
-    return F.filter(F.split(F.regexp_replace(col_of(fragment), r"<[^>]*>", "\u0000"), "\u0000", -1),
-                    lambda t: F.length(t) > 0)
+    def any_tag(html: Column) -> Column:
+        # the first start tag that is meant names the tag whose nesting counts
+        start = element.pattern()
+        before = F.regexp_extract(html, rf"(?i)\A(?:{_COMMENT}|(?!{start})(?:{_RAW}|{_TAG})|{_OTHER}|{_TEXT}|(?!{start})<)*+", 0)
+        return let(F.substr(html, F.length(before) + 1), lambda rest: first(
+            _cut(rest, element, F.lower(F.regexp_extract(rest, r"\A<([A-Za-z][A-Za-z0-9:_-]*)", 1)), None)))
+
+    def one(html: Column) -> Column:
+        found = any_tag(html) if element.tag == "*" else first(_cut(html, element, F.lit(element.tag), element.tag))
+        return F.when(html.isNotNull(), content(found) if inner else found)
+
+    return let(col_of(html), one)
+
+
+def content(element) -> Column:
+    """What an element has between its start tag and its end tag."""
+    def body(e: Column) -> Column:
+        name = F.lower(F.regexp_extract(e, r"\A<([A-Za-z][^\s/>]*)", 1))
+        last = F.lower(F.regexp_extract(e, r"</([A-Za-z][^\s/>]*+)[^<>]*+>\z", 1))
+        inside = F.regexp_replace(e, START_TAG_RE, "")
+        return F.when((name != "") & (last == name), F.regexp_replace(inside, r"</[A-Za-z][^<>]*+>\z", "")).otherwise(inside)
+
+    return let(col_of(element), body)
+
+
+# --- children ----------------------------------------------------------------
+
+def _walk(fragment: Column, start: Column, step, finish) -> Column:
+    """Fold over the tokens of a fragment.  ``step(out, token, i, before,
+    after)`` gets a token's ``text``, ``head`` and ``words`` (whether it is
+    text), its place and the depths around it: 0 is the fragment's own level.
+    ``finish(out, tokens)`` makes the result."""
+    void, blocks = F.array(*[F.lit(v) for v in VOID]), F.array(*[F.lit(b) for b in (*_BLOCKS, "p")])
+
+    def kind(token: Column) -> Column:
+        return let(_head(token), lambda head: F.struct(
+            token.alias("text"), head.alias("head"), head.startswith("/").alias("closes"),
+            ((head != "") & ~head.startswith("/") & ~F.array_contains(void, head)
+             & ~token.rlike(r"""[\s"']/>\z|\A<[A-Za-z0-9]+/>\z""")).alias("opens"),
+            F.array_contains(blocks, head).alias("block"), token.rlike(r"\A(?:[^<]|<(?![A-Za-z!?/]))").alias("words")))
+
+    def latest(stack: Column, *names: str | Column) -> Column:
+        """Place of the innermost open element of these names, -1: none."""
+        places = [F.array_position(F.reverse(stack), n) for n in names]
+        return F.greatest(F.lit(-1), *[F.when(p > 0, F.size(stack) - p).otherwise(-1) for p in places])
+
+    def merge(acc: Column, k: Column) -> Column:
+        stack, head, top = acc["stack"], k["head"], F.coalesce(F.try_element_at(acc["stack"], F.lit(-1)), F.lit(""))
+
+        def unless_held(own: tuple[str, ...], holders: tuple[str, ...]) -> Column:
+            return F.when(latest(stack, *own) > latest(stack, *holders), latest(stack, *own)).otherwise(F.size(stack))
+
+        # what a tag ends that has no end tag of its own, or the end tag of what is around it
+        named = latest(stack, F.substring(head, 2, 100))
+        kept = (F.when(k["closes"], F.size(stack)).when(head == "li", unless_held(("li",), ("ul", "ol")))
+                .when(head.isin("td", "th"), unless_held(("td", "th"), ("table",))).when(head == "tr", unless_held(("tr",), ("table",)))
+                .when(head.isin("dt", "dd"), unless_held(("dt", "dd"), ("dl",)))
+                .when(((top == "p") & k["block"]) | ((top == "a") & (head == "a")), F.size(stack) - 1).otherwise(F.size(stack)))
+
+        def grown(before: Column) -> Column:
+            after = F.when(k["opens"], F.concat(F.slice(stack, F.lit(1), before), F.array(head))).when(
+                k["closes"], F.when(named >= 0, F.slice(stack, F.lit(1), named)).otherwise(stack)).otherwise(F.slice(stack, F.lit(1), before))
+            return let(after, lambda after: F.struct(
+                (acc["i"] + 1).alias("i"), after.alias("stack"), step(acc["out"], k, acc["i"], before, F.size(after)).alias("out")))
+
+        return let(kept.cast("int"), grown)
+
+    begin = F.struct(F.lit(0).alias("i"), F.array().cast("array<string>").alias("stack"), start.alias("out"))
+    return let(F.transform(F.regexp_extract_all(fragment, F.lit(TOKEN_RE), F.lit(0)), kind),
+               lambda tokens: F.aggregate(tokens, begin, merge, lambda acc: finish(acc["out"], tokens)))
+
+
+def children(fragment, tag: str, level: int = 0) -> Column:
+    """``array<string>``: the elements ``tag`` on the fragment's own level,
+    whole, or on one so many elements deeper."""
+    def step(out: Column, k: Column, i: Column, before: Column, after: Column) -> Column:
+        begins, open_ = (before == level) & (k["head"] == tag), out["at"] >= 0
+        # an open one stops before what begins on its level, or with its end tag
+        cut_off, closed = open_ & (before <= level), (open_ | begins) & (after <= level)
+        noted = F.when(cut_off, F.concat(out["done"], _note(out["at"], i, F.lit(0), F.lit(0)))).when(
+            closed, F.concat(out["done"], _note(F.when(begins, i).otherwise(out["at"]), i + 1, F.lit(0), F.lit(0)))).otherwise(out["done"])
+        left = F.when(begins & (after > level), i).when(cut_off | closed, F.lit(-1)).otherwise(out["at"])
+        return F.struct(left.cast("int").alias("at"), noted.alias("done"))
+
+    def finish(out: Column, tokens: Column) -> Column:
+        rest = F.when(out["at"] >= 0, _note(out["at"], F.size(tokens), F.lit(0), F.lit(0))).otherwise(F.lit(""))
+        return F.transform(_noted(F.concat(out["done"], rest)), lambda s: F.array_join(
+            F.transform(F.slice(tokens, s["at"] + 1, s["stop"] - s["at"]), lambda k: k["text"]), ""))
+
+    return _walk(col_of(fragment), F.struct(F.lit(-1).alias("at"), F.lit("").alias("done")), step, finish)
+
+
+def direct_texts(fragment, level: int = 0) -> Column:
+    """``array<string>``: the text nodes on the fragment's own level (or so
+    many elements deeper), entities decoded; the text of elements on that
+    level is not among them."""
+    def step(out: Column, k: Column, i: Column, before: Column, after: Column) -> Column:
+        return F.when((before == level) & k["words"], F.concat(out, i.cast("string"), F.lit(" "))).otherwise(out)
+
+    def finish(out: Column, tokens: Column) -> Column:
+        places = F.filter(F.split(out, " "), lambda i: i != "")
+        return F.transform(places, lambda i: html_unescape(F.get(tokens, i.cast("int"))["text"]))
+
+    return _walk(col_of(fragment), F.lit(""), step, finish)
+
+
+def first_direct_text(fragment) -> Column:
+    """First direct text node of an element's content (``text()[1]``),
+    entities decoded; ``''`` when there is none."""
+    return let(col_of(fragment), lambda f: F.when(F.contains(f, F.lit("<")), F.coalesce(
+        F.try_element_at(direct_texts(f), F.lit(1)), F.lit(""))).otherwise(html_unescape(f)))
+
+
+def anchors(fragment) -> Column:
+    """EXT-1: every ``<a>`` of a fragment as ``array<struct<href,text>>``: the
+    ``href`` attribute and the first direct text node (``''`` when absent),
+    entities decoded.  Anchors do not nest: one that is not closed ends at the
+    next."""
+    found = F.filter(_pieces(col_of(fragment), F.lit("a")), lambda p: p.rlike(rf"(?i)\A<a(?=[\s/>]){_REST}"))
+    return F.transform(found, lambda p: F.struct(
+        html_unescape(attribute(p, "href")).alias("href"), first_direct_text(F.regexp_replace(p, START_TAG_RE, "")).alias("text")))
 
 
 def first_group(fragment, pattern: str) -> Column:
     """First capture of a pattern, ``''`` when absent."""
     return F.regexp_extract(col_of(fragment), pattern, 1)
 
-
-# first text node of the first heading / of each paragraph
-H1_TEXT_RE = r"(?i)<h1\b[^>]*>([^<]*)"
-P_TEXT_RE = r"(?i)<p\b[^>]*>([^<]*)"

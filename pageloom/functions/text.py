@@ -8,10 +8,12 @@ pattern strings (``pageloom.plans.duck``).
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pageloom.functions.util import col_of
+from pageloom.functions.util import col_of, let
 
 # Whitespace as Python's unicode ``str.strip()`` sees it.  Neither Spark's
 # ``trim`` (spaces only) nor ``\s`` (differs between Java and RE2, misses
@@ -100,11 +102,6 @@ def join_lines(arr, sep: str = "\n") -> Column:
     return F.array_join(col_of(arr), sep)
 
 
-def first_or_empty(arr) -> Column:
-    """AGG-7: first element or ``''``."""
-    return F.coalesce(F.try_element_at(col_of(arr), F.lit(1)), F.lit(""))
-
-
 def mutual_contains(a, b) -> Column:
     """S-24: one string contains the other (an empty string matches all)."""
     a, b = col_of(a), col_of(b)
@@ -119,10 +116,33 @@ def arrays_match(a, b) -> Column:
         lambda p: F.contains(p["x"], p["y"]) | F.contains(p["y"], p["x"]))
 
 
-def html_unescape_basic(c) -> Column:
-    """Decode the five predefined entities, as an HTML parser's text nodes
-    would (``&amp;`` last so it is not decoded twice)."""
-    s = col_of(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+#: Named entities (the set of the standard library), and what the numbers
+#: 128 to 159 stand for: the Windows letters where there are some.
+_NAMED = {f"&{name};": chr(code) for name, code in sorted(name2codepoint.items())} | {"&apos;": "'"}
+_LATIN = {n: bytes([n]).decode("cp1252", "replace") for n in range(128, 160)}
+_REFERENCE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]++|&"
+
+
+def html_unescape(c) -> Column:
+    """Decode named and numeric entities, each once, as an HTML parser's text
+    nodes would; an unknown name stays as it is, a number that is no
+    character becomes U+FFFD."""
+    named = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    latin = F.create_map(*[F.lit(x) for pair in _LATIN.items() for x in pair])
+
+    def letter(number: Column) -> Column:
+        none = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+        code = F.lpad(F.hex(F.when(none, F.lit(0xFFFD)).otherwise(number)), 8, "0")
+        return F.coalesce(F.try_element_at(latin, number), F.decode(F.unhex(code), "UTF-32"))
+
+    def decoded(part: Column) -> Column:
+        hexadecimal = F.conv(F.regexp_extract(part, "([0-9A-Fa-f]+);", 1), 16, 10).cast("int")
+        decimal = F.regexp_extract(part, "([0-9]+);", 1).cast("int")
+        return (F.when(part.rlike("^&#[xX]"), let(hexadecimal, letter)).when(part.rlike("^&#[0-9]"), let(decimal, letter))
+                .when(part.startswith("&"), F.coalesce(F.try_element_at(named, part), part)).otherwise(part))
+
+    def all_decoded(text: Column) -> Column:
+        parts = F.regexp_extract_all(text, F.lit(_REFERENCE_RE), F.lit(0))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, decoded), "")).otherwise(text)
+
+    return let(col_of(c), all_decoded)

@@ -47,18 +47,6 @@ def absolutize_rooted(href, page_url) -> Column:
     return absolutize(rooted, page_url)
 
 
-def site_relative(href, site: str) -> Column:
-    """S-11: prefix a fixed site to a relative link.  Absolute links give
-    NULL: the list builder this mirrors drops them."""
-    h = col_of(href)
-    return F.when(~h.startswith("http"), F.concat(F.lit(site), h))
-
-
-def site_prefix(href, site: str) -> Column:
-    """S-11 variant without the test: always prefix."""
-    return F.concat(F.lit(site), col_of(href))
-
-
 def default_scheme(url) -> Column:
     """S-12: add ``http://`` unless the URL already has an http(s) scheme."""
     u = col_of(url)
@@ -89,11 +77,6 @@ def path_token(c, index: int, sep: str = "/") -> Column:
     return F.try_element_at(parts, F.lit(idx))
 
 
-def path_level(path) -> Column:
-    """S-22: ``len(path.split('|'))`` (an empty string counts 1)."""
-    return F.size(F.split(col_of(path), r"\|", -1)).cast("int")
-
-
 def remove_all(c, piece: str) -> Column:
     """S-17: remove a substring everywhere."""
     return F.replace(col_of(c), F.lit(piece), F.lit(""))

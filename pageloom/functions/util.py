@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -7,3 +9,9 @@ from pyspark.sql import functions as F
 def col_of(c) -> Column:
     """Accept a column name or a Column."""
     return F.col(c) if isinstance(c, str) else c
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used
+    (also inside lambda functions, where common expressions are not shared)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -1,9 +1,9 @@
 """Record extraction from structured page parts (EXT-5 to EXT-13).
 
-Flat structures only: rows of a table, cells of an info box, cards split on
-their start marker, the first pager.  Everything is a native expression over
-the ``html`` column; records become arrays and are exploded.  Nested
-containers of one tag are handled by :mod:`pageloom.operators.tree_extract`.
+Rows of listing tables, cells of info boxes, cards, pagers, nested lists:
+elements are cut with what they nest, attributes count in any order.
+Everything is a native expression over the ``html`` column; records become
+arrays and are exploded.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.functions.html import anchors, attr_re
-from pageloom.functions.text import (between_markers, collapse_ws, first_text, html_unescape_basic,
-                                     strip_chars, strip_tags, ws_strip)
-from pageloom.functions.util import col_of
+from pageloom.functions.html import (Element, anchors, attribute, children, content, direct_texts, elements, first_direct_text,
+                                     first_element, whole)
+from pageloom.functions.text import between_markers, collapse_ws, first_text, html_unescape, strip_chars, strip_tags, ws_strip
+from pageloom.functions.util import col_of, let
+from pageloom.operators.frontier import unseen
 from pageloom.operators.sets import fallback
+from pageloom.operators.windows import first_by
 
 # Label -> field map of the place info boxes, in the order
 # the original parser lists them; a later cell of the same field wins.
@@ -39,56 +41,50 @@ ABSTRACT_PLACEHOLDER = "添加摘要"
 
 FIELDS = list(dict.fromkeys(f for _, f in LABEL_FIELDS)) + ["address"]
 
-_TD_RE = r"(?is)<td\b[^>]*>(.*?)</td>"
-_TR_RE = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-_CHILD_RES = (r"(?is)<strong\b[^>]*>.*?</strong>", r"(?is)<a\b[^>]*>.*?</a>", r"(?is)<b\b[^>]*>.*?</b>",
-              r"(?is)<span\b[^>]*>.*?</span>")
-
-
 def label_field(label) -> Column:
     """Field name of a label: the fixed map as a literal map (no join)."""
     m = F.create_map(*[F.lit(x) for pair in LABEL_FIELDS for x in pair])
     return F.try_element_at(m, col_of(label))
 
 
-def direct_texts(fragment) -> Column:
-    """Direct text nodes of a cell: child elements (bold, link, span) are
-    removed with their content, the remaining text runs are split at tags.
-    Entities are decoded."""
-    s = col_of(fragment)
-    for rx in _CHILD_RES:
-        s = F.regexp_replace(s, rx, "\u0001")
-    s = F.regexp_replace(s, r"<[^>]*>", "\u0001")
-    parts = F.split(s, "\u0001", -1)
-    return F.transform(F.filter(parts, lambda t: F.length(t) > 0), html_unescape_basic)
-
-
 def first_in(fragment, pattern: str) -> Column:
     """First capture of ``pattern``, entities decoded, ``''`` when absent."""
-    return html_unescape_basic(F.regexp_extract(col_of(fragment), pattern, 1))
+    return html_unescape(F.regexp_extract(col_of(fragment), pattern, 1))
+
+
+def _first(found: Column) -> Column:
+    return F.coalesce(F.try_element_at(found, F.lit(1)), F.lit(""))
 
 
 # --- EXT-5 -------------------------------------------------------------------
 
-def table_rows(pages: DataFrame) -> DataFrame:
-    """Rows of the listing table below its header row: the first cell's bold
-    link text and its ``tppabs`` attribute, ``''`` when absent (a row is
-    kept even then, like the original)."""
-    tbl = F.regexp_extract("html", r'(?is)<table\b[^>]*\bbgcolor="cccccc"[^>]*\bwidth="738"[^>]*>(.*?)</table>', 1)
-    rows = pages.select("page_id", F.posexplode(F.regexp_extract_all(tbl, F.lit(_TR_RE), 1)).alias("pos", "tr"))
-    cell = F.regexp_extract("tr", _TD_RE, 1)
-    link = F.regexp_extract(cell, r"(?is)<strong\b[^>]*>\s*(<a\b[^>]*>[^<]*)", 1)
-    return (rows.where(F.col("pos") > 0)
-            .select("page_id", F.col("pos").cast("int").alias("pos"),
-                    ws_strip(first_in(link, r"(?s)>([^<]*)\z")).alias("anchor_text"),
-                    ws_strip(first_in(link, attr_re("tppabs"))).alias("url")))
+LISTING = Element("table", (("bgcolor", "cccccc"), ("width", "738")))
+
+
+def table_rows(pages: DataFrame, table: Element = LISTING) -> DataFrame:
+    """The rows of all listing tables of a page but the first (the header):
+    the first cell's bold link text and its ``tppabs`` attribute, ``''`` when
+    absent (a row is kept even then, like the original).  Rows of tables
+    inside a cell are not rows of the listing."""
+    rows = elements(whole(elements("html", table)), Element("tr"), level=1)
+    cells = pages.select("page_id", F.posexplode(rows).alias("pos", "tr")).where(F.col("pos") > 0).select(
+        "page_id", F.col("pos").cast("int").alias("pos"), _first(elements("tr", Element("td"), level=0)).alias("cell"))
+    links = cells.select("page_id", "pos", _first(children(whole(elements("cell", Element("strong"))), "a", level=1)).alias("a"))
+    return links.select("page_id", "pos", ws_strip(first_direct_text(content("a"))).alias("anchor_text"),
+                        ws_strip(html_unescape(attribute("a", "tppabs"))).alias("url"))
 
 
 # --- EXT-6 / EXT-7 / EXT-8 -----------------------------------------------------
 
-def _cells(region: Column, value_of) -> Column:
+def _cells(tables: Column) -> Column:
+    """All cells of tables, in order; not those of tables inside them."""
+    rows = elements(whole(tables), Element("tr"), level=1)
+    return elements(whole(rows), Element("td"), level=0)
+
+
+def _pairs(cells, value_of) -> Column:
     """Cells of an info box as ``array<struct<label, value>>``."""
-    return F.transform(F.regexp_extract_all(region, F.lit(_TD_RE), 1), lambda td: F.struct(
+    return F.transform(cells, lambda td: F.struct(
         ws_strip(first_in(td, r"(?is)<strong\b[^>]*>([^<]*)")).alias("label"), value_of(td).alias("value")))
 
 
@@ -115,68 +111,82 @@ def _fields(cells: Column, with_address: bool) -> list[Column]:
     return out
 
 
+def _heading(html: Column) -> Column:
+    return ws_strip(first_in(html, r"(?i)<h1\b[^>]*>([^<]*)"))
+
+
+def _province(html: Column) -> Column:
+    """The province layout: in the second table of the left part, the first
+    cell of a row has the info box (``cells``), the second the description."""
+    left = first_element(html, Element("div", (("id", "page_left"),)), inner=True)
+    table = F.coalesce(F.try_element_at(children(left, "table"), F.lit(2)), F.lit(""))
+    rows = F.transform(elements(table, Element("tr"), level=1), lambda tr: elements(tr, Element("td"), level=0))
+    return let(rows, lambda rows: F.struct(
+        _cells(elements(whole(F.transform(rows, _first)), Element("table"), level=0)).alias("cells"),
+        whole(F.transform(rows, lambda tds: F.coalesce(F.try_element_at(tds, F.lit(2)), F.lit("")))).alias("texts"), F.lit("").alias("f12")))
+
+
+def _sub(html: Column) -> Column:
+    """The sub-page layout: ``cells`` of all 432px tables, else of the 396px ones."""
+    def cells(width: str) -> Column:
+        return _cells(elements(html, Element("table", (("width", width), ("bgcolor", "cccccc")))))
+
+    def of_class(cls: str) -> Column:
+        return whole(elements(html, Element("div", (("class", cls),))))
+
+    box = let(cells("432px"), lambda wide: F.when(F.size(wide) > 0, wide).otherwise(cells("396px")))
+    return F.struct(box.alias("cells"), of_class("f14").alias("texts"), of_class("f12").alias("f12"))
+
+
+def _linked_value(td: Column) -> Column:
+    """First direct text of a cell; if there is none, the text of its first link."""
+    v = strip_chars(ws_strip(_first(direct_texts(td, level=1))), ":")
+    link = F.coalesce(F.try_element_at(anchors(td), F.lit(1))["text"], F.lit(""))
+    return let(v, lambda v: F.when(F.length(v) > 0, v).otherwise(ws_strip(link)))
+
+
+def _joined_value(td: Column) -> Column:
+    """All direct texts of a cell, a line each."""
+    return let(ws_strip(F.array_join(direct_texts(td, level=1), "\n")), lambda v: F.when(F.length(v) > 0, strip_chars(v, ":")).otherwise(v))
+
+
+def _places(pages: DataFrame, record: Column, province: Column, columns: tuple[str, ...]) -> DataFrame:
+    """One row per page of its ``record``; ``province`` says by which rules."""
+    found = pages.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"), record.alias("r"),
+                         province.alias("province"))
+    texts = found.select("page_id", "title", "province", F.array_join(direct_texts("r.texts", level=1), "\n").alias("description"),
+                         F.array_join(direct_texts("r.f12", level=1), "\n").alias("f12"),
+                         F.when(F.col("province"), _pairs("r.cells", _linked_value)).otherwise(_pairs("r.cells", _joined_value)).alias("pairs"))
+    texts = texts.withColumn("f12", F.when(~F.col("province"), F.col("f12")))
+    both = zip(FIELDS, _fields(F.col("pairs"), True), _fields(F.col("pairs"), False), strict=True)
+    return texts.select("page_id", *columns, *[F.when(F.col("province"), a).otherwise(b).alias(f) for f, a, b in both])
+
+
 def province_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """EXT-6: province layout.  Value = first direct text of the cell,
     whitespace-stripped then ``:``-stripped (in that order, once); when that
     is empty, the cell's first link text.  Unknown labels are dropped; an
     address is a label containing the marker after its first character.
-    Title from ``h1``; description = direct texts of the next outer cell
+    Title from ``h1``; description = direct texts of the second outer cells
     joined by newlines.  One row per page with every field column."""
-    pages = pages.select("page_id", "html",
-                         F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="page_left"[^>]*>(.*)', 1).alias("left"))
-    # Pieces of the region between table end tags: [menu table | second
-    # table up to the end of its inner table | rest].  Anchored patterns on
-    # the pieces keep every step linear (no nested lazy scans).
-    parts = F.split(F.col("left"), r"(?i)</table>", -1)
-    box = F.regexp_extract(F.try_element_at(parts, F.lit(2)),
-                           r"(?is)\A\s*<table\b[^>]*>\s*<tr\b[^>]*>\s*<td\b[^>]*>\s*<table\b[^>]*>(.*)\z", 1)
-
-    def value_of(td):
-        v = strip_chars(ws_strip(F.coalesce(F.try_element_at(direct_texts(td), F.lit(1)), F.lit(""))), ":")
-        link = ws_strip(first_in(td, r"(?is)<a\b[^>]*>([^<]*)"))
-        return F.when(F.length(v) > 0, v).otherwise(link)
-
-    desc_cell = F.coalesce(F.regexp_extract(F.try_element_at(parts, F.lit(3)),
-                                            r"(?is)\A\s*</td>\s*<td\b[^>]*>(.*?)</td>", 1), F.lit(""))
-    staged = pages.select("page_id", "html", _cells(box, value_of).alias("cells"), desc_cell.alias("desc_cell"))
-    return staged.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"),
-                         F.array_join(direct_texts("desc_cell"), "\n").alias("description"),
-                         *_fields(F.col("cells"), True))
+    return _places(pages, _province(F.col("html")), F.lit(True), ("title", "description"))
 
 
 def sub_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """EXT-7: sub-page layout.  Cells of the 432px table, else of the 396px
-    one (SET-3, per page); value = all direct texts joined by newline,
+    """EXT-7: sub-page layout.  Cells of all 432px tables, else of the 396px
+    ones (SET-3, per page); value = all direct texts joined by newline,
     stripped, then ``:``-stripped; no link fallback, no address rule.
-    ``description`` from the ``f14`` block, ``f12`` from the ``f12`` block."""
-    pages = pages.select(
-        "page_id", "html",
-        F.regexp_extract("html", r'(?is)<table\b[^>]*\bwidth="432px"[^>]*\bbgcolor="cccccc"[^>]*>(.*?)</table>', 1)
-        .alias("t432"),
-        F.regexp_extract("html", r'(?is)<table\b[^>]*\bwidth="396px"[^>]*\bbgcolor="cccccc"[^>]*>(.*?)</table>', 1)
-        .alias("t396"))
-    has432 = F.col("t432").rlike(r"(?is)<td\b")
-    box = F.when(has432, F.col("t432")).otherwise(F.col("t396"))
-
-    def value_of(td):
-        v = ws_strip(F.array_join(direct_texts(td), "\n"))
-        return F.when(F.length(v) > 0, strip_chars(v, ":")).otherwise(v)
-
-    f14 = F.regexp_extract("html", r'(?is)<div\b[^>]*\bclass="f14"[^>]*>(.*?)</div>', 1)
-    f12 = F.regexp_extract("html", r'(?is)id="page_left".*?<div\b[^>]*\bclass="f12"[^>]*>(.*?)</div>', 1)
-    staged = pages.select("page_id", "html", _cells(box, value_of).alias("cells"))
-    return staged.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"),
-                         F.array_join(direct_texts(f14), "\n").alias("description"),
-                         F.array_join(direct_texts(f12), "\n").alias("f12"),
-                         *_fields(F.col("cells"), False))
+    ``description`` from all ``f14`` blocks, ``f12`` from the ``f12`` blocks."""
+    return _places(pages, _sub(F.col("html")), F.lit(False), ("title", "description", "f12"))
 
 
 def page_kind_branch(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """EXT-8: ``pid == 0`` pages use the province layout, others the
-    sub-page layout; the branches are unioned by name."""
-    prov = province_info(spark, pages.where(F.col("pid") == 0)).withColumn("f12", F.lit(None).cast("string"))
-    sub = sub_info(spark, pages.where(F.col("pid") != 0)).withColumn("address", F.lit(None).cast("string"))
-    return prov.unionByName(sub)
+    """EXT-8: ``pid == 0`` pages use the province layout, others (not those
+    without ``pid``) the sub-page layout.  Every page is read once, by the
+    branch that is its own."""
+    main = F.col("pid") == 0
+    record = F.when(main, _province(F.col("html"))).otherwise(_sub(F.col("html")))
+    return _places(pages.where(F.col("pid").isNotNull()), record, main, ("title", "description", "f12"))
 
 
 # --- EXT-10 ------------------------------------------------------------------
@@ -185,79 +195,109 @@ def title_price_rows(pages: DataFrame) -> DataFrame:
     """Title (``td/h3/a``) and price (third cell's nested spans) of every
     body row; a missing one is NULL, the row is kept."""
     body = F.regexp_extract("html", r"(?is)<tbody\b[^>]*>(.*?)</tbody>", 1)
-    rows = pages.select("page_id", F.posexplode(F.regexp_extract_all(body, F.lit(_TR_RE), 1)).alias("pos", "tr"))
+    rows = pages.select("page_id", F.posexplode(F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)).alias("pos", "tr"))
     title = F.regexp_extract("tr", r"(?is)<td\b[^>]*>\s*<h3\b[^>]*>\s*<a\b[^>]*>([^<]*)", 1)
-    cells = F.regexp_extract_all("tr", F.lit(_TD_RE), 1)
+    cells = F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
     third = F.try_element_at(cells, F.lit(3))
     price = F.regexp_extract(third, r"(?is)<p\b[^>]*>\s*<span\b[^>]*>\s*<span\b[^>]*>\s*<span\b[^>]*>([^<]*)", 1)
     has_title = F.col("tr").rlike(r"(?is)<td\b[^>]*>\s*<h3\b[^>]*>\s*<a\b[^>]*>[^<]")
     has_price = F.coalesce(third.rlike(r"(?is)<p\b[^>]*>\s*<span\b[^>]*>\s*<span\b[^>]*>\s*<span\b[^>]*>[^<]"), F.lit(False))
     return rows.select("page_id", (F.col("pos") + 1).cast("int").alias("pos"),
-                       F.when(has_title, ws_strip(html_unescape_basic(title))).alias("title"),
-                       F.when(has_price, ws_strip(html_unescape_basic(price))).alias("price"))
+                       F.when(has_title, ws_strip(html_unescape(title))).alias("title"),
+                       F.when(has_price, ws_strip(html_unescape(price))).alias("price"))
 
 
 # --- EXT-11 / EXT-12 / EXT-13 --------------------------------------------------
 
-def split_cards(html, marker: str) -> Column:
-    """Card bodies: the page split at every start tag holding ``marker``
-    (part 0, before the first card, dropped).  A card runs to the next
-    card start."""
-    parts = F.split(col_of(html), rf'<div\b[^>]*\bclass="{marker}"[^>]*>', -1)
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+def _class(cls: str, tag: str = "div") -> Element:
+    return Element(tag, (("class", cls),))
 
 
-def _field(card, pattern: str) -> Column:
-    return first_text(html_unescape_basic(F.regexp_extract(card, pattern, 1)))
+def _text_in(card: Column, cls: str) -> Column:
+    """First direct text of the first paragraph of a class."""
+    return first_text(first_direct_text(first_element(card, _class(cls, "p"), inner=True)))
 
 
-def _class_link_href(cls: str) -> str:
-    return rf'(?is)<div\b[^>]*\bclass="{cls}"[^>]*>\s*<a\b[^>]*\bhref\s*=\s*"([^"]*)"'
+def _link_in(card: Column, element: Element) -> Column:
+    """The first anchor of the first such element of a card."""
+    none = F.struct(F.lit("").alias("href"), F.lit("").alias("text"))
+    return F.coalesce(F.try_element_at(anchors(first_element(card, element, inner=True)), F.lit(1)), none)
 
 
-_H2_TEXT = r"(?is)<h2\b[^>]*>\s*<a\b[^>]*>([^<]*)"
-_DESC = r'(?is)<p\b[^>]*\bclass="man mts"[^>]*>([^<]*)'
+def _title_and_text(card: Column) -> list[Column]:
+    return [first_text(_link_in(card, Element("h2"))["text"]).alias("title"), _text_in(card, "man mts").alias("description")]
 
 
 def attraction_cards(pages: DataFrame) -> DataFrame:
     """EXT-11 with SET-3: layout A cards when the page has any, else layout
-    B cards; ``href, title, description`` per card (S-3 clean-up)."""
-    a_zone = F.regexp_extract("html", r'(?is)<div\b[^>]*\bclass="unit size1of3"[^>]*>(.*)', 1)
-    cards_a = F.transform(split_cards(a_zone, "ttd-row-height"), lambda c: F.struct(
-        _field(c, _class_link_href("product-image")).alias("href"), _field(c, _H2_TEXT).alias("title"),
-        _field(c, _DESC).alias("description")))
-    cards_b = F.transform(split_cards(F.col("html"), "media product-summary mtn mhn"), lambda c: F.struct(
-        _field(c, _class_link_href("img mrl prs")).alias("href"), _field(c, _H2_TEXT).alias("title"),
-        _field(c, _DESC).alias("description")))
-    both = pages.select("page_id", cards_a.alias("ca"), cards_b.alias("cb"))
-    return (both.select("page_id", F.posexplode(fallback("ca", "cb")).alias("pos", "c"))
-            .select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), "c.href", "c.title", "c.description"))
+    B cards; ``href, title, description`` per card (S-3 clean-up).  A card
+    ends with its own element."""
+    cards_a = elements(whole(elements("html", _class("unit size1of3"), level=0)), _class("ttd-row-height"))
+    cards_b = elements("html", _class("media product-summary mtn mhn"))
+    both = pages.select("page_id", cards_a.alias("a"), cards_b.alias("b"))
+    cards = both.select("page_id", (F.size("a") > 0).alias("is_a"), F.posexplode(fallback("a", "b")).alias("pos", "c"))
+    image = F.when(F.col("is_a"), _link_in(F.col("c"), _class("product-image"))["href"]).otherwise(_link_in(F.col("c"), _class("img mrl prs"))["href"])
+    return cards.select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), first_text(image).alias("href"), *_title_and_text(F.col("c")))
 
 
 def pager_links(pages: DataFrame, site: str) -> DataFrame:
     """EXT-12: links of the first pager only, prefixed with the site;
     ``page_id`` is the parent."""
-    pager = F.regexp_extract("html", r'(?is)<p\b[^>]*\bclass="txtR mhn mbl"[^>]*>(.*?)</p>', 1)
+    pager = first_element("html", _class("txtR mhn mbl", "p"))
     return (pages.select("page_id", F.posexplode(anchors(pager)).alias("pos", "a"))
             .select(F.col("page_id").alias("parent_id"), (F.col("pos") + 1).cast("int").alias("pos"),
                     F.concat(F.lit(site), F.col("a.href")).alias("href")))
 
 
+def new_pager_links(pages: DataFrame, stored: DataFrame, site: str, first_pages: Column | None = None) -> DataFrame:
+    """EXT-12 as the crawl stores it: pager links whose URL is not stored yet
+    (column ``href`` of ``stored``), once each, with the page where they occur
+    first as parent.  With ``first_pages`` (a condition on the pages) only the
+    pagers of such pages count."""
+    links = pager_links(pages if first_pages is None else pages.where(first_pages), site)
+    firsts = first_by(links, ["href"], ["parent_id", "pos"], [])
+    return unseen(firsts, stored, key="href").select("href", F.col("parent_id").alias("pid"))
+
+
 def product_cards(pages: DataFrame) -> DataFrame:
     """EXT-13: product cards -- link, title, description, location, and
     price = every price block (markup kept) joined by ``.``, tags stripped,
-    newlines to spaces, whitespace collapsed."""
-    cards = F.transform(split_cards(F.col("html"), "media product-summary mhn mtn"), lambda c: F.struct(
-        _field(c, _class_link_href("img product-image mrl")).alias("href"),
-        _field(c, _H2_TEXT).alias("title"),
-        _field(c, _DESC).alias("description"),
-        _field(c, r'(?is)<p\b[^>]*\bclass="man mts note xsmall"[^>]*>([^<]*)').alias("location"),
-        collapse_ws(ws_strip(F.replace(strip_tags(F.array_join(F.regexp_extract_all(
-            c, F.lit(r'(?is)<div\b[^>]*\bclass="product-price txtR"[^>]*>.*?</div>'), 0), ".")),
-            F.lit("\n"), F.lit(" ")))).alias("price")))
-    return (pages.select("page_id", F.posexplode(cards).alias("pos", "c"))
-            .select("page_id", (F.col("pos") + 1).cast("int").alias("pos"),
-                    "c.href", "c.title", "c.description", "c.location", "c.price"))
+    newlines to spaces, whitespace collapsed.  A card ends with its own
+    element."""
+    cards = pages.select("page_id", F.posexplode(elements("html", _class("media product-summary mhn mtn"))).alias("pos", "c"))
+    prices = F.array_join(elements("c", _class("product-price txtR")), ".")
+    return cards.select("page_id", (F.col("pos") + 1).cast("int").alias("pos"),
+                        first_text(_link_in(F.col("c"), _class("img product-image mrl"))["href"]).alias("href"), *_title_and_text(F.col("c")),
+                        _text_in(F.col("c"), "man mts note xsmall").alias("location"),
+                        collapse_ws(ws_strip(F.replace(strip_tags(prices), F.lit("\n"), F.lit(" ")))).alias("price"))
+
+
+# --- EXT-14 ------------------------------------------------------------------
+
+def nested_list_links(pages: DataFrame, site: str) -> DataFrame:
+    """EXT-14: in the first list on the own level of the ``bd`` block, the
+    group links of the items (those ending in 'ttd' skipped) and the links of
+    the items' own lists with the group's URL; texts and links stripped;
+    absolute links are dropped and relative ones prefixed with the site
+    (S-11).  ``page_id, level, pos, anchor_text, href, parent_href``."""
+    first_list = _first(children(first_element("html", _class("bd"), inner=True), "ul"))
+    items = pages.select("page_id", first_list.alias("list")).select("page_id", F.posexplode(children("list", "li", level=1)).alias("item", "li"))
+    own = items.select("page_id", "item", children("li", "a", level=1).alias("groups"), children("li", "ul", level=1).alias("lists"))
+    links = own.select("page_id", "item", anchors(whole(F.col("groups"))).alias("groups"),
+                       anchors(whole(children(whole(children(whole(F.col("lists")), "li", level=1)), "a", level=1))).alias("subs"))
+
+    def link(level: int, a: Column, parent: Column) -> Column:
+        return F.struct(F.lit(level).alias("level"), ws_strip(a["text"]).alias("text"), ws_strip(a["href"]).alias("href"), parent.alias("parent"))
+
+    records = F.flatten(F.transform("groups", lambda g: F.concat(
+        F.array(link(1, g, F.lit(None).cast("string"))), F.transform("subs", lambda s: link(2, s, ws_strip(g["href"]))))))
+    found = links.select("page_id", "item", F.posexplode(records).alias("place", "a"))
+    href, level = F.col("a.href"), F.col("a.level")
+    # the place within the page: that of the item, then within it
+    return found.where(~href.startswith("http") & ~((level == 1) & href.endswith("ttd"))).select(
+        "page_id", level.alias("level"), (F.col("item").cast("bigint") * (1 << 20) + F.col("place")).alias("pos"),
+        F.col("a.text").alias("anchor_text"), F.concat(F.lit(site), href).alias("href"),
+        F.when(level == 2, F.concat(F.lit(site), F.col("a.parent"))).alias("parent_href"))
 
 
 # --- EXT-9 -------------------------------------------------------------------
@@ -271,25 +311,18 @@ def best_description(pages: DataFrame, keep=()) -> DataFrame:
     3. the stripped text between the two heading markers of the content
        block (returned even when empty; ``''`` when a marker is missing);
     4. ``''`` when there is no content block.
-    The content block is taken from its start tag to the end of the page,
-    which equals the block whenever both markers lie inside it.  ``keep``
-    names page columns to carry along (so callers need no self-join)."""
+    Blocks end with their own end tags; a paragraph is a child of its block,
+    wherever it stands there.  ``keep`` names page columns to carry along (so
+    callers need no self-join)."""
     keep = list(keep)
-    cut = pages.select(
-        "page_id", *keep,
-        F.col("html").rlike(r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*<p\b').alias("has_abs"),
-        F.regexp_extract("html", r'(?is)<div\b[^>]*\bid="unifyprompt"[^>]*>\s*<div\b[^>]*>\s*(<p\b.*?</p>)', 1)
-        .alias("abstract"),
-        F.col("html").rlike(r'(?is)<div\b[^>]*\bid="content"').alias("has_content"),
-        F.regexp_extract("html", r'(?is)(<div\b[^>]*\bid="content"[^>]*>.*)', 1).alias("content"))
-    staged = cut.select(
-        "page_id", *keep, "has_abs", "abstract", "has_content", "content",
-        F.regexp_extract("content", r'(?is)\A<div\b[^>]*>\s*(<p\b.*?</p>)', 1).alias("first_p"))
-    staged = staged.withColumn("p_text", strip_tags("first_p"))
+    prompt = first_element("html", Element("div", (("id", "unifyprompt"),)), inner=True)
+    cut = pages.select("page_id", *keep, children(whole(children(prompt, "div")), "p", level=1).alias("abstracts"),
+                       first_element("html", Element("div", (("id", "content"),))).alias("content"))
+    staged = cut.select("page_id", *keep, "content", F.try_element_at("abstracts", F.lit(1)).alias("abstract"),
+                        strip_tags(_first(children(content("content"), "p"))).alias("p_text"))
     section = between_markers("content", 'class="content_h2 bac_no">', '<div class="content_h2">', 0, True)["text"]
-    desc = (F.when(F.col("has_abs") & ~F.contains(F.col("abstract"), F.lit(ABSTRACT_PLACEHOLDER)),
-                   strip_tags("abstract"))
-            .when(F.col("has_content") & (F.length("first_p") > 0) & (F.length("p_text") > 100), F.col("p_text"))
-            .when(F.col("has_content"), strip_tags(section))
+    desc = (F.when(F.col("abstract").isNotNull() & ~F.contains(F.col("abstract"), F.lit(ABSTRACT_PLACEHOLDER)), strip_tags("abstract"))
+            .when(F.length("p_text") > 100, F.col("p_text"))
+            .when(F.length("content") > 0, strip_tags(section))
             .otherwise(F.lit("")))
     return staged.select("page_id", *keep, desc.alias("description"))

@@ -1,17 +1,19 @@
 """Page-table extraction jobs (EXT-1 to EXT-4, EXT-11, EXT-12, EXT-15).
 
-Every job is ``pages DataFrame -> records DataFrame``: a block is cut with a
-regular expression, its records become an array column and are exploded.
+Every job is ``pages DataFrame -> records DataFrame``: a block is cut with
+its nested elements, its records become an array column and are exploded.
 Only ``page_id``/``url``/``html`` are projected before the expressions, so
 the parquet scan reads those columns only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.functions.html import anchors, block
+from pageloom.functions.html import Element, anchors, block, elements, first_element
 from pageloom.functions.text import strip_tags, ws_strip
 from pageloom.functions.urls import absolutize, absolutize_rooted
 
@@ -56,25 +58,36 @@ def fragment_links(rows: DataFrame, columns=("subway", "district"), url_col: str
                     absolutize_rooted(F.col("a.href"), F.col("src_url")).alias("url")))
 
 
+def tagged_anchors(pages: DataFrame, blocks: Sequence[tuple[str, Element]]) -> DataFrame:
+    """SET-1: the anchors of several blocks of each page, tagged with the
+    block's name (``source, page_id, pos, href, text``); every page is read
+    once."""
+    lists = F.array(*[F.struct(F.lit(name).alias("source"), anchors(first_element("html", e)).alias("found")) for name, e in blocks])
+    each = pages.select("page_id", F.explode(lists).alias("b"))
+    return each.select(F.col("b.source").alias("source"), "page_id", F.posexplode("b.found").alias("pos", "a")).select(
+        "source", "page_id", (F.col("pos") + 1).cast("int").alias("pos"), F.col("a.href").alias("href"), F.col("a.text").alias("text"))
+
+
 def list_items(pages: DataFrame) -> DataFrame:
-    """EXT-15 (SET-2): text of the first link of every list item, stripped,
-    concatenated over all pages.  A list item without a link is skipped."""
-    items = pages.select("page_id", F.posexplode(
-        F.regexp_extract_all(F.col("html"), F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), 1)).alias("pos", "li"))
+    """EXT-15 (SET-2): text of the first link of every list item (those of
+    inner lists too), stripped, concatenated over all pages.  A list item
+    without a link is skipped."""
+    items = pages.select("page_id", F.posexplode(elements("html", Element("li"))).alias("pos", "li"))
     first = F.try_element_at(anchors(F.col("li")), F.lit(1))
     return (items.select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), first.alias("a"))
             .where(F.col("a").isNotNull())
             .select("page_id", "pos", ws_strip(F.col("a.text")).alias("item")))
 
 
-def html_blocks(pages: DataFrame) -> DataFrame:
-    """EXT-3: raw HTML of three blocks, markup kept: the filter block (by
-    tag), a block whose class starts with a prefix, and a block by tag.
-    Stored as the fragment columns ``area``, ``subway``, ``district``."""
-    return pages.select("page_id", "url",
-                        block("html", "nav").alias("area"),
-                        block("html", "div", "class", "a", prefix=True).alias("subway"),
-                        block("html", "footer").alias("district"))
+#: The blocks of the given pages: the filter block, one by the beginning of its class, one by its tag.
+PAGE_BLOCKS = {"area": Element("nav"), "subway": Element("div", (("class^", "a"),)), "district": Element("footer")}
+
+
+def html_blocks(pages: DataFrame, blocks: dict[str, Element] = PAGE_BLOCKS) -> DataFrame:
+    """EXT-3: raw HTML of the first element of each kind (column name ->
+    which one), markup and nested elements kept; ``''`` where a page has
+    none."""
+    return pages.select("page_id", "url", *[first_element("html", e).alias(name) for name, e in blocks.items()])
 
 
 def site_links(pages: DataFrame, site: str, tag: str = "nav") -> DataFrame:

@@ -37,14 +37,6 @@ def reciprocal(pairs: DataFrame, marker: str) -> DataFrame:
             .select("id", "inboundfrom", "inboundto"))
 
 
-def non_empty(*cols) -> Column:
-    """FLT-6 / FLT-12: all columns non-empty (NULL counts as empty)."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & (F.coalesce(F.length(col_of(c)), F.lit(0)) > 0)
-    return cond
-
-
 def status_not_ok(status) -> Column:
     """FLT-10: HTTP status outside 200-299."""
     s = col_of(status)

@@ -8,7 +8,6 @@ DuckDB's ``regexp_replace`` replaces only the first match unless given the
 
 from __future__ import annotations
 
-from pageloom.functions import html as H
 from pageloom.functions import text as T
 from pageloom.functions import urls as U
 
@@ -17,6 +16,16 @@ ANCHOR_RULE = r"(?i)<a\b[^>]*>(?:[^<]|<[^a/]|</[^a]|<a[^\t\n\f\r >]|</a[^\t\n\f\
 HREF_RULE = r"(?i)\shref\s*=\s*[\"']([^\"']*)[\"']"
 
 
+# elements that are text's siblings in the pages: read without their text
+INLINE_RULES = [rf"(?is)<{t}\b[^>]*>.*?</{t}>" for t in ("b", "strong", "span", "i", "em", "font")]
+
+
+def block_rule(tag: str, attr: str | None = None, value: str | None = None, prefix: bool = False) -> str:
+    """The first ``<tag ...>...</tag>``; the given pages nest no block in one of its name."""
+    rest = "" if attr is None else rf'[^>]*\b{attr}\s*=\s*"{value}' + ('[^"]*"' if prefix else '"')
+    return rf"(?is)<{tag}\b{rest}[^>]*>(.*?)</{tag}>"
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -43,7 +52,8 @@ def strip_tags(x: str) -> str:
 
 def unescape(x: str) -> str:
     s = x
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
+                    ("&nbsp;", "\u00a0"), ("&amp;", "&")):
         s = f"replace({s}, {lit(ent)}, {lit(ch)})"
     return s
 
@@ -58,18 +68,18 @@ def absolutize(h: str, page_url: str) -> str:
 
 
 def block(html: str, tag: str, attr=None, value=None, prefix=False, inner=False) -> str:
-    return f"regexp_extract({html}, {lit(H.block_re(tag, attr, value, prefix))}, {1 if inner else 0})"
+    return f"regexp_extract({html}, {lit(block_rule(tag, attr, value, prefix))}, {1 if inner else 0})"
 
 
 def blocks(html: str, tag: str, attr=None, value=None, prefix=False, inner=True) -> str:
-    return f"regexp_extract_all({html}, {lit(H.block_re(tag, attr, value, prefix))}, {1 if inner else 0})"
+    return f"regexp_extract_all({html}, {lit(block_rule(tag, attr, value, prefix))}, {1 if inner else 0})"
 
 
 def first_direct_text(x: str) -> str:
     s = x
-    for rx in H.INLINE_CHILD_RES:
+    for rx in INLINE_RULES:
         s = f"regexp_replace({s}, {lit(rx)}, chr(1), 'g')"
-    parts = f"string_split(regexp_replace({s}, {lit(H.TAG_ANY_RE)}, chr(1), 'g'), chr(1))"
+    parts = f"string_split(regexp_replace({s}, '<[^>]*>', chr(1), 'g'), chr(1))"
     return f"coalesce(list_filter({parts}, lambda t: length(t) > 0)[1], '')"
 
 

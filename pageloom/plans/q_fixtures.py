@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions.urls import url_quote
 from pageloom.operators import binary as BI
 from pageloom.operators import cards as CA
-from pageloom.operators import tree_extract as TE
+from pageloom.operators import ids as ID
 from pageloom.plans import duck as D
 from pageloom.plans import fixtures as FX
 from pageloom.plans.registry import register
@@ -114,6 +114,20 @@ def q_pager_links(spark, sf):
     return CA.pager_links(FX.attraction_pages(spark, sf), SITE)
 
 
+@register("unseen_pager_links", f"""
+WITH g AS (SELECT kind, b, min(p_partkey) AS page_id FROM ({KIND_SQL}) GROUP BY kind, b),
+l AS (SELECT page_id, '{SITE}/list/' || CAST(page_id AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS href
+      FROM g, (SELECT unnest([2, 3]) AS n))
+SELECT href, CAST(page_id AS BIGINT) AS pid FROM l
+WHERE page_id % 2 = 0 AND href NOT IN (SELECT '{SITE}/list/' || CAST(p_partkey AS VARCHAR) || '-3' FROM part WHERE p_size > 25)
+""")
+def q_unseen_pager_links(spark, sf):
+    """EXT-12: pager links of first pages (those of even id) that are not stored yet (the third pages of large parts are)."""
+    stored = read_table(spark, sf, "part").where(F.col("p_size") > 25).select(
+        F.concat(F.lit(f"{SITE}/list/"), F.col("p_partkey").cast("string"), F.lit("-3")).alias("href"))
+    return CA.new_pager_links(FX.attraction_pages(spark, sf), stored, SITE, F.col("page_id") % 2 == 0)
+
+
 @register("product_cards", """
 SELECT CAST(p_partkey // 10 AS BIGINT) AS page_id,
        CAST(row_number() OVER (PARTITION BY p_partkey // 10 ORDER BY p_partkey) AS INTEGER) AS pos,
@@ -174,18 +188,18 @@ def q_enrich_from_pages(spark, sf):
 
 
 @register("nested_list_links", f"""
+WITH g AS (SELECT *, row_number() OVER (ORDER BY n_regionkey, n_nationkey) AS id FROM nation),
+s AS (SELECT *, unnest(['day', 'night']) AS part, unnest([1, 2]) AS k FROM g)
 SELECT '{SITE}/' || n_name || '-tours/d' || CAST(n_regionkey AS VARCHAR) || '-g' || CAST(n_nationkey AS VARCHAR) AS href,
-       n_name AS anchor_text, CAST(n_nationkey AS BIGINT) AS id, CAST(NULL AS BIGINT) AS pid FROM nation
-UNION ALL
-SELECT '{SITE}/' || n_name || '-tours/day/d' || CAST(n_nationkey AS VARCHAR) || '-g1', n_name || ' day',
-       CAST(NULL AS BIGINT), CAST(n_nationkey AS BIGINT) FROM nation
+       n_name AS anchor_text, CAST(id AS BIGINT) AS id, CAST(NULL AS BIGINT) AS pid FROM g
 UNION ALL
-SELECT '{SITE}/' || n_name || '-tours/night/d' || CAST(n_nationkey AS VARCHAR) || '-g2', n_name || ' night',
-       CAST(NULL AS BIGINT), CAST(n_nationkey AS BIGINT) FROM nation
+SELECT '{SITE}/' || n_name || '-tours/' || part || '/d' || CAST(n_nationkey AS VARCHAR) || '-g' || CAST(k AS VARCHAR),
+       n_name || ' ' || part, CAST((SELECT count(*) FROM g) + row_number() OVER (ORDER BY id, k) AS BIGINT), CAST(id AS BIGINT) FROM s
 """)
 def q_nested_list_links(spark, sf):
-    """EXT-14 / JOIN-4: nested group links with parent ids."""
-    return TE.group_ids(TE.nested_list_links(FX.region_list_pages(spark, sf), SITE))
+    """EXT-14 / JOIN-4: nested group links stored with ids and parent ids, from an empty table on."""
+    links = CA.nested_list_links(FX.region_list_pages(spark, sf), SITE)
+    return ID.store_groups(links, spark.createDataFrame([], "href string, anchor_text string, id bigint, pid bigint"))
 
 
 _LANG = "regexp_extract(url, '\\A[a-z]+://[^/]*/([a-z]{2})/', 1)"

@@ -12,7 +12,6 @@ from pageloom.operators import derive as DV
 from pageloom.operators import extract as EX
 from pageloom.operators import filters as FL
 from pageloom.operators import frontier as FR
-from pageloom.operators import sets as ST
 from pageloom.operators import tables as TB
 from pageloom.plans import duck as D
 from pageloom.plans.registry import register
@@ -340,9 +339,7 @@ SELECT 'footer' AS source, page_id, pos, rec.href, rec.text FROM (
 """)
 def q_union_links(spark, sf):
     """SET-1: two link lists, tagged, unioned."""
-    p = _pages(spark, sf)
-    return ST.union_tagged([("nav", EX.block_anchors(p, "nav")), ("footer", EX.block_anchors(p, "footer"))],
-                           ["page_id", "pos", "href", "text"])
+    return EX.tagged_anchors(_pages(spark, sf), [("nav", H.Element("nav")), ("footer", H.Element("footer"))])
 
 
 # Derived link-exchange rows (fixture rule, all rows of pages): the source

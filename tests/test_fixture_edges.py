@@ -65,11 +65,3 @@ def test_bad_url_shape_suffix(spark):
     rows = spark.createDataFrame([(1, "http://www.example.com/Lisbon-tours/x/d1-g2"),
                                   (2, "http://www.example.com/Oslo/d3-g4")], "page_id bigint, url string")
     assert [(r["page_id"], r["tok"]) for r in DV.bad_url_shape(rows, "-tours").collect()] == [(2, "Oslo")]
-
-
-def test_tree_outer_html():
-    from pageloom.operators.tree_extract import outer_html, parse_tree
-    html = '<body><div id="content"><p>a<div class="x">b</div></div>tail</body>'
-    content = next(d for d in parse_tree(html).descendants() if d.attrs.get("id") == "content")
-    assert outer_html(html, content) == '<div id="content"><p>a<div class="x">b</div></div>'
-    assert outer_html(html, content.elements("p")[0]) == '<p>a<div class="x">b</div>'
