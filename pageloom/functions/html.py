@@ -22,8 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pageloom.functions.text import html_unescape
-from pageloom.functions.util import col_of, let
+from pageloom.functions.text import unescape_sql
+from pageloom.functions.util import applied, bound, col_of, quoted, texts_of
 
 # --- patterns ----------------------------------------------------------------
 
@@ -61,11 +61,15 @@ def _up_to(attr: str) -> str:
     return rf"(?:[\s/]++|(?!{attr}[\s/>=]){_ATTR})*+{attr}"
 
 
+def _attribute_re(name: str) -> str:
+    value = r"""["']?+((?<=")[^"]*+|(?<=')[^']*+|[^\s<>]*+)"""
+    return rf"(?i)\A<{_NAME}{_up_to(name)}\s*+=\s*+{value}"
+
+
 def attribute(tag, name: str) -> Column:
     """Value of an attribute of the start tag that ``tag`` begins with, as
     written; ``''`` when it has none."""
-    value = r"""["']?+((?<=")[^"]*+|(?<=')[^']*+|[^\s<>]*+)"""
-    return F.regexp_extract(col_of(tag), rf"(?i)\A<{_NAME}{_up_to(name)}\s*+=\s*+{value}", 1)
+    return F.regexp_extract(col_of(tag), _attribute_re(name), 1)
 
 
 @dataclass(frozen=True)
@@ -87,87 +91,68 @@ class Element:
 
 # --- elements ----------------------------------------------------------------
 
-def _pieces(html: Column, names: Column) -> Column:
-    """The text cut before every tag whose name is one of ``names`` (joined
-    by ``|``); all pieces together are the text."""
-    tag = [F.lit(r"</?(?:"), names, F.lit(rf")(?=[\s/>]){_REST}")]
-    return F.regexp_extract_all(html, F.concat(
-        F.lit("(?i)(?:"), *tag, F.lit(rf")?+(?:{_COMMENT}|(?!"), *tag, F.lit(rf")(?:{_RAW}|{_TAG})|{_OTHER}|{_TEXT}|(?!"),
-        *tag, F.lit(")<)*+")), F.lit(0))
+_HEAD_RE = r"\A<(/?[A-Za-z][^\s/>]*)"
 
 
-def _head(piece: Column) -> Column:
-    """``/li`` of a piece that begins with ``</LI ...>``; ``''`` without a tag."""
-    return F.lower(F.regexp_extract(piece, r"\A<(/?[A-Za-z][^\s/>]*)", 1))
+def _pieces(html: str, names: str) -> str:
+    """The text cut before every tag whose name is one of ``names`` (SQL of
+    names joined by ``|``); all pieces together are the text."""
+    tag = f"{quoted('</?(?:')}, {names}, {quoted(rf')(?=[\s/>]){_REST}')}"
+    rest = quoted(rf")(?:{_RAW}|{_TAG})|{_OTHER}|{_TEXT}|(?!")
+    return (f"regexp_extract_all({html}, concat({quoted('(?i)(?:')}, {tag}, {quoted(rf')?+(?:{_COMMENT}|(?!')}, {tag}, {rest}, {tag}, "
+            f"{quoted(')<)*+')}), 0)")
 
 
-_OPEN = "array<struct<level:int,at:int>>"
+def _head(piece: str) -> str:
+    """``/li`` of a piece that begins with ``</LI ...>``; ``''`` without a tag."""
+    return f"lower(regexp_extract({piece}, {quoted(_HEAD_RE)}, 1))"
 
 
-def _note(at: Column, stop: Column, tail: Column, level: Column) -> Column:
+def _note(at: str, stop: str, tail: str = "0", level: str = "0") -> str:
     """A found span as text: a fold appends to a text cheaply, to an array not."""
-    return F.concat(F.lpad(at.cast("string"), 10, "0"), *[F.concat(F.lit(","), c.cast("int").cast("string")) for c in (stop, tail, level)], F.lit(";"))
+    return f"concat(lpad(cast({at} as string), 10, '0'), ',', {stop}, ',', cast({tail} as int), ',', {level}, ';')"
 
 
-def _noted(notes: Column) -> Column:
+def _noted(notes: str) -> str:
     """The spans of :func:`_note`, by their begin."""
-    def span(n: Column) -> Column:
-        return F.struct(*[F.get(n, F.lit(i)).cast("int").alias(c) for i, c in enumerate(("at", "stop", "tail", "level"))])
-    rows = F.array_sort(F.filter(F.split(notes, ";"), lambda n: n != ""))
-    return F.transform(F.transform(rows, lambda n: F.split(n, ",")), span)
+    fields = ", ".join(f"'{c}', cast(cells[{i}] as int)" for i, c in enumerate(("at", "stop", "tail", "level")))
+    rows = f"array_sort(filter(split({notes}, ';'), note -> note <> ''))"
+    return f"transform(transform({rows}, note -> split(note, ',')), cells -> named_struct({fields}))"
 
 
-def _spans(pieces: Column, element: Element, tag: Column, known: str | None) -> Column:
+def _spans(pieces: str, element: Element, tag: str, known: str | None) -> str:
     """Where the elements that are meant begin and stop, in pieces; ``tail``:
     their end tag begins the piece where they stop."""
     holders, others = _IMPLIED.get(known, ((), ()))
     implied = known in _IMPLIED
-    opens = [F.lit(h) for h in holders] if implied else [tag]
-
-    def one_of(head: Column, names) -> Column:
-        found = F.lit(False)
-        for n in names:
-            found = found | (head == n)
-        return found
-
-    def kind(p: Column) -> Column:
-        """What a piece's tag does, worked out once."""
-        return let(_head(p), lambda head: F.struct(
-            ((head == tag) & p.rlike(rf"(?i)\A{element.pattern()}")).alias("meant"), (head == F.concat(F.lit("/"), tag)).alias("ends"),
-            one_of(head, opens).alias("holds"), one_of(head, [F.concat(F.lit("/"), h) for h in opens]).alias("leaves"),
-            (F.lit(implied) & ((head == tag) | one_of(head, [F.lit(x + o) for o in others for x in ("", "/")]))).alias("parts")))
-
-    def step(acc: Column, k: Column) -> Column:
-        level = acc["level"]
-        inside = F.when(k["holds"], level + 1).when(k["leaves"], F.greatest(level - 1, F.lit(0))).otherwise(level).cast("int")
-        # what is open at this depth ends here, unless this only opens something inside it
-        stops = k["leaves"] | k["ends"] | k["parts"]
-        closed = F.filter(acc["open"], lambda e: e["level"] >= level)
-        done = F.array_join(F.transform(closed, lambda e: _note(e["at"], acc["i"], k["ends"], e["level"])), "")
-        still = F.when(stops, F.filter(acc["open"], lambda e: e["level"] < level)).otherwise(acc["open"])
-        new = F.array(F.struct(inside.alias("level"), acc["i"].alias("at")))
-        return F.struct((acc["i"] + 1).alias("i"), inside.alias("level"),
-                        F.when(k["meant"], F.concat(still, new)).otherwise(still).alias("open"),
-                        F.when(stops, F.concat(acc["done"], done)).otherwise(acc["done"]).alias("done"))
-
-    begin = F.struct(F.lit(0).alias("i"), F.lit(0).alias("level"), F.array().cast(_OPEN).alias("open"), F.lit("").alias("done"))
-    return F.aggregate(F.transform(pieces, kind), begin, step, lambda acc: _noted(F.concat(acc["done"], F.array_join(F.transform(
-        acc["open"], lambda e: _note(e["at"], acc["i"], F.lit(0), e["level"])), ""))))
-
-
-def _cut(html: Column, element: Element, tag: Column, known: str | None) -> Column:
-    """``array<struct<html, level>>`` of all elements that are meant, in
+    opens = f"array_contains({texts_of(holders or ('-',))}, h)" if implied else f"h = {tag}"
+    leaves = f"array_contains({texts_of(['/' + x for x in holders] or ['-'])}, h)" if implied else f"h = concat('/', {tag})"
+    parts = f"(h = {tag} or array_contains({texts_of([x + o for o in others for x in ('', '/')] or ['-'])}, h))" if implied else "false"
+    kind = bound(_head("p"), "h", f"named_struct('meant', h = {tag} and rlike(p, {quoted(rf'(?i)\A{element.pattern()}')}), "
+                 f"'ends', h = concat('/', {tag}), 'holds', {opens}, 'leaves', {leaves}, 'parts', {parts})")
+    inside = "cast(case when k.holds then acc.level + 1 when k.leaves then greatest(acc.level - 1, 0) else acc.level end as int)"
+    # what is open at this depth ends here, unless this only opens something inside it
+    stops = "(k.leaves or k.ends or k.parts)"
+    done = f"array_join(transform(filter(acc.open, e -> e.level >= acc.level), e -> {_note('e.at', 'acc.i', 'k.ends', 'e.level')}), '')"
+    still = f"if({stops}, filter(acc.open, e -> e.level < acc.level), acc.open)"
+    state = "struct<i:int,level:int,open:array<struct<level:int,at:int>>,done:string>"
+    step = (f"named_struct('i', acc.i + 1, 'level', {inside}, 'open', "
+            f"if(k.meant, concat({still}, array(named_struct('level', {inside}, 'at', acc.i))), {still}), "
+            f"'done', if({stops}, concat(acc.done, {done}), acc.done))")
+    rest = f"array_join(transform(acc.open, e -> {_note('e.at', 'acc.i', '0', 'e.level')}), '')"
+    return (f"aggregate(transform({pieces}, p -> {kind}), cast(named_struct('i', 0, 'level', 0, 'open', array(), 'done', '') as {state}), "
+            f"(acc, k) -> cast({step} as {state}), acc -> {_noted(f'concat(acc.done, {rest})')})")
+
+
+def _cut(html: str, element: Element, tag: str, known: str | None) -> str:
+    """SQL of ``array<struct<html, level>>`` of all elements that are meant, in
     order; ``known`` is the tag's name where it doesn't depend on the row."""
     holders, others = _IMPLIED.get(known, ((), ()))
-    names = F.lit("|".join((known, *holders, *others))) if known else tag
-
-    def cut(pieces: Column) -> Column:
-        return F.transform(_spans(pieces, element, tag, known), lambda s: F.struct(
-            F.concat(F.array_join(F.slice(pieces, s["at"] + 1, s["stop"] - s["at"]), ""),
-                     F.when(s["tail"] == 1, F.regexp_extract(F.get(pieces, s["stop"]), r"\A</[^>]*+>", 0)).otherwise(F.lit(""))).alias("html"),
-            (s["level"] - F.lit(0 if known in _IMPLIED else 1)).alias("level")))
-
-    return let(_pieces(html, names), cut)
+    names = quoted("|".join((known, *holders, *others))) if known else tag
+    end = f"if(s.tail = 1, regexp_extract(pieces[s.stop], {quoted(r'\A</[^>]*+>')}, 0), '')"
+    found = (f"transform({_spans('pieces', element, tag, known)}, s -> named_struct('html', "
+             f"concat(array_join(slice(pieces, s.at + 1, s.stop - s.at), ''), {end}), 'level', s.level - {0 if known in _IMPLIED else 1}))")
+    return bound(_pieces(html, names), "pieces", found)
 
 
 def elements(html, element: Element, level: int | None = None) -> Column:
@@ -175,10 +160,10 @@ def elements(html, element: Element, level: int | None = None) -> Column:
     its end tag, in the order of the start tags; with ``level`` only those
     inside so many elements of the kind that holds them (tables around rows
     and cells, lists around items, others of its tag around any other)."""
-    found = _cut(col_of(html), element, F.lit(element.tag), element.tag)
+    found = _cut("html", element, quoted(element.tag), element.tag)
     if level is not None:
-        found = F.filter(found, lambda e: e["level"] == level)
-    return F.transform(found, lambda e: e["html"])
+        found = f"filter({found}, found -> found.level = {level})"
+    return applied(col_of(html), "html", f"transform({found}, found -> found.html)")
 
 
 def whole(found: Column) -> Column:
@@ -197,120 +182,106 @@ def block(html, tag: str, attr: str | None = None, value: str | None = None, pre
 
 def first_element(html, element: Element, inner: bool = False) -> Column:
     """The first element that is meant (``''``: none)."""
-    def first(found: Column) -> Column:
-        return F.coalesce(F.try_element_at(found, F.lit(1))["html"], F.lit(""))
-
-    def any_tag(html: Column) -> Column:
+    if element.tag == "*":
         # the first start tag that is meant names the tag whose nesting counts
         start = element.pattern()
-        before = F.regexp_extract(html, rf"(?i)\A(?:{_COMMENT}|(?!{start})(?:{_RAW}|{_TAG})|{_OTHER}|{_TEXT}|(?!{start})<)*+", 0)
-        return let(F.substr(html, F.length(before) + 1), lambda rest: first(
-            _cut(rest, element, F.lower(F.regexp_extract(rest, r"\A<([A-Za-z][A-Za-z0-9:_-]*)", 1)), None)))
+        skipped = rf"(?i)\A(?:{_COMMENT}|(?!{start})(?:{_RAW}|{_TAG})|{_OTHER}|{_TEXT}|(?!{start})<)*+"
+        name = f"lower(regexp_extract(html, {quoted(r'\A<([A-Za-z][A-Za-z0-9:_-]*)')}, 1))"
+        rest = f"substr(page, length(regexp_extract(page, {quoted(skipped)}, 0)) + 1)"
+        found = bound(rest, "html", bound(name, "tag", f"try_element_at({_cut('html', element, 'tag', None)}, 1).html"))
+    else:
+        found = bound("page", "html", f"try_element_at({_cut('html', element, quoted(element.tag), element.tag)}, 1).html")
+    found = f"coalesce({found}, if(page is not null, '', null))"
+    return applied(col_of(html), "page", bound(found, "whole", _content("whole")) if inner else found)
 
-    def one(html: Column) -> Column:
-        found = any_tag(html) if element.tag == "*" else first(_cut(html, element, F.lit(element.tag), element.tag))
-        return F.when(html.isNotNull(), content(found) if inner else found)
 
-    return let(col_of(html), one)
+def _content(e: str) -> str:
+    name = f"lower(regexp_extract({e}, {quoted(r'\A<([A-Za-z][^\s/>]*)')}, 1))"
+    last = f"lower(regexp_extract({e}, {quoted(r'</([A-Za-z][^\s/>]*+)[^<>]*+>\z')}, 1))"
+    inside = f"regexp_replace({e}, {quoted(START_TAG_RE)}, '')"
+    return f"if({name} <> '' and {name} = {last}, regexp_replace({inside}, {quoted(r'</[A-Za-z][^<>]*+>\z')}, ''), {inside})"
 
 
 def content(element) -> Column:
     """What an element has between its start tag and its end tag."""
-    def body(e: Column) -> Column:
-        name = F.lower(F.regexp_extract(e, r"\A<([A-Za-z][^\s/>]*)", 1))
-        last = F.lower(F.regexp_extract(e, r"</([A-Za-z][^\s/>]*+)[^<>]*+>\z", 1))
-        inside = F.regexp_replace(e, START_TAG_RE, "")
-        return F.when((name != "") & (last == name), F.regexp_replace(inside, r"</[A-Za-z][^<>]*+>\z", "")).otherwise(inside)
-
-    return let(col_of(element), body)
+    return applied(col_of(element), "whole", _content("whole"))
 
 
 # --- children ----------------------------------------------------------------
 
-def _walk(fragment: Column, start: Column, step, finish) -> Column:
-    """Fold over the tokens of a fragment.  ``step(out, token, i, before,
-    after)`` gets a token's ``text``, ``head`` and ``words`` (whether it is
-    text), its place and the depths around it: 0 is the fragment's own level.
-    ``finish(out, tokens)`` makes the result."""
-    void, blocks = F.array(*[F.lit(v) for v in VOID]), F.array(*[F.lit(b) for b in (*_BLOCKS, "p")])
-
-    def kind(token: Column) -> Column:
-        return let(_head(token), lambda head: F.struct(
-            token.alias("text"), head.alias("head"), head.startswith("/").alias("closes"),
-            ((head != "") & ~head.startswith("/") & ~F.array_contains(void, head)
-             & ~token.rlike(r"""[\s"']/>\z|\A<[A-Za-z0-9]+/>\z""")).alias("opens"),
-            F.array_contains(blocks, head).alias("block"), token.rlike(r"\A(?:[^<]|<(?![A-Za-z!?/]))").alias("words")))
-
-    def latest(stack: Column, *names: str | Column) -> Column:
+def _walk(fragment: str, start: str, kept: str, step: str, finish: str) -> str:
+    """SQL of a fold over the tokens of a fragment.  ``step`` makes the new
+    ``acc.out`` from the token ``k`` (``text``, ``head``, ``words``: whether it
+    is text), its place ``acc.i`` and the depths around it, ``before`` and
+    ``after``: 0 is the fragment's own level.  ``finish`` makes the result
+    from ``acc.out`` and ``tokens``; ``kept`` is the type of ``out``."""
+    empty = quoted(r"""[\s"']/>\z|\A<[A-Za-z0-9]+/>\z""")
+    kind = bound(_head("t"), "h", f"named_struct('text', t, 'head', h, 'closes', startswith(h, '/'), 'opens', h <> '' and not startswith(h, '/') "
+                 f"and not array_contains({texts_of(VOID)}, h) and not rlike(t, {empty}), 'block', "
+                 f"array_contains({texts_of((*_BLOCKS, 'p'))}, h), 'words', rlike(t, {quoted(r'\A(?:[^<]|<(?![A-Za-z!?/]))')}))")
+
+    def latest(*names: str) -> str:
         """Place of the innermost open element of these names, -1: none."""
-        places = [F.array_position(F.reverse(stack), n) for n in names]
-        return F.greatest(F.lit(-1), *[F.when(p > 0, F.size(stack) - p).otherwise(-1) for p in places])
-
-    def merge(acc: Column, k: Column) -> Column:
-        stack, head, top = acc["stack"], k["head"], F.coalesce(F.try_element_at(acc["stack"], F.lit(-1)), F.lit(""))
-
-        def unless_held(own: tuple[str, ...], holders: tuple[str, ...]) -> Column:
-            return F.when(latest(stack, *own) > latest(stack, *holders), latest(stack, *own)).otherwise(F.size(stack))
-
-        # what a tag ends that has no end tag of its own, or the end tag of what is around it
-        named = latest(stack, F.substring(head, 2, 100))
-        kept = (F.when(k["closes"], F.size(stack)).when(head == "li", unless_held(("li",), ("ul", "ol")))
-                .when(head.isin("td", "th"), unless_held(("td", "th"), ("table",))).when(head == "tr", unless_held(("tr",), ("table",)))
-                .when(head.isin("dt", "dd"), unless_held(("dt", "dd"), ("dl",)))
-                .when(((top == "p") & k["block"]) | ((top == "a") & (head == "a")), F.size(stack) - 1).otherwise(F.size(stack)))
-
-        def grown(before: Column) -> Column:
-            after = F.when(k["opens"], F.concat(F.slice(stack, F.lit(1), before), F.array(head))).when(
-                k["closes"], F.when(named >= 0, F.slice(stack, F.lit(1), named)).otherwise(stack)).otherwise(F.slice(stack, F.lit(1), before))
-            return let(after, lambda after: F.struct(
-                (acc["i"] + 1).alias("i"), after.alias("stack"), step(acc["out"], k, acc["i"], before, F.size(after)).alias("out")))
-
-        return let(kept.cast("int"), grown)
-
-    begin = F.struct(F.lit(0).alias("i"), F.array().cast("array<string>").alias("stack"), start.alias("out"))
-    return let(F.transform(F.regexp_extract_all(fragment, F.lit(TOKEN_RE), F.lit(0)), kind),
-               lambda tokens: F.aggregate(tokens, begin, merge, lambda acc: finish(acc["out"], tokens)))
+        places = [f"array_position(reverse(acc.stack), {n})" for n in names]
+        return f"greatest(-1, {', '.join(f'if({p} > 0, size(acc.stack) - {p}, -1)' for p in places)})"
+
+    def unless_held(own: tuple[str, ...], holders: tuple[str, ...]) -> str:
+        inner = latest(*map(quoted, own))
+        return f"if({inner} > {latest(*map(quoted, holders))}, {inner}, size(acc.stack))"
+
+    # what a tag ends that has no end tag of its own; an end tag ends what is inside its element
+    top = "coalesce(try_element_at(acc.stack, -1), '')"
+    before = (f"cast(case when k.closes or not k.opens and not k.block then size(acc.stack) when k.head = 'li' then {unless_held(('li',), ('ul', 'ol'))} "
+              f"when k.head in ('td', 'th') then {unless_held(('td', 'th'), ('table',))} when k.head = 'tr' then {unless_held(('tr',), ('table',))} "
+              f"when k.head in ('dt', 'dd') then {unless_held(('dt', 'dd'), ('dl',))} "
+              f"when {top} = 'p' and k.block or {top} = 'a' and k.head = 'a' then size(acc.stack) - 1 else size(acc.stack) end as int)")
+    ended = bound(latest("substr(k.head, 2)"), "named", "if(named >= 0, slice(acc.stack, 1, cast(named as int)), acc.stack)")
+    after = f"case when k.opens then concat(slice(acc.stack, 1, before), array(k.head)) when k.closes then {ended} else slice(acc.stack, 1, before) end"
+    state = f"struct<i:int,stack:array<string>,out:{kept}>"
+    merged = f"cast(named_struct('i', acc.i + 1, 'stack', stack, 'out', {bound('size(stack)', 'after', step)}) as {state})"
+    fold = (f"aggregate(tokens, cast(named_struct('i', 0, 'stack', array(), 'out', {start}) as {state}), "
+            f"(acc, k) -> {bound(before, 'before', bound(after, 'stack', merged))}, acc -> {finish})")
+    return bound(f"transform(regexp_extract_all({fragment}, {quoted(TOKEN_RE)}, 0), t -> {kind})", "tokens", fold)
 
 
 def children(fragment, tag: str, level: int = 0) -> Column:
     """``array<string>``: the elements ``tag`` on the fragment's own level,
     whole, or on one so many elements deeper."""
-    def step(out: Column, k: Column, i: Column, before: Column, after: Column) -> Column:
-        begins, open_ = (before == level) & (k["head"] == tag), out["at"] >= 0
-        # an open one stops before what begins on its level, or with its end tag
-        cut_off, closed = open_ & (before <= level), (open_ | begins) & (after <= level)
-        noted = F.when(cut_off, F.concat(out["done"], _note(out["at"], i, F.lit(0), F.lit(0)))).when(
-            closed, F.concat(out["done"], _note(F.when(begins, i).otherwise(out["at"]), i + 1, F.lit(0), F.lit(0)))).otherwise(out["done"])
-        left = F.when(begins & (after > level), i).when(cut_off | closed, F.lit(-1)).otherwise(out["at"])
-        return F.struct(left.cast("int").alias("at"), noted.alias("done"))
-
-    def finish(out: Column, tokens: Column) -> Column:
-        rest = F.when(out["at"] >= 0, _note(out["at"], F.size(tokens), F.lit(0), F.lit(0))).otherwise(F.lit(""))
-        return F.transform(_noted(F.concat(out["done"], rest)), lambda s: F.array_join(
-            F.transform(F.slice(tokens, s["at"] + 1, s["stop"] - s["at"]), lambda k: k["text"]), ""))
-
-    return _walk(col_of(fragment), F.struct(F.lit(-1).alias("at"), F.lit("").alias("done")), step, finish)
+    begins = f"(before = {level} and k.head = {quoted(tag)})"
+    # an open one stops before what begins on its level, or with its end tag
+    cut_off, closed = f"(acc.out.at >= 0 and before <= {level})", f"((acc.out.at >= 0 or {begins}) and after <= {level})"
+    noted = (f"case when {cut_off} then concat(acc.out.done, {_note('acc.out.at', 'acc.i')}) "
+             f"when {closed} then concat(acc.out.done, {_note(f'if({begins}, acc.i, acc.out.at)', 'acc.i + 1')}) else acc.out.done end")
+    left = f"case when {begins} and after > {level} then acc.i when {cut_off} or {closed} then -1 else acc.out.at end"
+    rest = f"if(acc.out.at >= 0, {_note('acc.out.at', 'size(tokens)')}, '')"
+    finish = (f"transform({_noted(f'concat(acc.out.done, {rest})')}, "
+              "s -> array_join(transform(slice(tokens, s.at + 1, s.stop - s.at), token -> token.text), ''))")
+    return applied(col_of(fragment), "fragment", _walk(
+        "fragment", "named_struct('at', -1, 'done', '')", "struct<at:int,done:string>", f"named_struct('at', {left}, 'done', {noted})", finish))
+
+
+def _direct_texts(fragment: str, level: int) -> str:
+    step = f"if(before = {level} and k.words, concat(acc.out, acc.i, ' '), acc.out)"
+    finish = ("transform(transform(filter(split(acc.out, ' '), place -> place <> ''), place -> tokens[cast(place as int)].text), "
+              f"text -> {unescape_sql('text')})")
+    return _walk(fragment, "''", "string", step, finish)
 
 
 def direct_texts(fragment, level: int = 0) -> Column:
     """``array<string>``: the text nodes on the fragment's own level (or so
     many elements deeper), entities decoded; the text of elements on that
     level is not among them."""
-    def step(out: Column, k: Column, i: Column, before: Column, after: Column) -> Column:
-        return F.when((before == level) & k["words"], F.concat(out, i.cast("string"), F.lit(" "))).otherwise(out)
+    return applied(col_of(fragment), "fragment", _direct_texts("fragment", level))
 
-    def finish(out: Column, tokens: Column) -> Column:
-        places = F.filter(F.split(out, " "), lambda i: i != "")
-        return F.transform(places, lambda i: html_unescape(F.get(tokens, i.cast("int"))["text"]))
 
-    return _walk(col_of(fragment), F.lit(""), step, finish)
+def _first_direct_text(f: str) -> str:
+    return f"if(contains({f}, '<'), coalesce(try_element_at({_direct_texts(f, 0)}, 1), ''), {unescape_sql(f)})"
 
 
 def first_direct_text(fragment) -> Column:
     """First direct text node of an element's content (``text()[1]``),
     entities decoded; ``''`` when there is none."""
-    return let(col_of(fragment), lambda f: F.when(F.contains(f, F.lit("<")), F.coalesce(
-        F.try_element_at(direct_texts(f), F.lit(1)), F.lit(""))).otherwise(html_unescape(f)))
+    return applied(col_of(fragment), "fragment", _first_direct_text("fragment"))
 
 
 def anchors(fragment) -> Column:
@@ -318,9 +289,10 @@ def anchors(fragment) -> Column:
     ``href`` attribute and the first direct text node (``''`` when absent),
     entities decoded.  Anchors do not nest: one that is not closed ends at the
     next."""
-    found = F.filter(_pieces(col_of(fragment), F.lit("a")), lambda p: p.rlike(rf"(?i)\A<a(?=[\s/>]){_REST}"))
-    return F.transform(found, lambda p: F.struct(
-        html_unescape(attribute(p, "href")).alias("href"), first_direct_text(F.regexp_replace(p, START_TAG_RE, "")).alias("text")))
+    found = f"filter({_pieces('html', quoted('a'))}, piece -> rlike(piece, {quoted(rf'(?i)\A<a(?=[\s/>]){_REST}')}))"
+    href = bound(f"regexp_extract(piece, {quoted(_attribute_re('href'))}, 1)", "href", unescape_sql("href"))
+    text = bound(f"regexp_replace(piece, {quoted(START_TAG_RE)}, '')", "said", _first_direct_text("said"))
+    return applied(col_of(fragment), "html", f"transform({found}, piece -> named_struct('href', {href}, 'text', {text}))")
 
 
 def first_group(fragment, pattern: str) -> Column:

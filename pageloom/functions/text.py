@@ -13,7 +13,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pageloom.functions.util import col_of, let
+from pageloom.functions.util import applied, bound, col_of, map_of, quoted
 
 # Whitespace as Python's unicode ``str.strip()`` sees it.  Neither Spark's
 # ``trim`` (spaces only) nor ``\s`` (differs between Java and RE2, misses
@@ -119,30 +119,27 @@ def arrays_match(a, b) -> Column:
 #: Named entities (the set of the standard library), and what the numbers
 #: 128 to 159 stand for: the Windows letters where there are some.
 _NAMED = {f"&{name};": chr(code) for name, code in sorted(name2codepoint.items())} | {"&apos;": "'"}
-_LATIN = {n: bytes([n]).decode("cp1252", "replace") for n in range(128, 160)}
+_LATIN = {str(n): bytes([n]).decode("cp1252", "replace") for n in range(128, 160)}
+_HEX_RE, _DEC_RE = "([0-9A-Fa-f]+);", "([0-9]+);"
 _REFERENCE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]++|&"
 
 
+def unescape_sql(x: str) -> str:
+    """SQL of :func:`html_unescape`; ``x`` is a name."""
+    def number(digits: str) -> str:
+        none = "(n = 0 or n between 55296 and 57343 or n > 1114111)"
+        letter = f"decode(unhex(lpad(hex(if({none}, 65533, n)), 8, '0')), 'UTF-32')"
+        return bound(f"cast({digits} as int)", "n", f"coalesce(try_element_at({map_of(_LATIN.items())}, cast(n as string)), {letter})")
+
+    decoded = (f"case when rlike(part, {quoted('^&#[xX]')}) then {number(f'conv(regexp_extract(part, {quoted(_HEX_RE)}, 1), 16, 10)')}"
+               f" when rlike(part, {quoted('^&#[0-9]')}) then {number(f'regexp_extract(part, {quoted(_DEC_RE)}, 1)')}"
+               f" when startswith(part, '&') then coalesce(try_element_at({map_of(_NAMED.items())}, part), part) else part end")
+    parts = f"regexp_extract_all({x}, {quoted(_REFERENCE_RE)}, 0)"
+    return f"if(contains({x}, '&'), array_join(transform({parts}, part -> {decoded}), ''), {x})"
+
+
 def html_unescape(c) -> Column:
     """Decode named and numeric entities, each once, as an HTML parser's text
     nodes would; an unknown name stays as it is, a number that is no
     character becomes U+FFFD."""
-    named = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
-    latin = F.create_map(*[F.lit(x) for pair in _LATIN.items() for x in pair])
-
-    def letter(number: Column) -> Column:
-        none = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
-        code = F.lpad(F.hex(F.when(none, F.lit(0xFFFD)).otherwise(number)), 8, "0")
-        return F.coalesce(F.try_element_at(latin, number), F.decode(F.unhex(code), "UTF-32"))
-
-    def decoded(part: Column) -> Column:
-        hexadecimal = F.conv(F.regexp_extract(part, "([0-9A-Fa-f]+);", 1), 16, 10).cast("int")
-        decimal = F.regexp_extract(part, "([0-9]+);", 1).cast("int")
-        return (F.when(part.rlike("^&#[xX]"), let(hexadecimal, letter)).when(part.rlike("^&#[0-9]"), let(decimal, letter))
-                .when(part.startswith("&"), F.coalesce(F.try_element_at(named, part), part)).otherwise(part))
-
-    def all_decoded(text: Column) -> Column:
-        parts = F.regexp_extract_all(text, F.lit(_REFERENCE_RE), F.lit(0))
-        return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, decoded), "")).otherwise(text)
-
-    return let(col_of(c), all_decoded)
+    return applied(col_of(c), "escaped", unescape_sql("escaped"))

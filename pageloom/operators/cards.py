@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pageloom.functions.html import (Element, anchors, attribute, children, content, direct_texts, elements, first_direct_text,
                                      first_element, whole)
 from pageloom.functions.text import between_markers, collapse_ws, first_text, html_unescape, strip_chars, strip_tags, ws_strip
-from pageloom.functions.util import col_of, let
+from pageloom.functions.util import col_of, map_of
 from pageloom.operators.frontier import unseen
 from pageloom.operators.sets import fallback
 from pageloom.operators.windows import first_by
@@ -43,8 +43,7 @@ FIELDS = list(dict.fromkeys(f for _, f in LABEL_FIELDS)) + ["address"]
 
 def label_field(label) -> Column:
     """Field name of a label: the fixed map as a literal map (no join)."""
-    m = F.create_map(*[F.lit(x) for pair in LABEL_FIELDS for x in pair])
-    return F.try_element_at(m, col_of(label))
+    return F.try_element_at(F.expr(map_of(LABEL_FIELDS)), col_of(label))
 
 
 def first_in(fragment, pattern: str) -> Column:
@@ -66,100 +65,88 @@ def table_rows(pages: DataFrame, table: Element = LISTING) -> DataFrame:
     the first cell's bold link text and its ``tppabs`` attribute, ``''`` when
     absent (a row is kept even then, like the original).  Rows of tables
     inside a cell are not rows of the listing."""
-    rows = elements(whole(elements("html", table)), Element("tr"), level=1)
-    cells = pages.select("page_id", F.posexplode(rows).alias("pos", "tr")).where(F.col("pos") > 0).select(
+    tables = pages.select("page_id", whole(elements("html", table)).alias("tables"))
+    cells = tables.select("page_id", F.posexplode(elements("tables", Element("tr"), level=1)).alias("pos", "tr")).where(F.col("pos") > 0).select(
         "page_id", F.col("pos").cast("int").alias("pos"), _first(elements("tr", Element("td"), level=0)).alias("cell"))
-    links = cells.select("page_id", "pos", _first(children(whole(elements("cell", Element("strong"))), "a", level=1)).alias("a"))
+    bold = cells.select("page_id", "pos", whole(elements("cell", Element("strong"))).alias("bold"))
+    links = bold.select("page_id", "pos", _first(children("bold", "a", level=1)).alias("a"))
     return links.select("page_id", "pos", ws_strip(first_direct_text(content("a"))).alias("anchor_text"),
                         ws_strip(html_unescape(attribute("a", "tppabs"))).alias("url"))
 
 
 # --- EXT-6 / EXT-7 / EXT-8 -----------------------------------------------------
 
-def _cells(tables: Column) -> Column:
-    """All cells of tables, in order; not those of tables inside them."""
-    rows = elements(whole(tables), Element("tr"), level=1)
-    return elements(whole(rows), Element("td"), level=0)
-
-
 def _pairs(cells, value_of) -> Column:
     """Cells of an info box as ``array<struct<label, value>>``."""
     return F.transform(cells, lambda td: F.struct(
         ws_strip(first_in(td, r"(?is)<strong\b[^>]*>([^<]*)")).alias("label"), value_of(td).alias("value")))
 
 
-def _fields(cells: Column, with_address: bool) -> list[Column]:
-    """One column per field: the value of the last cell mapped to it (a
-    later cell of the same field wins); cells with an empty label or value
-    and unknown labels are ignored.  Per-page array work in one projection:
-    no explode, no shuffle, no join."""
+def _keyed(pairs: Column, with_address: Column) -> Column:
+    """The cells that are mapped to a field, as ``array<struct<field, value>>``;
+    those with an empty label or value and unknown labels are ignored."""
     def field_of(c):
-        f = label_field(c["label"])
-        if with_address:
-            f = F.coalesce(f, F.when(F.instr(c["label"], ADDRESS_MARKER) > 1, F.lit("address")))
-        return f
-    valid = F.filter(cells, lambda c: (F.length(c["label"]) > 0) & (F.length(c["value"]) > 0))
-    keyed = F.filter(F.transform(valid, lambda c: F.struct(field_of(c).alias("field"), c["value"].alias("value"))),
-                     lambda c: c["field"].isNotNull())
-    def is_field(name):
-        return lambda c: c["field"] == F.lit(name)
-
-    out = []
-    for f in FIELDS:
-        hits = F.filter(keyed, is_field(f))
-        out.append(F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"]).alias(f))
-    return out
-
-
-def _heading(html: Column) -> Column:
-    return ws_strip(first_in(html, r"(?i)<h1\b[^>]*>([^<]*)"))
-
-
-def _province(html: Column) -> Column:
-    """The province layout: in the second table of the left part, the first
-    cell of a row has the info box (``cells``), the second the description."""
-    left = first_element(html, Element("div", (("id", "page_left"),)), inner=True)
-    table = F.coalesce(F.try_element_at(children(left, "table"), F.lit(2)), F.lit(""))
-    rows = F.transform(elements(table, Element("tr"), level=1), lambda tr: elements(tr, Element("td"), level=0))
-    return let(rows, lambda rows: F.struct(
-        _cells(elements(whole(F.transform(rows, _first)), Element("table"), level=0)).alias("cells"),
-        whole(F.transform(rows, lambda tds: F.coalesce(F.try_element_at(tds, F.lit(2)), F.lit("")))).alias("texts"), F.lit("").alias("f12")))
-
-
-def _sub(html: Column) -> Column:
-    """The sub-page layout: ``cells`` of all 432px tables, else of the 396px ones."""
-    def cells(width: str) -> Column:
-        return _cells(elements(html, Element("table", (("width", width), ("bgcolor", "cccccc")))))
+        address = F.when(with_address & (F.instr(c["label"], ADDRESS_MARKER) > 1), F.lit("address"))
+        return F.coalesce(label_field(c["label"]), address)
+    valid = F.filter(pairs, lambda c: (F.length(c["label"]) > 0) & (F.length(c["value"]) > 0))
+    keyed = F.transform(valid, lambda c: F.struct(field_of(c).alias("field"), c["value"].alias("value")))
+    return F.filter(keyed, lambda c: c["field"].isNotNull())
 
-    def of_class(cls: str) -> Column:
-        return whole(elements(html, Element("div", (("class", cls),))))
 
-    box = let(cells("432px"), lambda wide: F.when(F.size(wide) > 0, wide).otherwise(cells("396px")))
-    return F.struct(box.alias("cells"), of_class("f14").alias("texts"), of_class("f12").alias("f12"))
+def _field(keyed: str, name: str) -> Column:
+    """The value of the last cell of a field: a later one wins."""
+    return F.try_element_at(F.filter(keyed, lambda c: c["field"] == F.lit(name)), F.lit(-1))["value"].alias(name)
 
 
 def _linked_value(td: Column) -> Column:
     """First direct text of a cell; if there is none, the text of its first link."""
     v = strip_chars(ws_strip(_first(direct_texts(td, level=1))), ":")
     link = F.coalesce(F.try_element_at(anchors(td), F.lit(1))["text"], F.lit(""))
-    return let(v, lambda v: F.when(F.length(v) > 0, v).otherwise(ws_strip(link)))
+    return F.when(F.length(v) > 0, v).otherwise(ws_strip(link))
 
 
 def _joined_value(td: Column) -> Column:
     """All direct texts of a cell, a line each."""
-    return let(ws_strip(F.array_join(direct_texts(td, level=1), "\n")), lambda v: F.when(F.length(v) > 0, strip_chars(v, ":")).otherwise(v))
+    return strip_chars(ws_strip(F.array_join(direct_texts(td, level=1), "\n")), ":")
+
 
+def _box(width: str) -> Element:
+    return Element("table", (("width", width), ("bgcolor", "cccccc")))
 
-def _places(pages: DataFrame, record: Column, province: Column, columns: tuple[str, ...]) -> DataFrame:
-    """One row per page of its ``record``; ``province`` says by which rules."""
-    found = pages.select("page_id", ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"), record.alias("r"),
-                         province.alias("province"))
-    texts = found.select("page_id", "title", "province", F.array_join(direct_texts("r.texts", level=1), "\n").alias("description"),
-                         F.array_join(direct_texts("r.f12", level=1), "\n").alias("f12"),
-                         F.when(F.col("province"), _pairs("r.cells", _linked_value)).otherwise(_pairs("r.cells", _joined_value)).alias("pairs"))
-    texts = texts.withColumn("f12", F.when(~F.col("province"), F.col("f12")))
-    both = zip(FIELDS, _fields(F.col("pairs"), True), _fields(F.col("pairs"), False), strict=True)
-    return texts.select("page_id", *columns, *[F.when(F.col("province"), a).otherwise(b).alias(f) for f, a, b in both])
+
+def _places(pages: DataFrame, province: Column, columns: tuple[str, ...]) -> DataFrame:
+    """One row per page.  ``province`` pages: in the second table of the left
+    part, the first cell of a row has the info box, the second the
+    description.  Others: the cells of all 432px tables, else of the 396px
+    ones.  A step at a time, each on the columns of the one before; a page is
+    read once, by the rules that are its own."""
+    def when(of_province, of_sub) -> Column:
+        return F.when(F.col("province"), of_province).otherwise(of_sub)
+
+    def of_class(cls: str) -> Column:
+        return whole(elements("html", Element("div", (("class", cls),))))
+
+    none, no_text = F.array().cast("array<string>"), F.lit("")
+    left = first_element("html", Element("div", (("id", "page_left"),)), inner=True)
+    rows = pages.select("page_id", province.alias("province"), ws_strip(first_in("html", r"(?i)<h1\b[^>]*>([^<]*)")).alias("title"), "html")
+    rows = rows.select("page_id", "province", "title", when(left, no_text).alias("left"), when(none, elements("html", _box("432px"))).alias("a"),
+                       when(none, elements("html", _box("396px"))).alias("b"), when(no_text, of_class("f14")).alias("f14"),
+                       when(no_text, of_class("f12")).alias("f12"))
+    fixed = ["page_id", "province", "title", "f12"]
+    rows = rows.select(*fixed, "f14", "a", "b", F.coalesce(F.try_element_at(children("left", "table"), F.lit(2)), no_text).alias("table"))
+    rows = rows.select(*fixed, "f14", "a", "b", elements("table", Element("tr"), level=1).alias("outer"))
+    rows = rows.select(*fixed, "f14", "a", "b", F.transform("outer", lambda tr: elements(tr, Element("td"), level=0)).alias("outer"))
+    second = whole(F.transform("outer", lambda tds: F.coalesce(F.try_element_at(tds, F.lit(2)), F.lit(""))))
+    rows = rows.select(*fixed, when(second, F.col("f14")).alias("texts"), "a", "b", whole(F.transform("outer", _first)).alias("firsts"))
+    rows = rows.select(*fixed, "texts", "b", when(elements("firsts", Element("table"), level=0), F.col("a")).alias("a"))
+    rows = rows.select(*fixed, "texts", *[elements(whole(F.col(c)), Element("tr"), level=1).alias(c) for c in "ab"])
+    rows = rows.select(*fixed, "texts", *[elements(whole(F.col(c)), Element("td"), level=0).alias(c) for c in "ab"])
+    rows = rows.select(*fixed, "texts", F.when(F.size("a") > 0, F.col("a")).otherwise(F.col("b")).alias("cells"))
+    rows = rows.select("page_id", "province", "title", F.array_join(direct_texts("texts", level=1), "\n").alias("description"),
+                       F.when(~F.col("province"), F.array_join(direct_texts("f12", level=1), "\n")).alias("f12"),
+                       when(_pairs("cells", _linked_value), _pairs("cells", _joined_value)).alias("pairs"))
+    rows = rows.select("page_id", "title", "description", "f12", _keyed(F.col("pairs"), F.col("province")).alias("keyed"))
+    return rows.select("page_id", *columns, *[_field("keyed", f) for f in FIELDS])
 
 
 def province_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -169,7 +156,7 @@ def province_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
     address is a label containing the marker after its first character.
     Title from ``h1``; description = direct texts of the second outer cells
     joined by newlines.  One row per page with every field column."""
-    return _places(pages, _province(F.col("html")), F.lit(True), ("title", "description"))
+    return _places(pages, F.lit(True), ("title", "description"))
 
 
 def sub_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -177,16 +164,14 @@ def sub_info(spark: SparkSession, pages: DataFrame) -> DataFrame:
     ones (SET-3, per page); value = all direct texts joined by newline,
     stripped, then ``:``-stripped; no link fallback, no address rule.
     ``description`` from all ``f14`` blocks, ``f12`` from the ``f12`` blocks."""
-    return _places(pages, _sub(F.col("html")), F.lit(False), ("title", "description", "f12"))
+    return _places(pages, F.lit(False), ("title", "description", "f12"))
 
 
 def page_kind_branch(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """EXT-8: ``pid == 0`` pages use the province layout, others (not those
     without ``pid``) the sub-page layout.  Every page is read once, by the
     branch that is its own."""
-    main = F.col("pid") == 0
-    record = F.when(main, _province(F.col("html"))).otherwise(_sub(F.col("html")))
-    return _places(pages.where(F.col("pid").isNotNull()), record, main, ("title", "description", "f12"))
+    return _places(pages.where(F.col("pid").isNotNull()), F.col("pid") == 0, ("title", "description", "f12"))
 
 
 # --- EXT-10 ------------------------------------------------------------------
@@ -232,9 +217,9 @@ def attraction_cards(pages: DataFrame) -> DataFrame:
     """EXT-11 with SET-3: layout A cards when the page has any, else layout
     B cards; ``href, title, description`` per card (S-3 clean-up).  A card
     ends with its own element."""
-    cards_a = elements(whole(elements("html", _class("unit size1of3"), level=0)), _class("ttd-row-height"))
-    cards_b = elements("html", _class("media product-summary mtn mhn"))
-    both = pages.select("page_id", cards_a.alias("a"), cards_b.alias("b"))
+    zones = pages.select("page_id", whole(elements("html", _class("unit size1of3"), level=0)).alias("zones"),
+                         elements("html", _class("media product-summary mtn mhn")).alias("b"))
+    both = zones.select("page_id", elements("zones", _class("ttd-row-height")).alias("a"), "b")
     cards = both.select("page_id", (F.size("a") > 0).alias("is_a"), F.posexplode(fallback("a", "b")).alias("pos", "c"))
     image = F.when(F.col("is_a"), _link_in(F.col("c"), _class("product-image"))["href"]).otherwise(_link_in(F.col("c"), _class("img mrl prs"))["href"])
     return cards.select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), first_text(image).alias("href"), *_title_and_text(F.col("c")))
@@ -280,11 +265,12 @@ def nested_list_links(pages: DataFrame, site: str) -> DataFrame:
     the items' own lists with the group's URL; texts and links stripped;
     absolute links are dropped and relative ones prefixed with the site
     (S-11).  ``page_id, level, pos, anchor_text, href, parent_href``."""
-    first_list = _first(children(first_element("html", _class("bd"), inner=True), "ul"))
-    items = pages.select("page_id", first_list.alias("list")).select("page_id", F.posexplode(children("list", "li", level=1)).alias("item", "li"))
+    block = pages.select("page_id", first_element("html", _class("bd"), inner=True).alias("bd"))
+    items = block.select("page_id", _first(children("bd", "ul")).alias("list")).select("page_id", F.posexplode(children("list", "li", level=1)).alias("item", "li"))
     own = items.select("page_id", "item", children("li", "a", level=1).alias("groups"), children("li", "ul", level=1).alias("lists"))
-    links = own.select("page_id", "item", anchors(whole(F.col("groups"))).alias("groups"),
-                       anchors(whole(children(whole(children(whole(F.col("lists")), "li", level=1)), "a", level=1))).alias("subs"))
+    subs = own.select("page_id", "item", "groups", children(whole(F.col("lists")), "li", level=1).alias("inner"))
+    subs = subs.select("page_id", "item", "groups", children(whole(F.col("inner")), "a", level=1).alias("subs"))
+    links = subs.select("page_id", "item", anchors(whole(F.col("groups"))).alias("groups"), anchors(whole(F.col("subs"))).alias("subs"))
 
     def link(level: int, a: Column, parent: Column) -> Column:
         return F.struct(F.lit(level).alias("level"), ws_strip(a["text"]).alias("text"), ws_strip(a["href"]).alias("href"), parent.alias("parent"))
@@ -316,10 +302,11 @@ def best_description(pages: DataFrame, keep=()) -> DataFrame:
     callers need no self-join)."""
     keep = list(keep)
     prompt = first_element("html", Element("div", (("id", "unifyprompt"),)), inner=True)
-    cut = pages.select("page_id", *keep, children(whole(children(prompt, "div")), "p", level=1).alias("abstracts"),
-                       first_element("html", Element("div", (("id", "content"),))).alias("content"))
+    cut = pages.select("page_id", *keep, prompt.alias("prompt"), first_element("html", Element("div", (("id", "content"),))).alias("content"))
+    cut = cut.select("page_id", *keep, whole(children("prompt", "div")).alias("inner"), content("content").alias("inside"), "content")
+    cut = cut.select("page_id", *keep, children("inner", "p", level=1).alias("abstracts"), _first(children("inside", "p")).alias("p"), "content")
     staged = cut.select("page_id", *keep, "content", F.try_element_at("abstracts", F.lit(1)).alias("abstract"),
-                        strip_tags(_first(children(content("content"), "p"))).alias("p_text"))
+                        strip_tags("p").alias("p_text"))
     section = between_markers("content", 'class="content_h2 bac_no">', '<div class="content_h2">', 0, True)["text"]
     desc = (F.when(F.col("abstract").isNotNull() & ~F.contains(F.col("abstract"), F.lit(ABSTRACT_PLACEHOLDER)), strip_tags("abstract"))
             .when(F.length("p_text") > 100, F.col("p_text"))
