@@ -10,12 +10,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_cartesian_or_nested_loop(spark, name):
-    p = plan(E.queries()[name](spark, SMOKE))
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
-
-
 def test_frontier_prunes_columns_and_combines_map_side(spark):
     p = plan(E.queries()["crawl_frontier"](spark, SMOKE))
     assert "ReadSchema: struct<page_id:bigint,url:string,html:string>" in p or \
