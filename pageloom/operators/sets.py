@@ -1,25 +1,13 @@
-"""Set operations (SET-1 to SET-3)."""
+"""Set operations (SET-3; SET-1 is :func:`pageloom.operators.extract.tagged_anchors`)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pageloom.functions.util import col_of
 
 
-def union_tagged(parts: Sequence[tuple[str, DataFrame]], columns: Sequence[str]) -> DataFrame:
-    """SET-1: union all of several record lists, each tagged with its
-    source (order: first list, then the next)."""
-    out = None
-    for tag, df in parts:
-        d = df.select(F.lit(tag).alias("source"), *columns)
-        out = d if out is None else out.unionByName(d)
-    return out
-
-
 def fallback(primary, secondary) -> Column:
     """SET-3: per row, the primary record array when it is non-empty, else
     the secondary one (decided before the explode)."""
