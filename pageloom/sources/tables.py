@@ -18,7 +18,11 @@ TABLES = (
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """Scan one table.  Projection and filters applied by the caller reach
     the parquet scan (column pruning, PushedFilters)."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    table = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    # a small file is one split however much work its rows are: who knows the
+    # cluster may have tables dealt out, always or never, not by their size
+    parts = spark.conf.get("pageloom.scan.partitions", None)
+    return table.repartition(int(parts)) if parts else table
 
 
 def scan(spark: SparkSession, base_dir: str, name: str, columns=None,
