@@ -1,30 +1,28 @@
 """Operator 9: line dedup by a deletion-neighbourhood join.
 
-Two lines are near copies if one turns into the other by at most one edit of
-a word: a word changed, added or left out.  One word of a short line says too
-much: with ``chars``, a line of fewer than ``LEAST`` words and another are
-near copies if one turns into the other by at most one edit of a character
-(white space counts as one space); without, only if they are equal.  A line goes
-if the same line, or a near copy of it, occurs earlier, by document
+Two lines are near copies if one turns into the other by at most one edit: a
+character (code point) changed, added or left out; white space counts as one
+space, at the ends as none.  The rule is the same for lines of any length.  A
+line goes if the same line, or a near copy of it, occurs earlier, by document
 identifier and then line number.  All of it is DataFrame functions.
 
-Every line stands for its variants: itself and itself without one word.
-Lines that differ in one word have the same variant without it, at the same
-place; a line with one more word has the other line among its variants.  The
-variants' hashes (128 bits) are grouped; per key only the earliest line is
-kept, by a partial minimum, so a key shared by any number of lines emits one
-candidate per line, not all pairs.  The candidates' words are then compared.
-For short lines characters take the place of words; as an edit of a character
-makes at most one word more, lines of ``LEAST`` words take part in both.
-
-Before that, lines that can have no near copy are set aside: an edit leaves
-either the first or the last half of the words (characters) as they are, so a line whose
-halves no other line has is its own only near copy.  Equal lines fold into one before
+Every line stands for its variants: itself and itself without one character.
+Lines that differ in one character have the same variant without it, at the
+same place; a line with one more character has the other line among its
+variants.  The variants' hashes are grouped; per key only the earliest line is
+kept, by a partial minimum, so no group emits its pairs.  The edit distance of
+the candidates' texts is then verified.
+
+Before that, variants that can meet no other line's are left out.  An edit
+leaves either the start or the end of a line as it is, so a line whose start
+and end no other line has is its own only near copy.  The others are cut into
+pieces: the edit lies in one of them, and all around that piece is equal.  A
+piece whose surroundings no other line has goes; the rest are cut again until
+they are short, and only they get variants.  Equal lines fold into one before
 anything else.
 
 Cases: a null text stays null; an empty text has one empty line; lines
-without a word are kept; words are compared as they are written, white space
-between them is not; a null identifier comes last, equal ones are ordered by
+without a word are kept; a null identifier comes last, equal ones are ordered by
 the text's hash; rows equal in identifier and text count as one document and
 keep the same lines; an empty table gives an empty table.  All columns of
 the input are handed through.
@@ -32,13 +30,15 @@ the input are handed through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import SPACE, running_sums, written
+from pageloom.llm.common import SPACE, written
 
-#: Words that a line must have to be compared with others by words.
-LEAST = 8
+#: Pieces a line, or a piece of it, is cut into.
+PIECES = 16
+#: Characters up to which a piece is not cut again.
+SHORT = 32
 
 
 def _normal(line: Column) -> Column:
@@ -50,140 +50,106 @@ def _normal(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(line, rf"{SPACE}{{2,}}|[\x09-\x0D]", " ")).otherwise(line))
 
 
-def _hashes(text: Column) -> list[Column]:
-    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
-
-
-def _occurrences(docs: DataFrame, chars: bool) -> DataFrame:
+def _occurrences(docs: DataFrame) -> DataFrame:
     """Every line's place ``at`` (unnamed, id, hash of the text, line number),
-    number of ``words``, hashes ``k0, k1``, and the hashes of its halves as
-    the shorter (``h0, h1``) and the longer (``h2, h3``) line of a pair; with
-    ``chars`` the same of its characters (``h4`` to ``h7``)."""
+    ``size`` in characters, hashes ``k0, k1``, and ``ends``, the hashes of its
+    start and its end.  These are nearly half the shorter line of a pair long,
+    in steps that most neighbouring sizes share, so that most lines have one of each."""
     lines = docs.where(F.col("text").isNotNull()).select("id", "hash", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     rows = lines.select(F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "pos").alias("at"),
-                        _normal(F.col("line")).alias("normal"))
-    rows = rows.withColumn("words", F.length("normal") - F.length(F.replace("normal", F.lit(" "), F.lit(""))) + 1)
-
-    def half(parity: int, side: int) -> Column:
-        part = F.expr(f"substring_index(normal, ' ', {1 - 2 * side} * ((words - {parity}) div 2))")
-        return F.when(F.col("words") >= LEAST, F.xxhash64(F.col("words") - parity, F.lit(side), part))
-
-    def char_half(parity: int, side: int) -> Column:
-        size = F.length("normal") - parity
-        part = F.expr(f"{('left', 'right')[side]}(normal, cast((length(normal) - {parity}) div 2 as int))")
-        return F.when((F.col("words") <= LEAST) & (F.col("normal") != ""), F.xxhash64(size, F.lit(side + 2), part))
-
-    return rows.select("at", F.when(F.col("normal") == "", 0).otherwise(F.col("words")).alias("words"),
-                       *[h.alias(f"k{i}") for i, h in enumerate(_hashes(F.col("normal")))],
-                       *[half(i // 2, i % 2).alias(f"h{i}") for i in range(4)],
-                       *[char_half(i // 2, i % 2).alias(f"h{i + 4}") for i in range(4 if chars else 0)])
-
-
-def _candidates(distinct: DataFrame, halves_of: list[str]) -> DataFrame:
-    """The lines that share a half with another line: ``k0, k1, at``."""
-    halves = distinct.select(
-        "k0", "k1", "at", F.explode(F.array_distinct(F.array_compact(F.array(*halves_of)))).alias("half"))
-    shared = written(halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"), "line-halves")
-    return halves.join(shared, "half", "left_semi").select("k0", "k1", "at").distinct()
-
-
-def _variants(lines: DataFrame, between: str) -> DataFrame:
-    """``v0, v1`` (hashes), ``gone`` (place of the missing word, 0: none) and
-    the line's ``rank``.  The hash of a word sequence is the exclusive or of
-    hashes of each word with its place, so a variant's is that of the words
-    before the missing one and, one place further down, of those after it:
-    running values, not one pass per variant.  Words are what lies
-    ``between`` (nothing: characters)."""
-    words = lines.repartition("rank").select("rank", F.posexplode(F.split("normal", between)).alias("place", "word"))
-    placed = words.select("rank", "place", *[F.xxhash64(F.lit(seed), F.col("word"), at).alias(f"{name}{seed}")
-                                             for seed in (0, 1)
-                                             for name, at in (("g", F.col("place")), ("s", F.col("place") - 1))])
-    line = Window.partitionBy("rank")
-    upto = line.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-
-    def xor(column: str, window) -> Column:
-        return F.bit_xor(column).over(window)
-
-    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    running = placed.select("rank", "place", *[xor(f"{x}{seed}", w).alias(f"{x}{seed}_{name}") for seed in (0, 1) for x in "gs"
-                                               for name, w in (("upto", upto), ("all", whole))], "g0", "g1")
-
-    def without(seed: int) -> Column:
-        before = F.col(f"g{seed}_upto").bitwiseXOR(F.col(f"g{seed}"))
-        after = F.col(f"s{seed}_all").bitwiseXOR(F.col(f"s{seed}_upto"))
-        return before.bitwiseXOR(after)
-
-    # each word's row gives the variant without it, the first word's also the line itself
-    both = F.array(F.struct((F.col("place") + 1).alias("gone"), without(0).alias("v0"), without(1).alias("v1")),
-                   F.struct(F.lit(0).alias("gone"), F.col("g0_all").alias("v0"), F.col("g1_all").alias("v1")))
-    return running.select("rank", F.inline(F.slice(both, 1, F.when(F.col("place") == 0, 2).otherwise(1))))
-
-
-def within_one_word(left: Column, right: Column, between: str = " ") -> Column:
-    """Whether two lines (of single-spaced words) are at most one edit of a
-    word apart (of a character with nothing ``between``)."""
-    a, b = F.split(left, between), F.split(right, between)
-    shorter, longer = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-
-    def same(x: Column, y: Column) -> Column:
-        differs = F.filter(F.sequence(F.lit(1), shorter), lambda i: F.element_at(x, i) != F.element_at(y, i))
-        return F.coalesce(F.try_element_at(differs, F.lit(1)) - 1, shorter)
-
-    return (longer - shorter <= 1) & (same(a, b) + same(F.reverse(a), F.reverse(b)) >= longer - 1)
-
-
-def _near(lines: DataFrame, between: str) -> DataFrame:
+                        _normal(F.col("line")).alias("normal")).withColumn("size", F.length("normal"))
+
+    def reach(shorter: str) -> Column:
+        step = f"greatest(1, cast(pow(2, floor(log2({shorter})) - 4) as int))"
+        return F.expr(f"case when {shorter} > 0 then cast(({shorter} div 2) div {step} * {step} as int) end")
+
+    rows = rows.select("*", reach("size").alias("r0"), reach("(size - 1)").alias("r1"))
+    start, end = ([F.xxhash64(F.lit(side), cut(F.col("normal"), F.col(r))) for r in ("r0", "r1")] for side, cut in ((0, F.left), (1, F.right)))
+    other = F.col("r1") != F.col("r0")
+    ends = F.array_compact(F.array(start[0], end[0], F.when(other, start[1]), F.when(other, end[1])))
+    return rows.select("at", "size", F.xxhash64("normal").alias("k0"), F.xxhash64(F.lit(1), "normal").alias("k1"), ends.alias("ends"))
+
+
+def _shared(keys: DataFrame, key: str, tag: str) -> DataFrame:
+    """The rows whose key another row has.  A merge join at every size: the
+    keys grow with the lines."""
+    met = written(keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key), tag)
+    return keys.join(met.hint("merge"), key, "left_semi")
+
+
+def _pieces(lines: DataFrame) -> DataFrame:
+    """``at``, ``longer`` (the line is the longer one of its pairs), ``key``
+    (hash of all around the piece) and ``part`` (the piece), for pieces whose
+    surroundings another line has.  Each line stands as the longer of a pair
+    and as one that isn't; both lines of a pair are cut by the size of the shorter."""
+    size = F.length("part") - F.col("longer").cast("int")
+    sides = lines.select("at", F.col("normal").alias("part"), F.explode(F.array(F.lit(False), F.lit(True))).alias("longer"))
+    todo = sides.select("at", "longer", F.xxhash64(size).alias("key"), "part", size.alias("size")).where("size > 0")
+    done = []
+    while True:
+        todo = written(todo, "line-pieces")
+        done.append(todo.where(F.col("size") <= SHORT))
+        todo = todo.where(F.col("size") > SHORT)
+        if todo.isEmpty():
+            break
+        cut = todo.select("*", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("j")).select(
+            "*", F.expr(f"cast(size * cast(j as long) div {PIECES} as int)").alias("before"),
+            F.expr(f"cast(size - size * cast(j + 1 as long) div {PIECES} as int)").alias("after"))
+        part = F.expr("substring(part, before + 1, length(part) - before - after)")
+        cut = cut.select("at", "longer", F.expr("xxhash64(key, j, left(part, before), right(part, after))").alias("key"),
+                         part.alias("part"), (F.col("size") - F.col("before") - F.col("after")).alias("size"))
+        todo = _shared(cut, "key", "line-around")
+    pieces = done[0]
+    for more in done[1:]:
+        pieces = pieces.unionByName(more)
+    return pieces
+
+
+def _near(lines: DataFrame) -> DataFrame:
     """``at`` of the lines (``at, normal``) that have an earlier near copy among them."""
-    ranked = written(running_sums(lines.withColumn("one", F.lit(1)), [], ["at"], {"rank": "one"}, "line-found"), "line-ranked")
-    variants = _variants(ranked, between)
-    met = written(variants.groupBy("v0", "v1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("v0", "v1"), "line-met")
-    shared = written(variants.join(met, ["v0", "v1"], "left_semi"), "line-shared")
-    by_place = shared.groupBy("v0", "v1", "gone").agg(F.min("rank").alias("low"), F.count(F.lit(1)).alias("n"))
-    by_place = written(by_place, "line-places")
-    by_text = by_place.groupBy("v0", "v1").agg(F.min(F.when(F.col("gone") == 0, F.col("low"))).alias("whole"),
-                                               F.min(F.when(F.col("gone") > 0, F.col("low"))).alias("part"))
-    both = written(by_text.where("whole is not null and part is not null"), "line-texts")
-    # changed: the same word gone from both; longer or shorter: one's variant is the other
-    changed = shared.where("gone > 0").join(by_place.where("gone > 0 and n > 1"), ["v0", "v1", "gone"]).select("rank", "low")
-    grown = shared.join(both, ["v0", "v1"]).select(
-        "rank", F.when(F.col("gone") == 0, F.col("part")).otherwise(F.col("whole")).alias("low"))
-    pairs = changed.unionByName(grown).where(F.col("low") < F.col("rank")).groupBy("rank").agg(F.min("low").alias("low"))
-    mine = ranked.select("rank", "at", F.col("normal").alias("mine"))
-    other = ranked.select(F.col("rank").alias("low"), F.col("normal").alias("other"))
-    return (pairs.join(mine, "rank").join(other, "low")
-            .where(within_one_word(F.col("mine"), F.col("other"), between)).select("at").distinct())
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars: bool = False) -> DataFrame:
+    def variants(gone: str) -> str:
+        # the hash must not depend on where the character was: of the joined text, not of both parts
+        return f"transform(sequence(1, length(part)), i -> struct({gone} as gone, xxhash64(left(part, i - 1) || substring(part, i + 1)) as v))"
+
+    # the place of a changed character counts, that of one more does not
+    itself = "array(struct(0 as gone, xxhash64(part) as v))"
+    made = _pieces(lines).select("key", "at", "longer", F.inline(F.expr(
+        f"case when longer then {variants('0')} else concat({itself}, {variants('i')}) end")))
+    made = written(made, "line-variants")
+    same = ["key", "gone", "v"]
+    groups = made.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.when(~F.col("longer"), F.col("at"))).alias("low"),
+                                     F.min(F.when(F.col("longer"), F.col("at"))).alias("low_longer"))
+    groups = written(groups.where("if(gone > 0, n > 1, low is not null and low_longer is not null)").drop("n"), "line-groups")
+    # changed: the same place gone from both; else one line is the other's variant
+    first = F.when((F.col("gone") > 0) | F.col("longer"), F.col("low")).otherwise(F.col("low_longer"))
+    pairs = made.join(groups, same).select("at", first.alias("first")).where(F.col("first") < F.col("at")).distinct()
+    other = lines.select(F.col("at").alias("first"), F.col("normal").alias("other"))
+    return (pairs.join(lines, "at").join(other, "first")
+            .where(F.levenshtein("normal", "other", 1) >= 0).select("at").distinct())
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct, the text with only the
-    lines that stay), ``lines`` and ``kept_lines`` (numbers of lines).  With
-    ``chars``, short lines are compared by characters."""
-    halves = [f"h{i}" for i in range(8 if chars else 4)]
+    lines that stay), ``lines`` and ``kept_lines`` (numbers of lines)."""
     whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.xxhash64(id_col, text_col).alias("hash"))
     texts = whole.select("id", "hash", "text")
     # lines without a word are left out of the table when it is read, lest the
-    # filter have their words counted twice
-    occurrences = written(_occurrences(texts, chars), "line-occurrences").where("words > 0")
-    distinct = written(occurrences.groupBy("k0", "k1", "words", *halves).agg(
+    # filter have their characters counted twice
+    occurrences = written(_occurrences(texts), "line-occurrences").where("size > 0")
+    distinct = written(occurrences.groupBy("k0", "k1", "ends").agg(
         F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "line-distinct")
     # the candidates' texts, from the documents where they occur first.  Joins of
     # documents are merge joins at every size: what they meet grows with them
-    by_doc = _candidates(distinct, halves).groupBy(F.col("at.id").alias("i"), F.col("at.hash").alias("h")).agg(
-        F.collect_set("at.pos").alias("places"))
+    candidates = _shared(distinct.select("at", F.explode("ends").alias("end")), "end", "line-ends")
+    by_doc = candidates.groupBy(F.col("at.id").alias("i"), F.col("at.hash").alias("h")).agg(F.collect_set("at.pos").alias("places"))
     of_doc = F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h"))
     found = texts.hint("merge").join(by_doc, of_doc).select(
         "id", "hash", F.split("text", "\n", -1).alias("parts"), F.explode("places").alias("pos")).select(
         F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash", "pos").alias("at"),
         _normal(F.element_at("parts", F.col("pos") + 1)).alias("normal")).dropDuplicates(["at"])
-    if chars:
-        found = written(found, "line-candidates")
-        words = F.size(F.split("normal", " "))
-        near = _near(found.where(words >= LEAST), " ").unionByName(_near(found.where(words <= LEAST), "")).distinct()
-    else:
-        near = _near(found, " ")
-    near = written(near, "line-near")
-    drops = distinct.join(near.withColumn("near", F.lit(True)), "at", "left").select(
+    near = written(_near(written(found, "line-candidates")), "line-near")
+    drops = distinct.drop("ends").join(near.withColumn("near", F.lit(True)), "at", "left").select(
         "k0", "k1", F.col("at").alias("first"), "times", F.coalesce("near", F.lit(False)).alias("near"))
     drops = written(drops.where("near or times > 1").select("k0", "k1", "first", "near"), "line-drops")
     gone = occurrences.select("at", "k0", "k1").join(drops, ["k0", "k1"]).where(F.col("near") | (F.col("at") != F.col("first")))

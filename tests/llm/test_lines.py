@@ -4,7 +4,7 @@ from pageloom.llm import lines
 
 
 def close(a, b):
-    """Edit distance of two word lists is at most 1."""
+    """Edit distance of two lines is at most 1, by characters."""
     if len(a) > len(b):
         a, b = b, a
     if len(a) == len(b):
@@ -12,43 +12,53 @@ def close(a, b):
     return len(b) - len(a) == 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
 
 
+def normal(line):
+    return " ".join(w.decode() for w in line.encode().split())  # of bytes: ASCII white space only
+
+
 def brute(docs):
+    """Each line against all earlier ones."""
     seen, out = [], {}
     for i, text in sorted((d for d in docs if d[1] is not None), key=lambda d: (d[0] is None, d[0])):
         kept = []
         for line in text.split("\n"):
-            words = line.encode().split()
-            if words and any(words == w or (min(len(words), len(w)) >= lines.LEAST and close(words, w)) for w in seen):
-                seen.append(words)
+            n = normal(line)
+            if n and any(close(n, s) for s in seen):
+                seen.append(n)
                 continue
-            if words:
-                seen.append(words)
+            if n:
+                seen.append(n)
             kept.append(line)
         out[i] = "\n".join(kept)
     return out
 
 
+def deduplicated(spark, docs):
+    return lines.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+
+
 def test_lines_equal_all_pairs(spark):
     rng = random.Random(11)
-    vocabulary = [f"w{i}" for i in range(12)] + ["é", "中", "x" * 200]
-    base = [[rng.choice(vocabulary) for _ in range(rng.choice([0, 1, 3, 7, 8, 9, 10, 17, 60]))] for _ in range(25)]
+    letters = ["a", "b", " ", "é", "中", "\U0001f600", "\x1c", "　"]
+    sizes = [0, 1, 2, 3, 4, 5, 7, 8, 9, 15, 16, 17, 31, 32, 33, 34, 63, 64, 65, 100, 127, 128, 200, 513, 600]
+    base = ["".join(rng.choice(letters) for _ in range(n)) for n in sizes]
 
     def edited():
-        words = list(rng.choice(base))
+        line = list(rng.choice(base))
         for _ in range(rng.choice([0, 0, 1, 1, 2])):
-            kind, at = rng.choice("adc"), rng.randint(0, max(len(words) - 1, 0))
+            kind, at = rng.choice("adc"), rng.choice([0, len(line) // 2, max(len(line) - 1, 0), rng.randint(0, max(len(line) - 1, 0))])
             if kind == "a":
-                words.insert(at, rng.choice(vocabulary))
-            elif words and kind == "d":
-                words.pop(at)
-            elif words:
-                words[at] = rng.choice(vocabulary)
-        return rng.choice([" ", "  ", "\t", " \r"]).join(words) + rng.choice(["", " ", "\r"])
-
-    docs = [(i, "\n".join(edited() for _ in range(rng.randint(0, 8)))) for i in rng.sample(range(1000), 90)]
+                line.insert(at + rng.randint(0, 1), rng.choice(letters))
+            elif line and kind == "d":
+                line.pop(at)
+            elif line:
+                line[at] = rng.choice(letters)
+        line = "".join(line)
+        return rng.choice(["", " ", "\t"]) + (line.replace(" ", rng.choice([" ", "  ", "\t", " \r"]))) + rng.choice(["", " ", "\r"])
+
+    docs = [(i, "\n".join(edited() for _ in range(rng.randint(0, 9)))) for i in rng.sample(range(1000), 90)]
     docs += [(5000, None), (5001, ""), (5002, "\n\n"), (5003, "only " * 5000 + "once")]
-    rows = lines.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
-    want = brute(docs)
+    rows, want = deduplicated(spark, docs), brute(docs)
     assert len(rows) == len(docs)
     for r in rows:
         assert r.row.text == want.get(r.row.doc_id), r.row.doc_id
@@ -57,50 +67,55 @@ def test_lines_equal_all_pairs(spark):
             assert r.kept_lines == (r.row.text.count("\n") + 1 if r.kept_lines else 0)
 
 
+def test_one_edit_at_every_place(spark):
+    """A line of each size with one edit at each place goes; two edits stay."""
+    docs, gone = [], []
+    for n in [1, 2, 3, 6, 16, 17, 32, 33, 34, 70]:
+        line = "".join(chr(0x4e00 + 100 * n + i) for i in range(n))
+        docs.append((len(docs), line))
+        for at in range(n + 1):
+            for other in (line[:at] + "x" + line[at:], line[:at] + "y" + line[at + 1:], line[:at] + line[at + 1:]):
+                gone.append(len(docs))
+                docs.append((len(docs), other))
+    docs = [d for d in docs if d[1]]
+    want = brute(docs)
+    assert all(want[i] == "" for i in gone if i in want)
+    assert {r.row.doc_id: r.row.text for r in deduplicated(spark, docs)} == want
+
+
+def test_very_long_lines(spark):
+    """Several rounds of cutting; an added space and one changed character at 300,000 go, two changes stay."""
+    rng = random.Random(3)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(300_000)).strip().replace("  ", "c ")
+    line = " ".join(line.split())
+    added = line[:7] + ("z" if line[7] != "z" else "y") + line[7:]
+    changed = line[:150_000] + "é" + line[150_001:]
+    twice = "Ω" + line[1:299_000] + "Ω" + line[299_001:]
+    docs = [(1, line), (2, added), (3, changed), (4, twice), (5, line + "q"), (6, line)]
+    got = {r.row.doc_id: r.row.text for r in deduplicated(spark, docs)}
+    assert got == {1: line, 2: "", 3: "", 4: twice, 5: "", 6: ""}
+
+
 def test_hot_line_and_hot_variant(spark):
     shared = " ".join(f"s{i}" for i in range(9))
-    docs = [(i, f"{shared}\n{shared} t{i}\nown line number {i}") for i in range(300)]
-    rows = {r.row.doc_id: r.row.text for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
-    assert rows[0] == f"{shared}\nown line number 0"  # the second line has one word more than the first
-    assert all(rows[i] == f"own line number {i}" for i in range(1, 300))
+    docs = [(i, f"{shared}\n{shared}{chr(0x5000 + i)}\nown line number {'x' * i}") for i in range(0, 600, 2)]
+    rows = {r.row.doc_id: r.row.text for r in deduplicated(spark, docs)}
+    assert rows[0] == f"{shared}\nown line number "  # the second line has one character more than the first
+    assert all(rows[i] == f"own line number {'x' * i}" for i in range(2, 600, 2))
 
 
 def test_odd_tables(spark):
-    schema = "doc_id bigint, text string, at string, words int, row string, id int, hash int, k0 int"
+    schema = "doc_id bigint, text string, at string, words int, row string, id int, hash int, k0 int, size int, part int"
     assert lines.dedup_lines(spark.createDataFrame([], schema)).count() == 0
     line = "one two three four five six seven eight nine"
-    rows = [(None, line, "x", 1, "r", 1, 1, 1), (2, line, "y", 2, "r", 1, 1, 1), (2, line, "y", 2, "r", 1, 1, 1)]
+    rows = [(None, line, "x", 1, "r", 1, 1, 1, 1, 1), (2, line, "y", 2, "r", 1, 1, 1, 1, 1), (2, line, "y", 2, "r", 1, 1, 1, 1, 1)]
     got = lines.dedup_lines(spark.createDataFrame(rows, schema)).select("row.*").collect()
     assert sorted((r.doc_id or 99, r.text, r.at, r.words) for r in got) == [(2, line, "y", 2), (2, line, "y", 2), (99, "", "x", 1)]
 
 
-def test_short_lines_by_characters_equal_all_pairs(spark):
-    rng = random.Random(5)
-
-    def near(a, b):
-        x, y = a.split(" "), b.split(" ")
-        return close(list(a), list(b)) if min(len(x), len(y)) < lines.LEAST else close(x, y)
-
-    base = [" ".join(rng.choice(["ab", "é中", "c", "dog", "\U0001f600x"]) for _ in range(n)) for n in [1, 1, 2, 3, 5, 6, 7, 7, 8, 8, 9, 12] * 2]
-
-    def edited():
-        line = rng.choice(base)
-        for _ in range(rng.choice([0, 1, 1, 2, 3])):
-            at = rng.randint(0, len(line) - 1)
-            line = (line[:at] + rng.choice(["", " ", "é", "a", line[at] + " ", line[at] + "z"]) + line[at + 1:]) or "q"
-        return " ".join(line.split()) or "q"
-
-    docs = [(i, "\n".join(edited() for _ in range(4))) for i in range(60)]
-    docs += [(100, "Les réier quech revieux treelleç des"), (101, "Les réier quech revieux treelle des"), (102, "one two three fourfive six seven eight"),
-             (103, "one two three four five six seven eight")]
-    seen, want = [], {}
-    for i, text in docs:
-        kept = []
-        for line in text.split("\n"):
-            if not any(near(line, s) for s in seen):
-                kept.append(line)
-            seen.append(line)
-        want[i] = "\n".join(kept)
-    assert want[101] == want[103] == ""
-    got = lines.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string"), chars=True).collect()
-    assert {r.row.doc_id: r.row.text for r in got} == want
+def test_spaces_and_words(spark):
+    """A space more is one edit, a whole word changed is not, at any length."""
+    long = "one two three four five six seven eight nine ten"
+    docs = [(1, long), (2, long.replace("fi", "f i")), (3, long.replace("five", "seventy")), (4, "a word"), (5, "aword"), (6, "two words"), (7, "two birds")]
+    got = {r.row.doc_id: r.row.text for r in deduplicated(spark, docs)}
+    assert got == {1: long, 2: "", 3: docs[2][1], 4: "a word", 5: "", 6: "two words", 7: "two birds"}
