@@ -10,8 +10,8 @@ Every line stands for its variants: itself and itself without one character.
 Lines that differ in one character have the same variant without it, at the
 same place; a line with one more character has the other line among its
 variants.  The variants' hashes are grouped; per key only the earliest line is
-kept, by a partial minimum, so no group emits its pairs.  The edit distance of
-the candidates' texts is then verified.
+kept, by a partial minimum, so no group emits its pairs.  That the candidates'
+texts are one edit apart is then verified.
 
 Before that, variants that can meet no other line's are left out.  An edit
 leaves either the start or the end of a line as it is, so a line whose start
@@ -79,12 +79,12 @@ def _shared(keys: DataFrame, key: str, tag: str) -> DataFrame:
 
 def _pieces(lines: DataFrame) -> DataFrame:
     """``at``, ``longer`` (the line is the longer one of its pairs), ``key``
-    (hash of all around the piece) and ``part`` (the piece), for pieces whose
-    surroundings another line has.  Each line stands as the longer of a pair
+    (hash of all around the piece), ``part`` (the piece) and ``off`` (the
+    characters before it), for pieces whose surroundings another line has.  Each line stands as the longer of a pair
     and as one that isn't; both lines of a pair are cut by the size of the shorter."""
     size = F.length("part") - F.col("longer").cast("int")
     sides = lines.select("at", F.col("normal").alias("part"), F.explode(F.array(F.lit(False), F.lit(True))).alias("longer"))
-    todo = sides.select("at", "longer", F.xxhash64(size).alias("key"), "part", size.alias("size")).where("size > 0")
+    todo = sides.select("at", "longer", F.xxhash64(size).alias("key"), "part", F.lit(0).alias("off"), size.alias("size")).where("size > 0")
     done = []
     while True:
         todo = written(todo, "line-pieces")
@@ -97,7 +97,7 @@ def _pieces(lines: DataFrame) -> DataFrame:
             F.expr(f"cast(size - size * cast(j + 1 as long) div {PIECES} as int)").alias("after"))
         part = F.expr("substring(part, before + 1, length(part) - before - after)")
         cut = cut.select("at", "longer", F.expr("xxhash64(key, j, left(part, before), right(part, after))").alias("key"),
-                         part.alias("part"), (F.col("size") - F.col("before") - F.col("after")).alias("size"))
+                         part.alias("part"), (F.col("off") + F.col("before")).alias("off"), (F.col("size") - F.col("before") - F.col("after")).alias("size"))
         todo = _shared(cut, "key", "line-around")
     pieces = done[0]
     for more in done[1:]:
@@ -109,23 +109,35 @@ def _near(lines: DataFrame) -> DataFrame:
     """``at`` of the lines (``at, normal``) that have an earlier near copy among them."""
     def variants(gone: str) -> str:
         # the hash must not depend on where the character was: of the joined text, not of both parts
-        return f"transform(sequence(1, length(part)), i -> struct({gone} as gone, xxhash64(left(part, i - 1) || substring(part, i + 1)) as v))"
+        return f"transform(sequence(1, length(part)), i -> struct({gone} as gone, off + i - 1 as without, xxhash64(left(part, i - 1) || substring(part, i + 1)) as v))"
 
     # the place of a changed character counts, that of one more does not
-    itself = "array(struct(0 as gone, xxhash64(part) as v))"
+    itself = "array(struct(0 as gone, -1 as without, xxhash64(part) as v))"
     made = _pieces(lines).select("key", "at", "longer", F.inline(F.expr(
         f"case when longer then {variants('0')} else concat({itself}, {variants('i')}) end")))
     made = written(made, "line-variants")
     same = ["key", "gone", "v"]
     groups = made.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.when(~F.col("longer"), F.col("at"))).alias("low"),
-                                     F.min(F.when(F.col("longer"), F.col("at"))).alias("low_longer"))
+                                     F.min(F.when(F.col("longer"), F.struct("at", "without"))).alias("low_longer"))
     groups = written(groups.where("if(gone > 0, n > 1, low is not null and low_longer is not null)").drop("n"), "line-groups")
     # changed: the same place gone from both; else one line is the other's variant
-    first = F.when((F.col("gone") > 0) | F.col("longer"), F.col("low")).otherwise(F.col("low_longer"))
-    pairs = made.join(groups, same).select("at", first.alias("first")).where(F.col("first") < F.col("at")).distinct()
+    itself = (F.col("gone") == 0) & ~F.col("longer")
+    pairs = made.join(groups, same).select("at", F.when(itself, F.col("low_longer.at")).otherwise(F.col("low")).alias("first"),
+                                           F.when(itself, F.col("low_longer.without")).otherwise(F.col("without")).alias("without"))
+    pairs = pairs.where(F.col("first") < F.col("at")).groupBy("at", "first").agg(F.min("without").alias("without"))
     other = lines.select(F.col("at").alias("first"), F.col("normal").alias("other"))
-    return (pairs.join(lines, "at").join(other, "first")
-            .where(F.levenshtein("normal", "other", 1) >= 0).select("at").distinct())
+    return pairs.join(lines, "at").join(other, "first").where(one_edit("normal", "other", "without")).select("at").distinct()
+
+
+def one_edit(a: str, b: str, place: str) -> Column:
+    """Whether the texts are equal without the character after ``place``
+    others, taken from the longer one or, at equal lengths, from both: they
+    are then at most one edit apart.  Linear, unlike the edit distance function."""
+    def rest(x: str) -> str:
+        return f"(left({x}, {place}) || substring({x}, {place} + 2))"
+
+    return F.expr(f"case length({a}) - length({b}) when 0 then {rest(a)} = {rest(b)} when 1 then {rest(a)} = {b} "
+                  f"when -1 then {a} = {rest(b)} else false end")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
