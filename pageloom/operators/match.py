@@ -6,30 +6,48 @@ the smallest id; unmatched left rows are reported.
 
 No pairs are enumerated per size class.  A path's form says at which levels
 its names are non-empty; the forms that occur are few.  For a pair of forms
-the deepest level that is non-empty in both is the blocking level, where
-containment is turned into equality: the right name contains the left one
-(left name equals one of the right name's substrings) or is contained in it
-(right name equals one of the left name's substrings).  Both directions are
-equi joins on ``(forms, text)`` and no text is empty; candidates are then
-verified at every level.  Two forms without a common non-empty level match
-in all their rows; their winner is the smallest id of the right form, an
-aggregate, so no pairs are built for them either.
+containment at a common non-empty level becomes equality of a *piece*, a
+substring of at most ``gram`` characters: every name has a key, the rarest of
+its pieces of the full length (a shorter name is its own key), and a name that
+contains another one has the other's key among its pieces.  So a name meets
+those that hold its key, and those whose key it holds, which is linear in the
+length of a name.
+
+The weights of the pieces (right paths that hold it; right paths keyed by it)
+tell for every left name how many right paths it would meet, and each left
+path meets the right ones at its cheapest level only: a name that a third of
+all paths share is passed over wherever another level tells more.  Names are
+compared as distinct names first; paths are then verified at every level.
+Two forms without a common non-empty level match in all their rows; their
+winner is the smallest id of the right form, an aggregate, so no pairs are
+built for them either.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import arrays_match
 from pageloom.session import materialize
 
+#: A name's place: the right path's form and the level.
+_AT = ["rform", "k"]
+
 
-def substrings_of_length(c: Column, ln: Column) -> Column:
-    """Distinct substrings of one length (none when the string is shorter)."""
+def pieces(c: Column, gram: int) -> Column:
+    """Distinct substrings of 1 to ``gram`` characters."""
     n = F.length(c)
-    return F.when(ln > n, F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(1), n - ln + 1), lambda i: F.substring(c, i, ln))))
+    each = F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda ln: F.when(
+        ln <= n, F.transform(F.sequence(F.lit(1), n - ln + 1), lambda i: F.substring(c, i, ln)))
+        .otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.flatten(each))
+
+
+def _may_be_key(name: str, gram: int) -> Column:
+    return F.length("g") == F.least(F.lit(gram), F.length(name))
 
 
 def _filled(names: Column) -> Column:
@@ -42,16 +60,73 @@ def _paths(df: DataFrame, names: str) -> DataFrame:
     return df.where(F.col(names).isNotNull() & ~F.exists(names, lambda x: x.isNull()))
 
 
+class Index(NamedTuple):
+    """The right side's tables."""
+
+    paths: DataFrame  # rform, rnames, rk
+    pieces: DataFrame  # rform, k, b, g: the distinct names by piece
+    keys: DataFrame  # rform, k, b, key: the distinct names by key
+    weights: DataFrame  # rform, k, g, held, keyed: right paths that hold the piece; that are keyed by it
+
+
+def index(R: DataFrame, gram: int) -> Index:
+    """Keys and weights of the right paths ``R(rnames, rk, rform)``.  The
+    weights are written before they are joined to the pieces: both sides are
+    then plain inputs, and a piece that many names hold is split."""
+    names = (R.select("rform", F.posexplode("rnames").alias("k", "b")).where(F.length("b") > 0)
+             .groupBy(*_AT, "b").agg(F.count(F.lit(1)).alias("n")))
+    held_by = names.withColumn("g", F.explode(pieces(F.col("b"), gram)))
+    held = materialize(held_by.groupBy(*_AT, "g").agg(F.sum("n").alias("held")), "match-held")
+    keys = materialize(held_by.where(_may_be_key("b", gram)).join(held, [*_AT, "g"])
+                       .groupBy(*_AT, "b").agg(F.min(F.struct("held", "g")).alias("rarest"), F.first("n").alias("n"))
+                       .select(*_AT, "b", "n", F.col("rarest.g").alias("key")), "match-keys")
+    keyed = keys.groupBy(*_AT, F.col("key").alias("g")).agg(F.sum("n").alias("keyed"))
+    weights = materialize(held.join(keyed, [*_AT, "g"], "left")
+                          .select(*_AT, "g", "held", F.coalesce("keyed", F.lit(0)).alias("keyed")), "match-weights")
+    return Index(R, held_by.drop("n"), keys.drop("n"), weights)
+
+
+def cheapest_levels(L: DataFrame, shared: DataFrame, right: Index, gram: int) -> DataFrame:
+    """For every left path ``L(lnames, lform)`` and right form ``shared(lform,
+    rform, levels)``: the level at which it meets the fewest right paths, the
+    name and key there and that number, ``meets``.  Pairs that meet none
+    (there is a level at which no right name fits) are left out."""
+    at = (L.join(shared, "lform").withColumn("k", F.explode("levels"))
+          .select("lnames", *_AT, F.element_at("lnames", F.col("k") + 1).alias("a")))
+    held = F.coalesce("held", F.lit(0))
+    costs = (at.select(*_AT, "a").distinct().withColumn("g", F.explode(pieces(F.col("a"), gram)))
+             .join(right.weights, [*_AT, "g"], "left").groupBy(*_AT, "a")
+             .agg(F.min(F.when(_may_be_key("a", gram), F.struct(held.alias("held"), "g"))).alias("rarest"),
+                  F.sum(F.coalesce("keyed", F.lit(0))).alias("back")))
+    costs = materialize(costs.select(*_AT, "a", F.col("rarest.g").alias("key"),
+                                     (F.col("rarest.held") + F.col("back")).alias("meets")), "match-costs")
+    best = at.join(costs, [*_AT, "a"]).groupBy("lnames", "rform").agg(F.min(F.struct("meets", "k", "a", "key")).alias("best"))
+    return best.select("lnames", "rform", "best.*").where("meets > 0")
+
+
+def candidates(chosen: DataFrame, right: Index, gram: int) -> DataFrame:
+    """``lnames, rk, rnames`` of the paths whose names at the chosen level
+    contain one another; ``chosen`` from :func:`cheapest_levels`."""
+    mine = chosen.select(*_AT, "a", "key").distinct()
+    within = (mine.join(right.pieces.withColumnRenamed("g", "key"), [*_AT, "key"])
+              .where(F.contains("b", "a")).select(*_AT, "a", "b"))
+    around = (mine.drop("key").withColumn("key", F.explode(pieces(F.col("a"), gram)))
+              .join(right.keys, [*_AT, "key"])
+              .where(F.contains("a", "b") & (F.col("a") != F.col("b"))).select(*_AT, "a", "b"))
+    named = chosen.select("lnames", *_AT, "a").join(within.unionByName(around), [*_AT, "a"])
+    paths = right.paths.select("rform", "rk", "rnames", F.posexplode("rnames").alias("k", "b"))
+    return named.join(paths, [*_AT, "b"]).select("lnames", "rk", "rnames")
+
+
 def fuzzy_path_match(left: DataFrame, right: DataFrame, left_key: str = "sid",
-                     right_key: str = "city_id") -> DataFrame:
+                     right_key: str = "city_id", gram: int = 4) -> DataFrame:
     """``left(left_key, names array<string>)`` against ``right(right_key,
     names)``: one row per left row with the winning ``right_key`` (NULL when
-    unmatched) and ``matched``.
+    unmatched) and ``matched``.  ``gram`` is the length of the pieces; it
+    bears on the work alone, never on the result.
 
-    Substrings are only generated for lengths that occur on the other side
-    under the same forms: equal strings have equal lengths.  The tables of
-    forms and of lengths are bounded by the depth of the paths and the
-    lengths of the names, not by the row counts."""
+    The table of forms is bounded by the depth of the paths, not by the row
+    counts."""
     # Copies collapse first: equal name paths share one result, and among
     # equal right paths only the smallest id can win.  A path held by a
     # third of all rows is then one row on each side, not a third of pairs.
@@ -65,27 +140,15 @@ def fuzzy_path_match(left: DataFrame, right: DataFrame, left_key: str = "sid",
     lforms = L.select("lform", F.size("lform").alias("n")).distinct()
     rforms = R.groupBy("rform").agg(F.min("rk").alias("lowest")).withColumn("n", F.size("rform"))
     both = F.zip_with("lform", "rform", lambda a, b: a & b)
-    forms = materialize(lforms.join(rforms, "n").select(
-        "lform", "rform", "lowest", F.array_max(F.transform(both, lambda x, i: F.when(x, i + 1))).alias("k")), "match-forms")
+    levels = F.filter(F.transform(both, lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
+    forms = materialize(lforms.join(rforms, "n").select("lform", "rform", "lowest", levels.alias("levels")), "match-forms")
 
     # forms without a common non-empty level: all their rows match, the smallest id wins
-    free = L.join(forms.where(F.col("k").isNull()), "lform").select("lnames", F.col("lowest").alias("rk"))
-
-    shared = forms.where(F.col("k").isNotNull()).select("lform", "rform", "k")
-    by = ["lform", "rform"]
-    lt = L.join(shared, "lform").select("lnames", *by, F.element_at("lnames", F.col("k")).alias("txt"))
-    rt = R.join(shared, "rform").select("rk", "rnames", *by, F.element_at("rnames", F.col("k")).alias("txt"))
-    left_lens = lt.select(*by, F.length("txt").alias("ln")).distinct()
-    right_lens = rt.select(*by, F.length("txt").alias("ln")).distinct()
-
-    # a) the right name contains the left one: right substrings of the left lengths
-    r_subs = rt.join(left_lens, by).withColumn("txt", F.explode(substrings_of_length(F.col("txt"), F.col("ln"))))
-    a = lt.join(r_subs, [*by, "txt"]).select("lnames", "rk", "rnames")
-    # b) the left name contains the right one: left substrings of the right lengths
-    l_subs = lt.join(right_lens, by).withColumn("txt", F.explode(substrings_of_length(F.col("txt"), F.col("ln"))))
-    b = l_subs.join(rt, [*by, "txt"]).select("lnames", "rk", "rnames")
-
-    cand = a.unionByName(b).where(arrays_match(F.col("lnames"), F.col("rnames"))).select("lnames", "rk")
+    free = L.join(forms.where(F.size("levels") == 0), "lform").select("lnames", F.col("lowest").alias("rk"))
+
+    idx = index(R, gram)
+    chosen = materialize(cheapest_levels(L, forms.select("lform", "rform", "levels"), idx, gram), "match-chosen")
+    cand = candidates(chosen, idx, gram).where(arrays_match(F.col("lnames"), F.col("rnames"))).select("lnames", "rk")
     winners = cand.unionByName(free).groupBy("lnames").agg(F.min("rk").alias("winner"))
     return (left_rows.join(winners, F.col("names").eqNullSafe(F.col("lnames")), "left")
             .select(F.col("sid_").alias(left_key), F.col("winner").alias(right_key),

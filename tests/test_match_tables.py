@@ -29,6 +29,38 @@ def test_fuzzy_match_brute_force(spark):
     assert got == brute_match(left, right)
 
 
+def test_fuzzy_match_of_any_piece_length(spark):
+    rnd = random.Random(11)
+    words = ["", "a", "ab", "bab", "abab", "ababab", "é", "aé漢", "漢字の名", "x漢字の名y", "Springfield", "Springfield Park", "field P"]
+    names = [[rnd.choice(words) for _ in range(rnd.randint(1, 4))] for _ in range(80)] + [[], None, ["a", None]]
+    known = [(i, n) for i, n in enumerate(names)]
+    L = spark.createDataFrame(known[::2] + known[-3:], "sid int, names array<string>")
+    R = spark.createDataFrame([(f"c{i:03d}", n) for i, n in known[1::2] + known[:1]], "city_id string, names array<string>")
+    whole = lambda rows: [(i, n) for i, n in rows if n is not None and None not in n]
+    want = dict.fromkeys([r["sid"] for r in L.collect()]) | brute_match(
+        whole([tuple(r) for r in L.collect()]), whole([tuple(r) for r in R.collect()]))
+    for gram in (1, 3, 4):
+        assert {r["sid"]: r["city_id"] for r in MA.fuzzy_path_match(L, R, gram=gram).collect()} == want, gram
+
+
+def test_a_common_name_does_not_meet_all_others(spark):
+    """One name on a third of the paths of both sides: what is compared
+    grows with the paths, not with their square."""
+    def compared(n):
+        paths = [[f"land {i % 3}", "Springfield" if i % 3 == 0 else f"town {i:05d} of many", f"street {i * 7919 % 100003:06d}"]
+                 for i in range(n)]
+        L = spark.createDataFrame([(p, [True] * 3) for p in paths], "lnames array<string>, lform array<boolean>")
+        R = spark.createDataFrame([(p, f"c{i:05d}", [True] * 3) for i, p in enumerate(paths)],
+                                  "rnames array<string>, rk string, rform array<boolean>")
+        shared = spark.createDataFrame([([True] * 3, [True] * 3, [0, 1, 2])],
+                                       "lform array<boolean>, rform array<boolean>, levels array<int>")
+        idx = MA.index(R, 4)
+        chosen = MA.cheapest_levels(L, shared, idx, 4)
+        return MA.candidates(chosen, idx, 4).count()
+
+    assert compared(300) == 300 and compared(1200) == 1200
+
+
 def test_first_by_equals_window(spark):
     rnd = random.Random(5)
     rows = [(rnd.randint(0, 5), i, rnd.randint(0, 3), f"v{i}") for i in range(200)]
