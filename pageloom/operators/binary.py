@@ -1,4 +1,4 @@
-"""Binary bodies (EXT-16, IMG-1, SNK-6, S-20, SRC-5)."""
+"""Binary bodies (EXT-16, SRC-5)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from pageloom.functions.util import col_of
-from pageloom.operators.frontier import unseen
 from pageloom.session import ship_package
 
 # Leading bytes (hex) of the accepted image formats.
@@ -41,19 +40,6 @@ def image_signature(bodies: DataFrame, min_bytes: int = 20) -> DataFrame:
             .select("page_id", k.alias("kind"), F.octet_length("body").cast("int").alias("n_bytes")))
 
 
-def content_store(tours: DataFrame, bodies: DataFrame, store: DataFrame, category: str) -> DataFrame:
-    """IMG-1: distinct ``http://`` image URLs of rows still without an image
-    id, not yet in the store (anti join) -> their content -> signature check
-    -> rows to store with source URL, category and hex MD5 (SNK-6, S-20)."""
-    want = (tours.where(F.col("head_image").startswith("http://") & (F.col("image_id") <= 0))
-            .select(F.col("head_image").alias("source_url")).distinct())
-    fresh = unseen(want, store.select("source_url"), key="source_url")
-    got = fresh.join(bodies.select(F.col("url").alias("source_url"), "body", "page_id"), "source_url")
-    ok = got.where((F.octet_length("body") > 20) & image_kind("body").isNotNull())
-    return ok.select("source_url", F.lit(category).alias("category"), F.md5("body").alias("md5"),
-                     F.octet_length("body").cast("int").alias("n_bytes"))
-
-
 @pandas_udf(T.StringType())
 def decode_gb(body: pd.Series) -> pd.Series:
     """SRC-5: GB2312 page bytes to text (GB18030 is a superset); a truncated

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.urls import default_scheme, first_capture, host, path_token, remove_all
 from pageloom.operators.filters import status_not_ok
+from pageloom.session import materialize
+from pageloom.sources.locator import fetch, located
 
 _PATH_RE = r"\A[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*"
 
@@ -61,9 +63,15 @@ def backlink_check(pairs: DataFrame, pages: DataFrame) -> DataFrame:
     """LNK-1 / JOIN-8: for every expected link, fetch the source page (join
     on the URL with a default scheme) and give ``status:N`` when the status
     is not 2xx, else ``matched``/``missed`` by whether the body holds the
-    target."""
+    target.
+
+    ``pages(url, html, status)`` is a table of Parquet files, or columns
+    computed over one that holds ``html``: the join moves URLs and places, and
+    the bodies of pages with a good status are read where they lie."""
     req = pairs.select(F.col("id").alias("linkexchangesid"), default_scheme("inboundfrom").alias("url"), "inboundto")
-    j = req.join(pages.select("url", "html", "status"), "url")
-    flag = (F.when(status_not_ok(F.col("status")), F.concat(F.lit("status:"), F.col("status").cast("string")))
-            .when(F.contains(F.col("html"), F.col("inboundto")), "matched").otherwise("missed"))
-    return j.select("linkexchangesid", flag.alias("flag"))
+    j = materialize(req.join(located(pages, "url", "status"), "url").drop("url"), "backlinks")
+    bad = F.coalesce(status_not_ok(F.col("status")), F.lit(False))
+    told = j.where(bad).select("linkexchangesid", F.concat(F.lit("status:"), F.col("status").cast("string")).alias("flag"))
+    read = fetch(j.where(~bad).drop("status"), "html")
+    held = F.when(F.contains("html", "inboundto"), "matched").otherwise("missed")
+    return told.unionByName(read.select("linkexchangesid", held.alias("flag")))

@@ -1,4 +1,4 @@
-"""Table maintenance (SNK-1 to SNK-6) as functions ``(old, new) ->
+"""Table maintenance (SNK-1 to SNK-4) as functions ``(old, new) ->
 DataFrame`` plus writers.
 
 NULL means "absent, leave the stored value", ``''`` means "set to empty";
@@ -97,10 +97,3 @@ def write_version(df: DataFrame, table_root: str, version: str, partition_by: Se
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
-
-
-def store_content(rows: DataFrame, url_col: str = "source_url", body_col: str = "content",
-                  category: str = "page") -> DataFrame:
-    """SNK-6 / S-20: binary content with source URL, category and hex MD5."""
-    return rows.select(F.col(url_col).alias("source_url"), F.col(body_col).alias("image_content"),
-                       F.lit(category).alias("category"), F.md5(F.col(body_col)).alias("md5"))

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from pageloom.functions.urls import url_quote
 from pageloom.operators import binary as BI
 from pageloom.operators import cards as CA
+from pageloom.operators import content as CO
 from pageloom.operators import ids as ID
 from pageloom.plans import duck as D
 from pageloom.plans import fixtures as FX
 from pageloom.plans.registry import register
+from pageloom.session import checkpoint_dir, materialize, new_run_id
 from pageloom.sources.tables import read_table
 
 SITE = "http://www.example.com"
@@ -235,14 +237,19 @@ FROM fresh f JOIN b ON b.url = f.source_url
 WHERE octet_length(b.body) > 20 AND ({KIND_OF}) IS NOT NULL
 """)
 def q_content_store(spark, sf):
-    """IMG-1: image URLs of rows without an image id ('#top' pages have
-    one), minus those already stored (the French pages), fetched from the
-    derived bodies, checked and stored with their MD5."""
+    """IMG-1, SNK-6: image URLs of rows without an image id ('#top' pages have
+    one), minus those already stored (the French pages, by an earlier run),
+    fetched from the derived bodies, checked and stored; what the store holds
+    of them is read back and signed anew."""
     pages = read_table(spark, sf, "pages").select("page_id", "url", "html")
     tours = pages.select(F.col("url").alias("head_image"),
                          F.when(F.col("url").endswith("#top"), 1).otherwise(0).alias("image_id"))
-    store = pages.where(F.col("url").contains("/fr/")).select(F.col("url").alias("source_url"))
-    return BI.content_store(tours, FX.page_bodies(spark, sf), store, "page")
+    bodies = materialize(FX.page_bodies(spark, sf), "bodies")  # the crawled bodies, as a table
+    root = f"{checkpoint_dir(spark).rstrip('/')}/content-{new_run_id()}"
+    french = pages.where(F.col("url").contains("/fr/")).select(F.col("url").alias("source_url"))
+    CO.store_images(french, bodies, root, "earlier")
+    CO.store_images(CO.wanted_images(tours), bodies, root, "page")
+    return CO.read_back(spark, root).where(F.col("category") == "page")
 
 
 @register("decode_body", """
