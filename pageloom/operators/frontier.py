@@ -10,12 +10,15 @@ partitioning on the new side.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import count
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageloom.operators.extract import page_links
 from pageloom.operators.windows import first_by
-from pageloom.session import materialize, new_run_id
+from pageloom.session import materialize, materialize_bucketed
 
 
 def first_link_occurrence(links: DataFrame) -> DataFrame:
@@ -59,35 +62,59 @@ def crawl_frontier(pages: DataFrame, known: DataFrame, tag: str = "nav",
                         F.lit(flag).alias("flag"))
 
 
-def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, compact_every: int = 16) -> DataFrame:
+def _spread(edges: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """``edges`` with ``part``, 0 but for sources with more than an even
+    bucket's share of all edges, whose edges go to as many parts as make each
+    about half a share; and those sources (``hub, parts``): fewer than
+    ``buckets`` of them, whatever the edges are."""
+    degrees = materialize(edges.groupBy(F.col("src").alias("hub")).agg(F.count(F.lit(1)).alias("n")), "degrees")
+    share = (degrees.agg(F.sum("n")).first()[0] or 0) / buckets
+    hubs = (degrees.where((F.col("n") > share) & F.col("hub").isNotNull())
+            .select("hub", F.ceil(F.col("n") * 2 / F.lit(share or 1.0)).cast("int").alias("parts")))
+    at = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int"), F.lit(0))
+    parted = edges.join(F.broadcast(hubs), F.col("src") == F.col("hub"), "left")
+    return parted.select("src", at.alias("part"), "dst"), hubs
+
+
+def _links_from(frontier: DataFrame, edges: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Nodes one link away from ``frontier(node)``; a hub meets each part of its edges."""
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    asked = frontier.join(F.broadcast(hubs), F.col("node") == F.col("hub"), "left").select(F.col("node").alias("src"), parts.alias("part"))
+    return asked.join(edges, ["src", "part"]).select(F.col("dst").alias("node"))
+
+
+def _not_in(nodes: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """Nodes in none of the tables, one anti join each: a union of bucketed
+    tables would be shuffled, a bucketed table is not."""
+    return reduce(lambda left, table: left.join(table.select("node"), "node", "left_anti"), tables, nodes)
+
+
+def crawl_to_fixpoint(edges: DataFrame, seeds: DataFrame, compact_every: int = 8) -> DataFrame:
     """FRN-2: repeat the frontier round until no new node appears.
-    ``edges(src, dst)``, ``seeds(node)``; returns ``node, depth`` with the
-    round in which each node was first reached (link depth).
-
-    Every round is one join of the frontier to the edges, a
-    partial-aggregate distinct and an anti join against the nodes seen so
-    far.  Only the round's new nodes are written (a table per round in
-    ``spark.checkpoint.dir``), so every node is written once in total; the
-    seen set is the union of those tables, compacted into one table every
-    ``compact_every`` rounds to keep the plan small.  The emptiness test is
-    an observation on the round's own write."""
-    from functools import reduce
-    from itertools import count
-
-    run = new_run_id()
-    e = edges.select("src", "dst")
-    parts = [materialize(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "fixpoint",
-                         slot=f"{run}-r0")]
+    ``edges(src, dst)`` (those with a NULL lead nowhere), ``seeds(node)``;
+    returns ``node, depth`` with the round in which each node was first reached (link depth).
+
+    The edges are written once, in hash buckets of their source (a hub's
+    edges in several parts, so that no bucket is much larger than the rest),
+    and every round's new nodes once, in hash buckets of the node.  A round
+    moves the frontier to the edges and the nodes it reaches (a
+    partial-aggregate distinct) to the nodes seen so far; neither the edges
+    nor the seen nodes are shuffled again.  The seen tables are compacted
+    into one every ``compact_every`` rounds.  The emptiness test is an
+    observation on the round's own write."""
+    buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted, hubs = _spread(edges.select("src", "dst").dropna(), buckets)
+    e = materialize_bucketed(parted, ["src", "part"], "edges")
+    parts = [materialize_bucketed(seeds.select("node").distinct().withColumn("depth", F.lit(0)), ["node"], "round", together=True)]
     frontier = parts[0].select("node")
     for depth in count(1):  # as deep as the links go
-        seen = reduce(DataFrame.unionByName, parts).select("node")
-        reached = frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node")).distinct()
+        reached = _links_from(frontier, e, hubs).distinct()
         obs = Observation()
-        new = materialize(reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
-                          .observe(obs, F.count(F.lit(1)).alias("n")), "fixpoint", slot=f"{run}-r{depth}")
+        new = materialize_bucketed(_not_in(reached, parts).withColumn("depth", F.lit(depth))
+                                   .observe(obs, F.count(F.lit(1)).alias("n")), ["node"], "round", together=True)
         if obs.get["n"] == 0:
             return reduce(DataFrame.unionByName, parts)
         parts.append(new)
         frontier = new.select("node")
         if len(parts) > compact_every:
-            parts = [materialize(reduce(DataFrame.unionByName, parts), "fixpoint", slot=f"{run}-c{depth}")]
+            parts = [materialize_bucketed(reduce(DataFrame.unionByName, parts), ["node"], "seen")]

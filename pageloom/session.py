@@ -87,6 +87,27 @@ def materialize(df, tag: str = "step", slot: str | None = None):
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_bucketed(df, keys, tag: str = "step", together: bool = False):
+    """As :func:`materialize`, in hash buckets of the columns ``keys`` (as
+    many as the session's shuffle partitions): joins and aggregates on them
+    read the buckets as they lie, without an exchange.  ``together`` says that
+    the plan leaves the rows of a bucket together already (a join or an
+    aggregate on ``keys``); otherwise they are shuffled.
+
+    Buckets need a catalogue entry to be written.  It is dropped again; the
+    files stay, and the returned DataFrame keeps the layout."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"pageloom_{tag}_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    rows = df if together else df.repartition(buckets, *keys)
+    rows.write.bucketBy(buckets, *keys).format("parquet").option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved while the entry is there
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return table
+
+
 def new_run_id() -> str:
     return uuid.uuid4().hex
 

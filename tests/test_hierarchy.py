@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from pageloom.operators import hierarchy as HI
+from pageloom.operators import frontier as FR
 from pageloom.operators.frontier import crawl_to_fixpoint
 
 
@@ -122,3 +123,34 @@ def test_fixpoint_long_chain_with_compaction(spark):
     seeds = spark.createDataFrame([(0,)], "node bigint")
     got = {r["node"]: r["depth"] for r in crawl_to_fixpoint(edges, seeds, compact_every=4).collect()}
     assert got == {i: i for i in range(41)}
+
+
+def test_fixpoint_of_a_hub_equals_brute_force(spark):
+    rnd = random.Random(8)
+    links = [(7, 100 + i) for i in range(300)] + [(rnd.randint(0, 400), rnd.randint(0, 400)) for _ in range(500)]
+    edges = spark.createDataFrame(links + links[:50] + [(None, 3), (7, None)], "src bigint, dst bigint")
+    depths, new = {0: 0, 3: 0}, {0, 3}
+    while new:
+        new = {d for s, d in links if s in new} - set(depths)
+        depths |= dict.fromkeys(new, max(depths.values()) + 1)
+    seeds = spark.createDataFrame([(0,), (3,), (3,)], "node bigint")
+    got = [tuple(r) for r in crawl_to_fixpoint(edges, seeds, compact_every=2).collect()]
+    assert len(got) == len(dict(got)) and dict(got) == depths
+
+
+def test_a_round_shuffles_neither_edges_nor_seen_nodes(spark):
+    links = spark.createDataFrame([(7, i) for i in range(90)] + [(i, i + 1) for i in range(90)], "src bigint, dst bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        parted, hubs = FR._spread(links, 8)
+        assert [r["hub"] for r in hubs.collect()] == [7] and parted.where("src = 7").select("part").distinct().count() == 9
+        edges = FR.materialize_bucketed(parted, ["src", "part"], "edges")
+        seen = [FR.materialize_bucketed(spark.range(i, i + 3).select(F.col("id").alias("node")), ["node"], "round") for i in (0, 5)]
+        plan = FR._not_in(FR._links_from(seen[-1], edges, hubs).distinct(), seen)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["node"] for r in plan.collect()) == [n for n in range(90) if n not in (0, 1, 2, 5, 6, 7)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the frontier moves to the edges, what it reaches to the seen nodes
+    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("Bucketed: true") == 4
