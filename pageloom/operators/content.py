@@ -53,7 +53,7 @@ def store_images(urls: DataFrame, bodies: DataFrame, root: str, category: str, m
     index, content = open_store(spark, root)
     fresh = unseen(urls.select("source_url").distinct(), index, key="source_url")
     at = fresh.join(located(bodies, F.col("url").alias("source_url")), "source_url")
-    read = fetch(at, "body", binary=True)
+    read = fetch(at, bodies, "body")
     signed = (read.where((F.octet_length("body") > min_bytes) & image_kind("body").isNotNull())
               .select("source_url", "file", "row", F.md5("body").alias("md5"), F.sha2("body", 256).alias("digest"),
                       F.octet_length("body").cast("int").alias("n_bytes")))
@@ -63,7 +63,7 @@ def store_images(urls: DataFrame, bodies: DataFrame, root: str, category: str, m
 
     new = rows.groupBy("digest").agg(F.min(F.struct("file", "row")).alias("at")).select("digest", "at.*")
     new = unseen(new, content, key="digest")
-    stored = fetch(new, "body", binary=True).select("digest", "body", F.substring("digest", 1, 1).alias("prefix"))
+    stored = fetch(new, bodies, "body").select("digest", "body", F.substring("digest", 1, 1).alias("prefix"))
     stored.write.mode("append").partitionBy("prefix").parquet(f"{root.rstrip('/')}/content")
     (rows.select("source_url", F.lit(category).alias("category"), "md5", "digest", "n_bytes")
      .write.mode("append").parquet(f"{root.rstrip('/')}/index"))

@@ -72,6 +72,6 @@ def backlink_check(pairs: DataFrame, pages: DataFrame) -> DataFrame:
     j = materialize(req.join(located(pages, "url", "status"), "url").drop("url"), "backlinks")
     bad = F.coalesce(status_not_ok(F.col("status")), F.lit(False))
     told = j.where(bad).select("linkexchangesid", F.concat(F.lit("status:"), F.col("status").cast("string")).alias("flag"))
-    read = fetch(j.where(~bad).drop("status"), "html")
+    read = fetch(j.where(~bad).drop("status"), pages, "html")
     held = F.when(F.contains("html", "inboundto"), "matched").otherwise("missed")
     return told.unionByName(read.select("linkexchangesid", held.alias("flag")))

@@ -4,6 +4,7 @@ A job that needs the bodies of some rows joins on narrow columns and carries
 the rows' place (file and row number, as the scan's ``_metadata`` tells it);
 :func:`fetch` then reads the bodies of the rows that are left from their
 files.  Bodies are in no exchange, and rows nobody wants are not shipped.
+Stores that only Spark reads are the exception: there bodies are joined.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import types as T
 
 from pageloom.session import materialize, ship_package
 
+#: Stores whose files a task opens by itself.
+READABLE = {"file", "s3", "gs"}
 #: Rows decoded at a time, and the bytes of bodies handed on at a time.
 ROWS, HANDED_ON = 64, 16 << 20
 
@@ -39,7 +42,7 @@ class _Rows:
         import pyarrow.fs
         import pyarrow.parquet as pq
         parts = urlsplit(file)
-        if parts.scheme in ("", "file"):
+        if parts.scheme == "file":
             fs, path = pyarrow.fs.LocalFileSystem(), unquote(parts.path)
         else:
             fs, path = pyarrow.fs.FileSystem.from_uri(file)
@@ -76,16 +79,20 @@ def _fetcher(column: str):
     return run
 
 
-def fetch(wanted: DataFrame, column: str, binary: bool = False) -> DataFrame:
-    """``wanted(file, row, ...)`` with the string (or binary) ``column`` of
-    the row that each names; a row may be named many times.
+def fetch(wanted: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """``wanted(file, row, ...)``, places of rows of ``table``, with the
+    ``column`` of the row that each names; a row may be named many times.
 
     The places are written and ordered by range, with all other columns as
     the tie-break, so that tasks get even shares even where a third of the
-    rows name one place, and each reads its files once, forwards."""
-    ship_package(wanted.sparkSession)
+    rows name one place, and each reads its files once, forwards.  Where the
+    files are in no store of READABLE, places and bodies are joined instead;
+    both are plain inputs, so a place with many rows is split."""
     places = materialize(wanted, "places")
+    one = places.select("file").head()
+    if one is None or urlsplit(one["file"]).scheme not in READABLE:
+        return places.join(located(table, column), ["file", "row"])
+    ship_package(wanted.sparkSession)
     others = [c for c in places.columns if c not in ("file", "row")]
     ordered = places.repartitionByRange("file", "row", *others).sortWithinPartitions("file", "row")
-    body = T.StructField(column, T.BinaryType() if binary else T.StringType())
-    return ordered.mapInPandas(_fetcher(column), T.StructType([*places.schema.fields, body]))
+    return ordered.mapInPandas(_fetcher(column), T.StructType([*places.schema.fields, table.select(column).schema[0]]))

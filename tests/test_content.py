@@ -36,9 +36,11 @@ def test_fetch_gives_the_rows_that_were_named(crawl, monkeypatch):
     monkeypatch.setattr(locator, "HANDED_ON", 500)
     at = locator.located(pages, "url").where(F.substring("url", -1, 1).isin("0", "3", "7"))
     twice = append(at.withColumn("n", F.lit(1)), at.withColumn("n", F.lit(2)))
-    got = sorted((r["url"], r["n"], r["html"] or "") for r in locator.fetch(twice, "html").collect())
+    got = sorted((r["url"], r["n"], r["html"] or "") for r in locator.fetch(twice, pages, "html").collect())
     assert got == sorted((u, n, h or "") for u, h, _ in rows if u[-1] in "037" for n in (1, 2))
-    assert locator.fetch(at.where("false"), "html").count() == 0
+    assert locator.fetch(at.where("false"), pages, "html").count() == 0
+    monkeypatch.setattr(locator, "READABLE", set())  # a store that only Spark reads
+    assert sorted((r["url"], r["n"], r["html"] or "") for r in locator.fetch(twice, pages, "html").collect()) == got
 
 
 def test_backlinks_move_no_bodies(spark, crawl):
@@ -66,7 +68,7 @@ def test_a_hot_page_is_shared_out(spark, crawl):
     pages, _ = crawl
     one = locator.located(pages.where("url = 'http://h/5'"))
     many = one.crossJoin(spark.range(4000))
-    read = locator.fetch(many, "html").select("id", F.spark_partition_id().alias("task"))
+    read = locator.fetch(many, pages, "html").select("id", F.spark_partition_id().alias("task"))
     sizes = [r["count"] for r in read.groupBy("task").count().collect()]
     assert sum(sizes) == 4000
     assert "rangepartitioning(file" in read._jdf.queryExecution().executedPlan().toString()
