@@ -102,7 +102,9 @@ def _linked_value(td: Column) -> Column:
     """First direct text of a cell; if there is none, the text of its first link."""
     v = strip_chars(ws_strip(_first(direct_texts(td, level=1))), ":")
     link = F.coalesce(F.try_element_at(anchors(td), F.lit(1))["text"], F.lit(""))
-    return F.when(F.length(v) > 0, v).otherwise(ws_strip(link))
+    # nullif by way of an array: a plain ``when`` would compute v twice
+    found = F.try_element_at(F.filter(F.array(v), lambda x: F.length(x) > 0), F.lit(1))
+    return F.coalesce(found, ws_strip(link))
 
 
 def _joined_value(td: Column) -> Column:

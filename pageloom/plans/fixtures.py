@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions.urls import url_quote
-from pageloom.sources.tables import read_table
+from pageloom.sources.tables import dealt, read_table
 
 WIKI = "http://wiki.example.org/wiki/"
 GEO_SITE = "http://geo.example.org/"
@@ -46,7 +46,10 @@ def nation_table_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def province_pages(spark: SparkSession, sf: str) -> DataFrame:
-    c = read_table(spark, sf, "customer")
+    return _province_pages(dealt(read_table(spark, sf, "customer")))
+
+
+def _province_pages(c: DataFrame) -> DataFrame:
     cells = F.concat(
         F.format_string("<tr><td><strong>简称</strong>:%s</td>", "c_mktsegment"),
         F.format_string('<td><strong>面积</strong><a href="#a">%.2f</a></td></tr>', "c_acctbal"),
@@ -63,7 +66,10 @@ def province_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sub_pages(spark: SparkSession, sf: str) -> DataFrame:
-    c = read_table(spark, sf, "customer")
+    return _sub_pages(dealt(read_table(spark, sf, "customer")))
+
+
+def _sub_pages(c: DataFrame) -> DataFrame:
     cells = F.concat(
         F.format_string("<tr><td><strong>人口</strong>: %d<br>万</td>", "c_nationkey"),
         F.format_string("<td><strong>行政代码</strong>%d</td></tr>", "c_custkey"),
@@ -84,12 +90,14 @@ def sub_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def mixed_place_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Province pages (pid 0) for BUILDING customers, sub pages otherwise."""
-    c = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    prov = province_pages(spark, sf).join(c.where(F.col("c_mktsegment") == "BUILDING"),
-                                          F.col("page_id") == F.col("c_custkey"), "left_semi")
-    sub = sub_pages(spark, sf).join(c.where(F.col("c_mktsegment") != "BUILDING"),
-                                    F.col("page_id") == F.col("c_custkey"), "left_semi")
-    return prov.unionByName(sub)
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
+
+    def of(segment) -> DataFrame:
+        # the rows are joined and dealt out before they grow to pages
+        keys = c.where(segment).select(F.col("c_custkey").alias("key"))
+        return dealt(c.join(keys, F.col("c_custkey") == F.col("key"), "left_semi"))
+    building = F.col("c_mktsegment") == "BUILDING"
+    return _province_pages(of(building)).unionByName(_sub_pages(of(~building)))
 
 
 def _bucket(col="p_partkey"):
