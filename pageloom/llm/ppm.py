@@ -14,16 +14,20 @@ that occurrence would have been an escape if it was its byte's only one.
 Over all contexts of an order with like n and d this gives the rate
 (``ESCAPES`` says how they are grouped).
 
-Contexts do not reach over a word's start.  There they hold a space and
-before it one byte for the text's class, a column such as its language, so
-that a word's probability depends on class and word alone; the class itself
-is charged to the text.
+With ``across`` contexts run on over the words' ends: they hold the last bytes
+of the text so far, and at its start a space and before it one byte for the
+text's class, a column such as its language.  Without it they stop at a word's
+start, as if every word were its text's first, so that a word's probability
+depends on class and word alone.  The class itself is charged to the text.
+
+What a word costs is told by the ``ORDER`` bytes before it and its own, so
+texts are made of such units: a word with the bytes before it.
 
 Nothing of the model is broadcast or collected but the escape rates, whose
 number is fixed.  Contexts are rows keyed by their bytes; a level is the sum
-of the next by the last bytes.  Texts meet word probabilities, and words byte
+of the next by the last bytes.  Texts meet unit probabilities, and units byte
 probabilities, by an inverted index: a chunk of texts sends one row per
-different word with the places where it occurs, the rows get the word's
+different unit with the places where it occurs, the rows get the word's
 numbers by a join, and return to their chunk, where they are added up per
 text.
 
@@ -42,7 +46,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,23 +60,35 @@ WORD_END, TEXT_END, SYMBOLS = 0x20, 0x0A, 252
 #: Escape rates are grouped by order, binary digits of n and d, up to these.
 ESCAPES = (20, 30)
 #: A chunk is closed at this many bytes or rows.
-CHUNK_BYTES, CHUNK_ROWS = 32 << 20, 60_000
+CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 60_000
 WORD_ROWS = 500_000
 
 
 class _Index(dict):
-    """Numbers of the words of one class; ``keys`` (class byte, then word)
-    are numbered through all classes of a chunk."""
-    def __init__(self, kind: bytes, keys: list[bytes]):
+    """Numbers of the units of a chunk, in the order of ``keys``."""
+    def __init__(self):
         super().__init__()
-        self.kind, self.keys_ = kind, keys
+        self.keys_ = []
 
-    def __missing__(self, word):
-        self[word] = at = len(self.keys_)
-        self.keys_.append(self.kind + word)
+    def __missing__(self, unit):
+        self[unit] = at = len(self.keys_)
+        self.keys_.append(unit)
         return at
 
 
+def _units(words: list[bytes], kind: int, across: bool) -> list[bytes]:
+    """Each word after the ``ORDER`` bytes before it."""
+    end = bytes([WORD_END])
+    before = end * (ORDER - 2) + bytes([kind]) + end
+    if not across:
+        return [before + w for w in words]
+    units = []
+    for w in words:
+        units.append(before + w)
+        before = (units[-1] + end)[-ORDER:]
+    return units
+
+
 def _binaries(pieces: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """One binary value per stretch of ``pieces`` between ``cuts``."""
     offsets = (cuts * pieces.itemsize).astype(np.int32)
@@ -91,23 +107,28 @@ def _from_bytes(data: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(data).read_next_batch()
 
 
-def index_words(docs: DataFrame, id_col: str, text_col: str, class_col: str | None, train: Column) -> DataFrame:
+def _class(class_col: str | None) -> Column:
+    kind = F.coalesce(F.col(class_col).cast("string"), F.lit("")) if class_col else F.lit("")
+    return (F.crc32(kind.cast("binary")) % 256).cast("int")
+
+
+def index_words(docs: DataFrame, id_col: str, text_col: str, class_col: str | None, train: Column, across: bool = False) -> DataFrame:
     """Chunks of texts as rows ``chunk, word, seen, places``: per different
-    word (a class byte, then the word or a text's end) how often training
+    word (after the bytes before it; or a text's end) how often training
     texts hold it, and the text of each occurrence (unsigned 16-bit numbers
     within the chunk).  A row with a null word describes the chunk's texts.
     A chunk is numbered by its partition and place there, which a task that
     runs again repeats."""
-    kind = F.coalesce(F.col(class_col).cast("string"), F.lit("")) if class_col else F.lit("")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"),
-                       train.alias("train"), (F.crc32(kind.cast("binary")) % 256).cast("int").alias("kind"))
+                       train.alias("train"), _class(class_col).alias("kind"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext
         chunk = TaskContext.get().partitionId() << 32
-        keys, index, at, names, held, kinds, size = [], {}, [], [], [], [], 0
+        index, at, names, held, kinds, size = _Index(), [], [], [], [], 0
 
         def close():
+            keys = index.keys_
             lengths = np.array([len(x) for x in at], np.int64)
             words = np.concatenate(at)
             texts = np.repeat(np.arange(len(at), dtype=np.uint16), lengths)
@@ -128,16 +149,14 @@ def index_words(docs: DataFrame, id_col: str, text_col: str, class_col: str | No
             for k, text in enumerate(batch.column(1).to_pylist()):
                 words = (text or b"").lower().split()
                 words.append(bytes([TEXT_END]))
-                if classes[k] not in index:
-                    index[classes[k]] = _Index(bytes([classes[k]]), keys)
-                at.append(np.array(list(map(index[classes[k]].__getitem__, words)), np.int64))
+                at.append(np.array(list(map(index.__getitem__, _units(words, classes[k], across))), np.int64))
                 names.append(batch.column(0).slice(k, 1))
                 held.append(bool(flags[k]))
                 kinds.append(classes[k])
                 size += len(text or b"")
                 if size >= CHUNK_BYTES or len(at) >= CHUNK_ROWS:
                     yield close()
-                    keys, index, at, names, held, kinds, size = [], {}, [], [], [], [], 0
+                    index, at, names, held, kinds, size = _Index(), [], [], [], [], 0
                     chunk += 1
         if at:
             yield close()
@@ -146,22 +165,19 @@ def index_words(docs: DataFrame, id_col: str, text_col: str, class_col: str | No
 
 
 def _windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every byte of the words (its context, then itself: ORDER + 1
-    bytes of a 64-bit integer), and the word's number."""
+    """Key of every byte of the words that ``_units`` made (its context, then
+    itself: ORDER + 1 bytes of a 64-bit integer), and the word's number."""
     end, text_end = bytes([WORD_END]), bytes([TEXT_END])
-    pad = end * (ORDER - 2)
-    spelled = [w[:1] + end + w[1:] + (b"" if w[1:] == text_end else end) for w in words]
-    lengths = np.array([len(w) - 2 for w in spelled], np.int64)
-    flat = np.frombuffer(pad + pad.join(spelled), np.uint8).astype(np.uint64)
-    n = len(flat) - ORDER
-    keys = np.zeros(n, np.uint64)
-    for j in range(ORDER + 1):
-        keys = (keys << np.uint64(8)) | flat[j:j + n]
-    # a word's own bytes, without those of the padding, class and space before it
-    first = np.cumsum(lengths + ORDER) - lengths - ORDER
+    spelled = [w if w[ORDER:] == text_end else w + end for w in words]
+    lengths = np.array([len(w) - ORDER for w in spelled], np.int64)
+    flat = np.frombuffer(b"".join(spelled), np.uint8).astype(np.uint64)
     word = np.repeat(np.arange(len(words)), lengths)
-    own = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + first[word]
-    return keys[own].view(np.int64), word
+    # a word's own bytes, each with those before it
+    own = np.arange(len(word)) + ORDER * word
+    keys = np.zeros(len(word), np.uint64)
+    for j in range(ORDER + 1):
+        keys = (keys << np.uint64(8)) | flat[own + j]
+    return keys.view(np.int64), word
 
 
 def _mask(k: int) -> int:
@@ -315,28 +331,28 @@ def _per_place(rows: pa.Table, kind: type, n: int, values: dict[str, np.ndarray]
     return {k: np.bincount(places, weights=np.repeat(v, lengths), minlength=n) for k, v in values.items()}
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None,
+          across: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id_col, held_out, n_tokens, n_known,
     train_tokens, base_score, score``.  Rows whose crc32 of the identifier's
-    text is no multiple of 10 are learned from."""
+    text is no multiple of 10 are learned from.  ``across``: contexts run on
+    over the words' ends."""
     python_ready(docs)
     crc = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    indexed = index_words(docs, id_col, text_col, class_col, crc % 10 != 0)
-    # dealt by the plain word: its classes' counts and their sum need one exchange
-    counts = indexed.where("word is not null").select("word", F.substring("word", 2, 1 << 30).alias("plain"), "seen")
-    by_class = counts.repartition("plain").groupBy("plain", "word").agg(F.sum("seen").alias("seen"))
-    same = Window.partitionBy("plain")
-    words = written(by_class.select("word", "seen", F.sum("seen").over(same).alias("c"),
-                                    (F.row_number().over(same.orderBy("word")) == 1).alias("first")), "lm-vocabulary")
-    n, v, rows = words.agg(F.coalesce(F.sum("seen"), F.lit(0)), F.count_if(F.col("first") & (F.col("c") > 0)),
-                           F.count(F.lit(1))).first()
+    indexed = index_words(docs, id_col, text_col, class_col, crc % 10 != 0, across)
+    plain = F.substring("word", ORDER + 1, 1 << 30)
+    units = written(indexed.where("word is not null").groupBy("word").agg(F.sum("seen").alias("seen")), "lm-units")
+    # a word stands after many bytes: its rows meet its count by a join, which may split them
+    plains = written(units.groupBy(plain.alias("plain")).agg(F.sum("seen").alias("c"), F.count(F.lit(1)).alias("rows")), "lm-plain")
+    n, v, rows = plains.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    words = written(units.join(plains, plain == F.col("plain")).select("word", "seen", "c"), "lm-vocabulary")
     levels, rates = train_trie(words)
     scored = written(word_scores(words, rows, levels, rates), "lm-word-scores")
     # a class costs its share of the training texts (one of 256, half an observation each)
-    ends = words.where(F.substring("word", 2, 1 << 30) == F.lit(bytes([TEXT_END]))).select("word", "seen").collect()  # 256 at most
+    ends = docs.where(crc % 10 != 0).groupBy(_class(class_col).alias("kind")).count().collect()  # 256 at most
     share = np.full(256, 0.5)
     for row in ends:
-        share[row["word"][0]] += row["seen"]
+        share[row["kind"]] += row["count"]
     kind_cost = np.log10(share / share.sum()) if class_col else np.zeros(256)
     id_type = docs.select(id_col).schema[0].dataType
 

@@ -97,7 +97,7 @@ def op7(spark, sf_dir):
 @query("op4_ppm_score")
 def op4(spark, sf_dir):
     """Log probability of every document under a byte-context model of nine tenths of them."""
-    return ppm.score(table(spark, sf_dir, "documents"), class_col="lang")
+    return ppm.score(table(spark, sf_dir, "documents"), class_col="lang", across=True)
 
 
 @query("op5_language_id")
