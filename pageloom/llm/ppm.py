@@ -20,16 +20,22 @@ text's class, a column such as its language.  Without it they stop at a word's
 start, as if every word were its text's first, so that a word's probability
 depends on class and word alone.  The class itself is charged to the text.
 
-What a word costs is told by the ``ORDER`` bytes before it and its own, so
-texts are made of such units: a word with the bytes before it.
-
-Nothing of the model is broadcast or collected but the escape rates, whose
-number is fixed.  Contexts are rows keyed by their bytes; a level is the sum
-of the next by the last bytes.  Texts meet unit probabilities, and units byte
-probabilities, by an inverted index: a chunk of texts sends one row per
-different unit with the places where it occurs, the rows get the word's
-numbers by a join, and return to their chunk, where they are added up per
-text.
+A byte's key is its context and itself.  The keys are ordered by the context
+read backwards from its last byte, then by the byte, so that the grams of a
+context of any order lie together, and they are dealt out to buckets by the
+last ``DEALT`` bytes of the context: a bucket holds all there is to know of
+the contexts that are at least as long.  Shorter contexts are summed over the
+buckets.  Only these and the escape rates, both of bounded number (at most
+SYMBOLS ** DEALT and 8 x 21 x 31 rows, whatever the corpus), are collected and
+sent to the tasks.
+
+Texts meet the model by chunks: a chunk sends every bucket its different keys,
+packed, with how often its training texts hold them.  A bucket adds up the
+chunks' counts, and answers each chunk with what tells the key's probability:
+its count and its context's numbers, or for a key that training texts do not
+hold the probability itself.  The chunk makes the keys of its texts again and
+adds the answers up per text.  The counts of whole words travel alike, dealt
+out by the words' crc32.
 
 Cases: a null text is the empty text, whose only token is its end; a null
 identifier counts as the empty text in the choice of training rows; a null
@@ -41,7 +47,8 @@ columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +57,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.common import python_ready, written
+from pageloom.llm.common import python_ready, settings, written
+from pageloom.session import materialize_bucketed
 
 #: Bytes of context; with the predicted byte they fill a key's 64 bits.
 ORDER = 7
@@ -59,46 +67,101 @@ ORDER = 7
 WORD_END, TEXT_END, SYMBOLS = 0x20, 0x0A, 252
 #: Escape rates are grouped by order, binary digits of n and d, up to these.
 ESCAPES = (20, 30)
-#: A chunk is closed at this many bytes or rows.
-CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 60_000
-WORD_ROWS = 500_000
+#: A chunk is closed at this many bytes or rows; keys are made for so many bytes at once.
+CHUNK_BYTES, CHUNK_ROWS, BLOCK_BYTES = 16 << 20, 60_000, 4 << 20
+#: Keys are dealt out by so many last bytes of the context, to so many buckets (a
+#: power of 2); words to the buckets after those.
+DEALT, BUCKETS, WORD_BUCKETS = 3, 1024, 256
+#: An odd factor mixes the bytes that keys are dealt out by; another undoes it.
+_REST = 64 - 8 * DEALT
+_MIX = 0x9E3779
+_UNMIX = pow(_MIX, -1, 1 << 8 * DEALT)
+#: So many keys are merged at once.
+MERGED = 1 << 22
+
+
+def _segments(words: list[bytes], kind: int, across: bool) -> list[bytes]:
+    """What is spelled, each after the ``ORDER`` bytes before it: the whole
+    text, or its words one by one."""
+    end, text_end = bytes([WORD_END]), bytes([TEXT_END])
+    before = end * (ORDER - 2) + bytes([kind]) + end
+    if across:
+        return [before + end.join([*words, text_end])]
+    return [*[before + w + end for w in words], before + text_end]
 
 
-class _Index(dict):
-    """Numbers of the units of a chunk, in the order of ``keys``."""
-    def __init__(self):
-        super().__init__()
-        self.keys_ = []
+def _keys(segments: list[bytes]) -> np.ndarray:
+    """Key of every byte of the segments behind the first ``ORDER``."""
+    flat = b"".join(segments)
+    lengths = np.array([len(x) - ORDER for x in segments], np.int64)
+    # eight bytes from every place on, the last one highest
+    eight = np.ndarray((len(flat) - ORDER,), "<u8", flat, strides=(1,))
+    own = np.ones(len(eight) + ORDER, bool)
+    ends = np.cumsum(lengths + ORDER)
+    for j in range(1, ORDER + 1):
+        own[ends - j] = False
+    keys = eight[own[:len(eight)]]
+    return _mixed((keys << np.uint64(8)) | (keys >> np.uint64(56)), _MIX)
 
-    def __missing__(self, unit):
-        self[unit] = at = len(self.keys_)
-        self.keys_.append(unit)
-        return at
 
+def _mixed(keys: np.ndarray, factor: int) -> np.ndarray:
+    """The bytes that keys are dealt out by, multiplied: one to one."""
+    return (((keys >> np.uint64(_REST)) * np.uint64(factor)) << np.uint64(_REST)) | (keys & np.uint64((1 << _REST) - 1))
 
-def _units(words: list[bytes], kind: int, across: bool) -> list[bytes]:
-    """Each word after the ``ORDER`` bytes before it."""
-    end = bytes([WORD_END])
-    before = end * (ORDER - 2) + bytes([kind]) + end
-    if not across:
-        return [before + w for w in words]
-    units = []
-    for w in words:
-        units.append(before + w)
-        before = (units[-1] + end)[-ORDER:]
-    return units
+
+def _cut(keys: np.ndarray, k: int) -> np.ndarray:
+    """Keys of the grams with k bytes of context: the others are 0."""
+    return keys & np.uint64(((1 << 8 * k) - 1) << (64 - 8 * k) | 0xFF)
+
+
+def _starts(sorted_: np.ndarray) -> np.ndarray:
+    """Places where another value begins."""
+    return np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(sorted_) else np.zeros(0, np.int64)
+
+
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, starts) if len(starts) else values[:0]
 
 
-def _binaries(pieces: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """One binary value per stretch of ``pieces`` between ``cuts``."""
-    offsets = (cuts * pieces.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets.tobytes()),
-                                                              pa.py_buffer(pieces.tobytes())])
+def _merged(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys of sorted parts, in order, and the sums of their counts."""
+    held, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+
+    def merge():
+        keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = _starts(keys)
+        return keys[starts], _sums(counts[order], starts)
+
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size > max(MERGED, 2 * len(held[0][0])):
+            held, size = [merge()], 0
+    return merge()
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second ones ..., compressed; the first
+    byte tells how many bytes of a value are not all 0."""
+    whole = np.ascontiguousarray(values).view(np.uint64)
+    used = max(1, -(-int(whole.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8)[:, :used].T)
+    return bytes([used]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, kind: type) -> np.ndarray:
+    used = data[0]
+    planes = np.frombuffer(pa.decompress(memoryview(data)[1:], n * used, codec="zstd", asbytes=True), np.uint8)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :used] = planes.reshape(used, n).T
+    return out.view(kind).reshape(n)
 
 
 def _as_bytes(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as stream:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
         stream.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -112,223 +175,298 @@ def _class(class_col: str | None) -> Column:
     return (F.crc32(kind.cast("binary")) % 256).cast("int")
 
 
-def index_words(docs: DataFrame, id_col: str, text_col: str, class_col: str | None, train: Column, across: bool = False) -> DataFrame:
-    """Chunks of texts as rows ``chunk, word, seen, places``: per different
-    word (after the bytes before it; or a text's end) how often training
-    texts hold it, and the text of each occurrence (unsigned 16-bit numbers
-    within the chunk).  A row with a null word describes the chunk's texts.
-    A chunk is numbered by its partition and place there, which a task that
-    runs again repeats."""
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Number of every token of the texts (words, each with the space that
+    ends it, then the text's end), how many each text has, and the words by number."""
+    end, text_end = bytes([WORD_END]), bytes([TEXT_END])
+    flat = b"".join([x + end + text_end + end if x else text_end + end for x in texts])
+    ends = np.append(0, np.flatnonzero(np.frombuffer(flat, np.uint8) == WORD_END) + 1)
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(flat)]).dictionary_encode()
+    lengths = np.array([x.count(end) + 2 if x else 1 for x in texts], np.int64)
+    return tokens.indices.to_numpy(), lengths, tokens.dictionary
+
+
+def _dealt(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words' numbers in the order of their buckets, and where each bucket ends."""
+    buckets = np.array([zlib.crc32(w) % WORD_BUCKETS for w in words.to_pylist()], np.int64)
+    return np.argsort(buckets, kind="stable"), np.cumsum(np.bincount(buckets, minlength=WORD_BUCKETS))
+
+
+def _blocks(texts: list[bytes], kinds: list[int], across: bool) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """Keys of so many texts at once, and how many each has; ``texts`` are words with single spaces."""
+    segments, lengths, size = [], [], 0
+    for i, (text, kind) in enumerate(zip(texts, kinds, strict=True)):
+        own = _segments(text.split(), kind, False) if not across else _segments([text] if text else [], kind, True)
+        lengths.append(sum(map(len, own)) - ORDER * len(own))
+        segments += own
+        size += lengths[-1]
+        if size >= BLOCK_BYTES or i == len(texts) - 1:
+            yield _keys(segments), lengths
+            segments, lengths, size = [], [], 0
+
+
+def chunked(docs: DataFrame, id_col: str, text_col: str, class_col: str | None, train: Column) -> DataFrame:
+    """The texts as rows ``chunk, data``, in lower case with single spaces.  A
+    chunk is numbered by its partition and place there, which a task that
+    runs again repeats.  They are written as the last step groups them."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"),
                        train.alias("train"), _class(class_col).alias("kind"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext
         chunk = TaskContext.get().partitionId() << 32
-        index, at, names, held, kinds, size = _Index(), [], [], [], [], 0
+        texts, parts, size = [], [], 0
 
         def close():
-            keys = index.keys_
-            lengths = np.array([len(x) for x in at], np.int64)
-            words = np.concatenate(at)
-            texts = np.repeat(np.arange(len(at), dtype=np.uint16), lengths)
-            order = np.argsort(words, kind="stable")
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=len(keys)))])
-            seen = np.bincount(words, weights=np.array(held)[texts], minlength=len(keys)).astype(np.int64)
-            about = pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(names), pa.array(held), pa.array(lengths), pa.array(kinds, pa.int32())],
-                ["id", "train", "words", "kind"])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys) + 1, chunk)), pa.array([*keys, None], pa.binary()),
-                 pa.array(np.append(seen, 0)),
-                 pa.concat_arrays([_binaries(texts[order], cuts), pa.array([_as_bytes(about)], pa.binary())])],
-                ["chunk", "word", "seen", "places"])
+            about = pa.Table.from_batches(parts).combine_chunks().append_column("text", pa.array(texts, pa.large_binary()))
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([_as_bytes(about.to_batches()[0])])], ["chunk", "data"])
 
         for batch in batches:
-            flags, classes = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                words = (text or b"").lower().split()
-                words.append(bytes([TEXT_END]))
-                at.append(np.array(list(map(index.__getitem__, _units(words, classes[k], across))), np.int64))
-                names.append(batch.column(0).slice(k, 1))
-                held.append(bool(flags[k]))
-                kinds.append(classes[k])
-                size += len(text or b"")
-                if size >= CHUNK_BYTES or len(at) >= CHUNK_ROWS:
+            first = 0
+            for k, text in enumerate(batch.column(1)):
+                texts.append(bytes([WORD_END]).join((text.as_py() or b"").lower().split()))
+                size += len(texts[-1])
+                if size >= CHUNK_BYTES or len(texts) >= CHUNK_ROWS or k == batch.num_rows - 1:
+                    parts.append(batch.select(["id", "train", "kind"]).slice(first, k + 1 - first))
+                    first = k + 1
+                if size >= CHUNK_BYTES or len(texts) >= CHUNK_ROWS:
                     yield close()
-                    index, at, names, held, kinds, size = _Index(), [], [], [], [], 0
+                    texts, parts, size = [], [], 0
                     chunk += 1
-        if at:
+        if texts:
             yield close()
 
-    return written(rows.mapInArrow(run, "chunk bigint, word binary, seen bigint, places binary"), "lm-index")
-
-
-def _windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every byte of the words that ``_units`` made (its context, then
-    itself: ORDER + 1 bytes of a 64-bit integer), and the word's number."""
-    end, text_end = bytes([WORD_END]), bytes([TEXT_END])
-    spelled = [w if w[ORDER:] == text_end else w + end for w in words]
-    lengths = np.array([len(w) - ORDER for w in spelled], np.int64)
-    flat = np.frombuffer(b"".join(spelled), np.uint8).astype(np.uint64)
-    word = np.repeat(np.arange(len(words)), lengths)
-    # a word's own bytes, each with those before it
-    own = np.arange(len(word)) + ORDER * word
-    keys = np.zeros(len(word), np.uint64)
-    for j in range(ORDER + 1):
-        keys = (keys << np.uint64(8)) | flat[own + j]
-    return keys.view(np.int64), word
-
+    return _bucketed(rows.mapInArrow(run, "chunk bigint, data binary"), "lm_texts")
 
-def _mask(k: int) -> int:
-    """The last k bytes of a key."""
-    return (1 << (8 * k)) - 1 if k < 8 else -1
 
+def _bucketed(rows: DataFrame, tag: str) -> DataFrame:
+    """``written``, in buckets by chunk: a group of a chunk's rows needs no exchange."""
+    with settings(rows.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return materialize_bucketed(rows, ["chunk"], tag)
 
-def _group(k: Column, n: Column, d: Column) -> Column:
-    """Number of the group of contexts whose escape rate is shared."""
-    digits = F.least(F.ceil(F.log2(n + F.lit(1))), F.lit(ESCAPES[0]))
-    return ((k * (ESCAPES[0] + 1) + digits) * (ESCAPES[1] + 1) + F.least(d, F.lit(ESCAPES[1]))).cast("int")
 
+def index_texts(texts: DataFrame, across: bool = False) -> DataFrame:
+    """Chunks of texts as rows ``chunk, bucket, n, data, seen``: the chunk's
+    n different keys or words of a bucket, and how often training texts hold each."""
+    def counted(texts, kinds, flags):
+        for train in (True, False):
+            at = [i for i, f in enumerate(flags) if f == train]
+            for keys, _ in _blocks([texts[i] for i in at], [kinds[i] for i in at], across):
+                keys.sort()
+                starts = _starts(keys)
+                yield keys[starts], np.diff(np.append(starts, len(keys))) * int(train)
 
-def train_trie(words: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """The trie's levels, written, and the escape rates.  Level k has rows
-    ``g`` (k bytes of context and the byte after it), ``c`` (times), ``ctx``,
-    ``n``, ``d`` (times and different bytes of the context) and ``pn``,
-    ``pd``: the same of the context one byte shorter without the bytes seen
-    in this one.  The rates are ``grp, taken, of`` (``_group``)."""
-    def count(batches):
+    def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            keys, word = _windows(batch.column(0).to_pylist())
-            distinct, at = np.unique(keys, return_inverse=True)
-            times = np.bincount(at, weights=batch.column(1).to_numpy()[word], minlength=len(distinct))
-            yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(times.astype(np.int64))], ["g", "c"])
-
-    grams = words.where("seen > 0").select("word", "seen").mapInArrow(count, "g bigint, c bigint")
-    sums = [written(grams.groupBy("g").agg(F.sum("c").alias("c")), "lm-grams")]
-    for k in range(ORDER - 1, -1, -1):
-        low = F.col("g").bitwiseAND(F.lit(_mask(k + 1)))
-        sums.insert(0, written(sums[0].groupBy(low.alias("g")).agg(F.sum("c").alias("c")), "lm-grams"))
-    levels: list[DataFrame] = []
-    rates = None
-    for k, level in enumerate(sums):
-        rows = level.withColumn("ctx", F.shiftrightunsigned("g", 8))
-        numbers = [F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"), F.count_if(F.col("c") == 1).alias("once")]
-        if k:
-            below = levels[k - 1].select(F.col("g").alias("bg"), F.col("c").alias("bc"), F.col("n").alias("bn"),
-                                         F.col("d").alias("bd"))
-            shared = rows.join(below, F.col("g").bitwiseAND(F.lit(_mask(k))) == F.col("bg"))
-            stats = shared.groupBy("ctx").agg(*numbers, (F.first("bn") - F.sum("bc")).alias("pn"),
-                                              (F.first("bd") - F.count(F.lit(1))).alias("pd"))
-        else:
-            stats = rows.groupBy("ctx").agg(*numbers).withColumn("pn", F.lit(0).cast("long")).withColumn(
-                "pd", F.lit(SYMBOLS) - F.col("d"))
-        levels.append(written(rows.join(stats, "ctx"), "lm-level"))
-        # each occurrence left out of its context: an escape if its byte occurs once
-        contexts = levels[-1].groupBy("ctx").agg(*[F.first(x).alias(x) for x in ("n", "d", "once")]).where("n > 1")
-        left_out = contexts.select(F.inline(F.array(
-            F.struct(_group(F.lit(k), F.col("n") - 1, F.col("d") - 1).alias("grp"), F.col("once").alias("taken"),
-                     F.col("once").alias("of")),
-            F.struct(_group(F.lit(k), F.col("n") - 1, F.col("d")).alias("grp"), F.lit(0).cast("long").alias("taken"),
-                     (F.col("n") - F.col("once")).alias("of")))))
-        summed = left_out.groupBy("grp").agg(F.sum("taken").alias("taken"), F.sum("of").alias("of"))
-        rates = summed if rates is None else rates.unionByName(summed)
-    # at most orders x digits x bytes rows, whatever the corpus
-    return levels, written(rates.coalesce(1), "lm-escapes")
-
-
-def _with_rate(rows: DataFrame, rates: DataFrame, k: Column, n: Column, d: Column, name: str) -> DataFrame:
-    """``rows`` with the escape rate of contexts of order ``k`` with ``n`` and ``d``."""
-    shares = F.broadcast(rates.select(F.col("grp").alias("__g"), "taken", "of"))
-    rate = (F.coalesce("taken", F.lit(0)) + d / F.greatest(n + d, F.lit(1))) / (F.coalesce("of", F.lit(0)) + 2)
-    return rows.join(shares, _group(k, n, d) == F.col("__g"), "left").withColumn(name, rate).drop("__g", "taken", "of")
-
-
-def gram_scores(levels: list[DataFrame], rates: DataFrame, asked: DataFrame) -> DataFrame:
-    """``g, logp``: log10 probability of the byte after its context for every
-    key of the trie and every further key asked for (``g``)."""
-    seen = _with_rate(levels[ORDER], rates, F.lit(ORDER), F.col("n"), F.col("d"), "e").select(
-        "g", F.log10((1 - F.col("e")) * F.col("c") / F.col("n")).alias("logp"))
-    left = written(asked.join(levels[ORDER].select("g"), "g", "left_anti").distinct().select(
-        "g", F.lit(0.0).alias("acc"), F.lit(None).cast("long").alias("en"), F.lit(None).cast("long").alias("ed"),
-        F.lit(None).cast("double").alias("logp")), "lm-asked")
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = _from_bytes(data.as_py())
+                texts, kinds, held = (part.column(x).to_pylist() for x in ("text", "kind", "train"))
+                out = []
+                keys, counts = _merged(counted(texts, kinds, held))
+                cuts = np.searchsorted(keys, np.arange(1, BUCKETS, dtype=np.uint64) << np.uint64(65 - BUCKETS.bit_length()))
+                for b, (k, c) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts), strict=True)):
+                    if len(k):
+                        out.append((b, len(k), _packed(k), _packed(c)))
+                tokens, lengths, words = _tokens(texts)
+                times = np.bincount(tokens[np.repeat(np.array(held, bool), lengths)], minlength=len(words))
+                order, ends = _dealt(words)
+                for b, at in enumerate(np.split(order, ends[:-1])):
+                    if len(at):
+                        named = pa.RecordBatch.from_arrays([words.take(pa.array(at))], ["word"])
+                        out.append((BUCKETS + b, len(at), _as_bytes(named), _packed(times[at])))
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(out)), *map(pa.array, zip(*out, strict=True))],
+                                                 ["chunk", "bucket", "n", "data", "seen"])
+
+    return written(texts.mapInArrow(run, "chunk bigint, bucket bigint, n bigint, data binary, seen binary"), "lm-index")
+
+
+class _Level:
+    """Grams of an order: ``g`` (sorted) and ``c`` (times); of their contexts
+    ``x`` (sorted) ``n``, ``d`` (times and different bytes) and ``once``
+    (bytes that occur once); ``at``: each gram's context.  ``below`` sets
+    ``pn``, ``pd``: the same of the context one byte shorter without the bytes
+    seen in this one."""
+    def __init__(self, g: np.ndarray, c: np.ndarray):
+        self.g, self.c = g, c
+        self.starts = _starts(g >> np.uint64(8))
+        self.x = (g >> np.uint64(8))[self.starts]
+        self.n, self.once = _sums(c, self.starts), _sums((c == 1).astype(np.int64), self.starts)
+        self.d = np.diff(np.append(self.starts, len(g)))
+        self.at = np.repeat(np.arange(len(self.x)), self.d)
+
+    def shorter(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The grams with k bytes of context, and their times."""
+        g = _cut(self.g, k)
+        order = np.argsort(g, kind="stable")
+        starts = _starts(g[order])
+        return g[order][starts], _sums(self.c[order], starts)
+
+    def below(self, level: _Level | None, g: np.ndarray) -> None:
+        """``g``: the grams as ``level`` has them (None: all symbols, not counted)."""
+        if level is None:
+            self.pn, self.pd = np.zeros(len(self.x), np.int64), SYMBOLS - self.d
+            return
+        at = np.searchsorted(level.g, g)
+        first = level.at[at[self.starts]]
+        self.pn, self.pd = level.n[first] - _sums(level.c[at], self.starts), level.d[first] - self.d
+
+    def left_out(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per group how often an occurrence left out of its context was an escape, and how many were left out."""
+        many = self.n > 1
+        n, d, once = self.n[many], self.d[many], self.once[many]
+        alone, other = _group(k, n - 1, d - 1), _group(k, n - 1, d)
+        groups = (ORDER + 1) * (ESCAPES[0] + 1) * (ESCAPES[1] + 1)
+        taken = np.bincount(alone, once, groups)
+        return taken.astype(np.int64), (taken + np.bincount(other, n - once, groups)).astype(np.int64)
+
+
+def _group(k: int, n: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Number of the group of contexts whose escape rate is shared."""
+    digits = np.minimum(np.frexp(n.astype(np.float64))[1], ESCAPES[0])
+    return (k * (ESCAPES[0] + 1) + digits) * (ESCAPES[1] + 1) + np.minimum(d, ESCAPES[1])
+
+
+def _counted(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """A bucket's keys and how often training texts hold them."""
+    return _merged((_unpacked(data, n, np.uint64), _unpacked(seen, n, np.int64)) for n, data, seen in
+                   zip(*(rows.column(x).to_pylist() for x in ("n", "data", "seen")), strict=True))
+
+
+def _long_levels(keys: np.ndarray, counts: np.ndarray) -> dict[int, _Level]:
+    """A bucket's levels from ``ORDER`` down to ``DEALT``."""
+    levels = {ORDER: _Level(keys[counts > 0], counts[counts > 0])}
+    for k in range(ORDER - 1, DEALT - 1, -1):
+        levels[k] = _Level(*levels[k + 1].shorter(k))
+        levels[k + 1].below(levels[k], _cut(levels[k + 1].g, k))
+    return levels
+
+
+def train_trie(grams: DataFrame) -> tuple[list[_Level], np.ndarray, np.ndarray]:
+    """The levels below ``DEALT`` and, per group of contexts of all levels,
+    how often an occurrence left out was an escape, and of how many."""
+    def run(rows: pa.Table) -> pa.Table:
+        levels = _long_levels(*_counted(rows))
+        taken, of = (sum(x) for x in zip(*(level.left_out(k) for k, level in levels.items()), strict=True))
+        used = np.flatnonzero(of)
+        # the bucket's grams with one byte of context less; those of several buckets add up
+        whole = _Level(_mixed(levels[DEALT].g, _UNMIX), levels[DEALT].c)
+        g, c = whole.shorter(DEALT - 1)
+        return pa.table({"gram": np.repeat([False, True], [len(used), len(g)]), "of_what": np.append(used, g.view(np.int64)),
+                         "a": np.append(taken[used], c), "b": np.append(of[used], np.zeros(len(g), np.int64))})
+
+    parts = grams.groupBy("bucket").applyInArrow(run, "gram boolean, of_what bigint, a bigint, b bigint")
+    sums = written(parts.groupBy("gram", "of_what").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "lm-low").toArrow()
+    low = sums.filter(sums.column("gram"))
+    g, c = low.column("of_what").to_numpy().view(np.uint64), low.column("a").to_numpy()
+    order = np.argsort(g)
+    levels = [_Level(g[order], c[order])]
+    for k in range(DEALT - 2, -1, -1):
+        levels.insert(0, _Level(*levels[0].shorter(k)))
+        levels[1].below(levels[0], _cut(levels[1].g, k))
+    levels[0].below(None, levels[0].g)
+    taken, of = (sum(x) for x in zip(*(level.left_out(k) for k, level in enumerate(levels)), strict=True))
+    rates = sums.filter(pc.invert(sums.column("gram")))
+    at = rates.column("of_what").to_numpy()
+    taken[at] += rates.column("a").to_numpy()
+    of[at] += rates.column("b").to_numpy()
+    return levels, taken, of
+
+
+def _find(sorted_: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in a sorted array, and whether they are there."""
+    if not len(sorted_):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
+    return at, sorted_[at] == values
+
+
+def _escape(taken: np.ndarray, of: np.ndarray, k: int, n: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """The escape rate of contexts of order ``k`` with ``n`` and ``d``."""
+    grp = _group(k, n, d)
+    return (taken[grp] + d / np.maximum(n + d, 1)) / (of[grp] + 2)
+
+
+def gram_scores(keys: np.ndarray, counts: np.ndarray, low: list[_Level], taken: np.ndarray, of: np.ndarray) -> tuple[
+        np.ndarray, np.ndarray, np.ndarray]:
+    """For a bucket's keys: ``n`` and ``d`` of their contexts, and for those
+    not seen in training the log10 probability of the byte after its context."""
+    levels = _long_levels(keys, counts)
+    short = _mixed(levels[DEALT].g, _UNMIX)
+    levels[DEALT].below(low[-1], _cut(short, DEALT - 1))
+    levels |= dict(enumerate(low))
+    top = levels[ORDER]
+    all_n, all_d, out = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys))
+    all_n[counts > 0], all_d[counts > 0] = top.n[top.at], top.d[top.at]
+    # bytes not seen after their context: en, ed are the shorter context's numbers without the longer one's bytes
+    rest = np.flatnonzero(counts == 0)
+    asked, acc = keys[rest], np.zeros(len(rest))
+    en, ed, met = np.zeros(len(rest), np.int64), np.full(len(rest), SYMBOLS), np.zeros(len(rest), bool)
     for k in range(ORDER, -1, -1):
         level = levels[k]
-        contexts = level.groupBy(F.col("ctx").alias("x")).agg(*[F.first(c).alias(c) for c in ("n", "d", "pn", "pd")])
-        grams = level.select(F.col("g").alias("h"), "c")
-        ctx = F.shiftrightunsigned("g", 8).bitwiseAND(F.lit(_mask(k)))
-        j = left.join(contexts, ctx == F.col("x"), "left").join(
-            grams, F.col("g").bitwiseAND(F.lit(_mask(k + 1))) == F.col("h"), "left")
-        # after an escape the longer context's bytes are excluded: en, ed
-        j = j.withColumn("un", F.coalesce("en", "n")).withColumn("ud", F.coalesce("ed", "d"))
-        j = _with_rate(j, rates, F.lit(k), F.col("un"), F.col("ud"), "e")
-        open_ = F.col("logp").isNull()
-        hit = open_ & F.col("c").isNotNull()
-        escaped = open_ & F.col("c").isNull() & F.col("x").isNotNull()
-        left = j.select(
-            "g", F.when(hit, F.col("acc") + F.log10((1 - F.col("e")) * F.col("c") / F.greatest("un", F.lit(1))))
-            .otherwise(F.col("logp")).alias("logp"),
-            F.when(escaped & (F.col("ud") > 0), F.col("acc") + F.log10("e")).otherwise(F.col("acc")).alias("acc"),
-            F.when(escaped, F.col("pn")).otherwise(F.col("en")).alias("en"),
-            F.when(escaped, F.col("pd")).otherwise(F.col("ed")).alias("ed"))
-    # symbols that training never saw: ed holds their number after the empty context
-    rest = left.select("g", F.coalesce("logp", F.col("acc") - F.log10(F.coalesce("ed", F.lit(SYMBOLS)).cast("double")))
-                       .alias("logp"))
-    return seen.unionByName(rest)
-
-
-def word_scores(words: DataFrame, rows: int, levels: list[DataFrame], rates: DataFrame) -> DataFrame:
-    """``word, c, logp`` for every row of ``words`` (``word, c``; ``rows``: their number)."""
-    def index(batches):
-        from pyspark import TaskContext
-        chunk, held, n = TaskContext.get().partitionId() << 32, [], 0
-
-        def close():
-            part = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            keys, word = _windows(part.column(0).to_pylist())
-            order = np.argsort(keys, kind="stable")
-            distinct, first = np.unique(keys[order], return_index=True)
-            places = _binaries(word[order].astype(np.uint32), np.append(first, len(keys)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(distinct) + 1, chunk)),
-                 pa.concat_arrays([pa.array(distinct), pa.array([None], pa.int64())]),
-                 pa.concat_arrays([places, pa.array([_as_bytes(part)], pa.binary())])], ["chunk", "g", "places"])
-
-        for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= WORD_ROWS:
-                yield close()
-                chunk, held, n = chunk + 1, [], 0
-        if n:
-            yield close()
-
-    def add(rows: pa.Table) -> pa.Table:
-        part, rows = _about(rows, "logp")
-        logp = _per_place(rows, np.uint32, part.num_rows, {"logp": rows.column("logp").to_numpy()})["logp"]
-        return pa.table({"word": part.column(0), "c": part.column(1), "logp": logp})
-
-    # words that begin alike share keys, so they are put in one chunk
-    ranges = words.select("word", "c").repartitionByRange(max(1, rows // WORD_ROWS), "word")
-    indexed = written(ranges.mapInArrow(index, "chunk bigint, g bigint, places binary"), "lm-words")
-    known = gram_scores(levels, rates, indexed.where("g is not null").select("g"))
-    met = indexed.where("g is not null").join(known, "g").select("chunk", "places", "logp").unionByName(
-        indexed.where("g is null").select("chunk", "places", F.lit(None).cast("double").alias("logp")))
-    return met.groupBy("chunk").applyInArrow(add, "word binary, c bigint, logp double")
-
-
-def _about(rows: pa.Table, null: str) -> tuple[pa.RecordBatch, pa.Table]:
-    """A chunk's description (the row whose ``null`` column is null) and its other rows."""
-    about = rows.column(null).is_null()
-    return _from_bytes(rows.filter(about).column("places")[0].as_py()), rows.filter(pc.invert(about))
-
-
-def _per_place(rows: pa.Table, kind: type, n: int, values: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """For each place (a text or word, 0 to n - 1) the sum of the values of the rows that name it."""
-    column = rows.column("places")
-    lengths = pc.binary_length(column).to_numpy() // np.dtype(kind).itemsize
-    places = np.frombuffer(b"".join(column.to_pylist()), kind)
-    return {k: np.bincount(places, weights=np.repeat(v, lengths), minlength=n) for k, v in values.items()}
+        if k == DEALT - 1:
+            asked = _mixed(asked, _UNMIX)
+        if not len(level.g) or not len(rest):
+            continue
+        g = _cut(asked, k)
+        ctx, there = _find(level.x, g >> np.uint64(8))
+        gram, hit = _find(level.g, g)
+        n, d = np.where(met, en, level.n[ctx]), np.where(met, ed, level.d[ctx])
+        e = _escape(taken, of, k, n, d)
+        out[rest[hit]] = (acc + np.log10((1 - e) * level.c[gram] / np.maximum(n, 1)))[hit]
+        acc = np.where(there & (d > 0), acc + np.log10(np.where(there & (d > 0), e, 1)), acc)
+        en, ed, met = np.where(there, level.pn[ctx], en), np.where(there, level.pd[ctx], ed), met | there
+        rest, asked, acc, en, ed, met = (x[~hit] for x in (rest, asked, acc, en, ed, met))
+    out[rest] = acc - np.log10(ed)
+    return all_n, all_d, out
+
+
+def answers(grams: DataFrame, low: list[_Level], taken: np.ndarray, of: np.ndarray) -> DataFrame:
+    """``chunk, bucket, n, data, rest``: the chunk's keys' times with those of
+    their contexts' other bytes and the contexts' ``d``, and log10
+    probabilities of the keys that training texts do not hold."""
+    def run(rows: pa.Table) -> pa.Table:
+        keys, counts = _counted(rows)
+        of_n, of_d, logp = gram_scores(keys, counts, low, taken, of)
+        data, rest = [], []
+        for n, asked in zip(rows.column("n").to_pylist(), rows.column("data").to_pylist(), strict=True):
+            at = np.searchsorted(keys, _unpacked(asked, n, np.uint64))
+            data.append(_packed(np.concatenate([counts[at], of_n[at] - counts[at], of_d[at]])))
+            rest.append(_packed(logp[at[counts[at] == 0]]))
+        return rows.select(["chunk", "bucket", "n"]).append_column("data", pa.array(data, pa.binary())).append_column(
+            "rest", pa.array(rest, pa.binary()))
+
+    return grams.groupBy("bucket").applyInArrow(run, "chunk bigint, bucket bigint, n bigint, data binary, rest binary")
+
+
+def _answered(n: int, data: bytes, rest: bytes, taken: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """log10 probabilities of a chunk's n keys of a bucket."""
+    c, others, d = _unpacked(data, 3 * n, np.int64).reshape(3, n)
+    held, logp = c > 0, np.empty(n)
+    c, all_ = c[held], (c + others)[held]
+    logp[held] = np.log10((1 - _escape(taken, of, ORDER, all_, d[held])) * c / all_)
+    logp[~held] = _unpacked(rest, n - len(c), np.float64)
+    return logp
+
+
+def word_counts(words: DataFrame) -> DataFrame:
+    """``chunk, bucket, n, data, total, known``: how often training texts hold
+    the chunk's words; a row without a chunk tells the bucket's sum and number
+    of words that they hold."""
+    def run(rows: pa.Table) -> pa.Table:
+        sizes = rows.column("n").to_pylist()
+        names = pa.concat_arrays([_from_bytes(x).column(0) for x in rows.column("data").to_pylist()]).dictionary_encode().indices.to_numpy()
+        c = np.zeros(names.max() + 1, np.int64)
+        np.add.at(c, names, np.concatenate([_unpacked(x, n, np.int64) for n, x in zip(sizes, rows.column("seen").to_pylist(), strict=True)]))
+        data = [_packed(c[x]) for x in np.split(names, np.cumsum(sizes)[:-1])]
+        found = rows.select(["chunk", "bucket", "n"]).append_column("data", pa.array(data, pa.binary()))
+        none = pa.nulls(len(found), pa.int64())
+        sums = pa.table([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.int64()),
+                         pa.array([None], pa.binary()), pa.array([c.sum()]), pa.array([(c > 0).sum()])],
+                        ["chunk", "bucket", "n", "data", "total", "known"])
+        return pa.concat_tables([found.append_column("total", none).append_column("known", none), sums])
+
+    return written(words.groupBy("bucket").applyInArrow(
+        run, "chunk bigint, bucket bigint, n bigint, data binary, total bigint, known bigint"), "lm-words")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None,
@@ -339,15 +477,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class
     over the words' ends."""
     python_ready(docs)
     crc = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    indexed = index_words(docs, id_col, text_col, class_col, crc % 10 != 0, across)
-    plain = F.substring("word", ORDER + 1, 1 << 30)
-    units = written(indexed.where("word is not null").groupBy("word").agg(F.sum("seen").alias("seen")), "lm-units")
-    # a word stands after many bytes: its rows meet its count by a join, which may split them
-    plains = written(units.groupBy(plain.alias("plain")).agg(F.sum("seen").alias("c"), F.count(F.lit(1)).alias("rows")), "lm-plain")
-    n, v, rows = plains.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    words = written(units.join(plains, plain == F.col("plain")).select("word", "seen", "c"), "lm-vocabulary")
-    levels, rates = train_trie(words)
-    scored = written(word_scores(words, rows, levels, rates), "lm-word-scores")
+    texts = chunked(docs, id_col, text_col, class_col, crc % 10 != 0)
+    indexed = index_texts(texts, across)
+    grams = indexed.where(F.col("bucket") < BUCKETS)
+    words = word_counts(indexed.where(F.col("bucket") >= BUCKETS))
+    n, v = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    low, taken, of = train_trie(grams)
+    found = words.where("chunk is not null").select("chunk", "bucket", "n", "data", F.lit(None).cast("binary").alias("rest"))
+    answered = _bucketed(answers(grams, low, taken, of).unionByName(found), "lm_answers")
     # a class costs its share of the training texts (one of 256, half an observation each)
     ends = docs.where(crc % 10 != 0).groupBy(_class(class_col).alias("kind")).count().collect()  # 256 at most
     share = np.full(256, 0.5)
@@ -356,23 +493,37 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class
     kind_cost = np.log10(share / share.sum()) if class_col else np.zeros(256)
     id_type = docs.select(id_col).schema[0].dataType
 
-    def base(c):
-        return np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
-
-    def add(rows: pa.Table) -> pa.Table:
-        part, rows = _about(rows, "c")
-        c = rows.column("c").to_numpy()
-        sums = _per_place(rows, np.uint16, part.num_rows,
-                          {"known": (c > 0).astype(np.float64), "base": base(c), "score": rows.column("logp").to_numpy()})
+    def add(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("bucket")
+        bucket, sizes, data, rest = (rows.column(x).to_pylist() for x in ("bucket", "n", "data", "rest"))
+        part = _from_bytes(texts.column("data")[0].as_py())
+        texts, kinds = part.column("text").to_pylist(), part.column("kind").to_pylist()
+        split = sum(b < BUCKETS for b in bucket)
+        logp = np.concatenate([_answered(*x, taken, of) for x in zip(sizes[:split], data[:split], rest[:split], strict=True)])
+        found = np.concatenate([_unpacked(x, k, np.int64) for x, k in zip(data[split:], sizes[split:], strict=True)])
+        # the keys of the texts again: a block's different ones, and for each byte which it is
+        blocks = []
+        for keys, lengths in _blocks(texts, kinds, across):
+            order = np.argsort(keys)
+            keys = keys[order]
+            starts = _starts(keys)
+            which = np.empty(len(keys), np.uint32)
+            which[order] = np.repeat(np.arange(len(starts), dtype=np.uint32), np.diff(np.append(starts, len(keys))))
+            blocks.append((keys[starts], which, lengths))
+        every, _ = _merged((keys, np.zeros(len(keys), np.int64)) for keys, _, _ in blocks)
+        scores = [np.add.reduceat(logp[np.searchsorted(every, keys)][which], np.cumsum([0, *lengths[:-1]]))
+                  for keys, which, lengths in blocks]
+        tokens, lengths, words = _tokens(texts)
+        c = np.empty(len(found), np.int64)
+        c[_dealt(words)[0]] = found
+        base, starts = np.log10((c + 0.1) / (n + 0.1 * (v + 1))), np.cumsum(lengths) - lengths
         return pa.table({
-            id_col: part.column("id"), "held_out": pc.invert(part.column("train")), "n_tokens": part.column("words"),
-            "n_known": np.rint(sums["known"]).astype(np.int64), "train_tokens": np.full(part.num_rows, n, np.int64),
-            "base_score": sums["base"], "score": sums["score"] + kind_cost[part.column("kind").to_numpy()]})
+            id_col: part.column("id"), "held_out": pc.invert(part.column("train")),
+            "n_tokens": lengths, "n_known": np.add.reduceat((c > 0).astype(np.int64)[tokens], starts),
+            "train_tokens": np.full(len(texts), n, np.int64), "base_score": np.add.reduceat(base[tokens], starts),
+            "score": np.concatenate(scores) + kind_cost[np.array(kinds)]})
 
-    met = indexed.where("word is not null").join(scored, "word").select("chunk", "places", "c", "logp").unionByName(
-        indexed.where("word is null").select("chunk", "places", F.lit(None).cast("long").alias("c"),
-                                             F.lit(None).cast("double").alias("logp")))
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("held_out", T.BooleanType()),
                            *[T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known", "train_tokens")],
                            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    return met.groupBy("chunk").applyInArrow(add, schema)
+    return texts.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(add, schema)
