@@ -68,7 +68,7 @@ WORD_END, TEXT_END, SYMBOLS = 0x20, 0x0A, 252
 #: Escape rates are grouped by order, binary digits of n and d, up to these.
 ESCAPES = (20, 30)
 #: A chunk is closed at this many bytes or rows; keys are made for so many bytes at once.
-CHUNK_BYTES, CHUNK_ROWS, BLOCK_BYTES = 16 << 20, 60_000, 4 << 20
+CHUNK_BYTES, CHUNK_ROWS, BLOCK_BYTES = 12 << 20, 60_000, 2 << 20
 #: Keys are dealt out by so many last bytes of the context, to so many buckets (a
 #: power of 2); words to the buckets after those.
 DEALT, BUCKETS, WORD_BUCKETS = 3, 1024, 256
@@ -120,12 +120,12 @@ def _starts(sorted_: np.ndarray) -> np.ndarray:
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, starts) if len(starts) else values[:0]
+    return np.add.reduceat(values, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
 
 
 def _merged(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """The different keys of sorted parts, in order, and the sums of their counts."""
-    held, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    held, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int32))], 0
 
     def merge():
         keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -236,13 +236,13 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, class_col: str | None,
         if texts:
             yield close()
 
-    return _bucketed(rows.mapInArrow(run, "chunk bigint, data binary"), "lm_texts")
+    return _bucketed(rows.mapInArrow(run, "chunk bigint, data binary"), "chunk", "lm_texts")
 
 
-def _bucketed(rows: DataFrame, tag: str) -> DataFrame:
-    """``written``, in buckets by chunk: a group of a chunk's rows needs no exchange."""
+def _bucketed(rows: DataFrame, key: str, tag: str) -> DataFrame:
+    """``written``, in buckets by ``key``: grouping by it needs no exchange."""
     with settings(rows.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        return materialize_bucketed(rows, ["chunk"], tag)
+        return materialize_bucketed(rows, [key], tag)
 
 
 def index_texts(texts: DataFrame, across: bool = False) -> DataFrame:
@@ -254,7 +254,7 @@ def index_texts(texts: DataFrame, across: bool = False) -> DataFrame:
             for keys, _ in _blocks([texts[i] for i in at], [kinds[i] for i in at], across):
                 keys.sort()
                 starts = _starts(keys)
-                yield keys[starts], np.diff(np.append(starts, len(keys))) * int(train)
+                yield keys[starts], (np.diff(np.append(starts, len(keys))) * int(train)).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -277,7 +277,7 @@ def index_texts(texts: DataFrame, across: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(out)), *map(pa.array, zip(*out, strict=True))],
                                                  ["chunk", "bucket", "n", "data", "seen"])
 
-    return written(texts.mapInArrow(run, "chunk bigint, bucket bigint, n bigint, data binary, seen binary"), "lm-index")
+    return _bucketed(texts.mapInArrow(run, "chunk bigint, bucket bigint, n bigint, data binary, seen binary"), "bucket", "lm_index")
 
 
 class _Level:
@@ -484,7 +484,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class
     n, v = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     low, taken, of = train_trie(grams)
     found = words.where("chunk is not null").select("chunk", "bucket", "n", "data", F.lit(None).cast("binary").alias("rest"))
-    answered = _bucketed(answers(grams, low, taken, of).unionByName(found), "lm_answers")
+    answered = answers(grams, low, taken, of).unionByName(found)
     # a class costs its share of the training texts (one of 256, half an observation each)
     ends = docs.where(crc % 10 != 0).groupBy(_class(class_col).alias("kind")).count().collect()  # 256 at most
     share = np.full(256, 0.5)
@@ -510,7 +510,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class
             which = np.empty(len(keys), np.uint32)
             which[order] = np.repeat(np.arange(len(starts), dtype=np.uint32), np.diff(np.append(starts, len(keys))))
             blocks.append((keys[starts], which, lengths))
-        every, _ = _merged((keys, np.zeros(len(keys), np.int64)) for keys, _, _ in blocks)
+        every = np.concatenate([keys for keys, _, _ in blocks])
+        every.sort()
+        every = every[_starts(every)]
         scores = [np.add.reduceat(logp[np.searchsorted(every, keys)][which], np.cumsum([0, *lengths[:-1]]))
                   for keys, which, lengths in blocks]
         tokens, lengths, words = _tokens(texts)
